@@ -20,11 +20,15 @@ def register_staging(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def order_totals(order_items: DataFrame) -> DataFrame:
-    """Revenue and item count per order. Money is summed as decimal, so the sum is exact."""
-    price = F.col("unit_price").cast("decimal(10,2)")
-    return order_items.groupBy("order_id").agg(
-        F.sum(F.col("quantity") * price).cast("double").alias("order_revenue"),
-        F.sum("quantity").alias("total_items"),
+    """Revenue and item count per order. Money is summed in cents, so the sum is exact."""
+    cents = F.col("quantity").cast("bigint") * F.rint(F.col("unit_price") * 100).cast("bigint")
+    totals = order_items.groupBy("order_id").agg(
+        F.sum(cents).alias("_cents"), F.sum("quantity").alias("total_items")
+    )
+    return totals.select(
+        "order_id",
+        (F.col("_cents").cast("decimal(20,0)") / 100).cast("double").alias("order_revenue"),
+        "total_items",
     )
 
 

@@ -19,7 +19,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "src_products": (
         (),
         "SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,"
-        " CAST(p_retailprice AS DECIMAL(10,2)) AS price, p_size AS stock_quantity FROM part",
+        " p_retailprice AS price, p_size AS stock_quantity FROM part",
     ),
     "src_orders": (
         (),
@@ -30,7 +30,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         "SELECT l_orderkey * 10 + l_linenumber AS order_item_id, l_orderkey AS order_id,"
         " l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity,"
-        " CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price FROM lineitem",
+        " l_extendedprice AS unit_price FROM lineitem",
     ),
     "src_payments": (
         (),
@@ -39,7 +39,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         " CASE WHEN attempt = 1 THEN 'wallet' WHEN o_orderpriority = '1-URGENT' THEN 'credit_card'"
         " WHEN o_orderpriority = '2-HIGH' THEN 'debit_card'"
         " WHEN o_orderpriority = '3-MEDIUM' THEN 'paypal' ELSE 'wallet' END AS payment_method,"
-        " CAST(o_totalprice AS DECIMAL(10,2)) AS amount,"
+        " o_totalprice AS amount,"
         " CASE WHEN o_orderstatus <> 'O' THEN epoch_us(o_orderdate) END AS paid_at,"
         " epoch_us(o_orderdate) AS updated_at"
         " FROM orders, (VALUES (0), (1)) AS a(attempt)"
@@ -47,7 +47,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "order_totals": (
         ("src_order_items",),
-        "SELECT order_id, CAST(SUM(quantity * unit_price) AS DOUBLE) AS order_revenue,"
+        "SELECT order_id, CAST(SUM(quantity * CAST(unit_price AS DECIMAL(10,2))) AS DOUBLE) AS order_revenue,"
         " CAST(SUM(quantity) AS BIGINT) AS total_items FROM src_order_items GROUP BY order_id",
     ),
     "chg_users": (
@@ -386,7 +386,7 @@ ORACLE: dict[str, str] = {
         "SELECT payment_id, order_id, amount, expected FROM (SELECT p.payment_id, p.order_id,"
         " round(t.order_revenue, 2) AS expected,"
         " CASE WHEN p.paid_at IS NOT NULL AND t.order_revenue IS NOT NULL"
-        " THEN round(t.order_revenue, 2) ELSE CAST(p.amount AS DOUBLE) END AS amount"
+        " THEN round(t.order_revenue, 2) ELSE p.amount END AS amount"
         " FROM src_payments p LEFT JOIN order_totals t ON p.order_id = t.order_id)"
         " WHERE amount IS DISTINCT FROM expected",
         "src_payments", "order_totals",

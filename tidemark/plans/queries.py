@@ -23,7 +23,9 @@ from tidemark.schemas import (
     SOURCE,
     TS,
 )
-from tidemark.sources import star
+from tidemark.session import scratch_dir
+from tidemark.sources import star, tables
+from tidemark.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,7 +320,7 @@ def q_reconcile(spark: SparkSession, folder: str) -> DataFrame:
             "payment_id",
             "order_id",
             F.when(settled, F.round("order_revenue", 2))
-            .otherwise(F.col("amount").cast("double"))
+            .otherwise(F.col("amount"))
             .alias("amount"),
         )
     )
@@ -356,6 +358,51 @@ def q_gate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# -- streams ------------------------------------------------------------------
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events file as a stream."""
+    schema = star.read(spark, folder, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+
+
+def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    path, checkpoint = scratch_dir(spark, "bronze"), scratch_dir(spark, "checkpoint")
+    messages = star.user_messages(_event_stream(spark, folder))
+    jobs.ingest(
+        messages, star.USER_ROW, "users", path, checkpoint, jobs.ALL_THERE_IS
+    ).awaitTermination()
+    rows = jobs.read_bronze(spark, path)
+    return _plain(rows.select(*star.USER_ROW.fieldNames(), OP, TS, SOURCE, OFFSET))
+
+
+def _landed_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The user log landed as several files, newest first, and read two files at a time."""
+    landed = scratch_dir(spark, "landed")
+    log = star.user_changes(spark, folder)
+    log.repartitionByRange(6, F.col(TS).desc()).write.parquet(landed)
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+
+
+def _maintained(spark: SparkSession, folder: str, job) -> DataFrame:
+    path, checkpoint = scratch_dir(spark, "state"), scratch_dir(spark, "checkpoint")
+    log = _landed_log(spark, folder)
+    job(
+        log, path, checkpoint, **USER, trigger=jobs.ALL_THERE_IS, compact_every=2
+    ).awaitTermination()
+    latest = tables.read_state(spark, path, **USER)
+    return _plain(state.without_deletes(latest).select(*USER_COLUMNS))
+
+
+def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
+    return _maintained(spark, folder, jobs.stream_merge)
+
+
+def stream_current(spark: SparkSession, folder: str) -> DataFrame:
+    return _maintained(spark, folder, jobs.stream_current)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -383,6 +430,9 @@ QUERIES: dict[str, Query] = {
         scd2_history_compact,
         transitions,
         event_order,
+        stream_bronze,
+        stream_merge,
+        stream_current,
         q_not_null,
         q_unique,
         q_foreign_key,

@@ -46,14 +46,25 @@ class Table:
         return TOPIC_PREFIX + self.name
 
 
-def _row(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "binary": T.BinaryType(),
+}
+
+
+def row_schema(columns: str) -> T.StructType:
+    """A row schema from ``"name type, ..."``; unlike a DDL parse it needs no session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 CUSTOMERS = Table(
     name="customers",
     key="customer_id",
-    row=_row(
+    row=row_schema(
         "customer_id bigint, full_name string, email string, country string,"
         " signup_date bigint, updated_at bigint"
     ),
@@ -65,7 +76,7 @@ CUSTOMERS = Table(
 PRODUCTS = Table(
     name="products",
     key="product_id",
-    row=_row(
+    row=row_schema(
         "product_id bigint, product_name string, category string, price double,"
         " stock_quantity int, updated_at bigint"
     ),
@@ -79,7 +90,7 @@ PRODUCTS = Table(
 ORDERS = Table(
     name="orders",
     key="order_id",
-    row=_row(
+    row=row_schema(
         "order_id bigint, customer_id bigint, order_status string, order_date bigint,"
         " updated_at bigint"
     ),
@@ -93,7 +104,7 @@ ORDERS = Table(
 ORDER_ITEMS = Table(
     name="order_items",
     key="order_item_id",
-    row=_row(
+    row=row_schema(
         "order_item_id bigint, order_id bigint, product_id bigint, quantity int,"
         " unit_price double, updated_at bigint"
     ),
@@ -106,7 +117,7 @@ ORDER_ITEMS = Table(
 PAYMENTS = Table(
     name="payments",
     key="payment_id",
-    row=_row(
+    row=row_schema(
         "payment_id bigint, order_id bigint, payment_status string, payment_method string,"
         " amount double, paid_at bigint, updated_at bigint"
     ),

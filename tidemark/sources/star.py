@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.columns import is_delete
 from tidemark.operators.capture import envelope_json
-from tidemark.schemas import OP, ORDER_STATUSES, TOPIC_PREFIX, TS
+from tidemark.schemas import OP, ORDER_STATUSES, TOPIC_PREFIX, TS, row_schema
 
 DAY_MS = 86_400_000
 
@@ -59,7 +58,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+        F.col("p_retailprice").alias("price"),
         F.col("p_size").alias("stock_quantity"),
     )
 
@@ -79,7 +78,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
+        F.col("l_extendedprice").alias("unit_price"),
     )
 
 
@@ -102,7 +101,7 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
             F.col("o_orderkey").alias("order_id"),
             F.when(settled, "SUCCESS").otherwise("INITIATED").alias("payment_status"),
             F.when(F.col("attempt") == 0, method).otherwise("wallet").alias("payment_method"),
-            F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
+            F.col("o_totalprice").alias("amount"),
             F.when(settled, micros("o_orderdate")).alias("paid_at"),
             micros("o_orderdate").alias("updated_at"),
         )
@@ -132,7 +131,7 @@ def user_changes(spark: SparkSession, folder: str) -> DataFrame:
     return user_log(read(spark, folder, "events"))
 
 
-USER_ROW = T.StructType.fromDDL("user_id bigint, event_type string, value double, props string")
+USER_ROW = row_schema("user_id bigint, event_type string, value double, props string")
 
 
 def user_messages(events: DataFrame) -> DataFrame:
