@@ -75,7 +75,9 @@ def decode(
         .select("topic", "partition", "offset", F.try_validate_utf8(text).alias("_text"), "value")
         .select(
             "topic", "partition", "offset", "_text", "value",
-            F.from_json("_text", schema, options).alias("_e"),
+            # A one-element explode: the filters below are then not pushed under the
+            # parse, where each use of a field would parse the value again.
+            F.explode(F.array(F.from_json("_text", schema, options))).alias("_e"),
         )
         .select(
             "topic", "partition", "offset", "value",
@@ -140,12 +142,13 @@ def reparse(
 
 def observed_columns(bronze: DataFrame) -> DataFrame:
     """Per table, every column name seen in the raw row images, with its event count."""
-    raw = F.col(RAW).cast("string")
-    image = F.coalesce(
-        *[F.get_json_object(raw, f"$.{p}") for p in ("payload.after", "after", "payload.before", "before")]
-    )
+    fields = T.MapType(T.StringType(), T.StringType())
+    images = [T.StructField("after", fields), T.StructField("before", fields)]
+    shape = T.StructType([T.StructField("payload", T.StructType(images)), *images])
+    image = F.coalesce("_m.payload.after", "_m.after", "_m.payload.before", "_m.before")
     return (
-        bronze.select(SOURCE, F.explode(F.json_object_keys(image)).alias("column_name"))
+        bronze.select(SOURCE, F.from_json(F.col(RAW).cast("string"), shape).alias("_m"))
+        .select(SOURCE, F.explode(F.map_keys(image)).alias("column_name"))
         .groupBy(SOURCE, "column_name")
         .agg(F.count(F.lit(1)).alias("events"))
     )

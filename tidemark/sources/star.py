@@ -143,16 +143,20 @@ def user_messages(events: DataFrame) -> DataFrame:
     row = F.struct(*USER_ROW.fieldNames())
     deleted = is_delete("op")
     cut_off = (F.col("event_type") == "click") & (F.col("value") > 100)
-    text = envelope_json(F.col("op").isin("c", "d"))
-    text = F.when(cut_off, F.left(text, F.length(text) - 9)).otherwise(text).cast("binary")
+    text = F.when(cut_off, F.left("_text", F.length("_text") - 9)).otherwise(F.col("_text"))
+    value = text.cast("binary")
     return (
         user_log(events)
         .withColumnsRenamed({OP: "op", TS: "ts_ms"})
         .withColumn("before", F.when(deleted, row))
         .withColumn("after", F.when(~deleted, row))
+        .withColumn("_text", envelope_json(F.col("op").isin("c", "d")))
+        .select("event_id", value.alias("value"), deleted.alias("deleted"))
         .select(
             "event_id",
-            F.posexplode(F.when(deleted, F.array(text, F.lit(None))).otherwise(F.array(text))),
+            F.posexplode(
+                F.when(F.col("deleted"), F.array("value", F.lit(None))).otherwise(F.array("value"))
+            ),
         )
         .select(
             F.lit(TOPIC_PREFIX + "users").alias("topic"),
