@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import quality, sampling, state
 from tidemark.plans import marts
-from tidemark.schemas import PARTITION, TABLES, TS
+from tidemark.schemas import OFFSET, ORDERS, PARTITION, TABLES, TS
 from tidemark.sources import tables
 from tidemark.streaming import jobs
 
@@ -44,7 +44,7 @@ def build_silver(
         written[name] = None
         if not tables.exists(spark, f"{bronze}/{name}"):
             continue
-        events = jobs.read_bronze(spark, f"{bronze}/{name}")
+        events = jobs.read_bronze(spark, f"{bronze}/{name}", TABLES[name].row)
         if events.isEmpty():
             continue
         current = state.current_state(events, TABLES[name].key)
@@ -64,17 +64,16 @@ def start_silver(
 
     Use a silver folder of its own: it holds delete markers, which ``build_silver`` drops.
     """
-    queries = []
-    for n in names:
-        path = f"{bronze}/{n}"
-        log = spark.readStream.schema(tables.read(spark, path).schema).parquet(path)
-        events = log.where(~F.col(jobs.FAILED)).drop(jobs.FAILED, jobs.envelope.ERROR)
-        queries.append(
-            jobs.stream_merge(
-                events, f"{silver}/{n}", f"{checkpoints}/silver/{n}", TABLES[n].key, trigger=trigger
-            )
+    return [
+        jobs.stream_merge(
+            jobs.follow_bronze(spark, f"{bronze}/{n}", TABLES[n].row),
+            f"{silver}/{n}",
+            f"{checkpoints}/silver/{n}",
+            TABLES[n].key,
+            trigger=trigger,
         )
-    return queries
+        for n in names
+    ]
 
 
 def read_silver(spark: SparkSession, silver: str, name: str) -> DataFrame:
@@ -90,9 +89,9 @@ def audit_bronze(
 ) -> DataFrame:
     """Per table: events in, current rows, deleted keys left out."""
     parts = [
-        state.audit(jobs.read_bronze(spark, f"{bronze}/{n}"), TABLES[n].key).select(
-            F.lit(n).alias("source_table"), "*"
-        )
+        state.audit(
+            jobs.read_bronze(spark, f"{bronze}/{n}", TABLES[n].row), TABLES[n].key
+        ).select(F.lit(n).alias("source_table"), "*")
         for n in names
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -160,7 +159,7 @@ def check_silver(spark: SparkSession, silver: str) -> DataFrame:
 
 def check_order_statuses(spark: SparkSession, bronze: str) -> DataFrame:
     """Order events that break the status chain, from the event log."""
-    events = jobs.read_bronze(spark, f"{bronze}/orders")
+    events = jobs.read_bronze(spark, f"{bronze}/orders", ORDERS.row)
     return quality.check_transitions(events, "order_id").select(
-        "order_id", TS, PARTITION, "previous", "order_status"
+        "order_id", TS, PARTITION, OFFSET, "previous", "order_status"
     )

@@ -373,7 +373,7 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     jobs.ingest(
         messages, star.USER_ROW, "users", path, checkpoint, jobs.ALL_THERE_IS
     ).awaitTermination()
-    rows = jobs.read_bronze(spark, path)
+    rows = jobs.read_bronze(spark, path, star.USER_ROW)
     return _plain(rows.select(*star.USER_ROW.fieldNames(), OP, TS, SOURCE, OFFSET))
 
 

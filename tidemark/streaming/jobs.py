@@ -12,7 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.columns import names, position
 from tidemark.operators import envelope
 from tidemark.operators.state import latest_per_key
-from tidemark.schemas import SEQ, TOPIC_PREFIX, TS
+from tidemark.schemas import (
+    INGESTED,
+    OFFSET,
+    OP,
+    PARTITION,
+    RAW,
+    SEQ,
+    SOURCE,
+    TOPIC_PREFIX,
+    TS,
+)
 from tidemark.sources import tables
 
 FAILED = "failed"
@@ -39,7 +49,7 @@ def ingest(
     """
     rows = envelope.decode(messages, row_schema, table, prefix)
     return (
-        rows.withColumn(FAILED, F.col(envelope.ERROR).isNotNull())
+        rows.withColumn(FAILED, F.col(envelope.ERROR).isNotNull().cast("int"))
         .writeStream.format("parquet")
         .partitionBy(FAILED)
         .option("path", path)
@@ -50,18 +60,43 @@ def ingest(
     )
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The event log that ``ingest`` writes, without the malformed messages."""
-    log = tables.read(spark, path)
-    return log.where(~F.col(FAILED)).drop(FAILED, envelope.ERROR)
+def bronze_schema(row_schema: T.StructType) -> T.StructType:
+    """Columns of the log that ``ingest`` writes, known without opening its files."""
+    return T.StructType(
+        [
+            *row_schema.fields,
+            *[T.StructField(c, T.StringType()) for c in (OP, SOURCE, INGESTED)],
+            *[T.StructField(c, T.LongType()) for c in (TS, OFFSET)],
+            T.StructField(PARTITION, T.IntegerType()),
+            T.StructField(RAW, T.BinaryType()),
+            T.StructField(envelope.ERROR, T.StringType()),
+            T.StructField(FAILED, T.IntegerType()),
+        ]
+    )
+
+
+def read_bronze(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+    """The event log that ``ingest`` writes, without the malformed messages.
+
+    Columns that the row schema has gained since a file was written read as null.
+    """
+    return _rows(spark.read.schema(bronze_schema(row_schema)).parquet(path))
+
+
+def follow_bronze(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+    """The same log as a stream."""
+    return _rows(spark.readStream.schema(bronze_schema(row_schema)).parquet(path))
+
+
+def _rows(log: DataFrame) -> DataFrame:
+    return log.where(F.col(FAILED) == 0).drop(FAILED, envelope.ERROR)
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+def read_quarantine(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
     """The malformed messages that ``ingest`` set aside, with the reason."""
-    log = tables.read(spark, path).where(F.col(FAILED))
-    return log.select(
-        envelope.SOURCE, envelope.PARTITION, envelope.OFFSET, envelope.INGESTED,
-        envelope.RAW, envelope.ERROR,
+    log = spark.read.schema(bronze_schema(row_schema)).parquet(path)
+    return log.where(F.col(FAILED) == 1).select(
+        SOURCE, PARTITION, OFFSET, INGESTED, RAW, envelope.ERROR
     )
 
 
