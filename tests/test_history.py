@@ -24,7 +24,7 @@ def grouped(df, columns):
 VERSION = ["k", "v", "valid_from_ms", "valid_to_ms", "is_current"]
 
 
-@pytest.mark.parametrize("heavy_rows", [None, 2, 0])
+@pytest.mark.parametrize("heavy_rows", [None, 3, 1])
 @FEW
 @given(raw=LOGS)
 def test_history_with_any_key_heavy(spark, heavy_rows, raw):
@@ -93,16 +93,17 @@ def test_one_key_with_a_third_of_all_rows(spark):
         F.lit("u").alias("op"),
         (F.col("id") % 7).cast("string").alias("v"),
     )
-    sliced = skew.spread(log, "k", "ts", "seq", heavy_rows=1000).where("k = 0")
+    sliced = skew.spread(log, "k", "ts", "seq", heavy_rows=20).heavy
     sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
     assert sum(sizes) == n // 3
-    assert len(sizes) > 900 and max(sizes) < 200
+    assert len(sizes) > 800 and max(sizes) < 100
     args = {"keys": "k", "tracked": ["v"], "op": "op", "ts": "ts", "seq": "seq"}
-    whole = history.scd2(log, **args, heavy_rows=None)
-    cut = history.scd2(log, **args, heavy_rows=1000)
-    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
-    whole = history.scd2(log, **args, heavy_rows=None, compact=True)
-    cut = history.scd2(log, **args, heavy_rows=1000, compact=True)
+    for compact in (False, True):
+        whole = history.scd2(log, **args, heavy_rows=None, compact=compact)
+        cut = history.scd2(log, **args, heavy_rows=20, compact=compact)
+        assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+    whole = history.event_order(log, "k", "ts", "seq", heavy_rows=None)
+    cut = history.event_order(log, "k", "ts", "seq", heavy_rows=20)
     assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
 
 
@@ -114,16 +115,28 @@ def test_copies_of_one_event_collapse_before_the_window(spark):
         F.lit("u").alias("op"),
         F.lit("x").alias("v"),
     )
-    sliced = skew.spread(log, "k", "ts", "seq", heavy_rows=100)
-    assert sliced.count() == 10_001
+    assert skew.spread(log, "k", "ts", "seq", heavy_rows=100).heavy.count() == 10_001
     versions = history.scd2(log, "k", ["v"], op="op", ts="ts", seq="seq", heavy_rows=100)
     assert versions.count() == 10_001
 
 
-def test_heavy_keys_are_few(spark):
+def test_heavy_keys_are_few(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 100)
     df = spark.range(3000).select((F.col("id") % 1000).alias("k"))
-    assert skew.heavy_keys(df, "k", 1).count() == skew.MAX_HEAVY_KEYS
-    assert skew.heavy_keys(df, "k", 3).isEmpty()
+    assert skew.heavy_keys(df, "k", 1).count() == 100
+    assert skew.heavy_keys(df, "k", 3) is None
+    log = df.select("k", F.lit(1).alias("ts"), F.monotonically_increasing_id().alias("seq"))
+    assert skew.spread(log, "k", "ts", "seq", 1).ordinary.count() == 3 * 900
+    assert history.event_order(log, "k", "ts", "seq", 1).count() == 3000
+
+
+def test_slices_are_few(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SLICES", 50)
+    log = spark.range(20_000).select(
+        (F.col("id") % 2).alias("k"), F.col("id").alias("ts"), F.col("id").alias("seq")
+    )
+    sliced = skew.spread(log, "k", "ts", "seq", 1).heavy
+    assert 40 < sliced.select("k", "_slice").distinct().count() < 70
 
 
 def test_validity_of_current_rows_is_open(spark):

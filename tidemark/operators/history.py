@@ -53,16 +53,19 @@ def scd2(
     """
     keys, tracked = names(keys), list(tracked)
     carried = dict.fromkeys([*keys, ts, *names(seq), op, *tracked])
-    events = spread(events.select(*carried), keys, ts, seq, heavy_rows)
+    log = spread(events.select(*carried), keys, ts, seq, heavy_rows)
     if compact:
-        before = neighbour(events, keys, ts, seq, [op, *tracked], -1, "_before")
         same = F.lit(True)
         for c in tracked:
             same = same & F.col(c).eqNullSafe(F.col(f"_before.{c}"))
         unchanged = F.col("_before").isNotNull() & ~is_delete(f"_before.{op}") & same
-        events = before.where(is_delete(op) | ~unchanged).drop("_before")
-    after = neighbour(events, keys, ts, seq, ts, 1, "_after")
-    return after.where(~is_delete(op)).select(*_interval(keys, tracked, ts, F.col(f"_after.{ts}")))
+        log = neighbour(log, keys, ts, seq, [op, *tracked], -1, "_before").each(
+            lambda rows: rows.where(is_delete(op) | ~unchanged).drop("_before")
+        )
+    versions = neighbour(log, keys, ts, seq, ts, 1, "_after").whole([*carried, "_after"])
+    return versions.where(~is_delete(op)).select(
+        *_interval(keys, tracked, ts, F.col(f"_after.{ts}"))
+    )
 
 
 def with_previous(
@@ -74,8 +77,8 @@ def with_previous(
     heavy_rows: int | None = HEAVY_ROWS,
 ) -> DataFrame:
     """Events with ``previous``: the value of ``col`` at the key's event before."""
-    sliced = spread(events, keys, ts, seq, heavy_rows)
-    found = neighbour(sliced, keys, ts, seq, col, -1, "_before")
+    log = spread(events, keys, ts, seq, heavy_rows)
+    found = neighbour(log, keys, ts, seq, col, -1, "_before").whole([*events.columns, "_before"])
     return found.select(*events.columns, F.col(f"_before.{col}").alias("previous"))
 
 
@@ -104,5 +107,5 @@ def event_order(
     heavy_rows: int | None = HEAVY_ROWS,
 ) -> DataFrame:
     """Events with ``event_no``: 1, 2, ... in each key's order, times without value last."""
-    sliced = spread(events, keys, ts, seq, heavy_rows)
-    return ordinal(sliced, keys, ts, seq, "event_no").select(*events.columns, "event_no")
+    log = spread(events, keys, ts, seq, heavy_rows)
+    return ordinal(log, keys, ts, seq, "event_no").whole([*events.columns, "event_no"])

@@ -9,17 +9,19 @@ map-side combined count, and let the operators treat them apart:
 * ``join_many_to_one`` and ``outer_join_many`` join the rows of heavy keys without
   shuffling them.
 
-What is broadcast never grows with the data: at most ``MAX_HEAVY_KEYS`` keys and
-``SLICES`` slices of each. Any further key holds less than one part in
+What is broadcast never grows with the data: at most ``MAX_HEAVY_KEYS`` keys, and about
+``SLICES`` slices over all of them together. Any further key holds less than one part in
 ``MAX_HEAVY_KEYS`` of the rows and takes the ordinary path, so results never depend on
-what was found to be heavy.
+what was found to be heavy. The count runs when an operator is called: mostly it finds
+nothing, and the plan is then the ordinary one, without further branches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,35 +29,41 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import names, oldest_first, position
 
 HEAVY_ROWS = 1_000_000
-MAX_HEAVY_KEYS = 256
-SLICES = 1024
-
-# Rows sampled per heavy key: SALTS groups of SAMPLE rows. SAMPLE stays below
-# spark.sql.optimizer.windowGroupLimitThreshold, so every task keeps only that many.
-_SALTS = 16
-_SAMPLE = 512
+MAX_HEAVY_KEYS = 10_000
+SLICES = 65_536
 
 SLICE = "_slice"
 
+# Sampled positions per slice: a cut is every eighth one, so slices come out similar.
+_PER_SLICE = 8
+
+# A row finds its slice among the cuts of its key in two steps, each over a short array.
+_FAN = 256
+
 
 def heavy_keys(
     df: DataFrame, keys: str | Sequence[str], min_rows: int = HEAVY_ROWS
-) -> DataFrame:
-    """The keys with more than ``min_rows`` rows, biggest first, at most MAX_HEAVY_KEYS."""
+) -> DataFrame | None:
+    """The keys with more than ``min_rows`` rows, with their ``_rows``; None if there are none.
+
+    Runs one job over the key columns. Its result, the biggest MAX_HEAVY_KEYS at most, is
+    fetched once, so that all branches of a plan work with the same keys.
+    """
     keys = names(keys)
-    return (
+    counted = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > min_rows)
         .orderBy(F.desc("_rows"), *keys)
         .limit(MAX_HEAVY_KEYS)
-        .select(*keys)
     )
+    found = counted.collect()
+    return df.sparkSession.createDataFrame(found, counted.schema) if found else None
 
 
 def split(df: DataFrame, heavy: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """``df`` as (rows of ordinary keys, rows of heavy keys), without a shuffle."""
-    marked, on = _small_side(heavy, keys)
+    marked, on = _small_side(heavy.select(*names(keys)), keys)
     return df.join(marked, on, "left_anti"), df.join(marked, on, "left_semi")
 
 
@@ -66,90 +74,112 @@ def _small_side(df: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, Co
     return F.broadcast(df.withColumnsRenamed({k: f"_small_{k}" for k in keys})), on
 
 
-def _cuts(hot: DataFrame, keys: list[str], place: Column) -> DataFrame:
-    """Per heavy key, sorted positions that cut its events into similar slices.
+def _cuts(hot: DataFrame, heavy: DataFrame, keys: list[str], place: Column, rows: int) -> DataFrame:
+    """Per heavy key, the sorted positions at which its slices begin.
 
-    The sample is the rows with the smallest hashes, so it is the same on every run.
+    A slice gets ``rows`` rows, or more where that would make more than SLICES of them.
+    The sample is taken by hash, so it is the same on every run.
     """
-    smallest = Window.partitionBy(*keys, "_salt").orderBy("_hash")
-    per_slice = _SALTS * _SAMPLE / SLICES
+    total = heavy.agg(F.sum("_rows")).first()[0]
+    size = max(rows, 1, total // SLICES)
+    stride = min(size, _PER_SLICE)
     return (
         hot.select(*keys, place.alias("_place"))
-        .withColumn("_hash", F.xxhash64("_place"))
-        .withColumn("_salt", F.pmod(F.col("_hash"), F.lit(_SALTS)))
-        .withColumn("_n", F.row_number().over(smallest))
-        .where(F.col("_n") <= _SAMPLE)
+        .where(F.pmod(F.xxhash64("_place"), F.lit(size // stride)) == 0)
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set("_place")).alias("_sample"))
-        .select(
-            *keys,
-            F.filter(
-                "_sample", lambda _, i: F.pmod(i, F.lit(max(1, int(per_slice)))) == 0
-            ).alias("_cuts"),
-        )
+        .agg(F.sort_array(F.collect_set("_place")).alias("_sample"))
+        .select(*keys, F.filter("_sample", lambda _, i: i % stride == 0).alias("_cuts"))
     )
 
 
-def _count_up_to(cuts: Column, place: Column) -> Column:
-    """How many of the sorted cuts lie at or before ``place``, by binary search."""
-    steps, step = [], SLICES
-    while step:
-        steps.append(F.lit(step))
-        step //= 2
+def _at_or_before(cuts: str, place: Column) -> Column:
+    """How many of the sorted ``cuts`` lie at or before ``place``; there are < 2 x _FAN."""
+    steps = [F.lit(_FAN >> i) for i in range(_FAN.bit_length())]
     return F.aggregate(
         F.array(*steps),
         F.lit(0),
-        lambda n, s: n + F.when(F.get(cuts, n + s - 1) <= place, s).otherwise(F.lit(0)),
+        lambda n, step: n + F.when(F.get(cuts, n + step - 1) <= place, step).otherwise(0),
     )
 
 
+def _sliced(hot: DataFrame, cuts: DataFrame, keys: list[str], place: Column) -> DataFrame:
+    """``hot`` with ``_slice``, numbered upwards in the order of each key.
+
+    Every _FAN-th cut first, then the ones between two of these, so that a row never
+    carries more than a short array.
+    """
+    columns = hot.columns
+    coarse = cuts.select(*keys, F.filter("_cuts", lambda _, i: i % _FAN == 0).alias("_coarse"))
+    groups = F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / _FAN).cast("int"))
+    fine = cuts.select(*keys, "_cuts", F.explode(groups).alias("_group")).select(
+        *keys,
+        (F.col("_group") + 1).alias("_group"),
+        F.slice("_cuts", F.col("_group") * _FAN + 1, F.lit(_FAN)).alias("_fine"),
+    )
+    small, on = _small_side(coarse, keys)
+    grouped = hot.join(small, on).select(*columns, _at_or_before("_coarse", place).alias("_group"))
+    small, on = _small_side(fine, [*keys, "_group"])
+    return grouped.join(small, on, "left").select(
+        *columns, (F.col("_group") * _FAN + _at_or_before("_fine", place)).alias(SLICE)
+    )
+
+
+class Spread(NamedTuple):
+    """Events by key: those of ordinary keys, and those of heavy keys cut into slices."""
+
+    ordinary: DataFrame
+    heavy: DataFrame | None
+
+    def each(self, step: Callable[[DataFrame], DataFrame]) -> Spread:
+        return Spread(step(self.ordinary), self.heavy and step(self.heavy))
+
+    def whole(self, columns: Sequence[str]) -> DataFrame:
+        parts = [p.select(*columns) for p in self if p is not None]
+        return reduce(DataFrame.unionByName, parts)
+
+
 def spread(
     events: DataFrame,
     keys: str | Sequence[str],
     ts: str,
     seq: str | Sequence[str],
     heavy_rows: int | None = HEAVY_ROWS,
-) -> DataFrame:
-    """``events`` with ``_slice``: null for ordinary keys, a range of the order for heavy ones.
+) -> Spread:
+    """Events told apart by whether their key is heavy; heavy ones have a ``_slice``.
 
     Copies of an event (same key, time and sequence) of a heavy key are collapsed before
     they are shuffled by key; ``neighbour`` and ``ordinal`` collapse the others.
-    ``heavy_rows=None`` leaves heavy keys alone, for input known to be small.
+    ``heavy_rows=None`` treats no key as heavy, for input known to be small.
     """
     keys = names(keys)
-    none = F.lit(None).cast("int")
-    if heavy_rows is None:
-        return events.withColumn(SLICE, none)
-    heavy = heavy_keys(events, keys, heavy_rows)
+    heavy = None if heavy_rows is None else heavy_keys(events, keys, heavy_rows)
+    if heavy is None:
+        return Spread(events, None)
     ordinary, hot = split(events, heavy, keys)
     hot = hot.dropDuplicates([*keys, ts, *names(seq)])
     place = position(ts, seq)
-    cuts, on = _small_side(_cuts(hot, keys, place), keys)
-    sliced = hot.join(cuts, on).select(
-        *events.columns, _count_up_to(F.col("_cuts"), place).alias(SLICE)
-    )
-    return ordinary.withColumn(SLICE, none).unionByName(sliced)
-
+    cuts = _cuts(hot, heavy, keys, place, heavy_rows)
+    return Spread(ordinary, _sliced(hot, cuts, keys, place))
 
-def _per_slice(sliced: DataFrame, keys: list[str], summary: Column) -> DataFrame:
-    """One row per slice of a heavy key: at most MAX_HEAVY_KEYS x (SLICES + 1) rows."""
-    return sliced.where(F.col(SLICE).isNotNull()).groupBy(*keys, SLICE).agg(summary.alias("_edge"))
 
+def _join_slices(rows: DataFrame, slices: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of heavy keys with what is known of their slice.
 
-def _join_slices(rows: DataFrame, slices: DataFrame, keys: list[str], add: str) -> DataFrame:
-    small, on = _small_side(slices.withColumnRenamed(SLICE, "_of"), keys)
-    return rows.join(small, on & (F.col(SLICE) == F.col("_of")), "left").select(*rows.columns, add)
+    There is one row per slice: about SLICES + MAX_HEAVY_KEYS at most.
+    """
+    small, on = _small_side(slices, [*keys, SLICE])
+    return rows.join(small, on, "left")
 
 
 def neighbour(
-    sliced: DataFrame,
+    events: Spread,
     keys: str | Sequence[str],
     ts: str,
     seq: str | Sequence[str],
     values: str | Sequence[str],
     step: int,
     name: str,
-) -> DataFrame:
+) -> Spread:
     """Add ``name``: the ``values`` of the key's next (step 1) or previous (-1) event.
 
     ``name`` is a struct, null where there is no such event. Copies of an event are
@@ -159,42 +189,65 @@ def neighbour(
     place = position(ts, seq)
     row = F.struct(*names(values))
     here = F.struct(place.alias("place"), row.alias("row"))
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*oldest_first(ts, seq))
     adjacent = F.lead(here) if step > 0 else F.lag(here)
-    rows = sliced.withColumn("_adjacent", adjacent.over(inside)).where(
-        F.col("_adjacent").isNull() | (F.col("_adjacent.place") != place)
+
+    def inside(rows: DataFrame, by: list[str]) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*oldest_first(ts, seq))
+        found = rows.withColumn("_adjacent", adjacent.over(window))
+        return found.where(F.col("_adjacent").isNull() | (F.col("_adjacent.place") != place))
+
+    ordinary = inside(events.ordinary, keys).select(
+        *events.ordinary.columns, F.col("_adjacent.row").alias(name)
     )
+    if events.heavy is None:
+        return Spread(ordinary, None)
+    # The last (first) row of a slice finds its neighbour at the edge of another slice.
     edge = F.min_by(row, place) if step > 0 else F.max_by(row, place)
     across = Window.partitionBy(*keys).orderBy(SLICE)
     beyond = F.lead("_edge") if step > 0 else F.lag("_edge")
-    slices = _per_slice(sliced, keys, edge).withColumn("_beyond", beyond.over(across))
-    return _join_slices(rows, slices, keys, "_beyond").select(
-        *sliced.columns, F.coalesce("_adjacent.row", "_beyond").alias(name)
+    slices = (
+        events.heavy.groupBy(*keys, SLICE)
+        .agg(edge.alias("_edge"))
+        .select(*keys, SLICE, beyond.over(across).alias("_beyond"))
     )
+    heavy = _join_slices(inside(events.heavy, [*keys, SLICE]), slices, keys).select(
+        *events.heavy.columns, F.coalesce("_adjacent.row", "_beyond").alias(name)
+    )
+    return Spread(ordinary, heavy)
 
 
 def ordinal(
-    sliced: DataFrame, keys: str | Sequence[str], ts: str, seq: str | Sequence[str], name: str
-) -> DataFrame:
+    events: Spread, keys: str | Sequence[str], ts: str, seq: str | Sequence[str], name: str
+) -> Spread:
     """Add ``name``: the place of each event in its key's order, from 1; copies collapse."""
     keys = names(keys)
     place = position(ts, seq)
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*oldest_first(ts, seq))
-    rows = (
-        sliced.withColumn("_rank", F.dense_rank().over(inside))
-        .withColumn("_before", F.lag(place).over(inside))
-        .where(F.col("_before").isNull() | (F.col("_before") != place))
+
+    def inside(rows: DataFrame, by: list[str]) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*oldest_first(ts, seq))
+        return (
+            rows.withColumn("_rank", F.dense_rank().over(window).cast("bigint"))
+            .withColumn("_before", F.lag(place).over(window))
+            .where(F.col("_before").isNull() | (F.col("_before") != place))
+        )
+
+    ordinary = inside(events.ordinary, keys).select(
+        *events.ordinary.columns, F.col("_rank").alias(name)
     )
+    if events.heavy is None:
+        return Spread(ordinary, None)
     earlier = (
         Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
-    slices = _per_slice(sliced, keys, F.count(F.lit(1))).withColumn(
-        "_offset_of_slice", F.sum("_edge").over(earlier)
+    slices = (
+        events.heavy.groupBy(*keys, SLICE)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, SLICE, F.sum("_n").over(earlier).alias("_earlier"))
     )
-    return _join_slices(rows, slices, keys, "_offset_of_slice").select(
-        *sliced.columns,
-        (F.coalesce("_offset_of_slice", F.lit(0)) + F.col("_rank")).cast("bigint").alias(name),
+    heavy = _join_slices(inside(events.heavy, [*keys, SLICE]), slices, keys).select(
+        *events.heavy.columns, (F.coalesce("_earlier", F.lit(0)) + F.col("_rank")).alias(name)
     )
+    return Spread(ordinary, heavy)
 
 
 def join_many_to_one(
@@ -207,6 +260,8 @@ def join_many_to_one(
     """Inner or left join to a side with unique keys; heavy keys of ``many`` stay in place."""
     keys = names(keys)
     heavy = heavy_keys(many, keys, heavy_rows)
+    if heavy is None:
+        return many.join(one, keys, how)
     ordinary, hot = split(many, heavy, keys)
     _, one_hot = split(one, heavy, keys)  # unique keys: at most MAX_HEAVY_KEYS rows
     return ordinary.join(one, keys, how).unionByName(hot.join(F.broadcast(one_hot), keys, how))
@@ -226,6 +281,8 @@ def outer_join_many(
     for k in keys:
         many = many.where(F.col(k).isNotNull())  # a null key matches nothing
     heavy = heavy_keys(many, keys, heavy_rows)
+    if heavy is None:
+        return one.join(many, keys, "left")
     one_ordinary, one_hot = split(one, heavy, keys)
     many_ordinary, many_hot = split(many, heavy, keys)
     ordinary = one_ordinary.join(many_ordinary, keys, "left")
