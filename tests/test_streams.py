@@ -21,19 +21,22 @@ def test_ingest_goes_on_where_it_stopped(spark, tmp_path):
 
     def run():
         stream = file_messages(spark, landed, max_files=1)
-        jobs.ingest(
-            stream, CUSTOMERS.row, "customers", log, mark, jobs.ALL_THERE_IS
-        ).awaitTermination()
+        query = jobs.ingest(stream, CUSTOMERS.row, "customers", log, mark, jobs.ALL_THERE_IS)
+        query.awaitTermination()
+        counts = [p["observedMetrics"].get("customers") for p in query.recentProgress]
+        return sum(c["messages"] for c in counts if c), sum(c["failed"] or 0 for c in counts if c)
 
     land(spark, landed, FIRST)
-    run()
+    assert run() == (len(messages.ROWS & set(FIRST)), 0)
     land(spark, landed, REST)
-    run()
-    run()
+    assert run() == (len(messages.ROWS & set(REST)) + len(messages.MALFORMED), len(messages.MALFORMED))
+    assert run() == (0, 0)
     found = jobs.read_bronze(spark, log, CUSTOMERS.row)
     expected, bad = envelope.parse_events(messages.frame(spark), CUSTOMERS.row, "customers")
     assert sorted(r[OFFSET] for r in found.collect()) == sorted(messages.ROWS)
     assert set(found.columns) == set(expected.columns)
+    assert jobs.read_bronze(spark, log, CUSTOMERS.row, since="2000-01-01").count() == found.count()
+    assert jobs.read_bronze(spark, log, CUSTOMERS.row, since="2999-01-01").isEmpty()
     broken = jobs.read_quarantine(spark, log, CUSTOMERS.row)
     assert sorted(r[OFFSET] for r in broken.collect()) == sorted(messages.MALFORMED)
     assert broken.columns == bad.columns

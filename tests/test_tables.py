@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from tidemark import session
 from tidemark.sources import tables
 
 
@@ -64,3 +65,35 @@ def test_changes_fold_into_state(spark, tmp_path):
     assert tables.pending_changes(spark, path) == 0 and state() == expected
     tables.add_changes(changes(spark, (3, 1, 4, "c")), path)
     assert state() == expected | {(3, 1, 4, "c")}
+
+
+def test_expire_keeps_what_the_newest_versions_need(spark, tmp_path):
+    path = str(tmp_path / "t")
+    args = {"keys": "k", "ts": "ts", "seq": "seq"}
+    tables.replace(changes(spark, (1, 1, 0, "c")), path)
+    tables.add_changes(changes(spark, (1, 2, 1, "u")), path)
+    tables.expire(spark, path)
+    assert len(os.listdir(path)) == 2
+    tables.compact(spark, path, **args)
+    tables.add_changes(changes(spark, (2, 1, 2, "c")), path)
+    tables.expire(spark, path, keep=2)
+    assert len(os.listdir(path)) == 4
+    tables.expire(spark, path)
+    assert sorted(os.listdir(path)) == ["full-000000000002", "part-000000000003"]
+    found = {tuple(r) for r in tables.read_state(spark, path, **args).collect()}
+    assert found == {(1, 2, 1, "u"), (2, 1, 2, "c")}
+    assert tables.size(spark, path) > 0
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for stored, partitions in (
+            (0, 8),
+            (100 * session.PARTITION_BYTES, 101),
+            (100 * 2**40, session.MAX_PARTITIONS),
+        ):
+            session.size_shuffles(spark, stored)
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

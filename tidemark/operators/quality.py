@@ -24,10 +24,10 @@ def length_rule(col: str, limit: int) -> Column:
 
 def money_rule(col: str) -> Column:
     """True for a value that NUMERIC(10,2) cannot hold exactly."""
-    exact = F.col(col).try_cast("decimal(10,2)")
-    return F.col(col).isNotNull() & (
-        exact.isNull() | (exact.cast("double") != F.col(col).cast("double"))
-    )
+    value = F.col(col).cast("double")
+    cents = F.rint(value * 100)
+    fits = (F.abs(cents) < 1e10) & (cents / 100 == value)
+    return F.col(col).isNotNull() & ~fits
 
 
 def accepted_rule(col: str, accepted: Sequence[str]) -> Column:

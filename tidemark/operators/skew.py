@@ -131,7 +131,7 @@ class Spread(NamedTuple):
     heavy: DataFrame | None
 
     def each(self, step: Callable[[DataFrame], DataFrame]) -> Spread:
-        return Spread(step(self.ordinary), self.heavy and step(self.heavy))
+        return Spread(*[None if p is None else step(p) for p in self])
 
     def whole(self, columns: Sequence[str]) -> DataFrame:
         parts = [p.select(*columns) for p in self if p is not None]

@@ -271,8 +271,10 @@ ORACLE: dict[str, str] = {
         " WHERE event_type = 'click' AND value > 100"
     ),
     "bronze_counts": _with(
-        "SELECT 'users' AS source_table, op, COUNT(*) AS events FROM readable GROUP BY op",
-        "readable",
+        "SELECT 'users' AS source_table, op, COUNT(*) AS events FROM readable GROUP BY op"
+        " UNION ALL SELECT 'customers', op, COUNT(*) FROM chg_customers GROUP BY op"
+        " UNION ALL SELECT 'products', 'r', COUNT(*) FROM src_products HAVING COUNT(*) > 0",
+        "readable", "chg_customers", "src_products",
     ),
     "observed_columns": _with(
         "SELECT 'users' AS source_table, column_name, COUNT(*) AS events FROM readable,"

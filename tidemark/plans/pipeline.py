@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import quality, sampling, state
 from tidemark.plans import marts
-from tidemark.schemas import OFFSET, ORDERS, PARTITION, TABLES, TS
+from tidemark.schemas import OFFSET, ORDERS, PARTITION, RAW, TABLES, TS
+from tidemark.session import size_shuffles
 from tidemark.sources import tables
 from tidemark.streaming import jobs
 
@@ -37,7 +38,8 @@ def build_silver(
 ) -> dict[str, int | None]:
     """Recompute the current rows of each table; returns the version written per table.
 
-    A table without events is skipped and keeps its old silver version.
+    A table without events is skipped and keeps its old silver version. The raw message
+    stays in bronze.
     """
     written: dict[str, int | None] = {}
     for name in names:
@@ -47,7 +49,8 @@ def build_silver(
         events = jobs.read_bronze(spark, f"{bronze}/{name}", TABLES[name].row)
         if events.isEmpty():
             continue
-        current = state.current_state(events, TABLES[name].key)
+        size_shuffles(spark, tables.size(spark, f"{bronze}/{name}"))
+        current = state.current_state(events.drop(RAW), TABLES[name].key)
         written[name] = tables.replace(current, f"{silver}/{name}")
     return written
 
@@ -66,7 +69,7 @@ def start_silver(
     """
     return [
         jobs.stream_merge(
-            jobs.follow_bronze(spark, f"{bronze}/{n}", TABLES[n].row),
+            jobs.follow_bronze(spark, f"{bronze}/{n}", TABLES[n].row).drop(RAW),
             f"{silver}/{n}",
             f"{checkpoints}/silver/{n}",
             TABLES[n].key,
@@ -121,6 +124,7 @@ def show_model(spark: SparkSession, silver: str, model: str, limit: int = 5) ->
 
 def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:
     """Materialize the marts; staging models stay views."""
+    size_shuffles(spark, sum(tables.size(spark, f"{silver}/{n}") for n in TABLES))
     marts_only = {n: df for n, df in models(spark, silver).items() if not n.startswith("stg_")}
     return {n: tables.replace(df, f"{gold}/{n}") for n, df in marts_only.items()}
 

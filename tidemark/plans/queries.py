@@ -147,9 +147,26 @@ def bronze_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_counts(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = _bronze(spark, folder)
+    """Events per table and op, from the messages of several topics in one stream."""
+    topics = {
+        "users": (star.user_messages(star.read(spark, folder, "events")), star.USER_ROW),
+        "customers": (
+            star.log_messages(star.customer_changes(spark, folder), CUSTOMERS),
+            CUSTOMERS.row,
+        ),
+        "products": (
+            star.log_messages(star.product_changes(spark, folder), PRODUCTS),
+            PRODUCTS.row,
+        ),
+    }
+    together = reduce(DataFrame.unionByName, [messages for messages, _ in topics.values()])
+    rows = [
+        envelope.parse_events(together, schema, table)[0].select(SOURCE, OP)
+        for table, (_, schema) in topics.items()
+    ]
     return (
-        rows.groupBy(F.col(SOURCE).alias("source_table"), F.col(OP).alias("op"))
+        reduce(DataFrame.unionByName, rows)
+        .groupBy(F.col(SOURCE).alias("source_table"), F.col(OP).alias("op"))
         .agg(F.count(F.lit(1)).alias("events"))
     )
 
@@ -362,9 +379,9 @@ def q_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events file as a stream."""
+    """The events table, one file or a folder of them, as a stream."""
     schema = star.read(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return spark.readStream.schema(schema).parquet(f"{folder}/events.[p]arquet")
 
 
 def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
@@ -377,20 +394,19 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(rows.select(*star.USER_ROW.fieldNames(), OP, TS, SOURCE, OFFSET))
 
 
-def _landed_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The user log landed as several files, newest first, and read two files at a time."""
-    landed = scratch_dir(spark, "landed")
-    log = star.user_changes(spark, folder)
-    log.repartitionByRange(6, F.col(TS).desc()).write.parquet(landed)
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(landed)
-
-
 def _maintained(spark: SparkSession, folder: str, job) -> DataFrame:
-    path, checkpoint = scratch_dir(spark, "state"), scratch_dir(spark, "checkpoint")
-    log = _landed_log(spark, folder)
-    job(
-        log, path, checkpoint, **USER, trigger=jobs.ALL_THERE_IS, compact_every=2
-    ).awaitTermination()
+    """State kept by a streaming job that is stopped and started again.
+
+    The newer half of the user log lands first, so the older half arrives late.
+    """
+    landed, path, checkpoint = (scratch_dir(spark, n) for n in ("landed", "state", "checkpoint"))
+    log = star.user_changes(spark, folder)
+    for part in (F.col(TS) > AS_OF_MS, F.col(TS) <= AS_OF_MS):
+        log.where(part).write.mode("append").parquet(landed)
+        arriving = spark.readStream.schema(log.schema).parquet(landed)
+        job(
+            arriving, path, checkpoint, **USER, trigger=jobs.ALL_THERE_IS, compact_every=2
+        ).awaitTermination()
     latest = tables.read_state(spark, path, **USER)
     return _plain(state.without_deletes(latest).select(*USER_COLUMNS))
 

@@ -26,6 +26,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Stored bytes per shuffle partition, and the most partitions a shuffle may start with.
+PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 32_768
+
+
+def size_shuffles(spark: SparkSession, stored_bytes: int) -> None:
+    """Start shuffles with enough partitions for an input of ``stored_bytes``.
+
+    The default of 200 would put hundreds of gigabytes of a large table into one task.
+    Adaptive execution merges partitions that turn out small, so too many do no harm.
+    """
+    wanted = stored_bytes // PARTITION_BYTES + 1
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", max(cores, min(wanted, MAX_PARTITIONS)))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for checkpoints and intermediate tables.
 

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_delete
-from tidemark.operators.capture import envelope_json
-from tidemark.schemas import OP, ORDER_STATUSES, TOPIC_PREFIX, TS, row_schema
+from tidemark.operators.capture import envelope_json, to_envelopes
+from tidemark.schemas import OP, ORDER_STATUSES, TOPIC_PREFIX, TS, Table, row_schema
 
 DAY_MS = 86_400_000
 
@@ -167,6 +167,20 @@ def user_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def log_messages(log: DataFrame, table: Table) -> DataFrame:
+    """A change log as the messages of its topic, with the columns it has of the row."""
+    row = F.struct(*[c for c in table.row.fieldNames() if c in log.columns])
+    deleted = is_delete("op")
+    events = log.withColumnsRenamed({OP: "op", TS: "ts_ms"}).select(
+        "op",
+        "ts_ms",
+        F.when(deleted, row).alias("before"),
+        F.when(~deleted, row).alias("after"),
+        "seq",
+    )
+    return to_envelopes(events, table.name, F.col("seq"))
+
+
 def customer_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Snapshot of all customers; then one segment moves and indebted ones of another go."""
     moved = F.col("c_mktsegment") == "BUILDING"

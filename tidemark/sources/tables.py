@@ -126,3 +126,25 @@ def compact(
     state = read_state(spark, path, keys, ts, seq, fmt)
     if state is not None:
         replace(state, path, fmt)
+
+
+def expire(spark: SparkSession, path: str, keep: int = 1) -> None:
+    """Delete the versions before the newest ``keep`` full ones and their changes.
+
+    Nothing that a reader of a kept version needs is deleted; call it when no job still
+    reads an older one.
+    """
+    versions = _versions(spark, path)
+    full = [n for n, kind in versions if kind == "full"]
+    if keep < 1 or len(full) <= keep:
+        return
+    _, files = _folder(spark, path)
+    for n, kind in versions:
+        if n < full[-keep]:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(_name(path, n, kind)), True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path``."""
+    folder, files = _folder(spark, path)
+    return files.getContentSummary(folder).getLength()

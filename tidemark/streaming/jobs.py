@@ -25,7 +25,9 @@ from tidemark.schemas import (
 )
 from tidemark.sources import tables
 
+# Partition columns of the log: whether a message failed to decode, and the day it came.
 FAILED = "failed"
+DAY = "ingested_on"
 
 # A micro-batch every five seconds, or all there is and then stop.
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -43,15 +45,17 @@ def ingest(
 ) -> StreamingQuery:
     """Append the bronze rows of one table to ``path``; malformed messages go there too.
 
-    The sink is partitioned by whether a message failed to decode, so one pass writes
-    both and a reader opens only the one it wants. Sink and checkpoint together give each
-    message exactly once.
+    The sink is partitioned by whether a message failed to decode and by day, so one pass
+    writes both and a reader opens only what it wants. Sink and checkpoint together give
+    each message exactly once. The progress of each batch reports rows and failures.
     """
     rows = envelope.decode(messages, row_schema, table, prefix)
     return (
         rows.withColumn(FAILED, F.col(envelope.ERROR).isNotNull().cast("int"))
+        .withColumn(DAY, F.current_date())
+        .observe(table, F.count(F.lit(1)).alias("messages"), F.sum(FAILED).alias("failed"))
         .writeStream.format("parquet")
-        .partitionBy(FAILED)
+        .partitionBy(FAILED, DAY)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
@@ -71,16 +75,21 @@ def bronze_schema(row_schema: T.StructType) -> T.StructType:
             T.StructField(RAW, T.BinaryType()),
             T.StructField(envelope.ERROR, T.StringType()),
             T.StructField(FAILED, T.IntegerType()),
+            T.StructField(DAY, T.DateType()),
         ]
     )
 
 
-def read_bronze(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+def read_bronze(
+    spark: SparkSession, path: str, row_schema: T.StructType, since: str | None = None
+) -> DataFrame:
     """The event log that ``ingest`` writes, without the malformed messages.
 
     Columns that the row schema has gained since a file was written read as null.
+    ``since`` (a date) leaves out the folders of earlier days.
     """
-    return _rows(spark.read.schema(bronze_schema(row_schema)).parquet(path))
+    log = spark.read.schema(bronze_schema(row_schema)).parquet(path)
+    return _rows(log.where(F.col(DAY) >= F.lit(since).cast("date")) if since else log)
 
 
 def follow_bronze(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
@@ -89,7 +98,7 @@ def follow_bronze(spark: SparkSession, path: str, row_schema: T.StructType) -> D
 
 
 def _rows(log: DataFrame) -> DataFrame:
-    return log.where(F.col(FAILED) == 0).drop(FAILED, envelope.ERROR)
+    return log.where(F.col(FAILED) == 0).drop(FAILED, DAY, envelope.ERROR)
 
 
 def read_quarantine(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
