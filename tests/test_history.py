@@ -120,6 +120,15 @@ def test_copies_of_one_event_collapse_before_the_window(spark):
     assert versions.count() == 10_001
 
 
+def test_a_key_that_is_all_copies_is_kept(spark):
+    log = spark.range(50_000).select(
+        (F.col("id") % 3).alias("k"), F.lit(5).alias("ts"), F.lit(0).alias("seq"),
+        F.lit("u").alias("op"), F.lit("x").alias("v"),
+    )
+    versions = history.scd2(log, "k", ["v"], op="op", ts="ts", seq="seq", heavy_rows=10_000)
+    assert sorted(r["k"] for r in versions.collect()) == [0, 1, 2]
+
+
 def test_heavy_keys_are_few(spark, monkeypatch):
     monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 100)
     df = spark.range(3000).select((F.col("id") % 1000).alias("k"))

@@ -46,7 +46,9 @@ def changes(spark, *rows):
     return spark.createDataFrame(rows, "k int, ts bigint, seq int, op string")
 
 
-def test_changes_fold_into_state(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_bytes", [0, tables.BROADCAST_BYTES])
+def test_changes_fold_into_state(spark, tmp_path, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", broadcast_bytes)
     path = str(tmp_path / "t")
     args = {"keys": "k", "ts": "ts", "seq": "seq"}
     assert tables.read_state(spark, path, **args) is None
@@ -64,7 +66,11 @@ def test_changes_fold_into_state(spark, tmp_path):
     tables.compact(spark, path, **args)
     assert tables.pending_changes(spark, path) == 0 and state() == expected
     tables.add_changes(changes(spark, (3, 1, 4, "c")), path)
-    assert state() == expected | {(3, 1, 4, "c")}
+    tables.add_changes(changes(spark, (2, 4, 5, "u"), (None, 1, 6, "u")), path)
+    tables.add_changes(changes(spark, (None, 2, 7, "u"), (1, 7, 8, "d")), path)
+    assert state() == {(1, 7, 8, "d"), (2, 5, 1, "d"), (3, 1, 4, "c"), (None, 2, 7, "u")}
+    tables.compact(spark, path, **args)
+    assert state() == {(1, 7, 8, "d"), (2, 5, 1, "d"), (3, 1, 4, "c"), (None, 2, 7, "u")}
 
 
 def test_expire_keeps_what_the_newest_versions_need(spark, tmp_path):

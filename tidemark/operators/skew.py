@@ -106,7 +106,8 @@ def _sliced(hot: DataFrame, cuts: DataFrame, keys: list[str], place: Column) ->
     """``hot`` with ``_slice``, numbered upwards in the order of each key.
 
     Every _FAN-th cut first, then the ones between two of these, so that a row never
-    carries more than a short array.
+    carries more than a short array. A key whose events are nearly all copies may have no
+    cut; its few distinct events make one slice.
     """
     columns = hot.columns
     coarse = cuts.select(*keys, F.filter("_cuts", lambda _, i: i % _FAN == 0).alias("_coarse"))
@@ -117,7 +118,7 @@ def _sliced(hot: DataFrame, cuts: DataFrame, keys: list[str], place: Column) ->
         F.slice("_cuts", F.col("_group") * _FAN + 1, F.lit(_FAN)).alias("_fine"),
     )
     small, on = _small_side(coarse, keys)
-    grouped = hot.join(small, on).select(*columns, _at_or_before("_coarse", place).alias("_group"))
+    grouped = hot.join(small, on, "left").select(*columns, _at_or_before("_coarse", place).alias("_group"))
     small, on = _small_side(fine, [*keys, "_group"])
     return grouped.join(small, on, "left").select(
         *columns, (F.col("_group") * _FAN + _at_or_before("_fine", place)).alias(SLICE)

@@ -15,11 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.columns import names
-from tidemark.operators.state import latest_per_key
+from tidemark.operators.skew import split
+from tidemark.operators.state import latest_per_key, merge_changes
 from tidemark.schemas import SEQ, TS
 
 FORMAT = "parquet"
 
+# Stored bytes of changes whose keys are still broadcast.
+BROADCAST_BYTES = 16 * 1024 * 1024
+
 
 def append(df: DataFrame, path: str, fmt: str = FORMAT, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a plain table; their columns may differ from those already there."""
@@ -94,14 +98,26 @@ def read_state(
 ) -> DataFrame | None:
     """Latest event per key over the newest full version and the changes on top of it.
 
-    Deletes are included as markers. None if nothing has been written yet.
+    A full version has one row per key. Deletes are included as markers. None if nothing
+    has been written yet. Few changes are matched against the full version by broadcast,
+    so that it is not shuffled; many are merged by a shuffle of both.
     """
+    keys = names(keys)
     live = _live(_versions(spark, path))
-    if not live:
-        return None
-    paths = [_name(path, n, kind) for n, kind in live]
-    rows = spark.read.format(fmt).option("mergeSchema", "true").load(paths)
-    return latest_per_key(rows, names(keys), ts, seq)
+    full = [_name(path, n, kind) for n, kind in live if kind == "full"]
+    parts = [_name(path, n, kind) for n, kind in live if kind == "part"]
+    reader = spark.read.format(fmt).option("mergeSchema", "true")
+    if not parts:
+        return reader.load(full) if full else None
+    changes = latest_per_key(reader.load(parts), keys, ts, seq)
+    if not full:
+        return changes
+    base = reader.load(full)
+    if sum(size(spark, part) for part in parts) > BROADCAST_BYTES:
+        return merge_changes(base, changes, keys, ts, seq)
+    rest, touched = split(base, changes.select(*keys), keys)
+    merged = merge_changes(touched, changes, keys, ts, seq)
+    return rest.unionByName(merged, allowMissingColumns=True)
 
 
 def _live(versions: list[tuple[int, str]]) -> list[tuple[int, str]]:
