@@ -139,6 +139,14 @@ def test_heavy_keys_are_few(spark, monkeypatch):
     assert history.event_order(log, "k", "ts", "seq", 1).count() == 3000
 
 
+def test_heavy_keys_are_found_by_a_sample(spark):
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
+    )
+    (found,) = skew.heavy_keys(df, "k", 50_000).collect()
+    assert found["k"] == 0 and abs(found["_rows"] - 100_000) < 5_000
+
+
 def test_slices_are_few(spark, monkeypatch):
     monkeypatch.setattr(skew, "SLICES", 50)
     log = spark.range(20_000).select(

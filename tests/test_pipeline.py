@@ -2,9 +2,11 @@ import json
 
 import pytest
 
+from tidemark.__main__ import main
 from tidemark.operators import quality
 from tidemark.plans import pipeline
 from tidemark.schemas import OP, TABLES, TS
+from tidemark.sources import tables
 from tidemark.streaming import jobs
 from tidemark.streaming.messages import MESSAGE, file_messages
 
@@ -101,3 +103,36 @@ def test_a_table_without_events_keeps_its_silver(spark, run, tmp_path):
     written = pipeline.build_silver(spark, bronze, run["silver"])
     assert {n for n, v in written.items() if v is not None} == {"customers"}
     assert pipeline.read_silver(spark, run["silver"], "orders").count() == 1
+
+
+def command(monkeypatch, *words):
+    monkeypatch.setattr("sys.argv", ["tidemark", *words])
+    main()
+
+
+def test_command_line(spark, run, tmp_path, monkeypatch, capsys):
+    silver, kept, gold, marks = (str(tmp_path / n) for n in ("silver", "kept", "gold", "marks"))
+    command(monkeypatch, "silver", "--bronze", run["bronze"], "--silver", silver)
+    command(
+        monkeypatch, "follow", "--bronze", run["bronze"], "--silver", kept,
+        "--checkpoints", marks, "--once",
+    )
+    for folder in (silver, kept):
+        command(monkeypatch, "gold", "--silver", folder, "--gold", gold)
+        command(monkeypatch, "show", "--silver", folder, "--select", "dim_customers_scd2")
+        command(monkeypatch, "check", "--silver", folder)
+    command(monkeypatch, "audit", "--bronze", run["bronze"])
+    text = capsys.readouterr().out
+    assert "ann@x" in text and "customers.unique:email" in text
+    assert tables.read_current(spark, f"{gold}/fct_orders").count() == 1
+    with pytest.raises(SystemExit):
+        command(monkeypatch, "show", "--silver", silver)
+
+
+def test_a_failed_check_stops_the_run(spark, run, tmp_path, monkeypatch):
+    silver = str(tmp_path / "silver")
+    pipeline.build_silver(spark, run["bronze"], silver)
+    orders = pipeline.read_silver(spark, silver, "orders")
+    tables.replace(orders.withColumn("customer_id", orders["customer_id"] + 1), f"{silver}/orders")
+    with pytest.raises(quality.GateFailed, match="orders.foreign_key:customer_id: 1 of 1"):
+        command(monkeypatch, "check", "--silver", silver)

@@ -64,6 +64,35 @@ def test_maintained_state_equals_recompute(spark, tmp_path, job):
     }
 
 
+def test_a_batch_that_fails_after_its_write_is_repeated_without_harm(spark, tmp_path, monkeypatch):
+    landed, path, mark = (str(tmp_path / p) for p in ("landed", "state", "mark"))
+    bronze, _ = envelope.parse_events(messages.frame(spark), CUSTOMERS.row, "customers")
+    bronze.write.parquet(landed)
+
+    def run():
+        stream = spark.readStream.schema(bronze.schema).parquet(landed)
+        jobs.stream_merge(
+            stream, path, mark, "customer_id", trigger=jobs.ALL_THERE_IS
+        ).awaitTermination()
+
+    count = tables.pending_changes
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "pending_changes", broken)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(tables, "pending_changes", count)
+    assert tables.pending_changes(spark, path) == 1
+    run()
+    assert tables.pending_changes(spark, path) == 2
+    found = state.without_deletes(tables.read_state(spark, path, "customer_id"))
+    expected = state.current_state(bronze, "customer_id")
+    columns = ["customer_id", "full_name", OFFSET]
+    assert set(found.select(*columns).collect()) == set(expected.select(*columns).collect())
+
+
 def test_scratch_is_the_shared_folder_of_the_session(spark, shared):
     first = scratch_dir(spark, "x")
     assert first.startswith(f"{shared}/x-") and first != scratch_dir(spark, "x")

@@ -1,8 +1,8 @@
 """Keeping one key from overloading one task.
 
 A window or a join sends all rows of a key to one task. That is fine until a key holds
-a large share of the table. The helpers here find such *heavy* keys with one narrow,
-map-side combined count, and let the operators treat them apart:
+a large share of the table. The helpers here find such *heavy* keys with one narrow count
+over a sample, and let the operators treat them apart:
 
 * ``spread`` cuts the events of a heavy key into slices of its event order, so a window
   runs over (key, slice), and ``neighbour`` / ``ordinal`` join the slices up again;
@@ -34,6 +34,9 @@ SLICES = 65_536
 
 SLICE = "_slice"
 
+# Sampled rows at which a key counts as heavy.
+_COUNTED = 10_000
+
 # Sampled positions per slice: a cut is every eighth one, so slices come out similar.
 _PER_SLICE = 8
 
@@ -46,13 +49,19 @@ def heavy_keys(
 ) -> DataFrame | None:
     """The keys with more than ``min_rows`` rows, with their ``_rows``; None if there are none.
 
-    Runs one job over the key columns. Its result, the biggest MAX_HEAVY_KEYS at most, is
-    fetched once, so that all branches of a plan work with the same keys.
+    Runs one job over the key columns. A large ``min_rows`` is judged by a sample of the
+    rows, so that few of them are shuffled; a key near the limit may fall on either side.
+    The result, the biggest MAX_HEAVY_KEYS at most, is fetched once, so that all branches
+    of a plan work with the same keys.
     """
     keys = names(keys)
+    share = min(1.0, _COUNTED / max(min_rows, 1))
+    rows = df.select(*keys)
+    if share < 1:
+        rows = rows.sample(share, seed=0)
     counted = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        rows.groupBy(*keys)
+        .agg((F.count(F.lit(1)) / share).cast("bigint").alias("_rows"))
         .where(F.col("_rows") > min_rows)
         .orderBy(F.desc("_rows"), *keys)
         .limit(MAX_HEAVY_KEYS)

@@ -9,7 +9,7 @@ from tidemark.functions.columns import names
 from tidemark.operators.history import validity
 from tidemark.operators.skew import HEAVY_ROWS, outer_join_many
 from tidemark.operators.state import latest_per_key
-from tidemark.schemas import TS
+from tidemark.schemas import TS, Table
 
 
 def register_staging(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -19,6 +19,16 @@ def register_staging(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {t: df.sparkSession.table(f"stg_{t}") for t, df in silver.items()}
 
 
+def typed(df: DataFrame, table: Table) -> DataFrame:
+    """A silver table with the source's types: money as decimal, times as timestamps.
+
+    Money that the source type cannot hold reads as null; the decimal check finds it.
+    """
+    columns = {c: F.col(c).try_cast("decimal(10,2)") for c in table.money if c in df.columns}
+    columns |= {c: F.timestamp_micros(c) for c in table.times if c in df.columns}
+    return df.withColumns(columns)
+
+
 def order_totals(order_items: DataFrame) -> DataFrame:
     """Revenue and item count per order. Money is summed in cents, so the sum is exact."""
     cents = F.col("quantity").cast("bigint") * F.rint(F.col("unit_price") * 100).cast("bigint")

@@ -73,6 +73,16 @@ def preview_dim(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.preview(dim_customers(spark, folder), "customer_id", 5)
 
 
+def typed_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments in the source's types, shown as text."""
+    rows = marts.typed(star.payments(spark, folder), PAYMENTS)
+    return rows.select(
+        "payment_id",
+        F.col("amount").cast("string").alias("amount"),
+        F.date_format("paid_at", "yyyy-MM-dd HH:mm:ss").alias("paid_at"),
+    )
+
+
 # -- current state ------------------------------------------------------------
 
 
@@ -426,6 +436,7 @@ QUERIES: dict[str, Query] = {
         fct_orders_latest_payment,
         dim_customers,
         preview_dim,
+        typed_payments,
         current_users,
         current_with_duplicates,
         current_all,

@@ -39,6 +39,7 @@ class Table:
     foreign_keys: dict[str, tuple[str, str]] = field(default_factory=dict)
     max_length: dict[str, int] = field(default_factory=dict)
     money: tuple[str, ...] = ()
+    times: tuple[str, ...] = ()
     accepted: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     @property
@@ -71,6 +72,7 @@ CUSTOMERS = Table(
     not_null=("customer_id", "full_name", "email", "signup_date", "updated_at"),
     unique=("customer_id", "email"),
     max_length={"full_name": 150, "email": 150, "country": 80},
+    times=("signup_date", "updated_at"),
 )
 
 PRODUCTS = Table(
@@ -84,6 +86,7 @@ PRODUCTS = Table(
     unique=("product_id",),
     max_length={"product_name": 200, "category": 100},
     money=("price",),
+    times=("updated_at",),
     accepted={"category": CATEGORIES},
 )
 
@@ -98,6 +101,7 @@ ORDERS = Table(
     unique=("order_id",),
     foreign_keys={"customer_id": ("customers", "customer_id")},
     max_length={"order_status": 30},
+    times=("order_date", "updated_at"),
     accepted={"order_status": ORDER_STATUSES},
 )
 
@@ -112,6 +116,7 @@ ORDER_ITEMS = Table(
     unique=("order_item_id",),
     foreign_keys={"order_id": ("orders", "order_id"), "product_id": ("products", "product_id")},
     money=("unit_price",),
+    times=("updated_at",),
 )
 
 PAYMENTS = Table(
@@ -126,6 +131,7 @@ PAYMENTS = Table(
     foreign_keys={"order_id": ("orders", "order_id")},
     max_length={"payment_status": 30, "payment_method": 50},
     money=("amount",),
+    times=("paid_at", "updated_at"),
     accepted={"payment_status": PAYMENT_STATUSES, "payment_method": PAYMENT_METHODS},
 )
 
