@@ -195,23 +195,18 @@ def neighbour(
     ``name`` is a struct, null where there is no such event. Copies of an event are
     collapsed to one row.
     """
-    keys = names(keys)
-    place = position(ts, seq)
-    row = F.struct(*names(values))
-    here = F.struct(place.alias("place"), row.alias("row"))
-    adjacent = F.lead(here) if step > 0 else F.lag(here)
+    keys, values = names(keys), names(values)
 
     def inside(rows: DataFrame, by: list[str]) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*oldest_first(ts, seq))
-        found = rows.withColumn("_adjacent", adjacent.over(window))
-        return found.where(F.col("_adjacent").isNull() | (F.col("_adjacent.place") != place))
+        rows = _beside(rows, by, ts, seq, values, step)
+        found = F.struct(*[F.col(_near(v)).alias(v) for v in values])
+        return rows.withColumn(name, F.when(F.col(_NEAR), found))
 
-    ordinary = inside(events.ordinary, keys).select(
-        *events.ordinary.columns, F.col("_adjacent.row").alias(name)
-    )
+    ordinary = inside(events.ordinary, keys).select(*events.ordinary.columns, name)
     if events.heavy is None:
         return Spread(ordinary, None)
     # The last (first) row of a slice finds its neighbour at the edge of another slice.
+    row, place = F.struct(*values), position(ts, seq)
     edge = F.min_by(row, place) if step > 0 else F.max_by(row, place)
     across = Window.partitionBy(*keys).orderBy(SLICE)
     beyond = F.lead("_edge") if step > 0 else F.lag("_edge")
@@ -221,29 +216,53 @@ def neighbour(
         .select(*keys, SLICE, beyond.over(across).alias("_beyond"))
     )
     heavy = _join_slices(inside(events.heavy, [*keys, SLICE]), slices, keys).select(
-        *events.heavy.columns, F.coalesce("_adjacent.row", "_beyond").alias(name)
+        *events.heavy.columns, F.coalesce(name, "_beyond").alias(name)
     )
     return Spread(ordinary, heavy)
 
 
+_NEAR = "_near"
+
+
+def _near(col: str) -> str:
+    return f"{_NEAR}_{col}"
+
+
+def _beside(
+    rows: DataFrame,
+    by: list[str],
+    ts: str,
+    seq: str | Sequence[str],
+    values: Sequence[str],
+    step: int,
+    *more: Column,
+) -> DataFrame:
+    """Add the values of the row beside each one, and drop rows that are copies of it.
+
+    Column by column: a struct would be built, and shuffled, in addition to its columns.
+    ``more`` are ranks to add over the same window.
+    """
+    window = Window.partitionBy(*by).orderBy(*oldest_first(ts, seq))
+    beside = F.lead if step > 0 else F.lag
+    order = [ts, *names(seq)]
+    added = {_near(c): beside(c).over(window) for c in dict.fromkeys([*order, *values])}
+    added |= {f"_more{i}": m.over(window) for i, m in enumerate(more)}
+    copy = reduce(and_, [F.col(c).eqNullSafe(F.col(_near(c))) for c in order])
+    found = rows.withColumns({_NEAR: beside(F.lit(True)).over(window), **added})
+    return found.where(F.col(_NEAR).isNull() | ~copy)
+
+
 def ordinal(
     events: Spread, keys: str | Sequence[str], ts: str, seq: str | Sequence[str], name: str
 ) -> Spread:
     """Add ``name``: the place of each event in its key's order, from 1; copies collapse."""
     keys = names(keys)
-    place = position(ts, seq)
 
     def inside(rows: DataFrame, by: list[str]) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*oldest_first(ts, seq))
-        return (
-            rows.withColumn("_rank", F.dense_rank().over(window).cast("bigint"))
-            .withColumn("_before", F.lag(place).over(window))
-            .where(F.col("_before").isNull() | (F.col("_before") != place))
-        )
-
-    ordinary = inside(events.ordinary, keys).select(
-        *events.ordinary.columns, F.col("_rank").alias(name)
-    )
+        ranked = _beside(rows, by, ts, seq, [], -1, F.dense_rank())
+        return ranked.withColumn(name, F.col("_more0").cast("bigint"))
+
+    ordinary = inside(events.ordinary, keys).select(*events.ordinary.columns, name)
     if events.heavy is None:
         return Spread(ordinary, None)
     earlier = (
@@ -255,7 +274,7 @@ def ordinal(
         .select(*keys, SLICE, F.sum("_n").over(earlier).alias("_earlier"))
     )
     heavy = _join_slices(inside(events.heavy, [*keys, SLICE]), slices, keys).select(
-        *events.heavy.columns, (F.coalesce("_earlier", F.lit(0)) + F.col("_rank")).alias(name)
+        *events.heavy.columns, (F.coalesce("_earlier", F.lit(0)) + F.col(name)).alias(name)
     )
     return Spread(ordinary, heavy)
 
