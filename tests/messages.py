@@ -57,11 +57,18 @@ EDGES = {
     23: {},
     24: {"payload": {}},
     25: event("c", 5, {**row(8, "bad type"), "signup_date": "soon"}),
+    27: json.dumps(CREATED_2) + " and more",
+    28: json.dumps(CREATED_2) + json.dumps(CREATED_2),
+    29: json.dumps(CREATED_2) + "," + json.dumps(CREATED_2),
+    30: "{'op': 'c', 'after': {'customer_id': 1}}",
+    31: "  " + json.dumps(CREATED_2) + "\n",
+    32: {"payload": "text"},
+    33: {"op": "c", "after": "text"},
     26: event("c", 5, row(9, 'the "payload" of a plain event')),
 }
 
 DROPPED = {6, 11, 23, 24}
-MALFORMED = {12, 13, 17, 18, 19, 20, 21, 22, 25}
+MALFORMED = {12, 13, 17, 18, 19, 20, 21, 22, 25, 27, 28, 29, 30, 32, 33}
 ROWS = set(EDGES) - DROPPED - MALFORMED
 
 

@@ -46,6 +46,7 @@ def test_reasons(parsed):
     assert reasons[13] == reasons[22] == "payload is null"
     assert reasons[21] == "value is not UTF-8"
     assert bytes(bad[12][RAW]) == b"{bad"
+    assert reasons[17] == reasons[18] == reasons[29] == "value is not one JSON object"
     assert reasons[25] == "value does not fit the row schema"
 
 

@@ -32,17 +32,21 @@ _CORRUPT = "_corrupt"
 
 
 def message_schema(row_schema: T.StructType) -> T.StructType:
-    """The wrapped and the plain event shape in one schema."""
+    """The wrapped and the plain event shape in one schema, as the items of a list.
+
+    ``decode`` puts each value into a list before it parses it: a parser that has read one
+    object does not look at what follows, but in a list anything else is an error.
+    """
     event = [
         T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.LongType()),
         T.StructField("before", row_schema),
         T.StructField("after", row_schema),
     ]
+    message = T.StructType([T.StructField("payload", T.StructType(event)), *event])
     return T.StructType(
         [
-            T.StructField("payload", T.StructType(event)),
-            *event,
+            T.StructField("list", T.ArrayType(message)),
             T.StructField(_CORRUPT, T.StringType()),
         ]
     )
@@ -64,7 +68,12 @@ def decode(
     topics = [prefix + t for t in tables]
     schema = message_schema(row_schema)
     text = F.col("value").cast("string")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _CORRUPT,
+        "allowSingleQuotes": "false",
+    }
+    in_list = F.concat(F.lit('{"list":['), F.col("_text"), F.lit("]}"))
     # A value whose payload is JSON null looks like a plain event without fields.
     null_payload = (F.instr("_text", '"payload"') > 0) & F.array_contains(
         F.json_object_keys("_text"), "payload"
@@ -77,13 +86,14 @@ def decode(
             "topic", "partition", "offset", "_text", "value",
             # A one-element explode: the filters below are then not pushed under the
             # parse, where each use of a field would parse the value again.
-            F.explode(F.array(F.from_json("_text", schema, options))).alias("_e"),
+            F.explode(F.array(F.from_json(in_list, schema, options))).alias("_parsed"),
         )
+        .select("*", F.get("_parsed.list", F.lit(0)).alias("_e"))
         .select(
             "topic", "partition", "offset", "value",
             F.when(F.col("_text").isNull(), "value is not UTF-8")
-            .when(F.col("_e").isNull(), "value is not a JSON object")
-            .when(F.col(f"_e.{_CORRUPT}").isNotNull(), "value does not fit the row schema")
+            .when(F.col(f"_parsed.{_CORRUPT}").isNotNull(), "value does not fit the row schema")
+            .when(F.col("_e").isNull() | (F.size("_parsed.list") != 1), "value is not one JSON object")
             .when(~wrapped & null_payload, "payload is null")
             .alias(ERROR),
             *[

@@ -18,4 +18,5 @@ def preview(df: DataFrame, order: str | Sequence[str], n: int = 5) -> DataFrame:
 def sample_rows(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 0) -> DataFrame:
     """``n`` rows in an order scrambled by ``seed``: the same sample on every run."""
     keys = names(key)
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    scrambled = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return df.orderBy(scrambled, *keys).limit(n)

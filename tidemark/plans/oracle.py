@@ -236,6 +236,11 @@ ORACLE: dict[str, str] = {
     ),
     "dim_customers": _with(_DIM, "cur_customers"),
     "preview_dim": _with(f"{_DIM} ORDER BY customer_id LIMIT 5", "cur_customers"),
+    "sample_products": _with(
+        "SELECT product_id, price FROM src_products"
+        " ORDER BY md5(concat(CAST(product_id AS VARCHAR), ':1')), product_id LIMIT 4",
+        "src_products",
+    ),
     "typed_payments": _with(
         "SELECT payment_id, CAST(CAST(amount AS DECIMAL(10,2)) AS VARCHAR) AS amount,"
         " strftime(make_timestamp(paid_at), '%Y-%m-%d %H:%M:%S') AS paid_at FROM src_payments",

@@ -73,6 +73,12 @@ def preview_dim(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.preview(dim_customers(spark, folder), "customer_id", 5)
 
 
+def sample_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Four products drawn at random, as for a new order."""
+    drawn = sampling.sample_rows(star.products(spark, folder), "product_id", 4, seed=1)
+    return drawn.select("product_id", "price")
+
+
 def typed_payments(spark: SparkSession, folder: str) -> DataFrame:
     """Payments in the source's types, shown as text."""
     rows = marts.typed(star.payments(spark, folder), PAYMENTS)
@@ -436,6 +442,7 @@ QUERIES: dict[str, Query] = {
         fct_orders_latest_payment,
         dim_customers,
         preview_dim,
+        sample_products,
         typed_payments,
         current_users,
         current_with_duplicates,
