@@ -65,6 +65,16 @@ def test_new_column_comes_from_the_raw_message(spark):
     assert {r[OFFSET]: r["phone"] for r in again.collect() if r["phone"]} == {15: "123"}
 
 
+def test_quarantined_messages_can_be_read_under_another_schema(spark):
+    _, bad = envelope.parse_events(messages.frame(spark), CUSTOMERS.row, "customers")
+    fields = [
+        T.StructField(f.name, T.StringType()) if f.name == "signup_date" else f
+        for f in CUSTOMERS.row.fields
+    ]
+    again = envelope.reparse(bad, T.StructType(fields), "customers")
+    assert [(r[OFFSET], r["signup_date"]) for r in again.collect()] == [(25, "soon")]
+
+
 def test_observed_schema_names_every_field(spark):
     bronze, _ = envelope.parse_events(messages.frame(spark), CUSTOMERS.row, "customers")
     (found,) = envelope.observed_schema(bronze).collect()

@@ -39,6 +39,9 @@ def _arguments() -> argparse.Namespace:
             sub.add_argument(f"--{option}", required=True)
         if step in ("ingest", "follow"):
             sub.add_argument("--once", action="store_true", help="take what is there, then stop")
+            sub.add_argument("--every", default="5 seconds", help="time between micro-batches")
+        if step == "ingest":
+            sub.add_argument("--max-offsets", type=int, help="most messages in a micro-batch")
         if step == "show":
             sub.add_argument("--limit", type=int, default=5)
     return parser.parse_args()
@@ -48,14 +51,14 @@ def main() -> None:
     args = _arguments()
     spark = get_session()
     if args.step in ("ingest", "follow"):
-        trigger = jobs.ALL_THERE_IS if args.once else jobs.EVERY_5_SECONDS
+        trigger = jobs.ALL_THERE_IS if args.once else {"processingTime": args.every}
         if args.step == "ingest":
             # One reader per table: each topic advances on its own.
             queries = [
                 query
                 for name in TABLES
                 for query in pipeline.start_ingest(
-                    kafka_messages(spark, args.servers, [name]),
+                    kafka_messages(spark, args.servers, [name], max_offsets=args.max_offsets),
                     args.bronze, args.checkpoints, [name], trigger,
                 )
             ]

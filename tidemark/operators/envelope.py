@@ -137,10 +137,12 @@ def split_errors(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def reparse(
-    bronze: DataFrame, row_schema: T.StructType, tables: str | Iterable[str],
+    bronze: DataFrame,
+    row_schema: T.StructType,
+    tables: str | Iterable[str],
     prefix: str = TOPIC_PREFIX,
 ) -> DataFrame:
-    """Bronze rows read again from their raw messages under a newer row schema."""
+    """Bronze rows, or quarantined messages, read again under a newer row schema."""
     messages = bronze.select(
         F.concat(F.lit(prefix), F.col(SOURCE)).alias("topic"),
         F.col(PARTITION).alias("partition"),
