@@ -6,7 +6,7 @@ from tidemark.schemas import CUSTOMERS, OFFSET
 from tidemark.session import scratch_dir
 from tidemark.sources import tables
 from tidemark.streaming import jobs
-from tidemark.streaming.messages import file_messages
+from tidemark.streaming.messages import file_messages, kafka_options
 
 FIRST = {k: v for k, v in messages.EDGES.items() if k < 10}
 REST = {k: v for k, v in messages.EDGES.items() if k >= 10}
@@ -16,6 +16,17 @@ def land(spark, path, values):
     messages.frame(spark, values).repartition(3).write.mode("append").parquet(path)
 
 
+def test_a_batch_is_due_by_count_or_time():
+    assert kafka_options("host:9092", ["orders", "payments"], max_offsets=10**6) == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "ecom.public.orders,ecom.public.payments",
+        "startingOffsets": "earliest",
+        "minOffsetsPerTrigger": "200",
+        "maxTriggerDelay": "5000ms",
+        "maxOffsetsPerTrigger": "1000000",
+    }
+
+
 def test_ingest_goes_on_where_it_stopped(spark, tmp_path):
     landed, log, mark = (str(tmp_path / p) for p in ("landed", "log", "mark"))
 
