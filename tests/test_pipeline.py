@@ -121,6 +121,9 @@ def test_command_line(spark, run, tmp_path, monkeypatch, capsys):
         command(monkeypatch, "gold", "--silver", folder, "--gold", gold)
         command(monkeypatch, "show", "--silver", folder, "--select", "dim_customers_scd2")
         command(monkeypatch, "check", "--silver", folder)
+    command(monkeypatch, "history", "--bronze", run["bronze"], "--gold", gold)
+    versions = tables.read_current(spark, f"{gold}/dim_customers_history").orderBy("valid_from_ms", "customer_id")
+    assert [tuple(r)[0::3] for r in versions.collect()] == [(1, "A", False), (2, "A", False), (1, "B", True)]
     command(monkeypatch, "audit", "--bronze", run["bronze"])
     text = capsys.readouterr().out
     assert "ann@x" in text and "customers.unique:email" in text

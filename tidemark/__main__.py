@@ -4,6 +4,7 @@
     python -m tidemark silver --bronze B --silver S
     python -m tidemark follow --bronze B --silver S --checkpoints C [--once]
     python -m tidemark gold   --silver S --gold G
+    python -m tidemark history --bronze B --gold G
     python -m tidemark show   --silver S --select fct_orders --limit 5
     python -m tidemark audit  --bronze B
     python -m tidemark check  --silver S
@@ -29,6 +30,7 @@ def _arguments() -> argparse.Namespace:
         "silver": ("bronze", "silver"),
         "follow": ("bronze", "silver", "checkpoints"),
         "gold": ("silver", "gold"),
+        "history": ("bronze", "gold"),
         "show": ("silver", "select"),
         "audit": ("bronze",),
         "check": ("silver",),
@@ -72,6 +74,8 @@ def main() -> None:
         print(pipeline.build_silver(spark, args.bronze, args.silver))
     elif args.step == "gold":
         print(pipeline.build_gold(spark, args.silver, args.gold))
+    elif args.step == "history":
+        print(pipeline.build_history(spark, args.bronze, args.gold))
     elif args.step == "show":
         pipeline.show_model(spark, args.silver, args.select, args.limit).show(args.limit, False)
     elif args.step == "audit":

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import names
-from tidemark.operators.history import validity
+from tidemark.operators.history import scd2, validity
 from tidemark.operators.skew import HEAVY_ROWS, outer_join_many
 from tidemark.operators.state import latest_per_key
-from tidemark.schemas import TS, Table
+from tidemark.schemas import SEQ, TS, Table
+
+CUSTOMER_COLUMNS = ["full_name", "email", "country"]
 
 
 def register_staging(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -82,4 +84,12 @@ def fct_orders(
 
 def dim_customers(customers: DataFrame) -> DataFrame:
     """The customer dimension over silver: one open version per customer."""
-    return validity(customers, "customer_id", ["full_name", "email", "country"], TS)
+    return validity(customers, "customer_id", CUSTOMER_COLUMNS, TS)
+
+
+def customer_history(events: DataFrame, seq: str | list[str] | tuple[str, ...] = SEQ) -> DataFrame:
+    """The customer dimension over the event log: a row per version, deleted ones included.
+
+    A repeated snapshot of an unchanged customer opens no version.
+    """
+    return scd2(events, "customer_id", CUSTOMER_COLUMNS, TS, seq, compact=True)

@@ -235,6 +235,15 @@ ORACLE: dict[str, str] = {
         "src_orders", "order_totals", "src_payments",
     ),
     "dim_customers": _with(_DIM, "cur_customers"),
+    "customer_history": _with(
+        "SELECT customer_id, full_name, email, country, ts_ms AS valid_from_ms, valid_to_ms,"
+        " valid_to_ms IS NULL AS is_current FROM (SELECT *, LEAD(ts_ms) OVER"
+        " (PARTITION BY customer_id ORDER BY ts_ms, seq) AS valid_to_ms FROM"
+        " (SELECT *, LAG(country) OVER w AS before, ROW_NUMBER() OVER w AS n FROM chg_customers"
+        " WINDOW w AS (PARTITION BY customer_id ORDER BY ts_ms, seq))"
+        " WHERE n = 1 OR op = 'd' OR country IS DISTINCT FROM before) WHERE op <> 'd'",
+        "chg_customers",
+    ),
     "preview_dim": _with(f"{_DIM} ORDER BY customer_id LIMIT 5", "cur_customers"),
     "sample_products": _with(
         "SELECT product_id, price FROM src_products"

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import quality, sampling, state
 from tidemark.plans import marts
-from tidemark.schemas import OFFSET, ORDERS, PARTITION, RAW, TABLES, TS
+from tidemark.schemas import CUSTOMERS, OFFSET, ORDERS, PARTITION, RAW, TABLES, TS
 from tidemark.session import size_shuffles
 from tidemark.sources import tables
 from tidemark.streaming import jobs
@@ -129,6 +129,14 @@ def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:
     return {n: tables.replace(df, f"{gold}/{n}") for n, df in marts_only.items()}
 
 
+def build_history(spark: SparkSession, bronze: str, gold: str) -> int:
+    """Materialize the customer dimension with all its versions, from the event log."""
+    path = f"{bronze}/{CUSTOMERS.name}"
+    size_shuffles(spark, tables.size(spark, path))
+    history = marts.customer_history(jobs.read_bronze(spark, path, CUSTOMERS.row))
+    return tables.replace(history, f"{gold}/dim_customers_history")
+
+
 def check_silver(spark: SparkSession, silver: str) -> DataFrame:
     """The gate report over silver: every declared constraint of the five tables.
 

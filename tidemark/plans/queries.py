@@ -69,6 +69,10 @@ def dim_customers(spark: SparkSession, folder: str) -> DataFrame:
     return marts.dim_customers(marts.register_staging({"customers": silver})["customers"])
 
 
+def customer_history(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.customer_history(star.customer_changes(spark, folder), "seq")
+
+
 def preview_dim(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.preview(dim_customers(spark, folder), "customer_id", 5)
 
@@ -441,6 +445,7 @@ QUERIES: dict[str, Query] = {
         fct_orders,
         fct_orders_latest_payment,
         dim_customers,
+        customer_history,
         preview_dim,
         sample_products,
         typed_payments,
