@@ -21,6 +21,7 @@ def test_a_batch_is_due_by_count_or_time():
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "ecom.public.orders,ecom.public.payments",
         "startingOffsets": "earliest",
+        "maxRecordsPerPartition": "1000000",
         "minOffsetsPerTrigger": "200",
         "maxTriggerDelay": "5000ms",
         "maxOffsetsPerTrigger": "1000000",

@@ -150,9 +150,9 @@ def _with(body: str, *ctes: str) -> str:
 
 
 _FACT = (
-    "SELECT o.order_id, o.customer_id, o.order_status, o.order_date, t.order_revenue,"
-    " t.total_items, p.payment_status, p.payment_method"
-    " FROM src_orders o LEFT JOIN order_totals t ON o.order_id = t.order_id"
+    "SELECT order_id, customer_id, order_status, order_date, order_revenue, total_items,"
+    " payment_status, payment_method"
+    " FROM src_orders LEFT JOIN order_totals USING (order_id)"
 )
 _USER_STATE = "SELECT user_id, event_id, ts_ms, op, event_type, value, props FROM latest_users"
 _CURRENT_USERS = _with(f"{_USER_STATE} WHERE op IS DISTINCT FROM 'd'", "latest_users")
@@ -225,13 +225,12 @@ _GATE_RULES = [
 
 ORACLE: dict[str, str] = {
     "fct_orders": _with(
-        f"{_FACT} LEFT JOIN src_payments p ON o.order_id = p.order_id",
+        f"{_FACT} LEFT JOIN src_payments USING (order_id)",
         "src_orders", "order_totals", "src_payments",
     ),
     "fct_orders_latest_payment": _with(
-        f"{_FACT} LEFT JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id"
-        " ORDER BY payment_id DESC) AS rn FROM src_payments) p"
-        " ON o.order_id = p.order_id AND p.rn = 1",
+        f"{_FACT} LEFT JOIN (SELECT * FROM src_payments QUALIFY ROW_NUMBER() OVER"
+        " (PARTITION BY order_id ORDER BY payment_id DESC) = 1) USING (order_id)",
         "src_orders", "order_totals", "src_payments",
     ),
     "dim_customers": _with(_DIM, "cur_customers"),

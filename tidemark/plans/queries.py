@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import capture, envelope, history, quality, sampling, state
+from tidemark.operators import capture, envelope, history, quality, sampling, skew, state
 from tidemark.plans import marts
 from tidemark.schemas import (
     CATEGORIES,
@@ -350,16 +350,11 @@ def q_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     """Settled payments carry the item total, the others the price the order states."""
     totals = marts.order_totals(star.order_items(spark, folder))
     settled = F.col("paid_at").isNotNull() & F.col("order_revenue").isNotNull()
-    payments = (
-        star.payments(spark, folder)
-        .join(totals, "order_id", "left")
-        .select(
-            "payment_id",
-            "order_id",
-            F.when(settled, F.round("order_revenue", 2))
-            .otherwise(F.col("amount"))
-            .alias("amount"),
-        )
+    paired = skew.join_many_to_one(star.payments(spark, folder), totals, "order_id", "left")
+    payments = paired.select(
+        "payment_id",
+        "order_id",
+        F.when(settled, F.round("order_revenue", 2)).otherwise(F.col("amount")).alias("amount"),
     )
     return quality.check_amounts(payments, totals)
 

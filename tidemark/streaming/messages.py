@@ -14,6 +14,9 @@ MESSAGE = row_schema("topic string, partition int, offset bigint, value binary")
 BATCH_MESSAGES = 200
 BATCH_DELAY = "5000ms"
 
+# Most messages of one topic partition in one task; a hot partition is read by several.
+TASK_MESSAGES = 1_000_000
+
 
 def kafka_options(
     servers: str,
@@ -31,6 +34,7 @@ def kafka_options(
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(prefix + t for t in tables),
         "startingOffsets": "earliest",
+        "maxRecordsPerPartition": str(TASK_MESSAGES),
     }
     if min_offsets:
         options |= {"minOffsetsPerTrigger": str(min_offsets), "maxTriggerDelay": BATCH_DELAY}
