@@ -31,6 +31,22 @@ def test_joins_do_not_depend_on_what_is_heavy(sides, heavy_rows):
     assert rows(skew.outer_join_many(one, many, "k", heavy_rows)) == rows(one.join(many, "k", "left"))
 
 
+def test_a_side_that_is_not_unique_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 5)
+    one = spark.createDataFrame([(1, i) for i in range(9)] + [(2, 0)], "k int, x int")
+    many = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 0)], "k int, y int")
+    for joined, plain in (
+        (skew.join_many_to_one(many, one, "k", "left", 10), many.join(one, "k", "left")),
+        (skew.outer_join_many(one, many, "k", 10), one.join(many, "k", "left")),
+    ):
+        assert "Union" not in joined._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(joined) == rows(plain)
+    unique = one.dropDuplicates(["k"])
+    joined = skew.outer_join_many(unique, many, "k", 10)
+    assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 31
+
+
 @pytest.mark.parametrize("heavy_rows", [0, 1, 10**6])
 def test_fact_with_hot_orders(spark, folder, heavy_rows):
     orders, items = star.orders(spark, folder), star.order_items(spark, folder)

@@ -279,6 +279,15 @@ def ordinal(
     return Spread(ordinary, heavy)
 
 
+def _few_rows(one: DataFrame, heavy: DataFrame, keys: list[str]) -> bool:
+    """Whether the heavy keys have at most MAX_HEAVY_KEYS rows in ``one``.
+
+    They do where its keys are unique. Where they are not, those rows are not broadcast.
+    """
+    _, matching = split(one.select(*keys), heavy, keys)
+    return matching.limit(MAX_HEAVY_KEYS + 1).count() <= MAX_HEAVY_KEYS
+
+
 def join_many_to_one(
     many: DataFrame,
     one: DataFrame,
@@ -289,10 +298,10 @@ def join_many_to_one(
     """Inner or left join to a side with unique keys; heavy keys of ``many`` stay in place."""
     keys = names(keys)
     heavy = heavy_keys(many, keys, heavy_rows)
-    if heavy is None:
+    if heavy is None or not _few_rows(one, heavy, keys):
         return many.join(one, keys, how)
     ordinary, hot = split(many, heavy, keys)
-    _, one_hot = split(one, heavy, keys)  # unique keys: at most MAX_HEAVY_KEYS rows
+    _, one_hot = split(one, heavy, keys)
     return ordinary.join(one, keys, how).unionByName(hot.join(F.broadcast(one_hot), keys, how))
 
 
@@ -310,7 +319,7 @@ def outer_join_many(
     for k in keys:
         many = many.where(F.col(k).isNotNull())  # a null key matches nothing
     heavy = heavy_keys(many, keys, heavy_rows)
-    if heavy is None:
+    if heavy is None or not _few_rows(one, heavy, keys):
         return one.join(many, keys, "left")
     one_ordinary, one_hot = split(one, heavy, keys)
     many_ordinary, many_hot = split(many, heavy, keys)
