@@ -2,14 +2,17 @@
 
 import re
 
+import messages
 import pytest
 from compare import duckdb_result, spark_result
 
 import __spark_entry__ as entry
 from tidemark.operators import envelope, state
 from tidemark.plans import marts
-from tidemark.schemas import OP, TS
+from tidemark.schemas import CUSTOMERS, OP, RAW, TS
 from tidemark.sources import star
+from tidemark.streaming import jobs
+from tidemark.streaming.messages import file_messages
 
 
 def plan(df):
@@ -88,3 +91,18 @@ def test_totals_stay_integers(spark, folder):
     text = plan(marts.order_totals(star.order_items(spark, folder)))
     assert "HashAggregate" in text and "SortAggregate" not in text
     assert "decimal" not in text.split("Exchange")[1]  # before the shuffle
+
+
+def test_silver_reads_only_good_rows_and_no_raw_messages(spark, tmp_path):
+    log, mark = str(tmp_path / "log"), str(tmp_path / "mark")
+    landed = str(tmp_path / "landed")
+    messages.frame(spark).write.parquet(landed)
+    jobs.ingest(
+        file_messages(spark, landed), CUSTOMERS.row, "customers", log, mark, jobs.ALL_THERE_IS
+    ).awaitTermination()
+    events = jobs.read_bronze(spark, log, CUSTOMERS.row, since="2020-01-01").drop(RAW)
+    text = plan(state.current_state(events, "customer_id"))
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", text).group(1)
+    assert re.search(r"failed#\d+ = 0", filters)
+    assert re.search(r"ingested_on#\d+ >= 2020-01-01", filters)
+    assert RAW not in re.search(r"ReadSchema: (.*)", text).group(1)
