@@ -66,8 +66,8 @@ def heavy_keys(
         .orderBy(F.desc("_rows"), *keys)
         .limit(MAX_HEAVY_KEYS)
     )
-    found = counted.collect()
-    return df.sparkSession.createDataFrame(found, counted.schema) if found else None
+    found = counted.toArrow()
+    return df.sparkSession.createDataFrame(found, counted.schema) if found.num_rows else None
 
 
 def split(df: DataFrame, heavy: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -83,31 +83,44 @@ def _small_side(df: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, Co
     return F.broadcast(df.withColumnsRenamed({k: f"_small_{k}" for k in keys})), on
 
 
-def _cuts(hot: DataFrame, heavy: DataFrame, keys: list[str], place: Column, rows: int) -> DataFrame:
+def _cuts(
+    hot: DataFrame, heavy: DataFrame, keys: list[str], place: Column, rows: int
+) -> tuple[DataFrame, bool]:
     """Per heavy key, the sorted positions at which its slices begin.
 
     A slice gets ``rows`` rows, or more where that would make more than SLICES of them.
-    The sample is taken by hash, so it is the same on every run.
+    The cuts come from a sample of rows and are fetched, like the heavy keys. Also tells
+    whether some event has so many copies that they alone would fill a slice.
     """
     total = heavy.agg(F.sum("_rows")).first()[0]
     size = max(rows, 1, total // SLICES)
     stride = min(size, _PER_SLICE)
-    return (
-        hot.select(*keys, place.alias("_place"))
-        .where(F.pmod(F.xxhash64("_place"), F.lit(size // stride)) == 0)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set("_place")).alias("_sample"))
-        .select(*keys, F.filter("_sample", lambda _, i: i % stride == 0).alias("_cuts"))
+    sample = hot.select(*keys, place.alias("_place"))
+    if stride < size:
+        sample = sample.sample(stride / size, seed=0)
+    picked = (
+        sample.groupBy(*keys)
+        .agg(F.sort_array(F.collect_list("_place")).alias("_sample"))
+        .select(*keys, F.filter("_sample", lambda _, i: i % stride == 0).alias("_picked"))
     )
+    distinct = F.filter(
+        "_picked", lambda p, i: (i == 0) | (p != F.get("_picked", i - 1))
+    )
+    cuts = picked.select(*keys, distinct.alias("_cuts"), F.size("_picked").alias("_n")).select(
+        *keys, "_cuts", (F.size("_cuts") < F.col("_n")).alias("_copies")
+    )
+    found = cuts.toArrow()
+    copies = any(found.column("_copies").to_pylist())
+    return hot.sparkSession.createDataFrame(found, cuts.schema), copies
 
 
-def _at_or_before(cuts: str, place: Column) -> Column:
-    """How many of the sorted ``cuts`` lie at or before ``place``; there are < 2 x _FAN."""
+def _at_or_before(cuts: str) -> Column:
+    """How many of the sorted ``cuts`` lie at or before ``_place``; there are < 2 x _FAN."""
     steps = [F.lit(_FAN >> i) for i in range(_FAN.bit_length())]
     return F.aggregate(
         F.array(*steps),
         F.lit(0),
-        lambda n, step: n + F.when(F.get(cuts, n + step - 1) <= place, step).otherwise(0),
+        lambda n, step: n + F.when(F.get(cuts, n + step - 1) <= F.col("_place"), step).otherwise(0),
     )
 
 
@@ -115,10 +128,10 @@ def _sliced(hot: DataFrame, cuts: DataFrame, keys: list[str], place: Column) ->
     """``hot`` with ``_slice``, numbered upwards in the order of each key.
 
     Every _FAN-th cut first, then the ones between two of these, so that a row never
-    carries more than a short array. A key whose events are nearly all copies may have no
-    cut; its few distinct events make one slice.
+    carries more than a short array.
     """
     columns = hot.columns
+    placed = hot.withColumn("_place", place)
     coarse = cuts.select(*keys, F.filter("_cuts", lambda _, i: i % _FAN == 0).alias("_coarse"))
     groups = F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / _FAN).cast("int"))
     fine = cuts.select(*keys, "_cuts", F.explode(groups).alias("_group")).select(
@@ -127,10 +140,12 @@ def _sliced(hot: DataFrame, cuts: DataFrame, keys: list[str], place: Column) ->
         F.slice("_cuts", F.col("_group") * _FAN + 1, F.lit(_FAN)).alias("_fine"),
     )
     small, on = _small_side(coarse, keys)
-    grouped = hot.join(small, on, "left").select(*columns, _at_or_before("_coarse", place).alias("_group"))
+    grouped = placed.join(small, on, "left").select(
+        *columns, "_place", _at_or_before("_coarse").alias("_group")
+    )
     small, on = _small_side(fine, [*keys, "_group"])
     return grouped.join(small, on, "left").select(
-        *columns, (F.col("_group") * _FAN + _at_or_before("_fine", place)).alias(SLICE)
+        *columns, (F.col("_group") * _FAN + _at_or_before("_fine")).alias(SLICE)
     )
 
 
@@ -157,18 +172,20 @@ def spread(
 ) -> Spread:
     """Events told apart by whether their key is heavy; heavy ones have a ``_slice``.
 
-    Copies of an event (same key, time and sequence) of a heavy key are collapsed before
-    they are shuffled by key; ``neighbour`` and ``ordinal`` collapse the others.
-    ``heavy_rows=None`` treats no key as heavy, for input known to be small.
+    Copies of an event (same key, time and sequence) share a slice, where ``neighbour`` and
+    ``ordinal`` collapse them; very many copies are collapsed before, by an aggregate that
+    starts in each task. ``heavy_rows=None`` treats no key as heavy, for input known to be
+    small.
     """
     keys = names(keys)
     heavy = None if heavy_rows is None else heavy_keys(events, keys, heavy_rows)
     if heavy is None:
         return Spread(events, None)
     ordinary, hot = split(events, heavy, keys)
-    hot = hot.dropDuplicates([*keys, ts, *names(seq)])
     place = position(ts, seq)
-    cuts = _cuts(hot, heavy, keys, place, heavy_rows)
+    cuts, copies = _cuts(hot, heavy, keys, place, heavy_rows)
+    if copies:
+        hot = hot.dropDuplicates([*keys, ts, *names(seq)])
     return Spread(ordinary, _sliced(hot, cuts, keys, place))
 
 
@@ -207,7 +224,10 @@ def neighbour(
         return Spread(ordinary, None)
     # The last (first) row of a slice finds its neighbour at the edge of another slice.
     row, place = F.struct(*values), position(ts, seq)
-    edge = F.min_by(row, place) if step > 0 else F.max_by(row, place)
+    if step > 0 and values == [ts]:
+        edge = F.struct(F.min(ts).alias(ts))  # the same as below, without a sort
+    else:
+        edge = F.min_by(row, place) if step > 0 else F.max_by(row, place)
     across = Window.partitionBy(*keys).orderBy(SLICE)
     beyond = F.lead("_edge") if step > 0 else F.lag("_edge")
     slices = (
@@ -268,12 +288,13 @@ def ordinal(
     earlier = (
         Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
+    ranked = inside(events.heavy, [*keys, SLICE])
     slices = (
-        events.heavy.groupBy(*keys, SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        ranked.groupBy(*keys, SLICE)
+        .agg(F.max(name).alias("_n"))
         .select(*keys, SLICE, F.sum("_n").over(earlier).alias("_earlier"))
     )
-    heavy = _join_slices(inside(events.heavy, [*keys, SLICE]), slices, keys).select(
+    heavy = _join_slices(ranked, slices, keys).select(
         *events.heavy.columns, (F.coalesce("_earlier", F.lit(0)) + F.col(name)).alias(name)
     )
     return Spread(ordinary, heavy)
