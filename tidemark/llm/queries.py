@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, line_templates
+from tidemark.llm import exact_dedup, line_templates, token_counts
+
+#: Where the files of public tokenizers are; read by the driver only.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +23,11 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return line_templates.drop_recurring_lines(docs)
@@ -27,5 +35,5 @@ def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op5_exact_dedup, op7_line_templates)
+    for f in (op5_exact_dedup, op6_token_counts, op7_line_templates)
 }
