@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,3 +57,18 @@ def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     kind, at = (pa.string(), np.int32) if offsets[-1] < 2**31 else (pa.large_string(), np.int64)
     buffers = [None, pa.py_buffer(offsets.astype(at)), pa.py_buffer(np.ascontiguousarray(data))]
     return pa.Array.from_buffers(kind, len(offsets) - 1, buffers)
+
+
+_MADE: dict[str, object] = {}
+
+
+def once(key: str, make: Callable[[], object]) -> object:
+    """What ``make`` returns, made once per Python worker and kept for the latest key of a kind.
+
+    ``key`` is ``kind:digest``, so a worker never holds two models of one kind.
+    """
+    if key not in _MADE:
+        for old in [k for k in _MADE if k.split(":")[0] == key.split(":")[0]]:
+            del _MADE[old]
+        _MADE[key] = make()
+    return _MADE[key]

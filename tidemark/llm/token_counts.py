@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.batches import parts, pieces, text_of
+from tidemark.llm.batches import once, parts, pieces, text_of
 
 # -- words ----------------------------------------------------------------------
 
@@ -319,17 +320,6 @@ class Counter:
         return out
 
 
-_LOADED: dict[int, Counter] = {}
-
-
-def _counter(shared) -> Counter:
-    """The counter of a broadcast tokenizer, made once per worker."""
-    if shared.id not in _LOADED:
-        _LOADED.clear()
-        _LOADED[shared.id] = Counter(json.loads(shared.value))
-    return _LOADED[shared.id]
-
-
 def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 512) -> DataFrame:
     """``docs`` without ``text``, with n_bytes, n_tokens and over_limit (more than ``limit``).
 
@@ -340,14 +330,16 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 51
     like the three new ones the new ones stay.
     """
     with open(path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        content = file.read()
+    key = f"token-counts:{zlib.crc32(content.encode())}"
+    shared = docs.sparkSession.sparkContext.broadcast(content)
     new = {"n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}
     kept = [c for c in docs.columns if c not in {text, *new}]
     types = dict(docs.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in kept] + [f"{c} {t}" for c, t in new.items()])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(shared)
+        counter = once(key, lambda: Counter(json.loads(shared.value)))
         for batch in batches:
             for piece in pieces(batch, text):
                 data, offsets = text_of(piece.column(text))
