@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, line_templates, token_counts
+from tidemark.llm import exact_dedup, line_templates, token_counts, unigram
 
 #: Where the files of public tokenizers are; read by the driver only.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -33,7 +33,12 @@ def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.drop_recurring_lines(docs)
 
 
+def op8_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return unigram.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op5_exact_dedup, op6_token_counts, op7_line_templates)
+    for f in (op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces)
 }
