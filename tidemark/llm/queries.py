@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, line_templates, token_counts, unigram
+from tidemark.llm import exact_dedup, jaccard_join, line_templates, token_counts, unigram
 
 #: Where the files of public tokenizers are; read by the driver only.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -38,7 +38,12 @@ def op8_unigram_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return unigram.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return jaccard_join.similar_groups(docs, words=4, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces)
+    for f in (op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
 }
