@@ -151,7 +151,7 @@ def _matches(order_levels: np.ndarray, n: int, base: int) -> int:
     documents under the prefix's tokens, divided by that number.
     """
     lengths = np.arange(base, min(n, base + MOST_MATCHES - 1) + 1)
-    others = np.cumsum(np.where(order_levels > 0, np.exp2(order_levels), ORDINARY))
+    others = np.cumsum(np.where(order_levels > 0, np.exp2(order_levels.astype(float)), ORDINARY))
     asked = lengths - base + 1
     cost = lengths + (VERIFY_FIXED + VERIFY_TOKEN * n) * others[lengths - 1] / asked
     return int(asked[np.argmin(cost)])

@@ -7,7 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, jaccard_join, line_templates, token_counts, unigram
+from tidemark.llm import (
+    exact_dedup,
+    jaccard_join,
+    line_templates,
+    near_vectors,
+    token_counts,
+    unigram,
+)
 
 #: Where the files of public tokenizers are; read by the driver only.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -19,6 +26,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
@@ -45,5 +56,5 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
+    for f in (op1_near_vectors, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
 }
