@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     exact_dedup,
@@ -13,6 +14,7 @@ from tidemark.llm import (
     line_templates,
     near_vectors,
     token_counts,
+    toxicity,
     unigram,
 )
 
@@ -30,6 +32,13 @@ def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learned(docs, _table(spark, folder, "labels"))
+    held = docs.withColumn("held_out", F.coalesce(toxicity.held_out("doc_id"), F.lit(False)))
+    return toxicity.score(held, model).drop("text")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
@@ -56,5 +65,5 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_near_vectors, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
+    for f in (op1_near_vectors, op2_toxicity, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
 }
