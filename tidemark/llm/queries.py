@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    chat,
     exact_dedup,
     jaccard_join,
     line_templates,
@@ -39,6 +40,14 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(held, model).drop("text")
 
 
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    says = r"\### Assistant: </turn> ok"
+    added = [(-7, 0, "user", says), (-7, 1, "assistant", says)]
+    both = turns.unionByName(spark.createDataFrame(added, turns.schema))
+    return chat.read_back(chat.format_conversations(both))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
@@ -65,5 +74,5 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_near_vectors, op2_toxicity, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
+    for f in (op1_near_vectors, op2_toxicity, op3_chat_format, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
 }
