@@ -12,6 +12,7 @@ from tidemark.llm import (
     chat,
     exact_dedup,
     jaccard_join,
+    licenses,
     line_templates,
     near_vectors,
     token_counts,
@@ -72,7 +73,11 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_groups(docs, words=4, percent=85)
 
 
+def op10_license_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_near_vectors, op2_toxicity, op3_chat_format, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join)
+    for f in (op1_near_vectors, op2_toxicity, op3_chat_format, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join, op10_license_templates)
 }

@@ -44,9 +44,11 @@ def word_spans(
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash per word, A-Z lower-cased, and each text's first word."""
-    starts, ends, first = word_spans(data, offsets, SPACE)
+    starts, ends, first = word_spans(data, offsets, apart)
     lengths = ends - starts
     out = np.empty(len(starts), np.uint64)
     total = np.cumsum(lengths)
