@@ -261,6 +261,7 @@ def _useful(entries: DataFrame, percent: int) -> DataFrame:
     named = entries.select(
         "token", "cls", "hub", _size("meta").alias("n"), _size("hub_meta").alias("hub_n"),
         F.shiftright("meta", 36).alias("pos"), F.col("meta").bitwiseAND(255).alias("asked"),
+        F.col("hub_meta").bitwiseAND(255).alias("hub_asked"),
     )
     n, pos = F.col("n"), F.col("pos")
     shorter = n - _least_overlap(n, n, percent) + F.col("asked")
@@ -272,14 +273,21 @@ def _useful(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def _hub_pairs(useful: DataFrame, percent: int) -> DataFrame:
-    """Each class with the hub that it shares most prefix tokens with: ``(a, b)``."""
+    """Each class with the hub that it shares most prefix tokens with: ``(a, b)``.
+
+    Hubs that share fewer than the tokens asked for are left to ``_cross_pairs``.
+    """
     n, hub_n = F.col("n"), F.col("hub_n")
     return (
         useful.where("cls != hub")
         .where(_alike_sizes(n, hub_n, percent))
         .where(F.col("cap") >= _least_overlap(n, hub_n, percent))
         .groupBy("cls", "hub")
-        .agg(F.count(F.lit(1)).alias("shared"))
+        .agg(
+            F.count(F.lit(1)).alias("shared"),
+            F.least(F.first("asked"), F.first("hub_asked")).alias("asked"),
+        )
+        .where("shared >= asked")
         .groupBy("cls")
         .agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
         .select(F.greatest("cls", "hub").alias("a"), F.least("cls", "hub").alias("b"))
@@ -362,8 +370,13 @@ def _sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
     )
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+def _similar(
+    pairs: DataFrame, docs: DataFrame, shapes: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """The pairs whose whole sets are similar enough; sets are made for classes in a pair only."""
+    paired = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
+    reps = shapes.join(paired, "cls", "left_semi").groupBy("cls").agg(F.min("id").alias("id"))
+    sets = stored(_sets(docs, stored(reps, "representatives"), words), "sets")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -412,18 +425,16 @@ def similar_groups(
     levels = _levels(measured)
     entries = stored(_with_company(_prefixes(rows, words, percent, levels)), "prefixes")
     useful = stored(_useful(entries, percent), "useful")
-    reps = (
-        shapes.join(useful.select("cls").distinct(), "cls", "left_semi")
-        .groupBy("cls")
-        .agg(F.min("id").alias("id"))
-    )
-    sets = stored(_sets(rows, stored(reps, "representatives"), words), "sets")
     hub_pairs = stored(_hub_pairs(useful, percent), "hub-pairs")
-    links = stored(_similar(hub_pairs, sets, percent), "hub-links")
-    cross = _cross_pairs(useful, components(links), percent)
-    cross = cross.join(hub_pairs, ["a", "b"], "left_anti")
-    more = stored(_similar(cross, sets, percent), "cross-links")
-    groups = components(links.unionAll(more)).withColumnRenamed("node", "cls")
+    links = stored(_similar(hub_pairs, rows, shapes, words, percent), "hub-links")
+    cross = stored(
+        _cross_pairs(useful, components(links), percent).join(hub_pairs, ["a", "b"], "left_anti"),
+        "cross-pairs",
+    )
+    if not cross.isEmpty():
+        more = _similar(cross, rows, shapes, words, percent)
+        links = stored(links.unionAll(more), "links")
+    groups = components(links).withColumnRenamed("node", "cls")
     labelled = (
         shapes.where("n > 0")
         .join(groups, "cls", "left")
