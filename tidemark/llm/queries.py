@@ -14,6 +14,7 @@ from tidemark.llm import (
     jaccard_join,
     licenses,
     line_templates,
+    mixing,
     near_vectors,
     token_counts,
     toxicity,
@@ -49,6 +50,16 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(both))
 
 
+#: Shares of the expected tokens by domain.
+MIX = {"high": 0.90, "low": 0.08, "toxic": 0.02}
+
+
+def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.document_rates(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels"), MIX
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
@@ -79,5 +90,5 @@ def op10_license_templates(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_near_vectors, op2_toxicity, op3_chat_format, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join, op10_license_templates)
+    for f in (op1_near_vectors, op2_toxicity, op3_chat_format, op4_source_mixing, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join, op10_license_templates)
 }
