@@ -261,47 +261,68 @@ def _useful(entries: DataFrame, percent: int) -> DataFrame:
     named = entries.select(
         "token", "cls", "hub", _size("meta").alias("n"), _size("hub_meta").alias("hub_n"),
         F.shiftright("meta", 36).alias("pos"), F.col("meta").bitwiseAND(255).alias("asked"),
-        F.col("hub_meta").bitwiseAND(255).alias("hub_asked"),
+        F.shiftright("hub_meta", 36).alias("hub_pos"),
     )
-    n, pos = F.col("n"), F.col("pos")
-    shorter = n - _least_overlap(n, n, percent) + F.col("asked")
-    return (
-        named.withColumn("cap", n - (pos - before))
-        .where(100 * F.col("cap") >= percent * n)
-        .withColumn("short", pos < shorter)
+    cap = F.col("n") - (F.col("pos") - before)
+    return named.withColumn("cap", cap).where(100 * F.col("cap") >= percent * F.col("n"))
+
+
+def _own_prefixes(useful: DataFrame) -> DataFrame:
+    """Per class its size, the matches it asks for and its useful prefix tokens."""
+    return useful.groupBy("cls").agg(
+        F.first("n").alias("n"),
+        F.first("asked").alias("asked"),
+        F.collect_list(F.struct("pos", "token")).alias("prefix"),
     )
 
 
-def _hub_pairs(useful: DataFrame, percent: int) -> DataFrame:
-    """Each class with the hub that it shares most prefix tokens with: ``(a, b)``.
+def _enough_shared(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Those pairs ``(a, b)`` that share as many prefix tokens as the smaller asks for.
 
-    Hubs that share fewer than the tokens asked for are left to ``_cross_pairs``.
+    With both sizes known, prefixes are as short as the pair allows: sets that need an
+    overlap of ``least`` share L tokens among the first ``n - least + L`` of each.
     """
+
+    def of(key: str, side: str) -> DataFrame:
+        return own.select(
+            F.col("cls").alias(key), *[F.col(c).alias(f"{side}_{c}") for c in ("n", "asked", "prefix")]
+        )
+
+    asked = F.least("x_asked", "y_asked")
+    least = _least_overlap(F.col("x_n"), F.col("y_n"), percent)
+
+    def begun(side: str) -> Column:
+        reach = F.col(f"{side}_n") - least + asked
+        some = F.filter(f"{side}_prefix", lambda e: e["pos"] < reach)
+        return F.transform(some, lambda e: e["token"])
+
+    shared = F.size(F.array_intersect(begun("x"), begun("y")))
+    both = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b")
+    return both.where(shared >= asked).select("a", "b")
+
+
+def _hub_pairs(useful: DataFrame, percent: int) -> DataFrame:
+    """Each class with the hubs of its tokens, ``(a, b)``: at most a pair per prefix entry."""
     n, hub_n = F.col("n"), F.col("hub_n")
+    least = _least_overlap(n, hub_n, percent)
     return (
         useful.where("cls != hub")
-        .where(_alike_sizes(n, hub_n, percent))
-        .where(F.col("cap") >= _least_overlap(n, hub_n, percent))
-        .groupBy("cls", "hub")
-        .agg(
-            F.count(F.lit(1)).alias("shared"),
-            F.least(F.first("asked"), F.first("hub_asked")).alias("asked"),
-        )
-        .where("shared >= asked")
-        .groupBy("cls")
-        .agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+        .where(_alike_sizes(n, hub_n, percent) & (F.col("cap") >= least))
+        .where((F.col("pos") <= n - least) & (F.col("hub_pos") <= hub_n - least))
         .select(F.greatest("cls", "hub").alias("a"), F.least("cls", "hub").alias("b"))
         .distinct()
     )
 
 
 def _cross_pairs(useful: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different groups that share enough prefix tokens: ``(a, b)``.
+    """Pairs of classes of different groups with a token early in both: ``(a, b)``.
 
-    Of a pair the larger set brings its whole prefix, the smaller one only the part that
-    a larger partner can need.
+    Sets that need an overlap of ``least`` share a token among the first ``n - least + 1`` of
+    each.
     """
-    labelled = useful.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    # No set of these sizes has a token later than this in reach of any partner.
+    early = useful.where(F.col("pos") <= F.col("n") - F.ceil(percent * F.col("n") / F.lit(100)))
+    labelled = early.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("component", "cls")
     )
     mixed = (
@@ -312,33 +333,27 @@ def _cross_pairs(useful: DataFrame, groups: DataFrame, percent: int) -> DataFram
     )
     entries = stored(
         labelled.join(mixed, "token", "left_semi").select(
-            "token", "cls", "label", "n", "pos", "asked", "cap", "short"
+            "token", "cls", "label", "n", "pos", "cap"
         ),
         "mixed-tokens",
     )
-    x, y = entries.alias("x"), entries.where("short").alias("y")
     xn, yn = F.col("x.n"), F.col("y.n")
     least = _least_overlap(xn, yn, percent)
-    met = x.join(
-        y,
-        (F.col("x.token") == F.col("y.token"))
-        & (F.col("x.label") != F.col("y.label"))
-        & ((xn > yn) | ((xn == yn) & (F.col("x.cls") > F.col("y.cls"))))
-        & (100 * yn >= percent * xn)
-        & (F.col("x.cap") >= least)
-        & (F.col("y.cap") >= least),
-    )
-    found = met.groupBy(F.col("x.cls").alias("xc"), F.col("y.cls").alias("yc")).agg(
-        F.count(F.lit(1)).alias("shared"),
-        F.least(F.first("x.asked"), F.first("y.asked")).alias("asked"),
-        F.first(least).alias("least"),
-        # Nothing before the first shared prefix token is shared.
-        F.least(
-            F.first("x.n") - F.min("x.pos"), F.first("y.n") - F.min("y.pos")
-        ).alias("most"),
-    )
-    return found.where("shared >= asked AND most >= least").select(
-        F.greatest("xc", "yc").alias("a"), F.least("xc", "yc").alias("b")
+    return (
+        entries.alias("x")
+        .join(
+            entries.alias("y"),
+            (F.col("x.token") == F.col("y.token"))
+            & (F.col("x.label") != F.col("y.label"))
+            & (F.col("x.cls") > F.col("y.cls"))
+            & _alike_sizes(xn, yn, percent)
+            & (F.col("x.cap") >= least)
+            & (F.col("y.cap") >= least)
+            & (F.col("x.pos") <= xn - least)
+            & (F.col("y.pos") <= yn - least),
+        )
+        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+        .distinct()
     )
 
 
@@ -425,12 +440,11 @@ def similar_groups(
     levels = _levels(measured)
     entries = stored(_with_company(_prefixes(rows, words, percent, levels)), "prefixes")
     useful = stored(_useful(entries, percent), "useful")
-    hub_pairs = stored(_hub_pairs(useful, percent), "hub-pairs")
+    own = stored(_own_prefixes(useful), "own-prefixes")
+    hub_pairs = stored(_enough_shared(_hub_pairs(useful, percent), own, percent), "hub-pairs")
     links = stored(_similar(hub_pairs, rows, shapes, words, percent), "hub-links")
-    cross = stored(
-        _cross_pairs(useful, components(links), percent).join(hub_pairs, ["a", "b"], "left_anti"),
-        "cross-pairs",
-    )
+    cross = _cross_pairs(useful, components(links), percent).join(hub_pairs, ["a", "b"], "left_anti")
+    cross = stored(_enough_shared(cross, own, percent), "cross-pairs")
     if not cross.isEmpty():
         more = _similar(cross, rows, shapes, words, percent)
         links = stored(links.unionAll(more), "links")
