@@ -3,7 +3,11 @@
 A classifier learned from the labelled table gives each document a posterior over domains.
 Each document gets a rate, how often it is to be read; the rates are fitted by projected
 gradient steps so that the expected tokens of each domain, rate x tokens x posterior summed
-over all documents, meet the targets by least squares. Rates never fall below a bound.
+over all documents, meet the targets by least squares. Rates never leave their bounds.
+
+The gradient of a document's rate is its posterior times one vector over the domains, so the
+steps taken add up to such a vector, and the rate is one reading less the posterior times
+that, projected into its bounds. A step needs one aggregate over the documents.
 
 Everything is DataFrame expressions: the driver only sees tables whose size is that of the
 model (domains x features x bins) and one vector over the domains per step.
@@ -30,8 +34,8 @@ MARKERS, MIN_DOCS = 100, 5
 #: Bins of a measured feature, and what is added to each count.
 BINS, SMOOTHING = 10, 1.0
 
-#: Weight of staying at one reading of each document, steps, and where to stop.
-STAY, STEPS, TOLERANCE = 1e-3, 40, 1e-4
+#: Weight of staying at one reading of each document, steps at most, and where to stop.
+STAY, STEPS, TOLERANCE = 1e-5, 30, 1e-5
 
 _MEASURED = ["variety", "word_length", "symbols", "capitals", "lines"]
 _MARKED = [f"marks_{d}" for d in DOMAINS]
@@ -95,8 +99,7 @@ class Plan(NamedTuple):
     cuts: list[list[float]]
     scores: list[list[list[float]]]  # by feature, domain and bin
     priors: list[float]
-    steps: list[list[float]]  # gradient by domain, a row per step taken
-    pace: float
+    pull: list[float]  # the steps taken, by domain
     lowest: float
     highest: float
 
@@ -164,7 +167,7 @@ def _learn(features: DataFrame, labels: DataFrame, markers: list[list[str]]) ->
     scores = np.log(np.maximum(shares, 1e-12))
     return Plan(
         markers, [list(map(float, c)) for c in cuts], scores.tolist(),
-        np.log(seen / seen.sum()).tolist(), [], 0.0, 0.0, float("inf"),
+        np.log(seen / seen.sum()).tolist(), [], 0.0, float("inf"),
     )
 
 
@@ -199,16 +202,15 @@ def _posteriors(features: DataFrame, plan: Plan) -> DataFrame:
 # -- rates ---------------------------------------------------------------------------------
 
 
+def _unbounded(plan: Plan) -> Column:
+    pulls = [F.lit(float(x)) * F.col(f"_p{k}") for k, x in enumerate(plan.pull)]
+    return reduce(lambda rate, pull: rate - pull, pulls, F.lit(1.0))
+
+
 def _rate(plan: Plan) -> Column:
-    """The rate after all steps: each moves it against the gradient and back into its bounds."""
-    rate = F.lit(1.0)
-    for step in plan.steps:
-        pull = reduce(add, [F.lit(s) * F.col(f"_p{k}") for k, s in enumerate(step)])
-        rate = rate * (1 - plan.pace * STAY) + (plan.pace * STAY - plan.pace * pull)
-        rate = F.greatest(rate, F.lit(plan.lowest))
-        if plan.highest != float("inf"):
-            rate = F.least(rate, F.lit(plan.highest))
-    return rate
+    """The rate after all steps, projected into its bounds."""
+    rate = F.greatest(_unbounded(plan), F.lit(plan.lowest))
+    return rate if plan.highest == float("inf") else F.least(rate, F.lit(plan.highest))
 
 
 def _fit(
@@ -218,32 +220,48 @@ def _fit(
     """The steps that lead the expected domain tokens to the targets.
 
     Rates depend on the posterior alone, so documents with the same one are added up first.
-    Each step then takes one sum per domain over that table.
+    A step follows the gradient of the squared misses, scaled by the curvature over the
+    documents whose rates are inside their bounds; one that goes too far is taken again,
+    shorter. Each takes one aggregate of a few sums over that table.
     """
-    p = [f"_p{k}" for k in range(len(DOMAINS))]
-    profiles = stored(posteriors.groupBy(*p).agg(F.sum("_tokens").alias("_tokens")), "profiles")
-    pairs = [(i, j) for i in range(len(p)) for j in range(len(p))]
-    sums = profiles.agg(
-        F.sum("_tokens"), *[F.sum(F.col("_tokens") * F.col(p[i]) * F.col(p[j])) for i, j in pairs]
-    ).first()
-    total = sums[0] or 0
+    names = [f"_p{k}" for k in range(len(DOMAINS))]
+    profiles = stored(posteriors.groupBy(*names).agg(F.sum("_tokens").alias("_tokens")), "profiles")
+    total = profiles.agg(F.sum("_tokens")).first()[0] or 0
+    plan = plan._replace(pull=[0.0] * len(names), lowest=lowest, highest=highest)
     if not total:
-        return plan._replace(lowest=lowest, highest=highest)
-    gram = np.array(sums[1:], float).reshape(len(p), len(p)) / total
+        return plan
     want = np.array([targets[d] for d in DOMAINS]) * budget
-    weight = 1 / np.maximum(want, 1e-3)
-    scaled = np.sqrt(weight)[:, None] * gram * np.sqrt(weight)
-    pace = 1 / (float(np.linalg.eigvalsh(scaled)[-1]) + STAY)
-    plan = plan._replace(pace=pace, lowest=lowest, highest=highest, steps=[])
-    moved = np.inf
+    pairs = [(i, j) for i in range(len(names)) for j in range(len(names))]
+
+    def look(pull: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The gain so far, its gradient (the misses, staying included) and its curvature."""
+        tried = plan._replace(pull=pull.tolist())
+        free = _unbounded(tried)
+        inside = F.when((free > lowest) & (free < highest), F.col("_tokens")).otherwise(0)
+        moved, along = F.col("_r") - 1, 1 - F.col("_f")
+        sums = profiles.select(
+            "_tokens", *names, _rate(tried).alias("_r"), free.alias("_f"), inside.alias("_i")
+        ).agg(
+            F.sum(F.col("_tokens") * (moved * moved / 2 + F.col("_r") * along)),
+            *[F.sum(F.col("_r") * F.col("_tokens") * F.col(c)) for c in names],
+            *[F.sum(F.col("_i") * F.col(names[i]) * F.col(names[j])) for i, j in pairs],
+        )
+        values, k = np.array(sums.first(), float) / total, len(names)
+        gain = values[0] - pull @ want - STAY * pull @ pull / 2
+        return gain, values[1 : k + 1] - want - STAY * pull, values[k + 1 :].reshape(k, k)
+
+    pull, damp = np.zeros(len(names)), 1e-3
+    gain, miss, curve = look(pull)
     for _ in range(STEPS):
-        have = profiles.agg(*[F.sum(_rate(plan) * F.col("_tokens") * F.col(c)) for c in p]).first()
-        miss = np.array(have, float) / total - want
-        if np.abs(miss).max() < TOLERANCE or np.abs(miss - moved).max() < TOLERANCE / 100:
+        if np.abs(miss).max() < TOLERANCE:
             break
-        moved = miss
-        plan = plan._replace(steps=[*plan.steps, (weight * miss).tolist()])
-    return plan
+        step = np.linalg.solve(curve + (STAY + damp) * np.eye(len(names)), miss)
+        tried = look(pull + step)
+        if tried[0] >= gain + 1e-4 * step @ miss:
+            pull, (gain, miss, curve), damp = pull + step, tried, max(damp / 10, 1e-9)
+        else:
+            damp *= 10
+    return plan._replace(pull=pull.tolist())
 
 
 def _labels(labels: DataFrame, doc_id: str) -> DataFrame:
