@@ -61,7 +61,7 @@ def intervals(log, compact=False):
         for i, e in enumerate(events):
             to = events[i + 1][1] if i + 1 < len(events) else None
             if e[3] != "d":
-                out.append((k, e[4], e[1], to, to is None))
+                out.append((k, e[4], e[1], to, i + 1 == len(events)))
     return sorted(out, key=repr)
 
 

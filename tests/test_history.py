@@ -24,27 +24,27 @@ def grouped(df, columns):
 VERSION = ["k", "v", "valid_from_ms", "valid_to_ms", "is_current"]
 
 
-@pytest.mark.parametrize("heavy_rows", [None, 3, 1])
+@pytest.mark.parametrize("slice_ms", [None, 3, 1])
 @FEW
 @given(raw=LOGS)
-def test_history_with_any_key_heavy(spark, heavy_rows, raw):
+def test_history_with_keys_cut_anyhow(spark, slice_ms, raw):
     cases = [logs.numbered(log) for log in raw]
     df = logs.frame(spark, [log + log[:2] for log in cases])  # some delivered twice
     for compact in (False, True):
         found = grouped(
             history.scd2(
-                df, logs.KEYS, ["v"], op="op", compact=compact, heavy_rows=heavy_rows, **logs.ORDER
+                df, logs.KEYS, ["v"], op="op", compact=compact, slice_ms=slice_ms, **logs.ORDER
             ),
             VERSION,
         )
         for i, log in enumerate(cases):
             assert sorted(found[i], key=repr) == logs.intervals(log, compact)
     moves = grouped(
-        history.with_previous(df, logs.KEYS, "op", heavy_rows=heavy_rows, **logs.ORDER),
+        history.with_previous(df, logs.KEYS, "op", slice_ms=slice_ms, **logs.ORDER),
         ["previous", "op"],
     )
     order = grouped(
-        history.event_order(df, logs.KEYS, heavy_rows=heavy_rows, **logs.ORDER),
+        history.event_order(df, logs.KEYS, slice_ms=slice_ms, **logs.ORDER),
         ["k", "seq", "event_no"],
     )
     for i, log in enumerate(cases):
@@ -74,7 +74,7 @@ def test_state_as_of_is_the_history_valid_then(spark, raw, t):
 def test_intervals_of_a_key_do_not_overlap(spark, raw):
     cases = [[e for e in logs.numbered(log) if e[1] is not None] for log in raw]
     found = grouped(
-        history.scd2(logs.frame(spark, cases), logs.KEYS, ["v"], op="op", heavy_rows=3, **logs.ORDER),
+        history.scd2(logs.frame(spark, cases), logs.KEYS, ["v"], op="op", slice_ms=2, **logs.ORDER),
         VERSION,
     )
     for versions in found.values():
@@ -83,77 +83,63 @@ def test_intervals_of_a_key_do_not_overlap(spark, raw):
             assert all(a[1] <= b[0] for a, b in zip(mine, mine[1:]))
 
 
-def test_one_key_with_a_third_of_all_rows(spark):
-    """A heavy key is cut into many slices, none of them large, and the result is whole."""
-    n = 60_000
-    log = spark.range(n).select(
+@FEW
+@given(raw=LOGS)
+def test_current_versions_are_the_current_state(spark, raw):
+    """Undated events too: a delete without a time ends its key."""
+    cases = [logs.numbered(log) for log in raw]
+    df = logs.frame(spark, cases)
+    versions = history.scd2(df, logs.KEYS, ["v"], op="op", **logs.ORDER)
+    found = grouped(versions.where("is_current"), ["k", "v"])
+    for i, log in enumerate(cases):
+        assert sorted(found[i], key=repr) == sorted(((e[0], e[4]) for e in logs.current(log)), key=repr)
+
+
+def _hot_log(spark, n=60_000):
+    return spark.range(n).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
-        (F.col("id") % 1000).alias("ts"),
+        F.when(F.col("id") % 50 > 0, F.col("id") % 1000).alias("ts"),
         F.col("id").alias("seq"),
         F.lit("u").alias("op"),
         (F.col("id") % 7).cast("string").alias("v"),
     )
-    sliced = skew.spread(log, "k", "ts", "seq", heavy_rows=20).heavy
-    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
-    assert sum(sizes) == n // 3
-    assert len(sizes) > 800 and max(sizes) < 100
+
+
+def test_one_key_with_a_third_of_all_rows(spark):
+    """Every key is cut, no slice is wider than asked for, and the result is whole."""
+    log = _hot_log(spark)
+    sizes = (
+        log.where("k = 0 AND ts IS NOT NULL").groupBy(skew.slice_of("ts", "seq", 20).alias("s"))
+        .agg(F.count("*").alias("n"), (F.max("ts") - F.min("ts")).alias("width")).collect()
+    )
+    assert len(sizes) == 50 and max(r["width"] for r in sizes) < 20
     args = {"keys": "k", "tracked": ["v"], "op": "op", "ts": "ts", "seq": "seq"}
     for compact in (False, True):
-        whole = history.scd2(log, **args, heavy_rows=None, compact=compact)
-        cut = history.scd2(log, **args, heavy_rows=20, compact=compact)
+        whole = history.scd2(log, **args, compact=compact)
+        cut = history.scd2(log, **args, slice_ms=20, compact=compact)
         assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
-    whole = history.event_order(log, "k", "ts", "seq", heavy_rows=None)
-    cut = history.event_order(log, "k", "ts", "seq", heavy_rows=20)
+    whole = history.event_order(log, "k", "ts", "seq")
+    cut = history.event_order(log, "k", "ts", "seq", slice_ms=20)
     assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
 
 
-def test_copies_of_one_event_collapse_before_the_window(spark):
-    log = spark.range(30_000).select(
-        F.lit(1).alias("k"),
-        F.when(F.col("id") < 20_000, 5).otherwise(F.col("id")).alias("ts"),
-        F.when(F.col("id") < 20_000, 0).otherwise(F.col("id")).alias("seq"),
-        F.lit("u").alias("op"),
-        F.lit("x").alias("v"),
-    )
-    assert skew.spread(log, "k", "ts", "seq", heavy_rows=100).heavy.count() == 10_001
-    versions = history.scd2(log, "k", ["v"], op="op", ts="ts", seq="seq", heavy_rows=100)
-    assert versions.count() == 10_001
+def test_undated_events_are_cut_by_sequence(spark, monkeypatch):
+    monkeypatch.setattr(skew, "_SEQ_BLOCK", 100)
+    log = _hot_log(spark, 9000).withColumn("ts", F.lit(None).cast("bigint"))
+    assert log.select(skew.slice_of("ts", "seq", 20)).distinct().count() == 90
+    whole = history.event_order(log, "k", "ts", "seq")
+    cut = history.event_order(log, "k", "ts", "seq", slice_ms=20)
+    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
 
 
-def test_a_key_that_is_all_copies_is_kept(spark):
-    log = spark.range(50_000).select(
-        (F.col("id") % 3).alias("k"), F.lit(5).alias("ts"), F.lit(0).alias("seq"),
+def test_copies_of_one_event_collapse(spark):
+    log = spark.range(3000).select(
+        (F.col("id") % 3).alias("k"), F.lit(5).cast("bigint").alias("ts"), F.lit(0).alias("seq"),
         F.lit("u").alias("op"), F.lit("x").alias("v"),
     )
-    versions = history.scd2(log, "k", ["v"], op="op", ts="ts", seq="seq", heavy_rows=10_000)
-    assert sorted(r["k"] for r in versions.collect()) == [0, 1, 2]
-
-
-def test_heavy_keys_are_few(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 100)
-    df = spark.range(3000).select((F.col("id") % 1000).alias("k"))
-    assert skew.heavy_keys(df, "k", 1).count() == 100
-    assert skew.heavy_keys(df, "k", 3) is None
-    log = df.select("k", F.lit(1).alias("ts"), F.monotonically_increasing_id().alias("seq"))
-    assert skew.spread(log, "k", "ts", "seq", 1).ordinary.count() == 3 * 900
-    assert history.event_order(log, "k", "ts", "seq", 1).count() == 3000
-
-
-def test_heavy_keys_are_found_by_a_sample(spark):
-    df = spark.range(300_000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
-    )
-    (found,) = skew.heavy_keys(df, "k", 50_000).collect()
-    assert found["k"] == 0 and abs(found["_rows"] - 100_000) < 5_000
-
-
-def test_slices_are_few(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SLICES", 50)
-    log = spark.range(20_000).select(
-        (F.col("id") % 2).alias("k"), F.col("id").alias("ts"), F.col("id").alias("seq")
-    )
-    sliced = skew.spread(log, "k", "ts", "seq", 1).heavy
-    assert 40 < sliced.select("k", "_slice").distinct().count() < 70
+    for slice_ms in (None, 10):
+        versions = history.scd2(log, "k", ["v"], op="op", ts="ts", seq="seq", slice_ms=slice_ms)
+        assert sorted(r["k"] for r in versions.collect()) == [0, 1, 2]
 
 
 def test_validity_of_current_rows_is_open(spark):

@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_delete, names
-from tidemark.operators.skew import HEAVY_ROWS, neighbour, ordinal, spread
+from tidemark.operators.skew import neighbour, ordinal
 from tidemark.schemas import OP, SEQ, TS
 
 
-def _interval(keys: list[str], tracked: list[str], ts: str, until: Column) -> list[Column]:
+def _interval(
+    keys: list[str], tracked: list[str], ts: str, until: Column, current: Column
+) -> list[Column]:
+    """The columns of a version; it is current if no event comes after, dated or not."""
     return [
         *[F.col(c) for c in [*keys, *tracked]],
         F.col(ts).alias("valid_from_ms"),
         until.alias("valid_to_ms"),
-        until.isNull().alias("is_current"),
+        current.alias("is_current"),
     ]
 
 
@@ -31,8 +34,9 @@ def validity(
     """
     keys = names(keys)
     w = Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_last())
-    return state.withColumn("_until", F.lead(ts).over(w)).select(
-        *_interval(keys, list(tracked), ts, F.col("_until"))
+    later = {"_until": F.lead(ts).over(w), "_last": F.lead(F.lit(True)).over(w).isNull()}
+    return state.withColumns(later).select(
+        *_interval(keys, list(tracked), ts, F.col("_until"), F.col("_last"))
     )
 
 
@@ -44,27 +48,28 @@ def scd2(
     seq: str | Sequence[str] = SEQ,
     op: str = OP,
     compact: bool = False,
-    heavy_rows: int | None = HEAVY_ROWS,
+    slice_ms: int | None = None,
 ) -> DataFrame:
     """One row per version of each key, valid in [valid_from_ms, valid_to_ms).
 
     A delete closes the open version and opens none. With ``compact`` an event that
-    changes none of the ``tracked`` columns (a repeated snapshot) opens no version.
+    changes none of the ``tracked`` columns (a repeated snapshot) opens no version. An
+    event without a time is the last of its key; the version before it then has no end
+    but is not current. ``slice_ms`` cuts keys with very many events, see ``skew``.
     """
     keys, tracked = names(keys), list(tracked)
     carried = dict.fromkeys([*keys, ts, *names(seq), op, *tracked])
-    log = spread(events.select(*carried), keys, ts, seq, heavy_rows)
+    log = events.select(*carried)
     if compact:
         same = F.lit(True)
         for c in tracked:
             same = same & F.col(c).eqNullSafe(F.col(f"_before.{c}"))
         unchanged = F.col("_before").isNotNull() & ~is_delete(f"_before.{op}") & same
-        log = neighbour(log, keys, ts, seq, [op, *tracked], -1, "_before").each(
-            lambda rows: rows.where(is_delete(op) | ~unchanged).drop("_before")
-        )
-    versions = neighbour(log, keys, ts, seq, ts, 1, "_after").whole([*carried, "_after"])
+        log = neighbour(log, keys, ts, seq, [op, *tracked], -1, "_before", slice_ms)
+        log = log.where(is_delete(op) | ~unchanged).drop("_before")
+    versions = neighbour(log, keys, ts, seq, ts, 1, "_after", slice_ms)
     return versions.where(~is_delete(op)).select(
-        *_interval(keys, tracked, ts, F.col(f"_after.{ts}"))
+        *_interval(keys, tracked, ts, F.col(f"_after.{ts}"), F.col("_after").isNull())
     )
 
 
@@ -74,11 +79,10 @@ def with_previous(
     col: str,
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
-    heavy_rows: int | None = HEAVY_ROWS,
+    slice_ms: int | None = None,
 ) -> DataFrame:
     """Events with ``previous``: the value of ``col`` at the key's event before."""
-    log = spread(events, keys, ts, seq, heavy_rows)
-    found = neighbour(log, keys, ts, seq, col, -1, "_before").whole([*events.columns, "_before"])
+    found = neighbour(events, keys, ts, seq, col, -1, "_before", slice_ms)
     return found.select(*events.columns, F.col(f"_before.{col}").alias("previous"))
 
 
@@ -88,12 +92,12 @@ def transitions(
     col: str,
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
-    heavy_rows: int | None = HEAVY_ROWS,
+    slice_ms: int | None = None,
 ) -> DataFrame:
     """How often each value of ``col`` follows each other one; null before the first."""
     narrow = events.select(*dict.fromkeys([*names(keys), ts, *names(seq), col]))
     return (
-        with_previous(narrow, keys, col, ts, seq, heavy_rows)
+        with_previous(narrow, keys, col, ts, seq, slice_ms)
         .groupBy("previous", F.col(col).alias("next"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -104,8 +108,7 @@ def event_order(
     keys: str | Sequence[str],
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
-    heavy_rows: int | None = HEAVY_ROWS,
+    slice_ms: int | None = None,
 ) -> DataFrame:
     """Events with ``event_no``: 1, 2, ... in each key's order, times without value last."""
-    log = spread(events, keys, ts, seq, heavy_rows)
-    return ordinal(log, keys, ts, seq, "event_no").whole([*events.columns, "event_no"])
+    return ordinal(events, keys, ts, seq, "event_no", slice_ms)

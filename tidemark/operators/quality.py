@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import names
 from tidemark.operators.history import with_previous
-from tidemark.operators.skew import HEAVY_ROWS, join_many_to_one
 from tidemark.schemas import ORDER_STATUSES, SEQ, TS, Table
 
 
@@ -84,17 +83,11 @@ def check_unique(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
 
 
 def check_foreign_key(
-    child: DataFrame,
-    col: str,
-    parent: DataFrame,
-    parent_key: str,
-    heavy_rows: int = HEAVY_ROWS,
+    child: DataFrame, col: str, parent: DataFrame, parent_key: str
 ) -> DataFrame:
     """Child rows whose reference is set and has no parent."""
-    known = parent.select(F.col(parent_key).alias(col)).distinct().withColumn("_known", F.lit(True))
-    rows = child.where(F.col(col).isNotNull())
-    joined = join_many_to_one(rows, known, col, "left", heavy_rows)
-    return joined.where(F.col("_known").isNull()).select(*child.columns)
+    known = parent.select(F.col(parent_key).alias(col))
+    return child.where(F.col(col).isNotNull()).join(known, col, "left_anti").select(*child.columns)
 
 
 def check_transitions(
@@ -104,7 +97,7 @@ def check_transitions(
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
     chain: Sequence[str] = ORDER_STATUSES,
-    heavy_rows: int | None = HEAVY_ROWS,
+    slice_ms: int | None = None,
 ) -> DataFrame:
     """Events whose status is not one step along the chain from the one before.
 
@@ -112,27 +105,23 @@ def check_transitions(
     """
     steps = [F.struct(F.lit(a), F.lit(b)) for a, b in zip(chain, chain[1:])]
     step = F.struct(F.col("previous"), F.col(col))
-    judged = with_previous(events, keys, col, ts, seq, heavy_rows)
+    judged = with_previous(events, keys, col, ts, seq, slice_ms)
     moved = F.col("previous").isNotNull() & ~F.col(col).eqNullSafe(F.col("previous"))
     return judged.where(moved & ~F.coalesce(step.isin(*steps), F.lit(False)))
 
 
-def check_amounts(
-    payments: DataFrame, order_totals: DataFrame, heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def check_amounts(payments: DataFrame, order_totals: DataFrame) -> DataFrame:
     """Payments whose amount is not the order's rounded item total."""
     totals = order_totals.select("order_id", F.round("order_revenue", 2).alias("expected"))
-    joined = join_many_to_one(payments, totals, "order_id", "left", heavy_rows)
+    joined = payments.join(totals, "order_id", "left")
     return joined.where(~F.col("amount").cast("double").eqNullSafe(F.col("expected")))
 
 
 def check_paid(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders at PAID or later without a SUCCESS payment that has a time."""
-    paid = (
-        payments.where((F.col("payment_status") == "SUCCESS") & F.col("paid_at").isNotNull())
-        .select("order_id")
-        .distinct()
-    )
+    paid = payments.where(
+        (F.col("payment_status") == "SUCCESS") & F.col("paid_at").isNotNull()
+    ).select("order_id")
     due = orders.where(F.col("order_status").isin(*ORDER_STATUSES[1:]))
     return due.join(paid, "order_id", "left_anti")
 
@@ -170,6 +159,12 @@ def gate(summaries: Sequence[DataFrame]) -> DataFrame:
     return report.withColumn("passed", F.col("rows_failed") == 0)
 
 
+def collected(report: DataFrame) -> DataFrame:
+    """The report worked out once, as a short local table in the order of its checks."""
+    rows = report.orderBy("check").collect()
+    return report.sparkSession.createDataFrame(rows, report.schema)
+
+
 class GateFailed(Exception):
     """Raised by ``enforce``; carries the names of the failed checks."""
 

@@ -1,247 +1,46 @@
-"""Keeping one key from overloading one task.
+"""Windows over the events of a key, whole or cut into slices of time.
 
-A window or a join sends all rows of a key to one task. That is fine until a key holds
-a large share of the table. The helpers here find such *heavy* keys with one narrow count
-over a sample, and let the operators treat them apart:
+A window sends all events of a key to one task. ``slice_ms`` cuts every key's events into
+slices of that many milliseconds, whatever the key: a task then holds a key's events of
+one slice. One small row per slice carries what the next or the one before needs to know,
+and is shuffled with the events, so results are the same for any width. Events without a
+time come last and are cut by sequence. Nothing is counted beforehand, no key is told apart
+from others, and building a frame starts no job.
 
-* ``spread`` cuts the events of a heavy key into slices of its event order, so a window
-  runs over (key, slice), and ``neighbour`` / ``ordinal`` join the slices up again;
-* ``join_many_to_one`` and ``outer_join_many`` join the rows of heavy keys without
-  shuffling them.
-
-What is broadcast never grows with the data: at most ``MAX_HEAVY_KEYS`` keys, and about
-``SLICES`` slices over all of them together. Any further key holds less than one part in
-``MAX_HEAVY_KEYS`` of the rows and takes the ordinary path, so results never depend on
-what was found to be heavy. The count runs when an operator is called: mostly it finds
-nothing, and the plan is then the ordinary one, without further branches.
+Copies of an event (same key, time and sequence) must be equal in all columns; they are
+collapsed to one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import names, oldest_first, position
 
-HEAVY_ROWS = 1_000_000
-MAX_HEAVY_KEYS = 10_000
-SLICES = 65_536
-
-SLICE = "_slice"
-
-# Sampled rows at which a key counts as heavy.
-_COUNTED = 10_000
-
-# Sampled positions per slice: a cut is every eighth one, so slices come out similar.
-_PER_SLICE = 8
+SLICE, _EDGE, _NEAR = "_slice", "_edge", "_near"
 
-# A row finds its slice among the cuts of its key in two steps, each over a short array.
-_FAN = 256
+# Sequence numbers of undated events in one slice.
+_SEQ_BLOCK = 1 << 20
 
 
-def heavy_keys(
-    df: DataFrame, keys: str | Sequence[str], min_rows: int = HEAVY_ROWS
-) -> DataFrame | None:
-    """The keys with more than ``min_rows`` rows, with their ``_rows``; None if there are none.
-
-    Runs one job over the key columns. A large ``min_rows`` is judged by a sample of the
-    rows, so that few of them are shuffled; a key near the limit may fall on either side.
-    The result, the biggest MAX_HEAVY_KEYS at most, is fetched once, so that all branches
-    of a plan work with the same keys.
-    """
-    keys = names(keys)
-    share = min(1.0, _COUNTED / max(min_rows, 1))
-    rows = df.select(*keys)
-    if share < 1:
-        rows = rows.sample(share, seed=0)
-    counted = (
-        rows.groupBy(*keys)
-        .agg((F.count(F.lit(1)) / share).cast("bigint").alias("_rows"))
-        .where(F.col("_rows") > min_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HEAVY_KEYS)
+def slice_of(ts: str, seq: str | Sequence[str], slice_ms: int) -> Column:
+    """The slice of an event; slices sort as the events in them do."""
+    *first, last = names(seq)
+    undated, none = F.col(ts).isNull(), F.lit(0).cast("bigint")
+    return F.struct(
+        undated.alias("undated"),
+        F.when(undated, none).otherwise(F.floor(F.col(ts) / slice_ms)).alias("time"),
+        *[
+            F.when(undated, F.col(s).cast("bigint")).otherwise(none).alias(f"seq{i}")
+            for i, s in enumerate(first)
+        ],
+        F.when(undated, F.floor(F.col(last) / _SEQ_BLOCK)).otherwise(none).alias("block"),
     )
-    found = counted.toArrow()
-    return df.sparkSession.createDataFrame(found, counted.schema) if found.num_rows else None
-
-
-def split(df: DataFrame, heavy: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``df`` as (rows of ordinary keys, rows of heavy keys), without a shuffle."""
-    marked, on = _small_side(heavy.select(*names(keys)), keys)
-    return df.join(marked, on, "left_anti"), df.join(marked, on, "left_semi")
-
-
-def _small_side(df: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, Column]:
-    """A bounded frame to broadcast, its keys renamed, and the null-safe join condition."""
-    keys = names(keys)
-    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_small_{k}")) for k in keys])
-    return F.broadcast(df.withColumnsRenamed({k: f"_small_{k}" for k in keys})), on
-
-
-def _cuts(
-    hot: DataFrame, heavy: DataFrame, keys: list[str], place: Column, rows: int
-) -> tuple[DataFrame, bool]:
-    """Per heavy key, the sorted positions at which its slices begin.
-
-    A slice gets ``rows`` rows, or more where that would make more than SLICES of them.
-    The cuts come from a sample of rows and are fetched, like the heavy keys. Also tells
-    whether some event has so many copies that they alone would fill a slice.
-    """
-    total = heavy.agg(F.sum("_rows")).first()[0]
-    size = max(rows, 1, total // SLICES)
-    stride = min(size, _PER_SLICE)
-    sample = hot.select(*keys, place.alias("_place"))
-    if stride < size:
-        sample = sample.sample(stride / size, seed=0)
-    picked = (
-        sample.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("_place")).alias("_sample"))
-        .select(*keys, F.filter("_sample", lambda _, i: i % stride == 0).alias("_picked"))
-    )
-    distinct = F.filter(
-        "_picked", lambda p, i: (i == 0) | (p != F.get("_picked", i - 1))
-    )
-    cuts = picked.select(*keys, distinct.alias("_cuts"), F.size("_picked").alias("_n")).select(
-        *keys, "_cuts", (F.size("_cuts") < F.col("_n")).alias("_copies")
-    )
-    found = cuts.toArrow()
-    copies = any(found.column("_copies").to_pylist())
-    return hot.sparkSession.createDataFrame(found, cuts.schema), copies
-
-
-def _at_or_before(cuts: str) -> Column:
-    """How many of the sorted ``cuts`` lie at or before ``_place``; there are < 2 x _FAN."""
-    steps = [F.lit(_FAN >> i) for i in range(_FAN.bit_length())]
-    return F.aggregate(
-        F.array(*steps),
-        F.lit(0),
-        lambda n, step: n + F.when(F.get(cuts, n + step - 1) <= F.col("_place"), step).otherwise(0),
-    )
-
-
-def _sliced(hot: DataFrame, cuts: DataFrame, keys: list[str], place: Column) -> DataFrame:
-    """``hot`` with ``_slice``, numbered upwards in the order of each key.
-
-    Every _FAN-th cut first, then the ones between two of these, so that a row never
-    carries more than a short array.
-    """
-    columns = hot.columns
-    placed = hot.withColumn("_place", place)
-    coarse = cuts.select(*keys, F.filter("_cuts", lambda _, i: i % _FAN == 0).alias("_coarse"))
-    groups = F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / _FAN).cast("int"))
-    fine = cuts.select(*keys, "_cuts", F.explode(groups).alias("_group")).select(
-        *keys,
-        (F.col("_group") + 1).alias("_group"),
-        F.slice("_cuts", F.col("_group") * _FAN + 1, F.lit(_FAN)).alias("_fine"),
-    )
-    small, on = _small_side(coarse, keys)
-    grouped = placed.join(small, on, "left").select(
-        *columns, "_place", _at_or_before("_coarse").alias("_group")
-    )
-    small, on = _small_side(fine, [*keys, "_group"])
-    return grouped.join(small, on, "left").select(
-        *columns, (F.col("_group") * _FAN + _at_or_before("_fine")).alias(SLICE)
-    )
-
-
-class Spread(NamedTuple):
-    """Events by key: those of ordinary keys, and those of heavy keys cut into slices."""
-
-    ordinary: DataFrame
-    heavy: DataFrame | None
-
-    def each(self, step: Callable[[DataFrame], DataFrame]) -> Spread:
-        return Spread(*[None if p is None else step(p) for p in self])
-
-    def whole(self, columns: Sequence[str]) -> DataFrame:
-        parts = [p.select(*columns) for p in self if p is not None]
-        return reduce(DataFrame.unionByName, parts)
-
-
-def spread(
-    events: DataFrame,
-    keys: str | Sequence[str],
-    ts: str,
-    seq: str | Sequence[str],
-    heavy_rows: int | None = HEAVY_ROWS,
-) -> Spread:
-    """Events told apart by whether their key is heavy; heavy ones have a ``_slice``.
-
-    Copies of an event (same key, time and sequence) share a slice, where ``neighbour`` and
-    ``ordinal`` collapse them; very many copies are collapsed before, by an aggregate that
-    starts in each task. ``heavy_rows=None`` treats no key as heavy, for input known to be
-    small.
-    """
-    keys = names(keys)
-    heavy = None if heavy_rows is None else heavy_keys(events, keys, heavy_rows)
-    if heavy is None:
-        return Spread(events, None)
-    ordinary, hot = split(events, heavy, keys)
-    place = position(ts, seq)
-    cuts, copies = _cuts(hot, heavy, keys, place, heavy_rows)
-    if copies:
-        hot = hot.dropDuplicates([*keys, ts, *names(seq)])
-    return Spread(ordinary, _sliced(hot, cuts, keys, place))
-
-
-def _join_slices(rows: DataFrame, slices: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of heavy keys with what is known of their slice.
-
-    There is one row per slice: about SLICES + MAX_HEAVY_KEYS at most.
-    """
-    small, on = _small_side(slices, [*keys, SLICE])
-    return rows.join(small, on, "left")
-
-
-def neighbour(
-    events: Spread,
-    keys: str | Sequence[str],
-    ts: str,
-    seq: str | Sequence[str],
-    values: str | Sequence[str],
-    step: int,
-    name: str,
-) -> Spread:
-    """Add ``name``: the ``values`` of the key's next (step 1) or previous (-1) event.
-
-    ``name`` is a struct, null where there is no such event. Copies of an event are
-    collapsed to one row.
-    """
-    keys, values = names(keys), names(values)
-
-    def inside(rows: DataFrame, by: list[str]) -> DataFrame:
-        rows = _beside(rows, by, ts, seq, values, step)
-        found = F.struct(*[F.col(_near(v)).alias(v) for v in values])
-        return rows.withColumn(name, F.when(F.col(_NEAR), found))
-
-    ordinary = inside(events.ordinary, keys).select(*events.ordinary.columns, name)
-    if events.heavy is None:
-        return Spread(ordinary, None)
-    # The last (first) row of a slice finds its neighbour at the edge of another slice.
-    row, place = F.struct(*values), position(ts, seq)
-    if step > 0 and values == [ts]:
-        edge = F.struct(F.min(ts).alias(ts))  # the same as below, without a sort
-    else:
-        edge = F.min_by(row, place) if step > 0 else F.max_by(row, place)
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    beyond = F.lead("_edge") if step > 0 else F.lag("_edge")
-    slices = (
-        events.heavy.groupBy(*keys, SLICE)
-        .agg(edge.alias("_edge"))
-        .select(*keys, SLICE, beyond.over(across).alias("_beyond"))
-    )
-    heavy = _join_slices(inside(events.heavy, [*keys, SLICE]), slices, keys).select(
-        *events.heavy.columns, F.coalesce(name, "_beyond").alias(name)
-    )
-    return Spread(ordinary, heavy)
-
-
-_NEAR = "_near"
 
 
 def _near(col: str) -> str:
@@ -272,78 +71,97 @@ def _beside(
     return found.where(F.col(_NEAR).isNull() | ~copy)
 
 
-def ordinal(
-    events: Spread, keys: str | Sequence[str], ts: str, seq: str | Sequence[str], name: str
-) -> Spread:
-    """Add ``name``: the place of each event in its key's order, from 1; copies collapse."""
-    keys = names(keys)
-
-    def inside(rows: DataFrame, by: list[str]) -> DataFrame:
-        ranked = _beside(rows, by, ts, seq, [], -1, F.dense_rank())
-        return ranked.withColumn(name, F.col("_more0").cast("bigint"))
-
-    ordinary = inside(events.ordinary, keys).select(*events.ordinary.columns, name)
-    if events.heavy is None:
-        return Spread(ordinary, None)
-    earlier = (
-        Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = inside(events.heavy, [*keys, SLICE])
-    slices = (
-        ranked.groupBy(*keys, SLICE)
-        .agg(F.max(name).alias("_n"))
-        .select(*keys, SLICE, F.sum("_n").over(earlier).alias("_earlier"))
-    )
-    heavy = _join_slices(ranked, slices, keys).select(
-        *events.heavy.columns, (F.coalesce("_earlier", F.lit(0)) + F.col(name)).alias(name)
-    )
-    return Spread(ordinary, heavy)
-
-
-def _few_rows(one: DataFrame, heavy: DataFrame, keys: list[str]) -> bool:
-    """Whether the heavy keys have at most MAX_HEAVY_KEYS rows in ``one``.
+def _with_edges(
+    events: DataFrame,
+    keys: list[str],
+    ts: str,
+    seq: str | Sequence[str],
+    values: Sequence[str],
+    step: int,
+    slice_ms: int,
+) -> DataFrame:
+    """Events with their slice, and in each slice the event beside it in the next one.
 
-    They do where its keys are unique. Where they are not, those rows are not broadcast.
+    For step 1 that is the first event of the slice after, for -1 the last of the one
+    before. In its order it comes after, or before, all events of the slice.
     """
-    _, matching = split(one.select(*keys), heavy, keys)
-    return matching.limit(MAX_HEAVY_KEYS + 1).count() <= MAX_HEAVY_KEYS
+    marked = events.withColumns({SLICE: slice_of(ts, seq, slice_ms), _EDGE: F.lit(False)})
+    row = F.struct(*dict.fromkeys([ts, *names(seq), *values]))
+    place = position(ts, seq)
+    edge = F.min_by(row, place) if step > 0 else F.max_by(row, place)
+    across = Window.partitionBy(*keys).orderBy(SLICE)
+    beyond = F.lead(_EDGE) if step > 0 else F.lag(_EDGE)
+    edges = (
+        marked.groupBy(*keys, SLICE)
+        .agg(edge.alias(_EDGE))
+        .select(*keys, SLICE, beyond.over(across).alias("_beyond"))
+        .where(F.col("_beyond").isNotNull())
+        .select(*keys, SLICE, "_beyond.*", F.lit(True).alias(_EDGE))
+    )
+    return marked.unionByName(edges, allowMissingColumns=True)
 
 
-def join_many_to_one(
-    many: DataFrame,
-    one: DataFrame,
+def neighbour(
+    events: DataFrame,
     keys: str | Sequence[str],
-    how: str = "inner",
-    heavy_rows: int = HEAVY_ROWS,
+    ts: str,
+    seq: str | Sequence[str],
+    values: str | Sequence[str],
+    step: int,
+    name: str,
+    slice_ms: int | None = None,
 ) -> DataFrame:
-    """Inner or left join to a side with unique keys; heavy keys of ``many`` stay in place."""
-    keys = names(keys)
-    heavy = heavy_keys(many, keys, heavy_rows)
-    if heavy is None or not _few_rows(one, heavy, keys):
-        return many.join(one, keys, how)
-    ordinary, hot = split(many, heavy, keys)
-    _, one_hot = split(one, heavy, keys)
-    return ordinary.join(one, keys, how).unionByName(hot.join(F.broadcast(one_hot), keys, how))
+    """Add ``name``: the ``values`` of the key's next (step 1) or previous (-1) event.
+
+    ``name`` is a struct, null where there is no such event. Copies of an event are
+    collapsed to one row.
+    """
+    keys, values = names(keys), names(values)
+    found = F.struct(*[F.col(_near(v)).alias(v) for v in values])
+    if slice_ms is None:
+        rows = _beside(events, keys, ts, seq, values, step)
+    else:
+        cut = _with_edges(events, keys, ts, seq, values, step, slice_ms)
+        rows = _beside(cut, [*keys, SLICE], ts, seq, values, step).where(~F.col(_EDGE))
+    return rows.select(*events.columns, F.when(F.col(_NEAR), found).alias(name))
 
 
-def outer_join_many(
-    one: DataFrame,
-    many: DataFrame,
+def ordinal(
+    events: DataFrame,
     keys: str | Sequence[str],
-    heavy_rows: int = HEAVY_ROWS,
+    ts: str,
+    seq: str | Sequence[str],
+    name: str,
+    slice_ms: int | None = None,
 ) -> DataFrame:
-    """``one`` (unique keys) left join ``many``; heavy keys of ``many`` stay in place.
-
-    A heavy key has rows in ``many``, so for it the left join equals an inner join.
-    """
+    """Add ``name``: the place of each event in its key's order, from 1; copies collapse."""
     keys = names(keys)
-    for k in keys:
-        many = many.where(F.col(k).isNotNull())  # a null key matches nothing
-    heavy = heavy_keys(many, keys, heavy_rows)
-    if heavy is None or not _few_rows(one, heavy, keys):
-        return one.join(many, keys, "left")
-    one_ordinary, one_hot = split(one, heavy, keys)
-    many_ordinary, many_hot = split(many, heavy, keys)
-    ordinary = one_ordinary.join(many_ordinary, keys, "left")
-    hot = F.broadcast(one_hot).join(many_hot, keys)
-    return ordinary.unionByName(hot)
+    if slice_ms is None:
+        ranked = _beside(events, keys, ts, seq, [], -1, F.dense_rank())
+        return ranked.select(*events.columns, F.col("_more0").cast("bigint").alias(name))
+    marked = events.withColumn(SLICE, slice_of(ts, seq, slice_ms))
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        marked.groupBy(*keys, SLICE)
+        .agg(F.count_distinct(F.struct(ts, *names(seq))).alias("_n"))
+        .select(*keys, SLICE, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_earlier"))
+    )
+    # The count of earlier events is one more row of the slice.
+    rows = marked.withColumn("_earlier", F.lit(None).cast("bigint")).unionByName(
+        counts.withColumn(_EDGE, F.lit(True)), allowMissingColumns=True
+    )
+    by = Window.partitionBy(*keys, SLICE)
+    whole = rows.withColumn("_earlier", F.max("_earlier").over(by))
+    inside = by.orderBy(F.col(_EDGE).desc_nulls_last(), *oldest_first(ts, seq))
+    order = [ts, *names(seq)]
+    placed = whole.withColumns(
+        {
+            "_rank": F.dense_rank().over(inside),
+            "_first": F.lag(F.coalesce(_EDGE, F.lit(False))).over(inside),
+            **{_near(c): F.lag(c).over(inside) for c in order},
+        }
+    )
+    copy = reduce(and_, [F.col(c).eqNullSafe(F.col(_near(c))) for c in order])
+    return placed.where(F.col(_EDGE).isNull() & (F.col("_first") | ~copy)).select(
+        *events.columns, (F.col("_earlier") + F.col("_rank") - 1).cast("bigint").alias(name)
+    )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import names
 from tidemark.operators.history import scd2, validity
-from tidemark.operators.skew import HEAVY_ROWS, outer_join_many
 from tidemark.operators.state import latest_per_key
 from tidemark.schemas import SEQ, TS, Table
 
@@ -32,15 +31,18 @@ def typed(df: DataFrame, table: Table) -> DataFrame:
 
 
 def order_totals(order_items: DataFrame) -> DataFrame:
-    """Revenue and item count per order. Money is summed in cents, so the sum is exact."""
-    cents = F.col("quantity").cast("bigint") * F.rint(F.col("unit_price") * 100).cast("bigint")
-    totals = order_items.groupBy("order_id").agg(
-        F.sum(cents).alias("_cents"), F.sum("quantity").alias("total_items")
-    )
-    return totals.select(
-        "order_id",
-        (F.col("_cents").cast("decimal(20,0)") / 100).cast("double").alias("order_revenue"),
-        "total_items",
+    """Revenue and item count per order.
+
+    Prices are summed as decimals of six places, so a sum depends neither on the order of
+    rows nor on rounding to cents. A price that is no such number (NaN, or too large for
+    22 digits) counts as missing; an order whose sum is too large has no revenue. The
+    decimal check reports such prices.
+    """
+    price = F.col("unit_price").try_cast("decimal(28,6)")
+    amount = F.try_multiply(F.col("quantity").cast("decimal(10,0)"), price)
+    return order_items.groupBy("order_id").agg(
+        F.try_sum(amount).cast("double").alias("order_revenue"),
+        F.sum("quantity").alias("total_items"),
     )
 
 
@@ -50,16 +52,14 @@ def fct_orders(
     payments: DataFrame,
     latest_payment: bool = False,
     payment_order: str | list[str] = "payment_id",
-    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """The order fact: one row per order and payment, orders without either included.
 
     Several payments of an order repeat its revenue. ``latest_payment`` keeps the newest
     one by ``payment_order`` instead, for one row per order.
     """
-    facts = orders.select("order_id", "customer_id", "order_status", "order_date").join(
-        order_totals(order_items), "order_id", "left"
-    )
+    rows = orders.select("order_id", "customer_id", "order_status", "order_date")
+    facts = rows.join(order_totals(order_items), "order_id", "left")
     if latest_payment:
         first, *rest = names(payment_order)
         newest = payments.select(
@@ -69,7 +69,15 @@ def fct_orders(
         joined = facts.join(newest, "order_id", "left")
     else:
         narrow = payments.select("order_id", "payment_status", "payment_method")
-        joined = outer_join_many(facts, narrow, "order_id", heavy_rows)
+        # A left join could not split the payments of one order over tasks; these joins can.
+        # Both read the same facts, without null keys, so their shuffles are made once.
+        facts = facts.where("order_id IS NOT NULL")
+        unpaid = facts.join(narrow.select("order_id"), "order_id", "left_anti")
+        joined = (
+            facts.join(narrow, "order_id")
+            .unionByName(unpaid, allowMissingColumns=True)
+            .unionByName(rows.where("order_id IS NULL"), allowMissingColumns=True)
+        )
     return joined.select(
         "order_id",
         "customer_id",
@@ -87,9 +95,13 @@ def dim_customers(customers: DataFrame) -> DataFrame:
     return validity(customers, "customer_id", CUSTOMER_COLUMNS, TS)
 
 
-def customer_history(events: DataFrame, seq: str | list[str] | tuple[str, ...] = SEQ) -> DataFrame:
+def customer_history(
+    events: DataFrame,
+    seq: str | list[str] | tuple[str, ...] = SEQ,
+    slice_ms: int | None = None,
+) -> DataFrame:
     """The customer dimension over the event log: a row per version, deleted ones included.
 
     A repeated snapshot of an unchanged customer opens no version.
     """
-    return scd2(events, "customer_id", CUSTOMER_COLUMNS, TS, seq, compact=True)
+    return scd2(events, "customer_id", CUSTOMER_COLUMNS, TS, seq, compact=True, slice_ms=slice_ms)

@@ -47,7 +47,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "order_totals": (
         ("src_order_items",),
-        "SELECT order_id, CAST(SUM(quantity * CAST(unit_price AS DECIMAL(10,2))) AS DOUBLE) AS order_revenue,"
+        "SELECT order_id, CAST(SUM(quantity * CAST(unit_price AS DECIMAL(28,6))) AS DOUBLE) AS order_revenue,"
         " CAST(SUM(quantity) AS BIGINT) AS total_items FROM src_order_items GROUP BY order_id",
     ),
     "chg_users": (
@@ -158,8 +158,9 @@ _USER_STATE = "SELECT user_id, event_id, ts_ms, op, event_type, value, props FRO
 _CURRENT_USERS = _with(f"{_USER_STATE} WHERE op IS DISTINCT FROM 'd'", "latest_users")
 _DIM = (
     "SELECT customer_id, full_name, email, country, valid_from_ms, valid_to_ms,"
-    " valid_to_ms IS NULL AS is_current FROM (SELECT *, ts_ms AS valid_from_ms, LEAD(ts_ms)"
-    " OVER (PARTITION BY customer_id ORDER BY ts_ms) AS valid_to_ms FROM cur_customers)"
+    " is_current FROM (SELECT *, ts_ms AS valid_from_ms, LEAD(ts_ms) OVER w AS valid_to_ms,"
+    " LEAD(1) OVER w IS NULL AS is_current FROM cur_customers"
+    " WINDOW w AS (PARTITION BY customer_id ORDER BY ts_ms))"
 )
 _BRONZE = _with(
     "SELECT user_id, event_type, value, props, op, ts_ms, 'users' AS source_table,"
@@ -183,6 +184,28 @@ def _rule(table: str, check: str, source: str, failed: str) -> str:
     )
 
 
+_BROKEN_CHAIN = (
+    "SELECT customer_id, seq, previous, order_status FROM (SELECT *, LAG(order_status) OVER"
+    " (PARTITION BY customer_id ORDER BY ts_ms NULLS LAST, seq) AS previous FROM chg_status)"
+    " WHERE previous IS NOT NULL AND previous <> order_status AND (previous, order_status)"
+    " NOT IN (('PENDING', 'PAID'), ('PAID', 'SHIPPED'), ('SHIPPED', 'DELIVERED'),"
+    " ('DELIVERED', 'CANCELLED'))"
+)
+_WRONG_AMOUNTS = (
+    "SELECT payment_id, order_id, amount, expected FROM (SELECT p.payment_id, p.order_id,"
+    " round(t.order_revenue, 2) AS expected,"
+    " CASE WHEN p.paid_at IS NOT NULL AND t.order_revenue IS NOT NULL"
+    " THEN round(t.order_revenue, 2) + CASE WHEN p.payment_id % 7 = 0 THEN 0.25e0 ELSE 0e0 END"
+    " ELSE p.amount END AS amount"
+    " FROM src_payments p LEFT JOIN order_totals t ON p.order_id = t.order_id)"
+    " WHERE amount IS DISTINCT FROM expected"
+)
+_UNPAID = (
+    "SELECT order_id, order_status FROM src_orders o WHERE order_status <> 'PENDING'"
+    " AND NOT EXISTS (SELECT 1 FROM src_payments p WHERE p.order_id = o.order_id"
+    " AND payment_method <> 'paypal' AND payment_status = 'SUCCESS' AND paid_at IS NOT NULL)"
+)
+
 _GATE_RULES = [
     *[
         _rule("customers", f"not_null:{c}", "gaps", f"{c} IS NULL")
@@ -221,6 +244,15 @@ _GATE_RULES = [
     "SELECT 'order_items.foreign_key:product_id' AS \"check\","
     " (SELECT COUNT(*) FROM src_order_items) AS rows_checked,"
     " (SELECT COUNT(*) FROM bad_products) AS rows_failed",
+    *[
+        f"SELECT '{check}' AS \"check\", (SELECT COUNT(*) FROM {source}) AS rows_checked,"
+        f" (SELECT COUNT(*) FROM ({bad})) AS rows_failed"
+        for check, source, bad in (
+            ("orders.status_chain", "chg_status", _BROKEN_CHAIN),
+            ("payments.amount_is_item_total", "src_payments", _WRONG_AMOUNTS),
+            ("orders.paid_has_payment", "src_orders", _UNPAID),
+        )
+    ],
 ]
 
 ORACLE: dict[str, str] = {
@@ -236,11 +268,12 @@ ORACLE: dict[str, str] = {
     "dim_customers": _with(_DIM, "cur_customers"),
     "customer_history": _with(
         "SELECT customer_id, full_name, email, country, ts_ms AS valid_from_ms, valid_to_ms,"
-        " valid_to_ms IS NULL AS is_current FROM (SELECT *, LEAD(ts_ms) OVER"
-        " (PARTITION BY customer_id ORDER BY ts_ms, seq) AS valid_to_ms FROM"
+        " is_current FROM (SELECT *, LEAD(ts_ms) OVER later AS valid_to_ms,"
+        " LEAD(1) OVER later IS NULL AS is_current FROM"
         " (SELECT *, LAG(country) OVER w AS before, ROW_NUMBER() OVER w AS n FROM chg_customers"
         " WINDOW w AS (PARTITION BY customer_id ORDER BY ts_ms, seq))"
-        " WHERE n = 1 OR op = 'd' OR country IS DISTINCT FROM before) WHERE op <> 'd'",
+        " WHERE n = 1 OR op = 'd' OR country IS DISTINCT FROM before"
+        " WINDOW later AS (PARTITION BY customer_id ORDER BY ts_ms, seq)) WHERE op <> 'd'",
         "chg_customers",
     ),
     "preview_dim": _with(f"{_DIM} ORDER BY customer_id LIMIT 5", "cur_customers"),
@@ -326,27 +359,30 @@ ORACLE: dict[str, str] = {
     ),
     "scd2_from_current": _with(
         "SELECT user_id, event_type, value, props, valid_from_ms, valid_to_ms,"
-        " valid_to_ms IS NULL AS is_current FROM (SELECT *, ts_ms AS valid_from_ms, LEAD(ts_ms)"
-        " OVER (PARTITION BY user_id ORDER BY ts_ms) AS valid_to_ms FROM latest_users"
-        " WHERE op IS DISTINCT FROM 'd')",
+        " is_current FROM (SELECT *, ts_ms AS valid_from_ms, LEAD(ts_ms) OVER w AS valid_to_ms,"
+        " LEAD(1) OVER w IS NULL AS is_current FROM latest_users WHERE op IS DISTINCT FROM 'd'"
+        " WINDOW w AS (PARTITION BY user_id ORDER BY ts_ms))",
         "latest_users",
     ),
     "scd2_history": _with(
         "SELECT user_id, event_type, value, props, ts_ms AS valid_from_ms, valid_to_ms,"
-        " valid_to_ms IS NULL AS is_current FROM (SELECT *, LEAD(ts_ms) OVER"
-        " (PARTITION BY user_id ORDER BY ts_ms NULLS LAST, event_id) AS valid_to_ms"
-        " FROM chg_users) WHERE op IS DISTINCT FROM 'd'",
+        " is_current FROM (SELECT *, LEAD(ts_ms) OVER w AS valid_to_ms,"
+        " LEAD(1) OVER w IS NULL AS is_current FROM chg_users"
+        " WINDOW w AS (PARTITION BY user_id ORDER BY ts_ms NULLS LAST, event_id))"
+        " WHERE op IS DISTINCT FROM 'd'",
         "chg_users",
     ),
     "scd2_history_compact": _with(
         "SELECT user_id, event_type, ts_ms AS valid_from_ms, valid_to_ms,"
-        " valid_to_ms IS NULL AS is_current FROM (SELECT *, LEAD(ts_ms) OVER"
-        " (PARTITION BY user_id ORDER BY ts_ms NULLS LAST, event_id) AS valid_to_ms FROM"
+        " is_current FROM (SELECT *, LEAD(ts_ms) OVER later AS valid_to_ms,"
+        " LEAD(1) OVER later IS NULL AS is_current FROM"
         " (SELECT *, LAG(op) OVER w AS prev_op, LAG(event_type) OVER w AS prev_type,"
         " ROW_NUMBER() OVER w AS n FROM chg_users"
         " WINDOW w AS (PARTITION BY user_id ORDER BY ts_ms NULLS LAST, event_id))"
         " WHERE n = 1 OR op IS NOT DISTINCT FROM 'd' OR prev_op IS NOT DISTINCT FROM 'd'"
-        " OR event_type IS DISTINCT FROM prev_type) WHERE op IS DISTINCT FROM 'd'",
+        " OR event_type IS DISTINCT FROM prev_type"
+        " WINDOW later AS (PARTITION BY user_id ORDER BY ts_ms NULLS LAST, event_id))"
+        " WHERE op IS DISTINCT FROM 'd'",
         "chg_users",
     ),
     "transitions": _with(
@@ -394,35 +430,19 @@ ORACLE: dict[str, str] = {
         " WHERE category = 'Garden'",
         "coded",
     ),
-    "q_transition": _with(
-        "SELECT customer_id, seq, previous, order_status FROM (SELECT *, LAG(order_status) OVER"
-        " (PARTITION BY customer_id ORDER BY ts_ms NULLS LAST, seq) AS previous FROM chg_status)"
-        " WHERE previous IS NOT NULL AND previous <> order_status AND (previous, order_status)"
-        " NOT IN (('PENDING', 'PAID'), ('PAID', 'SHIPPED'), ('SHIPPED', 'DELIVERED'),"
-        " ('DELIVERED', 'CANCELLED'))",
-        "chg_status",
-    ),
-    "q_reconcile": _with(
-        "SELECT payment_id, order_id, amount, expected FROM (SELECT p.payment_id, p.order_id,"
-        " round(t.order_revenue, 2) AS expected,"
-        " CASE WHEN p.paid_at IS NOT NULL AND t.order_revenue IS NOT NULL"
-        " THEN round(t.order_revenue, 2) ELSE p.amount END AS amount"
-        " FROM src_payments p LEFT JOIN order_totals t ON p.order_id = t.order_id)"
-        " WHERE amount IS DISTINCT FROM expected",
-        "src_payments", "order_totals",
-    ),
-    "q_paid": _with(
-        "SELECT order_id, order_status FROM src_orders o WHERE order_status <> 'PENDING'"
-        " AND NOT EXISTS (SELECT 1 FROM src_payments p WHERE p.order_id = o.order_id"
-        " AND payment_method <> 'paypal' AND payment_status = 'SUCCESS' AND paid_at IS NOT NULL)",
-        "src_orders", "src_payments",
-    ),
+    "q_transition": _with(_BROKEN_CHAIN, "chg_status"),
+    "q_reconcile": _with(_WRONG_AMOUNTS, "src_payments", "order_totals"),
+    "q_paid": _with(_UNPAID, "src_orders", "src_payments"),
     "q_gate": _with(
         'SELECT "check", rows_checked, rows_failed, rows_failed = 0 AS passed FROM ('
         + " UNION ALL ".join(_GATE_RULES)
         + ")",
         "gaps", "coded", "src_orders", "scaled", "bad_amounts", "repeated_items", "bad_products",
+        "chg_status", "src_payments", "order_totals",
     ),
+    "bronze_ingest_time": _with("SELECT TRUE AS iso, COUNT(*) AS rows FROM readable", "readable"),
+    "silver_replaced": _CURRENT_USERS,
+    "gold_materialized": _with(_DIM, "cur_customers"),
     "stream_bronze": _BRONZE,
     "stream_merge": _CURRENT_USERS,
     "stream_current": _CURRENT_USERS,
