@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import types as T
 
 from tidemark.__main__ import main
 from tidemark.operators import quality
@@ -91,6 +92,8 @@ def test_every_declared_check_passes(spark, run):
     report = pipeline.check_silver(spark, run["silver"])
     quality.enforce(report)
     assert report.count() == 26 + 8 + 3 + 4 + 6 + 4 + 2
+    with_log = pipeline.check_silver(spark, run["silver"], run["bronze"])
+    assert [r["passed"] for r in with_log.where("check = 'orders.status_chain'").collect()] == [True]
     assert pipeline.check_order_statuses(spark, run["bronze"]).isEmpty()
 
 
@@ -139,3 +142,56 @@ def test_a_failed_check_stops_the_run(spark, run, tmp_path, monkeypatch):
     tables.replace(orders.withColumn("customer_id", orders["customer_id"] + 1), f"{silver}/orders")
     with pytest.raises(quality.GateFailed, match="orders.foreign_key:customer_id: 1 of 1"):
         command(monkeypatch, "check", "--silver", silver)
+
+
+@pytest.fixture
+def customers_only(spark, tmp_path):
+    at = {n: str(tmp_path / n) for n in ("landed", "bronze", "silver", "kept", "gold", "marks")}
+    land(spark, at["landed"], LOG[:4])
+    finish(pipeline.start_ingest(
+        file_messages(spark, at["landed"]), at["bronze"], at["marks"], ["customers"], jobs.ALL_THERE_IS
+    ))
+    return at
+
+
+def test_one_table_is_enough(spark, customers_only, monkeypatch, capsys):
+    at = customers_only
+    command(monkeypatch, "silver", "--bronze", at["bronze"], "--silver", at["silver"])
+    command(monkeypatch, "audit", "--bronze", at["bronze"])
+    command(
+        monkeypatch, "follow", "--bronze", at["bronze"], "--silver", at["kept"],
+        "--checkpoints", at["marks"], "--once",
+    )
+    for folder in (at["silver"], at["kept"]):
+        command(monkeypatch, "show", "--silver", folder, "--select", "stg_customers")
+        command(monkeypatch, "show", "--silver", folder, "--select", "dim_customers_scd2")
+        command(monkeypatch, "check", "--silver", folder, "--bronze", at["bronze"])
+        command(monkeypatch, "gold", "--silver", folder, "--gold", at["gold"])
+        command(monkeypatch, "expire", "--silver", folder, "--keep", "1")
+        assert set(pipeline.models(spark, folder)) == {"stg_customers", "dim_customers_scd2"}
+    command(monkeypatch, "quarantine", "--bronze", at["bronze"])
+    with pytest.raises(FileNotFoundError):
+        command(monkeypatch, "show", "--silver", at["silver"], "--select", "fct_orders")
+    assert "ann@x" in capsys.readouterr().out
+
+
+def test_a_new_column_reaches_silver(spark, customers_only):
+    """Values that came before the schema was widened, and a message that did not fit."""
+    at = customers_only
+    row = {"customer_id": 3, **CUSTOMER, "email": "c@x", "phone": "123"}
+    wide = T.StructType([*TABLES["customers"].row.fields, T.StructField("phone", T.StringType())])
+    land(spark, at["landed"], [("customers", "c", 7, row)], start=50)
+    land(spark, at["landed"], [("customers", "c", 8, {**row, "customer_id": "x"})], start=51)
+    finish(pipeline.start_ingest(
+        file_messages(spark, at["landed"]), at["bronze"], at["marks"], ["customers"], jobs.ALL_THERE_IS
+    ))
+    pipeline.build_silver(spark, at["bronze"], at["silver"], ["customers"])
+    assert "phone" not in pipeline.read_silver(spark, at["silver"], "customers").columns
+    pipeline.build_silver(
+        spark, at["bronze"], at["silver"], ["customers"], reparse=True, rows={"customers": wide}
+    )
+    found = pipeline.read_silver(spark, at["silver"], "customers")
+    assert {(r["customer_id"], r["phone"]) for r in found.collect()} == {(1, None), (3, "123")}
+    text = T.StructType([T.StructField("customer_id", T.StringType()), *wide.fields[1:]])
+    again = pipeline.reread_bronze(spark, at["bronze"], "customers", text)
+    assert "x" in {r["customer_id"] for r in again.collect()}

@@ -87,15 +87,15 @@ def test_a_batch_that_fails_after_its_write_is_repeated_without_harm(spark, tmp_
             stream, path, mark, "customer_id", trigger=jobs.ALL_THERE_IS
         ).awaitTermination()
 
-    count = tables.pending_changes
+    settle = tables.settle
 
     def broken(*args):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(tables, "pending_changes", broken)
+    monkeypatch.setattr(tables, "settle", broken)
     with pytest.raises(Exception, match="lost"):
         run()
-    monkeypatch.setattr(tables, "pending_changes", count)
+    monkeypatch.setattr(tables, "settle", settle)
     assert tables.pending_changes(spark, path) == 1
     run()
     assert tables.pending_changes(spark, path) == 2

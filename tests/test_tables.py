@@ -46,9 +46,9 @@ def changes(spark, *rows):
     return spark.createDataFrame(rows, "k int, ts bigint, seq int, op string")
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, tables.BROADCAST_BYTES])
-def test_changes_fold_into_state(spark, tmp_path, monkeypatch, broadcast_bytes):
-    monkeypatch.setattr(tables, "BROADCAST_BYTES", broadcast_bytes)
+@pytest.mark.parametrize("broadcast_bytes", ["-1", "10485760"])
+def test_changes_fold_into_state(spark, tmp_path, broadcast_bytes):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_bytes)
     path = str(tmp_path / "t")
     args = {"keys": "k", "ts": "ts", "seq": "seq"}
     assert tables.read_state(spark, path, **args) is None
@@ -71,6 +71,7 @@ def test_changes_fold_into_state(spark, tmp_path, monkeypatch, broadcast_bytes):
     assert state() == {(1, 7, 8, "d"), (2, 5, 1, "d"), (3, 1, 4, "c"), (None, 2, 7, "u")}
     tables.compact(spark, path, **args)
     assert state() == {(1, 7, 8, "d"), (2, 5, 1, "d"), (3, 1, 4, "c"), (None, 2, 7, "u")}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_expire_keeps_what_the_newest_versions_need(spark, tmp_path):
@@ -91,15 +92,44 @@ def test_expire_keeps_what_the_newest_versions_need(spark, tmp_path):
     assert tables.size(spark, path) > 0
 
 
-def test_shuffles_are_sized_by_the_input(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        for stored, partitions in (
-            (0, 8),
-            (100 * session.PARTITION_BYTES, 101),
-            (100 * 2**40, session.MAX_PARTITIONS),
-        ):
-            session.size_shuffles(spark, stored)
-            assert spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_settling_rewrites_the_table_only_for_a_share_of_it(spark, tmp_path):
+    """A small change leaves the files of a large table alone; folders stay few."""
+    path = str(tmp_path / "t")
+    args = {"keys": "k", "ts": "ts", "seq": "seq"}
+    base = spark.range(200_000).selectExpr("cast(id as int) k", "1L ts", "cast(id as int) seq", "'c' op")
+    tables.replace(base, path)
+    for i in range(1, 13):
+        tables.add_changes(changes(spark, (i % 3, 1 + i, i, "u")), path)
+        tables.settle(spark, path, **args, most_parts=3)
+        assert len(os.listdir(path)) <= 8
+    assert "full-000000000000" in os.listdir(path)
+    assert any(n.startswith("fold-") for n in os.listdir(path))
+    newest = tables.read_state(spark, path, **args).where("k < 4").collect()
+    assert sorted(map(tuple, newest)) == [
+        (0, 13, 12, "u"), (1, 11, 10, "u"), (2, 12, 11, "u"), (3, 1, 3, "c")
+    ]
+    tables.add_changes(base.selectExpr("k", "20L ts", "seq", "'u' op"), path)
+    for _ in range(3):
+        tables.add_changes(changes(spark, (0, 30, 1, "d")), path)
+        tables.settle(spark, path, **args, most_parts=3)
+    assert tables.pending_changes(spark, path) <= 3
+    found = tables.read_state(spark, path, **args)
+    assert found.where("ts = 20").count() == 199_999 and found.where("k = 0").first()["op"] == "d"
+    fulls = sorted(n for n in os.listdir(path) if n.startswith("full-"))
+    assert len(fulls) >= 1 and fulls[-1] != "full-000000000000"
+
+
+def test_settings_hold_for_a_block_only(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    for stored, partitions in (
+        (0, 8),
+        (100 * session.PARTITION_BYTES, 101),
+        (100 * 2**40, 100 * 2**40 // session.PARTITION_BYTES + 1),
+    ):
+        with session.sized_shuffles(spark, stored):
+            assert spark.conf.get(name) == str(partitions)
+        assert spark.conf.get(name) == before
+    with pytest.raises(ValueError), session.settings_for(spark, {"tidemark.none": "1"}):
+        raise ValueError
+    assert spark.conf.get("tidemark.none", None) is None

@@ -1,13 +1,15 @@
 """Command line: ``spark-submit``-able steps of the pipeline.
 
     python -m tidemark ingest --servers host:9092 --bronze B --checkpoints C [--once]
-    python -m tidemark silver --bronze B --silver S
+    python -m tidemark silver --bronze B --silver S [--reparse]
     python -m tidemark follow --bronze B --silver S --checkpoints C [--once]
     python -m tidemark gold   --silver S --gold G
-    python -m tidemark history --bronze B --gold G
+    python -m tidemark history --bronze B --gold G [--slice-ms 86400000]
     python -m tidemark show   --silver S --select fct_orders --limit 5
     python -m tidemark audit  --bronze B
-    python -m tidemark check  --silver S
+    python -m tidemark check  --silver S [--bronze B]
+    python -m tidemark quarantine --bronze B
+    python -m tidemark expire --silver S [--keep 2]
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from tidemark.operators import quality
 from tidemark.plans import pipeline
 from tidemark.schemas import TABLES
 from tidemark.session import get_session
+from tidemark.sources import tables
 from tidemark.streaming import jobs
 from tidemark.streaming.messages import kafka_messages
 
@@ -34,6 +37,8 @@ def _arguments() -> argparse.Namespace:
         "show": ("silver", "select"),
         "audit": ("bronze",),
         "check": ("silver",),
+        "quarantine": ("bronze",),
+        "expire": ("silver",),
     }
     for step, options in needs.items():
         sub = steps.add_parser(step)
@@ -43,7 +48,17 @@ def _arguments() -> argparse.Namespace:
             sub.add_argument("--once", action="store_true", help="take what is there, then stop")
             sub.add_argument("--every", default="5 seconds", help="time between micro-batches")
         if step == "ingest":
-            sub.add_argument("--max-offsets", type=int, help="most messages in a micro-batch")
+            sub.add_argument(
+                "--max-offsets", type=int, default=5_000_000, help="most messages in a micro-batch"
+            )
+        if step == "silver":
+            sub.add_argument("--reparse", action="store_true", help="read all messages again")
+        if step == "history":
+            sub.add_argument("--slice-ms", type=int, help="cut keys with very many events")
+        if step == "check":
+            sub.add_argument("--bronze", help="check the status chain of this log too")
+        if step == "expire":
+            sub.add_argument("--keep", type=int, default=2, help="states to keep readable")
         if step == "show":
             sub.add_argument("--limit", type=int, default=5)
     return parser.parse_args()
@@ -71,19 +86,24 @@ def main() -> None:
         for query in queries:
             query.awaitTermination()
     elif args.step == "silver":
-        print(pipeline.build_silver(spark, args.bronze, args.silver))
+        print(pipeline.build_silver(spark, args.bronze, args.silver, reparse=args.reparse))
     elif args.step == "gold":
         print(pipeline.build_gold(spark, args.silver, args.gold))
     elif args.step == "history":
-        print(pipeline.build_history(spark, args.bronze, args.gold))
+        print(pipeline.build_history(spark, args.bronze, args.gold, args.slice_ms))
     elif args.step == "show":
         pipeline.show_model(spark, args.silver, args.select, args.limit).show(args.limit, False)
     elif args.step == "audit":
         pipeline.audit_bronze(spark, args.bronze).show(truncate=False)
     elif args.step == "check":
-        report = pipeline.check_silver(spark, args.silver)
-        report.orderBy("check").show(1000, False)
+        report = quality.collected(pipeline.check_silver(spark, args.silver, args.bronze))
+        report.show(1000, False)
         quality.enforce(report)
+    elif args.step == "quarantine":
+        pipeline.quarantined(spark, args.bronze).show(1000, False)
+    elif args.step == "expire":
+        for name in pipeline.silver_tables(spark, args.silver):
+            tables.expire(spark, f"{args.silver}/{name}", args.keep)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,20 +28,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Stored bytes per shuffle partition, and the most partitions a shuffle may start with.
+# Stored bytes per shuffle partition.
 PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 32_768
 
 
-def size_shuffles(spark: SparkSession, stored_bytes: int) -> None:
-    """Start shuffles with enough partitions for an input of ``stored_bytes``.
+@contextmanager
+def settings_for(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold for a block and are as before afterwards."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+    """Start shuffles of a block with enough partitions for an input of ``stored_bytes``.
 
     The default of 200 would put hundreds of gigabytes of a large table into one task.
     Adaptive execution merges partitions that turn out small, so too many do no harm.
     """
-    wanted = stored_bytes // PARTITION_BYTES + 1
-    cores = spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.shuffle.partitions", max(cores, min(wanted, MAX_PARTITIONS)))
+    wanted = max(stored_bytes // PARTITION_BYTES + 1, spark.sparkContext.defaultParallelism)
+    with settings_for(spark, {"spark.sql.shuffle.partitions": str(wanted)}):
+        yield
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -5,7 +5,9 @@ once it holds ``_SUCCESS``, which Spark writes last, so a reader never sees a ha
 one and a job may read the version before while it writes the next. One writer per table.
 
 ``full-<n>`` holds a whole table. ``part-<n>`` holds changes on top of the newest full
-version; they are folded in on reading, and for good by ``compact``.
+version; they are merged in on reading. ``fold-<n>`` holds all changes up to there, newest
+per key, in place of the parts before it. ``settle`` makes folds, and a new full version
+only once the changes are a fair share of the table.
 """
 
 from __future__ import annotations
@@ -14,15 +16,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import functions as F
+
 from tidemark.functions.columns import names
-from tidemark.operators.skew import split
 from tidemark.operators.state import latest_per_key, merge_changes
 from tidemark.schemas import SEQ, TS
 
 FORMAT = "parquet"
 
-# Stored bytes of changes whose keys are still broadcast.
-BROADCAST_BYTES = 16 * 1024 * 1024
+# Changes are merged into a new full version when they reach this share of its bytes.
+COMPACT_SHARE = 0.25
 
 
 def append(df: DataFrame, path: str, fmt: str = FORMAT, partition_by: Sequence[str] = ()) -> None:
@@ -56,6 +62,11 @@ def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return sorted(found)
 
 
+def has_versions(spark: SparkSession, path: str) -> bool:
+    """Whether a replaced or maintained table has a finished version."""
+    return bool(_versions(spark, path))
+
+
 def _name(path: str, number: int, kind: str) -> str:
     return f"{path}/{kind}-{number:012d}"
 
@@ -99,35 +110,47 @@ def read_state(
     """Latest event per key over the newest full version and the changes on top of it.
 
     A full version has one row per key. Deletes are included as markers. None if nothing
-    has been written yet. Few changes are matched against the full version by broadcast,
-    so that it is not shuffled; many are merged by a shuffle of both.
+    has been written yet. Only the rows of changed keys are ranked again; how the keys are
+    matched is Spark's choice by their size.
     """
     keys = names(keys)
-    live = _live(_versions(spark, path))
-    full = [_name(path, n, kind) for n, kind in live if kind == "full"]
-    parts = [_name(path, n, kind) for n, kind in live if kind == "part"]
-    reader = spark.read.format(fmt).option("mergeSchema", "true")
-    if not parts:
-        return reader.load(full) if full else None
-    changes = latest_per_key(reader.load(parts), keys, ts, seq)
-    if not full:
-        return changes
-    base = reader.load(full)
-    if sum(size(spark, part) for part in parts) > BROADCAST_BYTES:
-        return merge_changes(base, changes, keys, ts, seq)
-    rest, touched = split(base, changes.select(*keys), keys)
-    merged = merge_changes(touched, changes, keys, ts, seq)
+    base, changes = _base_and_changes(spark, path, keys, ts, seq, fmt)
+    if base is None or changes is None:
+        return changes if base is None else base
+    changed = changes.select(*[F.col(k).alias(f"_changed_{k}") for k in keys])
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_changed_{k}")) for k in keys])
+    rest = base.join(changed, on, "left_anti")
+    merged = merge_changes(base.join(changed, on, "left_semi"), changes, keys, ts, seq)
     return rest.unionByName(merged, allowMissingColumns=True)
 
 
+def _base_and_changes(
+    spark: SparkSession, path: str, keys: list[str], ts: str, seq: str | Sequence[str], fmt: str
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """The newest full version, and the newest change per key on top of it.
+
+    Each version has one schema; columns that only some have read as null.
+    """
+    frames = [(kind, spark.read.format(fmt).load(_name(path, n, kind)))
+              for n, kind in _live(_versions(spark, path))]
+    base = next((df for kind, df in frames if kind == "full"), None)
+    parts = [df for kind, df in frames if kind != "full"]
+    if not parts:
+        return base, None
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return base, latest_per_key(together, keys, ts, seq)
+
+
 def _live(versions: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """The newest full version, the newest fold since, and the parts after both."""
     base = max((n for n, kind in versions if kind == "full"), default=-1)
-    return [(n, kind) for n, kind in versions if n >= base]
+    fold = max((n for n, kind in versions if kind == "fold" and n > base), default=base)
+    return [(n, kind) for n, kind in versions if n in (base, fold) or n > fold]
 
 
 def pending_changes(spark: SparkSession, path: str) -> int:
     """How many sets of changes lie on top of the newest full version."""
-    return sum(kind == "part" for _, kind in _live(_versions(spark, path)))
+    return sum(kind != "full" for _, kind in _live(_versions(spark, path)))
 
 
 def compact(
@@ -144,19 +167,52 @@ def compact(
         replace(state, path, fmt)
 
 
+def settle(
+    spark: SparkSession,
+    path: str,
+    keys: str | Sequence[str],
+    ts: str = TS,
+    seq: str | Sequence[str] = SEQ,
+    most_parts: int = 50,
+    share: float = COMPACT_SHARE,
+    fmt: str = FORMAT,
+) -> None:
+    """Keep the number of change sets bounded; call it after each one.
+
+    At ``most_parts`` sets the changes become one, newest per key, at a cost that grows
+    with them alone. The whole table is rewritten only when they have reached ``share`` of
+    its bytes, so its cost per changed byte stays the same however large it is. Versions
+    that neither the newest state nor the one before needs are deleted.
+    """
+    live = _live(_versions(spark, path))
+    changes = [(n, kind) for n, kind in live if kind != "full"]
+    if len(changes) < most_parts:
+        return
+    stored = {kind: 0 for kind in ("full", "fold", "part")}
+    for n, kind in live:
+        stored[kind] += size(spark, _name(path, n, kind))
+    if stored["fold"] + stored["part"] >= share * stored["full"]:
+        compact(spark, path, keys, ts, seq, fmt)
+    else:
+        _, newest = _base_and_changes(spark, path, names(keys), ts, seq, fmt)
+        _write_version(newest, path, "fold", fmt)
+    expire(spark, path, keep=2)
+
+
 def expire(spark: SparkSession, path: str, keep: int = 1) -> None:
-    """Delete the versions before the newest ``keep`` full ones and their changes.
+    """Delete what only states before the newest ``keep`` full versions or folds need.
 
-    Nothing that a reader of a kept version needs is deleted; call it when no job still
-    reads an older one.
+    Call it when no job still reads an older one.
     """
     versions = _versions(spark, path)
-    full = [n for n, kind in versions if kind == "full"]
-    if keep < 1 or len(full) <= keep:
+    roots = [n for n, kind in versions if kind != "part"]
+    if keep < 1 or len(roots) <= keep:
         return
+    oldest = roots[-keep]
+    needed = {n for n, _ in _live([v for v in versions if v[0] <= oldest])}
     _, files = _folder(spark, path)
     for n, kind in versions:
-        if n < full[-keep]:
+        if n < oldest and n not in needed:
             files.delete(spark._jvm.org.apache.hadoop.fs.Path(_name(path, n, kind)), True)
 
 

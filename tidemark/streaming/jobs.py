@@ -23,6 +23,7 @@ from tidemark.schemas import (
     TOPIC_PREFIX,
     TS,
 )
+from tidemark.session import settings_for
 from tidemark.sources import tables
 
 # Partition columns of the log: whether a message failed to decode, and the day it came.
@@ -122,15 +123,15 @@ def stream_merge(
     """Merge each micro-batch of ``events`` into the state table at ``path``.
 
     A batch writes only its own newest events per key; every ``compact_every`` batches
-    they are folded into a new full version. Read with ``tables.read_state``. A batch that
-    is repeated after a failure changes nothing.
+    ``tables.settle`` folds them, and rewrites the whole table once they are a fair share of
+    it. Read with ``tables.read_state``. A batch that is repeated after a failure changes
+    nothing.
     """
     keys = names(keys)
 
     def merge(batch: DataFrame, _: int) -> None:
         tables.add_changes(latest_per_key(batch, keys, ts, seq), path)
-        if tables.pending_changes(batch.sparkSession, path) >= compact_every:
-            tables.compact(batch.sparkSession, path, keys, ts, seq)
+        tables.settle(batch.sparkSession, path, keys, ts, seq, compact_every)
 
     return (
         events.writeStream.foreachBatch(merge)
@@ -162,28 +163,34 @@ def stream_current(
     seq: str | Sequence[str] = SEQ,
     trigger: dict | None = None,
     compact_every: int = 50,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep the newest event per key in the state store and publish each key that changes.
 
     The state store is RocksDB, so it need not fit in executor memory. Only keys seen in a
-    batch are written; read the table with ``tables.read_state``.
+    batch are written; read the table with ``tables.read_state``. ``state_partitions``, by
+    default the session's shuffle partitions, stays as the first run sets it.
     """
-    events.sparkSession.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
     keys = names(keys)
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+    }
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
 
     def publish(changed: DataFrame, _: int) -> None:
         tables.add_changes(changed, path)
-        if tables.pending_changes(changed.sparkSession, path) >= compact_every:
-            tables.compact(changed.sparkSession, path, keys, ts, seq)
-
-    return (
-        current_by_key(events, keys, ts, seq)
-        .writeStream.outputMode("update")
-        .foreachBatch(publish)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or EVERY_5_SECONDS))
-        .start()
-    )
+        tables.settle(changed.sparkSession, path, keys, ts, seq, compact_every)
+
+    # A query keeps the settings it was started with.
+    with settings_for(events.sparkSession, settings):
+        return (
+            current_by_key(events, keys, ts, seq)
+            .writeStream.outputMode("update")
+            .foreachBatch(publish)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or EVERY_5_SECONDS))
+            .start()
+        )
