@@ -53,7 +53,8 @@ def test_labels_of_held_out_rows_are_not_used(spark):
 def test_score_counts_each_feature_once_and_reads_whole_texts():
     weights = np.zeros(1 << toxicity.FEATURE_BITS)
     data, at = text_of(pa.array(["knavish"]))
-    weights[np.unique(toxicity._features(data, at)[0])] = 0.5
+    for features, _ in toxicity._features(data, at):
+        weights[features] = 0.5
     model = toxicity.Model(weights, -4.0)
     texts = ["knavish", "knavish knavish knavish", LONG + " knavish", "", None, "KNAVISH"]
     got = model.score(*text_of(pa.array(texts, pa.string())))
@@ -61,6 +62,15 @@ def test_score_counts_each_feature_once_and_reads_whole_texts():
     assert np.allclose(got[3:5], 1 / (1 + np.exp(4)))
 
 
+def test_windows_do_not_change_scores(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=1 << toxicity.FEATURE_BITS) / 50, 0.0)
+    texts = text_of(pa.array([t for _, t in TEXTS], pa.string()))
+    whole = model.score(*texts)
+    monkeypatch.setattr(toxicity, "_WINDOW", 37)
+    assert np.allclose(model.score(*texts), whole)
+
+
 def test_awkward_tables(spark):
     model = toxicity.Model(np.zeros(1 << toxicity.FEATURE_BITS), 0.0)
     docs = spark.createDataFrame([(i, t, "old") for i, t in TEXTS], "doc_id long, text string, score string")

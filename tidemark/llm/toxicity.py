@@ -32,41 +32,56 @@ MOST_FEATURES = 20_000
 #: Added to each count before ratios are taken.
 SMOOTHING = 1.0
 #: Weight decay and rounds of the regression.
-DECAY, ROUNDS = 1.0, 200
+DECAY, ROUNDS = 1.0, 120
+
+#: Characters whose n-grams are hashed at once.
+_WINDOW = 1 << 18
 
 _ODD = np.random.Generator(np.random.PCG64(7)).integers(0, 2**63, 16, np.uint64) * np.uint64(
     2
 ) + np.uint64(1)
 
 
-def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The feature of every n-gram of a buffer of texts, and the row it lies in.
-
-    A-Z count as a-z, and a text has a space before and after it.
-    """
+def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of a buffer of texts, a space before and after each, and their row."""
     n = len(offsets) - 1
-    raw = data.tobytes().decode("utf-8").encode("utf-32-le")
-    codes = np.frombuffer(raw, np.uint32).astype(np.uint64)
+    codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    at = heads[offsets]
-    # Each text moves by one place for every space before it.
-    places = np.arange(len(codes)) + np.repeat(2 * np.arange(n) + 1, np.diff(at))
-    padded = np.full(len(codes) + 2 * n, 32, np.uint64)
-    padded[places] = codes
-    upper = (padded >= 65) & (padded <= 90)
-    padded[upper] += np.uint64(32)
-    row = np.repeat(np.arange(n), np.diff(at) + 2)
-    features, rows = [], []
-    for size in NGRAMS:
-        m = max(0, len(padded) - size + 1)
-        total = np.full(m, size, np.uint64)
-        for j in range(size):
-            total += padded[j : j + m] * _ODD[j]
-        inside = row[:m] == row[size - 1 :] if m else np.empty(0, bool)
-        hashed = mixed(total) >> np.uint64(64 - FEATURE_BITS)
-        features.append(hashed[inside].astype(np.int32))
-        rows.append(row[:m][inside])
-    return np.concatenate(features), np.concatenate(rows)
+    lengths = np.diff(heads[offsets])
+    row = np.repeat(np.arange(n, dtype=np.int32), lengths + 2)
+    ends = np.cumsum(lengths + 2)
+    inside = np.ones(len(row), bool)
+    inside[ends - 1] = inside[ends - lengths - 2] = False
+    padded = np.full(len(row), 32, np.uint32)
+    padded[inside] = codes
+    padded[(padded >= 65) & (padded <= 90)] += 32
+    return padded, row
+
+
+def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The feature of every n-gram of a buffer of texts, and the row it lies in, by windows.
+
+    A-Z count as a-z.
+    """
+    padded, row = _padded(data, offsets)
+    for start in range(0, len(padded), _WINDOW):
+        codes = padded[start : start + _WINDOW + max(NGRAMS) - 1].astype(np.uint64)
+        rows = row[start : start + _WINDOW + max(NGRAMS) - 1]
+        for size in NGRAMS:
+            m = min(_WINDOW, len(codes) - size + 1)
+            if m <= 0:
+                continue
+            total = np.full(m, size, np.uint64)
+            for j in range(size):
+                total += codes[j : j + m] * _ODD[j]
+            inside = rows[:m] == rows[size - 1 : size - 1 + m]
+            hashed = mixed(total) >> np.uint64(64 - FEATURE_BITS)
+            yield hashed[inside].astype(np.int32), rows[:m][inside]
+
+
+def _pairs(features: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Row and feature as one number each, without repeats."""
+    return np.unique(rows.astype(np.int64) << 32 | features)
 
 
 class Model:
@@ -78,10 +93,12 @@ class Model:
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Probability of label 1 for each text; every feature of a text counts once."""
         total = np.full(len(offsets) - 1, self.bias)
-        if len(data):
-            features, rows = _features(data, offsets)
-            some = np.flatnonzero(self.weights[features])
-            pairs = np.unique(rows[some].astype(np.int64) << 32 | features[some])
+        held = []
+        for features, rows in _features(data, offsets):
+            some = self.weights[features] != 0
+            held.append(_pairs(features[some], rows[some]))
+        if held:
+            pairs = np.unique(np.concatenate(held))
             np.add.at(total, pairs >> 32, self.weights[pairs & 0xFFFFFFFF])
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
@@ -108,12 +125,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     share = labels.agg(F.avg("label")).first()[0]
     share = 0.5 if share is None else float(np.clip(share, 1e-4, 1 - 1e-4))
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 data, offsets = text_of(piece.column("text"))
-                features, rows = _features(data, offsets)
-                pairs = np.unique(rows.astype(np.int64) << 32 | features)
+                found = [_pairs(*x) for x in _features(data, offsets)]
+                pairs = np.unique(np.concatenate([np.empty(0, np.int64), *found]))
                 cuts = np.searchsorted(pairs >> 32, np.arange(len(offsets)))
                 flat = pa.array((pairs & 0xFFFFFFFF).astype(np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), flat)
@@ -121,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays(columns, ["id", "label", "features"])
 
     made = stored(
-        _sample(docs, labels).mapInArrow(found, "id long, label int, features array<int>"),
+        _sample(docs, labels).mapInArrow(held, "id long, label int, features array<int>"),
         "features",
     )
     counted = (
@@ -160,13 +177,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     # Texts without any chosen feature count too.
     rest = made.select("id", "label").join(cells.select("id"), "id", "left_anti")
-    spans = [(r[0], r[1]) for r in cells.orderBy("id").select("label", "features").toLocalIterator()]
     empty = [r[0] for r in rest.select("label").collect()]
+    table = cells.orderBy("id").select("label", "features").toArrow().combine_chunks()
+    lists = table.column("features").combine_chunks()
     column = np.full(1 << FEATURE_BITS, -1)
     column[ids] = np.arange(len(ids))
+    lengths = np.concatenate([lists.value_lengths().to_numpy(), np.zeros(len(empty), int)])
     fitted, bias = _regress(
-        np.array([s[0] for s in spans] + empty, float),
-        [column[np.array(s[1])] for s in spans] + [np.empty(0, int)] * len(empty),
+        np.concatenate([table.column("label").to_numpy(), empty]).astype(float),
+        column[lists.flatten().to_numpy()],
+        np.repeat(np.arange(len(lengths)), lengths),
         ratio,
     )
     # The sample may hold more of label 1 than the labels do.
@@ -174,11 +194,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(weights, bias + prior - float(np.log(n_p / n_q)))
 
 
-def _regress(y: np.ndarray, held: list[np.ndarray], ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights over the scaled features, and the bias, by accelerated gradient descent."""
-    lengths = np.array([len(h) for h in held])
-    flat = np.concatenate(held) if len(held) else np.empty(0, int)
-    row = np.repeat(np.arange(len(held)), lengths)
+def _regress(
+    y: np.ndarray, flat: np.ndarray, row: np.ndarray, ratio: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Weights over the scaled features, and the bias, by accelerated gradient descent.
+
+    ``flat`` has the features of all texts and ``row`` the text of each.
+    """
     scaled = ratio[flat]
     n = len(y)
     w, b = np.zeros(len(ratio)), 0.0
