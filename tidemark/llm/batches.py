@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes worked on at once; a longer text is a piece of its own.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 
 def text_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

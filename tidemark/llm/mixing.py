@@ -203,8 +203,14 @@ def _posteriors(features: DataFrame, plan: Plan) -> DataFrame:
 
 
 def _unbounded(plan: Plan) -> Column:
-    pulls = [F.lit(float(x)) * F.col(f"_p{k}") for k, x in enumerate(plan.pull)]
-    return reduce(lambda rate, pull: rate - pull, pulls, F.lit(1.0))
+    """One reading less the pull of each domain, by the posterior.
+
+    The pulls are one array value, so that the steps' expressions differ in nothing else
+    and are compiled once.
+    """
+    posterior = F.array(*[F.col(f"_p{k}") for k in range(len(DOMAINS))])
+    pulls = F.zip_with(posterior, F.array(*[F.lit(float(x)) for x in plan.pull]), lambda p, x: p * x)
+    return 1 - F.aggregate(pulls, F.lit(0.0), lambda total, x: total + x)
 
 
 def _rate(plan: Plan) -> Column:

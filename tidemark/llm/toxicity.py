@@ -25,10 +25,10 @@ NGRAMS = (3, 4, 5, 6)
 FEATURE_BITS = 20
 
 #: Labelled texts per class that a model is fitted on at most (about), picked by hash.
-TRAIN_ROWS = 4_000
+TRAIN_ROWS = 3_000
 #: Features must occur in so many of them; so many of the most telling ones are weighed.
 MIN_TEXTS = 5
-MOST_FEATURES = 20_000
+MOST_FEATURES = 8_000
 #: Added to each count before ratios are taken.
 SMOOTHING = 1.0
 #: Weight decay and rounds of the regression.
@@ -180,13 +180,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     empty = [r[0] for r in rest.select("label").collect()]
     table = cells.orderBy("id").select("label", "features").toArrow().combine_chunks()
     lists = table.column("features").combine_chunks()
-    column = np.full(1 << FEATURE_BITS, -1)
+    column = np.full(1 << FEATURE_BITS, -1, np.int32)
     column[ids] = np.arange(len(ids))
     lengths = np.concatenate([lists.value_lengths().to_numpy(), np.zeros(len(empty), int)])
     fitted, bias = _regress(
         np.concatenate([table.column("label").to_numpy(), empty]).astype(float),
         column[lists.flatten().to_numpy()],
-        np.repeat(np.arange(len(lengths)), lengths),
+        np.repeat(np.arange(len(lengths), dtype=np.int32), lengths),
         ratio,
     )
     # The sample may hold more of label 1 than the labels do.
@@ -201,7 +201,7 @@ def _regress(
 
     ``flat`` has the features of all texts and ``row`` the text of each.
     """
-    scaled = ratio[flat]
+    scaled = ratio.astype(np.float32)[flat]
     n = len(y)
     w, b = np.zeros(len(ratio)), 0.0
     # A bound of the curvature: the largest squared length of a row, by power steps.
