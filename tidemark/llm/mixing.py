@@ -354,11 +354,17 @@ def mix(
     columns = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     own_id, own_text = (f"c{columns.index(c)}" for c in (doc_id, text))
-    rated = _posteriors(_features(plain, own_text, plan.markers), plan).withColumn("rate", _rate(plan))
-    times = _copies(F.col(own_id).cast("long"))
-    repeated = rated.withColumn("_times", times).where("_times > 0")
+    rated = _posteriors(_features(plain, own_text, plan.markers), plan)
+    # A one-element explode: what follows is then not pushed under the classifier, where
+    # each use of a column would repeat what it is made of.
+    rated = rated.select(
+        *plain.columns, F.explode(F.array(F.struct(_rate(plan).alias("rate")))).alias("_rated")
+    ).select(*plain.columns, "_rated.rate")
+    times = F.sequence(F.lit(1).cast("long"), F.col("_times"))
     return (
-        repeated.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+        rated.withColumn("_times", _copies(F.col(own_id).cast("long")))
+        .where("_times > 0")
+        .withColumn("_time", F.explode(times))
         .select(*plain.columns)
         .toDF(*columns)
     )
