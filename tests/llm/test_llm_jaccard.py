@@ -71,3 +71,33 @@ def test_drop_keeps_one_of_each_group(spark):
     assert kept.columns == docs.columns
     expected = sorted(i for i, _, c in similar_groups(TEXTS[:16] + TEXTS[17:], 5, 80) if i == c)
     assert sorted(r.doc_id for r in kept.collect()) == expected
+
+
+def _strange_ids():
+    """Groups whose rows lack a doc_id or repeat one, as (doc_id, text)."""
+    other = " ".join(f"other{i}" for i in range(60))
+    third = " ".join(f"third{i}" for i in range(60))
+    return [
+        (None, BASE), (7, BASE), (9, BASE + " more"), (8, BASE),
+        (None, other), (None, other), (None, other + " more"),
+        (3, third), (3, third + " more"), (3, third), (5, third), (None, third),
+        (-(2**63), "the smallest number is an id"), (1, "the smallest number is an id"),
+        (None, None), (None, ""), (4, None), (4, None),
+    ]
+
+
+def test_component_is_the_smallest_id_that_is_there(spark):
+    docs = _strange_ids()
+    got = _found(jaccard_join.similar_groups(spark.createDataFrame(docs, SCHEMA)))
+    assert got == similar_groups(docs, 5, 80)
+    assert {c for i, n, c in got if i in (7, 8, 9)} == {7}
+
+
+def test_drop_keeps_one_row_of_groups_with_strange_ids(spark):
+    rows = [(i, t, n) for n, (i, t) in enumerate(_strange_ids())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, no int")
+    kept = jaccard_join.drop_similar(docs).collect()
+    of = {n: g for g, own in enumerate([range(4), range(4, 7), range(7, 12), (12, 13)]) for n in own}
+    assert sorted(of.get(r.no, r.no) for r in kept) == [0, 1, 2, 3, 14, 15, 16, 17]
+    ids = {of[r.no]: r.doc_id for r in kept if r.no in of}
+    assert ids == {0: 7, 1: None, 2: 3, 3: -(2**63)}

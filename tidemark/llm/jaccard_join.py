@@ -40,8 +40,6 @@ VERIFY_FIXED, VERIFY_TOKEN = 2.0, 1 / 16
 #: Chance that a token of an ordinary bucket has another document.
 ORDINARY = 0.1
 
-_NO_ID = -(2**63)
-
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
@@ -80,25 +78,27 @@ def _measure(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("id"),
+                        piece.column("row"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(classes, pa.int64()),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.binary()),
                     ],
-                    ["id", "n", "cls", "block", "counts"],
+                    ["id", "row", "n", "cls", "block", "counts"],
                 )
         blocks = counts.reshape(-1, 1 << _BLOCK_BITS)
         for i in np.flatnonzero(blocks.any(axis=1)):
             packed = np.minimum(blocks[i], 65535).astype(np.uint16).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                    *[pa.nulls(1, pa.int64()) for _ in range(4)],
                     pa.array([i], pa.int32()), pa.array([packed], pa.binary()),
                 ],
-                ["id", "n", "cls", "block", "counts"],
+                ["id", "row", "n", "cls", "block", "counts"],
             )
 
-    return docs.mapInArrow(measured, "id long, n long, cls long, block int, counts binary")
+    schema = "id long, row long, n long, cls long, block int, counts binary"
+    return docs.mapInArrow(measured, schema)
 
 
 def _levels(measured: DataFrame) -> np.ndarray:
@@ -135,7 +135,7 @@ def _levels(measured: DataFrame) -> np.ndarray:
         .mapInArrow(summed, "block int, levels binary")
     )
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for row in blocks.toLocalIterator():
+    for row in blocks.collect():  # one job, not one per partition
         at = row["block"] << _BLOCK_BITS
         levels[at : at + (1 << _BLOCK_BITS)] = np.frombuffer(row["levels"], np.uint8)
     return levels
@@ -369,17 +369,17 @@ def _sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
                 sets = shingle_sets(*text_of(piece.column("text")), words)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        piece.column("id"),
+                        piece.column("row"),
                         pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    ["id", "cls", "tokens"],
+                    ["row", "cls", "tokens"],
                 )
 
-    likely = maybe_in(docs, reps, ["id"])
+    likely = maybe_in(docs.select("row", "text"), reps, ["row"])
     return (
-        likely.mapInArrow(made, "id long, cls long, tokens binary")
-        .join(reps, ["id", "cls"], "left_semi")
+        likely.mapInArrow(made, "row long, cls long, tokens binary")
+        .join(reps, ["row", "cls"], "left_semi")
         .groupBy("cls")
         .agg(F.first("tokens").alias("tokens"))
     )
@@ -390,7 +390,7 @@ def _similar(
 ) -> DataFrame:
     """The pairs whose whole sets are similar enough; sets are made for classes in a pair only."""
     paired = pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
-    reps = shapes.join(paired, "cls", "left_semi").groupBy("cls").agg(F.min("id").alias("id"))
+    reps = shapes.join(paired, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("row"))
     sets = stored(_sets(docs, stored(reps, "representatives"), words), "sets")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,29 +414,18 @@ def _similar(
 # -- the join ----------------------------------------------------------------------------------
 
 
-def similar_groups(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    words: int = 5,
-    percent: int = 80,
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles and component_id.
-
-    Words are what ASCII white space separates, A-Z lower-cased; a document's set has its
-    distinct runs of ``words`` words, or all its words as one if there are fewer. Two
-    documents are linked when ``100 * intersection >= percent * union``, and component_id
-    is the smallest doc_id reachable by links, the document's own included. Texts without
-    words, null ones too, are linked with nothing. Equal sets are always linked; rows that
-    repeat a doc_id and rows without one are documents like all others. Texts are read
-    whole; no list of documents under a token is cut. An empty table gives an empty result;
-    other columns play no part, whatever their names.
-    """
-    rows = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text).alias("text")
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with the number ``id``, ``text`` and ``row``, a key of both that is never null."""
+    number = F.col(doc_id).cast("long")
+    return docs.select(
+        number.alias("id"), F.col(text).alias("text"), F.xxhash64(number, text).alias("row")
     )
+
+
+def _labelled(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """``(id, row, n, label)`` of each row; rows without words have no label."""
     measured = stored(_measure(rows, words), "measured")
-    shapes = measured.where(F.col("block").isNull()).select("id", "n", "cls")
+    shapes = measured.where(F.col("block").isNull()).select("id", "row", "n", "cls")
     levels = _levels(measured)
     entries = stored(_with_company(_prefixes(rows, words, percent, levels)), "prefixes")
     useful = stored(_useful(entries, percent), "useful")
@@ -449,18 +438,43 @@ def similar_groups(
         more = _similar(cross, rows, shapes, words, percent)
         links = stored(links.unionAll(more), "links")
     groups = components(links).withColumnRenamed("node", "cls")
-    labelled = (
+    linked = (
         shapes.where("n > 0")
         .join(groups, "cls", "left")
-        .select("id", "n", F.coalesce("component", "cls").alias("label"))
+        .select("id", "row", "n", F.coalesce("component", "cls").alias("label"))
     )
-    least = labelled.groupBy("label").agg(F.min("id").alias("least"))
-    linked = labelled.join(least, "label").select("id", "n", "least")
-    alone = shapes.where("n = 0").select("id", "n", F.col("id").alias("least"))
+    alone = shapes.where("n = 0")
+    return linked.unionAll(alone.select("id", "row", "n", F.lit(None).cast("long").alias("label")))
+
+
+def similar_groups(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles and component_id.
+
+    Words are what ASCII white space separates, A-Z lower-cased; a document's set has its
+    distinct runs of ``words`` words, or all its words as one if there are fewer. Two
+    documents are linked when ``100 * intersection >= percent * union``, and component_id
+    is the smallest doc_id reachable by links, the document's own included; it is null only
+    if none of them has one. Texts without words, null ones too, are linked with nothing.
+    Equal sets are always linked; rows that repeat a doc_id and rows without one are
+    documents like all others. Texts are read whole; no list of documents under a token is
+    cut. An empty table gives an empty result; other columns play no part, whatever their
+    names.
+    """
+    labelled = _labelled(_rows(docs, doc_id, text), words, percent)
+    grouped = labelled.where("label IS NOT NULL")
+    least = grouped.groupBy("label").agg(F.min("id").alias("least"))
+    linked = grouped.join(least, "label").select("id", "n", "least")
+    alone = labelled.where("label IS NULL").select("id", "n", F.col("id").alias("least"))
     return linked.unionAll(alone).select(
-        F.nullif("id", F.lit(_NO_ID)).alias("doc_id"),
+        F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.nullif("least", F.lit(_NO_ID)).alias("component_id"),
+        F.col("least").alias("component_id"),
     )
 
 
@@ -471,23 +485,53 @@ def drop_similar(
     words: int = 5,
     percent: int = 80,
 ) -> DataFrame:
-    """``docs`` with one document of each group of similar ones, columns unchanged.
+    """``docs`` with exactly one row of each group of similar ones, columns unchanged.
 
-    The one with the smallest doc_id stays. A doc_id that several rows carry goes only if
-    none of its rows stays, and of rows that are equal in every column one stays. Rows
-    without a doc_id stay.
+    The one with the smallest doc_id stays; a row without a doc_id does only if its group
+    has none. Rows are told apart by doc_id and text, so of a group's rows that repeat the
+    smallest doc_id one stays too, and of rows equal in both any one. Rows without words
+    are in no group and stay.
     """
     columns = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
-    key = f"c{columns.index(doc_id)}"
-    groups = similar_groups(docs.select(doc_id, text), doc_id, text, words, percent)
-    by_id = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"),
-        F.count(F.lit(1)).alias("rows"),
+    number = F.col(f"c{columns.index(doc_id)}").cast("long")
+    own = f"c{columns.index(text)}"
+    rows = _rows(docs.select(doc_id, text), doc_id, text)
+    # Equal rows are counted first, so a group is as large as its different rows.
+    grouped = stored(
+        _labelled(rows, words, percent)
+        .where("label IS NOT NULL")
+        .groupBy("label", "id", "row")
+        .agg(F.count(F.lit(1)).alias("copies")),
+        "grouped",
+    )
+    least = (
+        grouped.groupBy("label")
+        .agg(F.min("id").alias("least"), F.sum("copies").alias("size"))
+        .where("size > 1")
+    )
+    several = stored(grouped.join(least, "label").drop("size"), "several")
+    first = several.where("id <=> least").groupBy("label").agg(F.min("row").alias("first"))
+    decided = stored(
+        several.join(first, "label").select(
+            F.col("id").alias("_id"),
+            F.col("row").alias("_row"),
+            F.expr("id <=> least AND row = first").alias("_stays"),
+            "copies",
+        ),
+        "decided",
+    ).withColumnRenamed("copies", "_copies")
+    keyed = plain.withColumns({"_id": number, "_row": F.xxhash64(number, own)})
+    apart = maybe_in(keyed, decided, ["_row"], keep=False)
+    near = maybe_in(keyed, decided, ["_row"]).alias("x").join(
+        decided.alias("y"),
+        (F.col("x._row") == F.col("y._row")) & F.col("x._id").eqNullSafe(F.col("y._id")),
+        "left",
+    )
+    near = near.select("x.*", "_stays", "_copies")
+    once = near.where("_stays IS NULL OR (_stays AND _copies = 1)")
+    repeated = near.where("_stays AND _copies > 1").dropDuplicates(["_row", "_id"])
+    kept = apart.unionByName(once.select(*apart.columns)).unionByName(
+        repeated.select(*apart.columns)
     )
-    odd = stored(by_id.where("NOT stays OR rows > 1"), "dropped")
-    apart = maybe_in(plain, odd, [key], keep=False)
-    near = maybe_in(plain, odd, [key]).join(odd, key, "left")
-    single = near.where("stays IS NULL").select(*plain.columns)
-    several = near.where("stays").select(*plain.columns).dropDuplicates()
-    return apart.unionByName(single).unionByName(several).toDF(*columns)
+    return kept.select(*plain.columns).toDF(*columns)
