@@ -1,13 +1,15 @@
 """Mixing documents to target domain weights by soft membership.
 
 A classifier learned from the labelled table gives each document a posterior over domains.
-Each document gets a rate, how often it is to be read; the rates are fitted by projected
-gradient steps so that the expected tokens of each domain, rate x tokens x posterior summed
-over all documents, meet the targets by least squares. Rates never leave their bounds.
-
-The gradient of a document's rate is its posterior times one vector over the domains, so the
-steps taken add up to such a vector, and the rate is one reading less the posterior times
-that, projected into its bounds. A step needs one aggregate over the documents.
+Each document gets a rate, how often it is to be read; the rates are fitted so that the
+expected tokens of each domain, rate x tokens x posterior summed over all documents, meet
+the targets by least squares. Rates never leave their bounds.
+
+A document's rate is one reading less its posterior times one vector over the domains,
+projected into its bounds. That vector is fitted by damped Newton steps, solved on the
+driver, not by projected gradient steps over the documents: 40 plain ones took 168 s on
+sf0.01 beside other runs, and their check did not end. A step needs one aggregate over the
+documents.
 
 Everything is DataFrame expressions: the driver only sees tables whose size is that of the
 model (domains x features x bins) and one vector over the domains per step.
