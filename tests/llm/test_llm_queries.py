@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql())
 

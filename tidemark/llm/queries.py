@@ -5,20 +5,23 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat,
+    collocations,
     exact_dedup,
     jaccard_join,
     licenses,
     line_templates,
+    merkle,
     mixing,
     near_vectors,
     token_counts,
     toxicity,
     unigram,
+    url_filter,
 )
 
 #: Where the files of public tokenizers are; read by the driver only.
@@ -88,7 +91,45 @@ def op10_license_templates(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+#: The longest rule that fits a url decides.
+URL_RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(_table(spark, folder, "pages"), URL_RULES)
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every leaf with its proof, and the root that a changed leaf would fold to."""
+    docs = _table(spark, folder, "documents")
+
+    def leaf(text: Column) -> Column:
+        return merkle.leaf_of(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    other = F.when(tampered, leaf(F.translate("text", "\n", "")))
+    leaves = docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"), other.alias("other"))
+    proofs = merkle.manifest(leaves, "doc_id", "source", carry=["other"])
+    refolded = merkle.folded(F.coalesce("other", "leaf"), F.col("levels"))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("levels")).alias("proof_sha256"),
+        refolded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("lang", "text")
+    return collocations.collocations(docs, least=100, top=2000)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_near_vectors, op2_toxicity, op3_chat_format, op4_source_mixing, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join, op10_license_templates)
+    for f in (op1_near_vectors, op2_toxicity, op3_chat_format, op4_source_mixing, op5_exact_dedup, op6_token_counts, op7_line_templates, op8_unigram_pieces, op9_jaccard_join, op10_license_templates, op11_url_filter, op12_merkle_manifest, op13_collocations)
 }
