@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import history, skew, state
+from tidemark.session import settings_for
 
 FEW = settings(
     max_examples=4, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True
@@ -24,27 +25,27 @@ def grouped(df, columns):
 VERSION = ["k", "v", "valid_from_ms", "valid_to_ms", "is_current"]
 
 
-@pytest.mark.parametrize("slice_ms", [None, 3, 1])
+@pytest.mark.parametrize("slices", [None, 2, 7])
 @FEW
 @given(raw=LOGS)
-def test_history_with_keys_cut_anyhow(spark, slice_ms, raw):
+def test_history_with_keys_cut_anyhow(spark, slices, raw):
     cases = [logs.numbered(log) for log in raw]
     df = logs.frame(spark, [log + log[:2] for log in cases])  # some delivered twice
     for compact in (False, True):
         found = grouped(
             history.scd2(
-                df, logs.KEYS, ["v"], op="op", compact=compact, slice_ms=slice_ms, **logs.ORDER
+                df, logs.KEYS, ["v"], op="op", compact=compact, slices=slices, **logs.ORDER
             ),
             VERSION,
         )
         for i, log in enumerate(cases):
             assert sorted(found[i], key=repr) == logs.intervals(log, compact)
     moves = grouped(
-        history.with_previous(df, logs.KEYS, "op", slice_ms=slice_ms, **logs.ORDER),
+        history.with_previous(df, logs.KEYS, "op", slices=slices, **logs.ORDER),
         ["previous", "op"],
     )
     order = grouped(
-        history.event_order(df, logs.KEYS, slice_ms=slice_ms, **logs.ORDER),
+        history.event_order(df, logs.KEYS, slices=slices, **logs.ORDER),
         ["k", "seq", "event_no"],
     )
     for i, log in enumerate(cases):
@@ -74,7 +75,7 @@ def test_state_as_of_is_the_history_valid_then(spark, raw, t):
 def test_intervals_of_a_key_do_not_overlap(spark, raw):
     cases = [[e for e in logs.numbered(log) if e[1] is not None] for log in raw]
     found = grouped(
-        history.scd2(logs.frame(spark, cases), logs.KEYS, ["v"], op="op", slice_ms=2, **logs.ORDER),
+        history.scd2(logs.frame(spark, cases), logs.KEYS, ["v"], op="op", slices=3, **logs.ORDER),
         VERSION,
     )
     for versions in found.values():
@@ -105,31 +106,68 @@ def _hot_log(spark, n=60_000):
     )
 
 
+def same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def test_one_key_with_a_third_of_all_rows(spark):
-    """Every key is cut, no slice is wider than asked for, and the result is whole."""
     log = _hot_log(spark)
-    sizes = (
-        log.where("k = 0 AND ts IS NOT NULL").groupBy(skew.slice_of("ts", "seq", 20).alias("s"))
-        .agg(F.count("*").alias("n"), (F.max("ts") - F.min("ts")).alias("width")).collect()
-    )
-    assert len(sizes) == 50 and max(r["width"] for r in sizes) < 20
     args = {"keys": "k", "tracked": ["v"], "op": "op", "ts": "ts", "seq": "seq"}
     for compact in (False, True):
-        whole = history.scd2(log, **args, compact=compact)
-        cut = history.scd2(log, **args, slice_ms=20, compact=compact)
-        assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
-    whole = history.event_order(log, "k", "ts", "seq")
-    cut = history.event_order(log, "k", "ts", "seq", slice_ms=20)
-    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+        whole = history.scd2(log, **args, compact=compact, slices=None)
+        assert same(whole, history.scd2(log, **args, compact=compact))
+    whole = history.event_order(log, "k", "ts", "seq", slices=None)
+    assert same(whole, history.event_order(log, "k", "ts", "seq"))
+
+
+def _tasks_of(df):
+    """Rows of each task of a frame's last stage."""
+    counts = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    return sorted(r["count"] for r in counts)
 
 
-def test_undated_events_are_cut_by_sequence(spark, monkeypatch):
+def test_a_burst_of_one_key_spreads_over_tasks(spark):
+    """A third of all events are of one key, inside one second of a month."""
+    month, tasks = 30 * 86_400_000, 16
+    hot = F.col("id") % 3 == 0
+    log = spark.range(90_000).select(
+        F.when(hot, -1).otherwise(F.col("id") % 20_000).alias("k"),
+        F.when(hot, month // 2 + F.col("id") % 1000).otherwise(F.col("id") * 31_337 % month).alias("ts"),
+        F.col("id").alias("seq"),
+    )
+    settings = {"spark.sql.shuffle.partitions": str(tasks), "spark.sql.adaptive.enabled": "false"}
+    with settings_for(spark, settings):
+        found = []
+
+        def work(rows, cuts):
+            out = skew.neighbour(rows, "k", "ts", "seq", "seq", 1, "after", cuts)
+            found.append(_tasks_of(out))
+            return out
+
+        every = skew.by_heat(log, "k", "ts", work)
+        whole = _tasks_of(skew.neighbour(log, "k", "ts", "seq", "seq", 1, "after"))
+        ordinary, cut = found
+        assert whole[-1] > 4 * sum(whole) / tasks
+        assert sum(cut) == 30_000 and sum(ordinary) == 60_000
+        assert cut[-1] + ordinary[-1] < 2 * 90_000 / tasks
+        assert every.count() == 90_000
+
+
+@pytest.mark.parametrize("ts", [None, 5])
+def test_events_of_one_time_are_cut_by_sequence(spark, monkeypatch, ts):
     monkeypatch.setattr(skew, "_SEQ_BLOCK", 100)
-    log = _hot_log(spark, 9000).withColumn("ts", F.lit(None).cast("bigint"))
-    assert log.select(skew.slice_of("ts", "seq", 20)).distinct().count() == 90
-    whole = history.event_order(log, "k", "ts", "seq")
-    cut = history.event_order(log, "k", "ts", "seq", slice_ms=20)
-    assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+    log = _hot_log(spark, 9000).withColumn("ts", F.lit(ts).cast("bigint")).withColumn("k", F.lit(1))
+    slices = []
+
+    def work(rows, cuts):
+        if cuts:
+            slices.append(skew._sliced(rows, "ts", "seq", cuts).select(skew.SLICE).distinct().count())
+        return rows
+
+    skew.by_heat(log, "k", "ts", work)
+    assert slices == [90]
+    whole = history.event_order(log, "k", "ts", "seq", slices=None)
+    assert same(whole, history.event_order(log, "k", "ts", "seq"))
 
 
 def test_copies_of_one_event_collapse(spark):
@@ -137,8 +175,8 @@ def test_copies_of_one_event_collapse(spark):
         (F.col("id") % 3).alias("k"), F.lit(5).cast("bigint").alias("ts"), F.lit(0).alias("seq"),
         F.lit("u").alias("op"), F.lit("x").alias("v"),
     )
-    for slice_ms in (None, 10):
-        versions = history.scd2(log, "k", ["v"], op="op", ts="ts", seq="seq", slice_ms=slice_ms)
+    for slices in (None, 10):
+        versions = history.scd2(log, "k", ["v"], op="op", ts="ts", seq="seq", slices=slices)
         assert sorted(r["k"] for r in versions.collect()) == [0, 1, 2]
 
 

@@ -167,7 +167,7 @@ def test_one_table_is_enough(spark, customers_only, monkeypatch, capsys):
         command(monkeypatch, "show", "--silver", folder, "--select", "dim_customers_scd2")
         command(monkeypatch, "check", "--silver", folder, "--bronze", at["bronze"])
         command(monkeypatch, "gold", "--silver", folder, "--gold", at["gold"])
-        command(monkeypatch, "expire", "--silver", folder, "--keep", "1")
+        command(monkeypatch, "compact", "--bronze", at["bronze"], "--before", "9999-01-01")
         assert set(pipeline.models(spark, folder)) == {"stg_customers", "dim_customers_scd2"}
     command(monkeypatch, "quarantine", "--bronze", at["bronze"])
     with pytest.raises(FileNotFoundError):

@@ -1,17 +1,20 @@
 """The physical plans are the ones that hold at scale."""
 
 import re
+from pathlib import Path
 
 import messages
+import pyarrow.parquet as pq
 import pytest
 from compare import duckdb_result, spark_result
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tidemark.operators import envelope, state
+from tidemark.operators import capture, envelope, history, state
 from tidemark.plans import marts
 from tidemark.plans.queries import QUERIES
 from tidemark.schemas import CUSTOMERS, OP, RAW, TS
-from tidemark.sources import star
+from tidemark.sources import images, keysets, star, tables
 from tidemark.streaming import jobs
 from tidemark.streaming.messages import file_messages
 
@@ -33,7 +36,9 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-BATCH = [n for n in QUERIES if not n.startswith("stream_")]
+# Not the streams, which run when they are built.
+STREAMS = {"bronze_compacted", "ingest_batches", "silver_skipped", "state_store"}
+BATCH = [n for n in QUERIES if not n.startswith("stream_") and n not in STREAMS]
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -96,9 +101,17 @@ def test_fact_reads_only_its_columns(spark, folder):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_extendedprice:double>" in text
 
 
-def test_history_is_one_shuffle_without_heavy_keys(spark, folder):
-    assert exchanges(entry.queries()["scd2_history"](spark, folder)) == 1
-    assert exchanges(entry.queries()["scd2_history_compact"](spark, folder)) == 1
+def test_ordinary_keys_are_shuffled_once(spark, folder):
+    """Hot keys go another way, and their cut points are found in a subquery of the plan."""
+    log = star.user_changes(spark, folder)
+    args = {"keys": "user_id", "tracked": ["value"], "ts": TS, "seq": "event_id", "compact": True}
+    assert exchanges(history.scd2(log, **args, slices=None)) == 1
+    ways = plan(history.scd2(log, **args)).split("\n")
+    union = next(i for i, x in enumerate(ways) if re.match(r"\s*\+?-? ?Union", x.replace(":", " ")))
+    text = "\n".join(ways[union:])
+    ordinary = text[: text.index("\n   +- ")] if "\n   +- " in text else text
+    assert len(re.findall(r"\bExchange hashpartitioning", ordinary)) == 1
+    assert "Subquery" in "\n".join(ways)
 
 
 def test_dimension_over_current_rows_shuffles_once(spark, folder):
@@ -131,3 +144,96 @@ def test_silver_reads_only_good_rows_and_no_raw_messages(spark, tmp_path):
     assert re.search(r"failed#\d+ = 0", filters)
     assert re.search(r"ingested_on#\d+ >= 2020-01-01", filters)
     assert RAW not in re.search(r"ReadSchema: (.*)", text).group(1)
+
+
+def test_a_past_state_opens_no_day_before_the_kept_one(spark, folder, tmp_path):
+    path, kept = str(tmp_path / "log"), str(tmp_path / "kept")
+    day = F.timestamp_millis(TS).cast("date")
+    log = star.user_changes(spark, folder).withColumn(jobs.DAY, day)
+    log.write.partitionBy(jobs.DAY).parquet(path)
+    args = {"keys": "user_id", "ts": TS, "seq": "event_id"}
+    log = spark.read.parquet(path)
+    for at in (1_704_672_000_000, 1_705_449_600_000):
+        images.save_state(log, kept, at, jobs.DAY, **args)
+    for at in (1_704_300_000_000, 1_704_672_000_000, 1_705_000_000_000, 1_706_000_000_000):
+        found = images.state_as_of(log, kept, at, jobs.DAY, **args)
+        full = state.current_state(log, **args, as_of=at).select(*found.columns)
+        assert found.exceptAll(full).isEmpty() and full.exceptAll(found).isEmpty()
+    filters = " ".join(re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(found)))
+    assert re.search(r"ingested_on#\d+ >= 2024-01-17", filters)
+
+
+def test_only_buckets_that_differ_are_read(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    rows = spark.range(2000).selectExpr("id AS k", "id % 7 AS v")
+    images.save_image(rows, old, "k", buckets=64)
+    changed = F.when(F.col("k").isin(5, 6), -1).otherwise(F.col("v"))
+    images.save_image(rows.where("k <> 9").withColumn("v", changed), new, "k", buckets=64)
+    assert len(images.changed_buckets(spark, old, new)) <= 3
+    found = images.image_diff(spark, old, new, "k", 1)
+    whole = capture.snapshot_diff(rows, rows.where("k <> 9").withColumn("v", changed), "k", 1)
+    assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty() and found.count() == 3
+    assert plan(found).count("bucket_of_64#") and "PartitionFilters: [bucket_of_64#" in plan(found)
+    assert images.image_diff(spark, old, old, "k", 1).isEmpty()
+
+
+def test_a_new_batch_is_checked_without_the_old_rows(spark, tmp_path):
+    keys, known = spark.range(100_000), str(tmp_path / "keys")
+    keysets.add_keys(keys, "id", known)
+    batch = spark.range(99_990, 100_010)
+    text = plan(keysets.repeated_keys(batch, "id", keysets.read_set(spark, known)))
+    assert "bitmap" in text and "Range (0, 100000" not in text
+
+
+def test_publishing_scans_once(spark, folder, tmp_path):
+    rows = star.customers(spark, folder).select("customer_id", "country")
+    seen = []
+    context = spark.sparkContext
+    context.setJobGroup("publish", "publish")
+    try:
+        tables.publish(rows, str(tmp_path / "t"), {"not_null:country": F.col("country").isNull()})
+        tracker = context.statusTracker()
+        for job in tracker.getJobIdsForGroup("publish"):
+            seen.append(len(tracker.getJobInfo(job).stageIds))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # Two schemas, the broadcast of nations, and one write.
+    assert len(seen) <= 4
+
+
+def test_compacted_days_are_clustered_by_key(spark, tmp_path):
+    """Fewer files, the same rows, and a key's rows in few row groups."""
+    log, mark, landed = (str(tmp_path / n) for n in ("log", "mark", "landed"))
+    values = {i: messages.event("c", i, messages.row(i % 500)) for i in range(2000)}
+    values |= {5000 + i: "{bad" for i in range(10)}
+    for part in range(3):
+        some = {k: v for k, v in values.items() if k % 3 == part}
+        messages.frame(spark, some).repartition(4).write.mode("append").parquet(landed)
+        jobs.ingest(
+            file_messages(spark, landed), CUSTOMERS.row, "customers", log, mark, jobs.ALL_THERE_IS
+        ).awaitTermination()
+
+    def rows():
+        good, bad = jobs.read_bronze(spark, log, CUSTOMERS.row), jobs.read_quarantine(spark, log, CUSTOMERS.row)
+        return good.collect(), bad.collect(), len({*good.inputFiles(), *bad.inputFiles()})
+
+    before = rows()
+    assert jobs.compact_log(spark, log, CUSTOMERS.row, "customer_id", before="2000-01-01") == []
+    (day,) = jobs.compact_log(
+        spark, log, CUSTOMERS.row, "customer_id", before="9999-01-01", file_bytes=40_000
+    )
+    after = rows()
+    assert sorted(map(str, before[0])) == sorted(map(str, after[0])) and len(after[0]) == 2000
+    assert sorted(map(str, before[1])) == sorted(map(str, after[1])) and len(after[1]) == 10
+    assert after[2] < before[2]
+    assert jobs.compact_log(spark, log, CUSTOMERS.row, "customer_id", before="9999-01-01") == []
+    one = jobs.read_bronze(spark, log, CUSTOMERS.row).where("customer_id = 77")
+    assert "EqualTo(customer_id,77)" in plan(one)
+    holding = 0
+    for path in Path(f"{log}/failed=0/ingested_on={day}").rglob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index("customer_id")
+        for i in range(meta.num_row_groups):
+            found = meta.row_group(i).column(at).statistics
+            holding += found.min <= 77 <= found.max
+    assert holding == 1

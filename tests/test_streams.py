@@ -4,7 +4,7 @@ import pytest
 from tidemark.operators import envelope, state
 from tidemark.schemas import CUSTOMERS, OFFSET
 from tidemark.session import scratch_dir
-from tidemark.sources import tables
+from tidemark.sources import buckets, tables
 from tidemark.streaming import jobs
 from tidemark.streaming.messages import file_messages, kafka_options
 
@@ -62,13 +62,13 @@ def test_maintained_state_equals_recompute(spark, tmp_path, job):
     def run():
         stream = spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", 1).parquet(landed)
         job(
-            stream, path, mark, "customer_id", trigger=jobs.ALL_THERE_IS, compact_every=3
+            stream, path, mark, "customer_id", trigger=jobs.ALL_THERE_IS, key_buckets=3
         ).awaitTermination()
 
     for part in (f"{OFFSET} >= 9", f"{OFFSET} < 9 and {OFFSET} >= 4", f"{OFFSET} < 4"):
         bronze.where(part).repartition(2).write.mode("append").parquet(landed)
         run()
-    found = state.without_deletes(tables.read_state(spark, path, "customer_id"))
+    found = state.without_deletes(buckets.read_state(spark, path))
     expected = state.current_state(bronze, "customer_id")
     columns = ["customer_id", "full_name", OFFSET]
     assert {tuple(r) for r in found.select(*columns).collect()} == {
@@ -76,7 +76,8 @@ def test_maintained_state_equals_recompute(spark, tmp_path, job):
     }
 
 
-def test_a_batch_that_fails_after_its_write_is_repeated_without_harm(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("step", ["overwrite_partitions", "remove"])
+def test_a_batch_that_dies_while_it_swaps_is_finished(spark, tmp_path, monkeypatch, step):
     landed, path, mark = (str(tmp_path / p) for p in ("landed", "state", "mark"))
     bronze, _ = envelope.parse_events(messages.frame(spark), CUSTOMERS.row, "customers")
     bronze.write.parquet(landed)
@@ -87,22 +88,76 @@ def test_a_batch_that_fails_after_its_write_is_repeated_without_harm(spark, tmp_
             stream, path, mark, "customer_id", trigger=jobs.ALL_THERE_IS
         ).awaitTermination()
 
-    settle = tables.settle
-
     def broken(*args):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(tables, "settle", broken)
-    with pytest.raises(Exception, match="lost"):
-        run()
-    monkeypatch.setattr(tables, "settle", settle)
-    assert tables.pending_changes(spark, path) == 1
-    run()
-    assert tables.pending_changes(spark, path) == 2
-    found = state.without_deletes(tables.read_state(spark, path, "customer_id"))
+    with monkeypatch.context() as m:
+        m.setattr(tables, step, broken)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert tables.exists(spark, f"{path}-staged/_SUCCESS")
     expected = state.current_state(bronze, "customer_id")
     columns = ["customer_id", "full_name", OFFSET]
-    assert set(found.select(*columns).collect()) == set(expected.select(*columns).collect())
+    want = sorted(map(tuple, expected.select(*columns).collect()), key=str)
+    for again in (False, True):
+        if again:
+            run()
+        found = state.without_deletes(buckets.read_state(spark, path))
+        assert sorted(map(tuple, found.select(*columns).collect()), key=str) == want
+    assert not tables.exists(spark, f"{path}-staged")
+
+
+def test_a_repeated_batch_of_the_log_overwrites_itself(spark, tmp_path, monkeypatch):
+    landed, log, mark = (str(tmp_path / p) for p in ("landed", "log", "mark"))
+    land(spark, landed, FIRST)
+
+    def run():
+        stream = file_messages(spark, landed)
+        jobs.ingest(stream, CUSTOMERS.row, "customers", log, mark, jobs.ALL_THERE_IS).awaitTermination()
+
+    write = tables.overwrite_partitions
+
+    def written_then_lost(*args):
+        write(*args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "overwrite_partitions", written_then_lost)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    run()
+    assert jobs.read_bronze(spark, log, CUSTOMERS.row).count() == len(messages.ROWS & set(FIRST))
+
+
+def test_a_compaction_that_dies_is_finished_and_late_batches_stay(spark, tmp_path, monkeypatch):
+    landed, log, mark = (str(tmp_path / p) for p in ("landed", "log", "mark"))
+    n = len(messages.ROWS)
+
+    def take(values):
+        land(spark, landed, values)
+        stream = file_messages(spark, landed)
+        jobs.ingest(stream, CUSTOMERS.row, "customers", log, mark, jobs.ALL_THERE_IS).awaitTermination()
+
+    def compact():
+        return jobs.compact_log(spark, log, CUSTOMERS.row, "customer_id", before="9999-01-01")
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    take(FIRST)
+    for step in ("overwrite_partitions", "remove"):
+        with monkeypatch.context() as m:
+            m.setattr(tables, step, broken)
+            with pytest.raises(RuntimeError, match="lost"):
+                compact()
+    compact()
+    assert jobs.read_bronze(spark, log, CUSTOMERS.row).count() == len(messages.ROWS & set(FIRST))
+    take(REST)
+    assert jobs.read_bronze(spark, log, CUSTOMERS.row).count() == n
+    jobs._finish_compaction(spark, log)
+    assert jobs.read_bronze(spark, log, CUSTOMERS.row).count() == n
+    assert len(compact()) == 1 and compact() == []
+    assert jobs.read_bronze(spark, log, CUSTOMERS.row).count() == n
 
 
 def test_scratch_is_the_shared_folder_of_the_session(spark, shared):

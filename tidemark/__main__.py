@@ -4,12 +4,12 @@
     python -m tidemark silver --bronze B --silver S [--reparse]
     python -m tidemark follow --bronze B --silver S --checkpoints C [--once]
     python -m tidemark gold   --silver S --gold G
-    python -m tidemark history --bronze B --gold G [--slice-ms 86400000]
+    python -m tidemark history --bronze B --gold G [--slices 256]
     python -m tidemark show   --silver S --select fct_orders --limit 5
     python -m tidemark audit  --bronze B
     python -m tidemark check  --silver S [--bronze B]
     python -m tidemark quarantine --bronze B
-    python -m tidemark expire --silver S [--keep 2]
+    python -m tidemark compact --bronze B [--before 2024-05-01]
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from __future__ import annotations
 import argparse
 
 from tidemark.operators import quality
+from tidemark.operators.skew import SLICES
 from tidemark.plans import pipeline
 from tidemark.schemas import TABLES
 from tidemark.session import get_session
-from tidemark.sources import tables
 from tidemark.streaming import jobs
 from tidemark.streaming.messages import kafka_messages
 
@@ -38,7 +38,7 @@ def _arguments() -> argparse.Namespace:
         "audit": ("bronze",),
         "check": ("silver",),
         "quarantine": ("bronze",),
-        "expire": ("silver",),
+        "compact": ("bronze",),
     }
     for step, options in needs.items():
         sub = steps.add_parser(step)
@@ -54,11 +54,11 @@ def _arguments() -> argparse.Namespace:
         if step == "silver":
             sub.add_argument("--reparse", action="store_true", help="read all messages again")
         if step == "history":
-            sub.add_argument("--slice-ms", type=int, help="cut keys with very many events")
+            sub.add_argument("--slices", type=int, default=SLICES, help="shares of events per task")
         if step == "check":
             sub.add_argument("--bronze", help="check the status chain of this log too")
-        if step == "expire":
-            sub.add_argument("--keep", type=int, default=2, help="states to keep readable")
+        if step == "compact":
+            sub.add_argument("--before", help="days before this one; by default all but today")
         if step == "show":
             sub.add_argument("--limit", type=int, default=5)
     return parser.parse_args()
@@ -90,7 +90,7 @@ def main() -> None:
     elif args.step == "gold":
         print(pipeline.build_gold(spark, args.silver, args.gold))
     elif args.step == "history":
-        print(pipeline.build_history(spark, args.bronze, args.gold, args.slice_ms))
+        print(pipeline.build_history(spark, args.bronze, args.gold, args.slices))
     elif args.step == "show":
         pipeline.show_model(spark, args.silver, args.select, args.limit).show(args.limit, False)
     elif args.step == "audit":
@@ -101,9 +101,8 @@ def main() -> None:
         quality.enforce(report)
     elif args.step == "quarantine":
         pipeline.quarantined(spark, args.bronze).show(1000, False)
-    elif args.step == "expire":
-        for name in pipeline.silver_tables(spark, args.silver):
-            tables.expire(spark, f"{args.silver}/{name}", args.keep)
+    elif args.step == "compact":
+        print(pipeline.compact_bronze(spark, args.bronze, args.before))
 
 
 if __name__ == "__main__":

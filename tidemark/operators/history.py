@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_delete, names
-from tidemark.operators.skew import neighbour, ordinal
+from tidemark.operators.skew import SLICES, Cuts, by_heat, neighbour, ordinal
 from tidemark.schemas import OP, SEQ, TS
 
 
@@ -48,27 +48,30 @@ def scd2(
     seq: str | Sequence[str] = SEQ,
     op: str = OP,
     compact: bool = False,
-    slice_ms: int | None = None,
+    slices: int | None = SLICES,
 ) -> DataFrame:
     """One row per version of each key, valid in [valid_from_ms, valid_to_ms).
 
     A delete closes the open version and opens none. With ``compact`` an event that
     changes none of the ``tracked`` columns (a repeated snapshot) opens no version. An
     event without a time is the last of its key; the version before it then has no end
-    but is not current. ``slice_ms`` cuts keys with very many events, see ``skew``.
+    but is not current. Keys with very many events are dealt over tasks by ``slices``, see ``skew``.
     """
     keys, tracked = names(keys), list(tracked)
     carried = dict.fromkeys([*keys, ts, *names(seq), op, *tracked])
     log = events.select(*carried)
-    if compact:
-        same = F.lit(True)
-        for c in tracked:
-            same = same & F.col(c).eqNullSafe(F.col(f"_before.{c}"))
-        unchanged = F.col("_before").isNotNull() & ~is_delete(f"_before.{op}") & same
-        log = neighbour(log, keys, ts, seq, [op, *tracked], -1, "_before", slice_ms)
-        log = log.where(is_delete(op) | ~unchanged).drop("_before")
-    versions = neighbour(log, keys, ts, seq, ts, 1, "_after", slice_ms)
-    return versions.where(~is_delete(op)).select(
+    same = F.lit(True)
+    for c in tracked:
+        same = same & F.col(c).eqNullSafe(F.col(f"_before.{c}"))
+    unchanged = F.col("_before").isNotNull() & ~is_delete(f"_before.{op}") & same
+
+    def versions(log: DataFrame, cuts: Cuts | None) -> DataFrame:
+        if compact:
+            log = neighbour(log, keys, ts, seq, [op, *tracked], -1, "_before", cuts)
+            log = log.where(is_delete(op) | ~unchanged).drop("_before")
+        return neighbour(log, keys, ts, seq, ts, 1, "_after", cuts)
+
+    return by_heat(log, keys, ts, versions, slices).where(~is_delete(op)).select(
         *_interval(keys, tracked, ts, F.col(f"_after.{ts}"), F.col("_after").isNull())
     )
 
@@ -79,11 +82,14 @@ def with_previous(
     col: str,
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
-    slice_ms: int | None = None,
+    slices: int | None = SLICES,
 ) -> DataFrame:
     """Events with ``previous``: the value of ``col`` at the key's event before."""
-    found = neighbour(events, keys, ts, seq, col, -1, "_before", slice_ms)
-    return found.select(*events.columns, F.col(f"_before.{col}").alias("previous"))
+
+    def found(rows: DataFrame, cuts: Cuts | None) -> DataFrame:
+        return neighbour(rows, keys, ts, seq, col, -1, "_before", cuts)
+
+    return by_heat(events, keys, ts, found, slices).select(*events.columns, F.col(f"_before.{col}").alias("previous"))
 
 
 def transitions(
@@ -92,12 +98,12 @@ def transitions(
     col: str,
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
-    slice_ms: int | None = None,
+    slices: int | None = SLICES,
 ) -> DataFrame:
     """How often each value of ``col`` follows each other one; null before the first."""
     narrow = events.select(*dict.fromkeys([*names(keys), ts, *names(seq), col]))
     return (
-        with_previous(narrow, keys, col, ts, seq, slice_ms)
+        with_previous(narrow, keys, col, ts, seq, slices)
         .groupBy("previous", F.col(col).alias("next"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -108,7 +114,11 @@ def event_order(
     keys: str | Sequence[str],
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
-    slice_ms: int | None = None,
+    slices: int | None = SLICES,
 ) -> DataFrame:
     """Events with ``event_no``: 1, 2, ... in each key's order, times without value last."""
-    return ordinal(events, keys, ts, seq, "event_no", slice_ms)
+
+    def placed(rows: DataFrame, cuts: Cuts | None) -> DataFrame:
+        return ordinal(rows, keys, ts, seq, "event_no", cuts)
+
+    return by_heat(events, keys, ts, placed, slices)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import names
 from tidemark.operators.history import with_previous
+from tidemark.operators.skew import SLICES
 from tidemark.schemas import ORDER_STATUSES, SEQ, TS, Table
 
 
@@ -97,7 +98,7 @@ def check_transitions(
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
     chain: Sequence[str] = ORDER_STATUSES,
-    slice_ms: int | None = None,
+    slices: int | None = SLICES,
 ) -> DataFrame:
     """Events whose status is not one step along the chain from the one before.
 
@@ -105,7 +106,7 @@ def check_transitions(
     """
     steps = [F.struct(F.lit(a), F.lit(b)) for a, b in zip(chain, chain[1:])]
     step = F.struct(F.col("previous"), F.col(col))
-    judged = with_previous(events, keys, col, ts, seq, slice_ms)
+    judged = with_previous(events, keys, col, ts, seq, slices)
     moved = F.col("previous").isNotNull() & ~F.col(col).eqNullSafe(F.col("previous"))
     return judged.where(moved & ~F.coalesce(step.isin(*steps), F.lit(False)))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import names
 from tidemark.operators.history import scd2, validity
+from tidemark.operators.skew import SLICES
 from tidemark.operators.state import latest_per_key
 from tidemark.schemas import SEQ, TS, Table
 
@@ -98,10 +99,10 @@ def dim_customers(customers: DataFrame) -> DataFrame:
 def customer_history(
     events: DataFrame,
     seq: str | list[str] | tuple[str, ...] = SEQ,
-    slice_ms: int | None = None,
+    slices: int | None = SLICES,
 ) -> DataFrame:
     """The customer dimension over the event log: a row per version, deleted ones included.
 
     A repeated snapshot of an unchanged customer opens no version.
     """
-    return scd2(events, "customer_id", CUSTOMER_COLUMNS, TS, seq, compact=True, slice_ms=slice_ms)
+    return scd2(events, "customer_id", CUSTOMER_COLUMNS, TS, seq, compact=True, slices=slices)

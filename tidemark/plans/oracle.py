@@ -255,6 +255,15 @@ _GATE_RULES = [
     ],
 ]
 
+# Messages by event number: three partitions, lost and repeated ones.
+_TOPIC_LOG = (
+    "WITH sent AS (SELECT 'ecom.public.users' AS topic, CAST(event_id % 3 AS INT) AS partition,"
+    " event_id // 3 AS \"offset\", event_id FROM events WHERE event_id % 97 <> 0"
+    " AND event_id NOT BETWEEN 100 AND 160),"
+    " log AS (SELECT * EXCLUDE event_id FROM sent UNION ALL"
+    " SELECT * EXCLUDE event_id FROM sent WHERE event_id % 53 = 0)"
+)
+
 ORACLE: dict[str, str] = {
     "fct_orders": _with(
         f"{_FACT} LEFT JOIN src_payments USING (order_id)",
@@ -338,6 +347,47 @@ ORACLE: dict[str, str] = {
         f" CASE WHEN ts_ms > {AS_OF_MS} THEN value END AS value FROM chg_users",
         "chg_users",
     ),
+    "schema_type_drift": _with(
+        "SELECT user_id, event_id, CASE WHEN old THEN value ELSE floor(value) END AS value,"
+        f" CASE WHEN old THEN ts_ms - ts_ms % {DAY_MS} ELSE ts_ms END AS at,"
+        " CASE WHEN old THEN CAST(event_id AS VARCHAR) ELSE event_type END AS code,"
+        " CASE WHEN old THEN event_id END AS code_as_bigint,"
+        " CASE WHEN NOT old THEN event_type END AS code_as_string"
+        f" FROM (SELECT *, ts_ms <= {AS_OF_MS} AS old FROM chg_users)",
+        "chg_users",
+    ),
+    "snapshot_diff_stored": _with(
+        "SELECT CASE customer_id % 997 WHEN 1 THEN 'u' WHEN 2 THEN 'c' ELSE 'd' END AS op,"
+        " customer_id, CASE WHEN customer_id % 997 <> 2 THEN country END AS old_country,"
+        " CASE customer_id % 997 WHEN 1 THEN 'MOVED' WHEN 2 THEN country END AS new_country"
+        " FROM src_customers WHERE customer_id % 997 IN (1, 2, 3)",
+        "src_customers",
+    ),
+    "state_as_of_kept": _with(
+        " UNION ALL ".join(
+            f"SELECT CAST({at} AS BIGINT) AS as_of, user_id, event_id, ts_ms, op, event_type, value, props"
+            " FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, event_id DESC)"
+            f" AS rn FROM chg_users WHERE ts_ms <= {at}) WHERE rn = 1 AND op IS DISTINCT FROM 'd'"
+            for at in (1704400000000, AS_OF_MS, 1706000000000)
+        ),
+        "chg_users",
+    ),
+    "log_missing": (
+        f"{_TOPIC_LOG} SELECT topic, partition, before + 1 AS first_missing, \"offset\" - 1 AS last_missing,"
+        " \"offset\" - before - 1 AS n FROM (SELECT *, LAG(\"offset\", 1, -1) OVER"
+        " (PARTITION BY partition ORDER BY \"offset\") AS before FROM (SELECT DISTINCT * FROM log))"
+        " WHERE \"offset\" - before > 1"
+    ),
+    "log_ranges": (
+        f"{_TOPIC_LOG}, once AS (SELECT topic, partition, \"offset\", COUNT(*) AS times FROM log GROUP BY ALL)"
+        " SELECT topic, partition, MIN(\"offset\") AS first_offset, MAX(\"offset\") AS last_offset,"
+        " CAST(SUM(times) AS BIGINT) AS messages FROM (SELECT *, \"offset\" - ROW_NUMBER() OVER"
+        " (PARTITION BY partition ORDER BY \"offset\") AS run FROM once) GROUP BY topic, partition, run"
+    ),
+    "log_read_again": (
+        f"{_TOPIC_LOG} SELECT topic, partition, \"offset\", COUNT(*) AS times FROM log"
+        " GROUP BY ALL HAVING COUNT(*) > 1"
+    ),
     "snapshot_events": _with(
         f"SELECT 'r' AS op, CAST({AS_OF_MS} AS BIGINT) AS ts_ms, TRUE AS no_before,"
         " customer_id, full_name, email, country FROM src_customers",
@@ -402,6 +452,12 @@ ORACLE: dict[str, str] = {
         "gaps",
     ),
     "q_unique": _with("SELECT order_item_id, n FROM repeated_items", "repeated_items"),
+    "q_unique_batches": _with("SELECT order_item_id FROM repeated_items", "repeated_items"),
+    "q_foreign_key_batches": _with(
+        "SELECT order_item_id, product_id FROM src_order_items WHERE product_id NOT IN"
+        " (SELECT product_id FROM src_products WHERE stock_quantity > 5)",
+        "src_order_items", "src_products",
+    ),
     "q_foreign_key": _with(
         " UNION ALL ".join(
             [
@@ -442,8 +498,23 @@ ORACLE: dict[str, str] = {
     ),
     "bronze_ingest_time": _with("SELECT TRUE AS iso, COUNT(*) AS rows FROM readable", "readable"),
     "silver_replaced": _CURRENT_USERS,
+    "silver_published": _with(
+        "SELECT customer_id, full_name, email, country FROM src_customers", "src_customers"
+    ),
+    "silver_skipped": _with(
+        "SELECT customer_id, full_name, email, country FROM src_customers", "src_customers"
+    ),
     "gold_materialized": _with(_DIM, "cur_customers"),
     "stream_bronze": _BRONZE,
+    "bronze_compacted": _BRONZE,
+    "ingest_batches": (
+        "SELECT TRUE AS batches_as_due, COUNT(*) AS messages,"
+        " CAST(COUNT(*) FILTER (WHERE event_type = 'click' AND value > 100) AS BIGINT) AS failed FROM events"
+    ),
+    "state_store": _with(
+        "SELECT COUNT(*) AS keys_kept, COUNT(*) AS keys_in_log, CAST(0 AS BIGINT) AS differ FROM latest_users",
+        "latest_users",
+    ),
     "stream_merge": _CURRENT_USERS,
     "stream_current": _CURRENT_USERS,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import envelope, quality, sampling, state
+from tidemark.operators.skew import SLICES
 from tidemark.plans import marts
 from tidemark.schemas import (
     CUSTOMERS,
@@ -24,7 +25,7 @@ from tidemark.schemas import (
     TS,
 )
 from tidemark.session import sized_shuffles
-from tidemark.sources import tables
+from tidemark.sources import buckets, tables
 from tidemark.streaming import jobs
 
 
@@ -53,7 +54,11 @@ def bronze_tables(
 
 def silver_tables(spark: SparkSession, silver: str) -> list[str]:
     """Those of the tables that have a current state."""
-    return [n for n in TABLES if tables.has_versions(spark, f"{silver}/{n}")]
+    return [
+        n
+        for n in TABLES
+        if tables.has_versions(spark, f"{silver}/{n}") or buckets.layout(spark, f"{silver}/{n}")
+    ]
 
 
 def reread_bronze(
@@ -129,6 +134,16 @@ def start_silver(
     ]
 
 
+def compact_bronze(
+    spark: SparkSession, bronze: str, before: str | None = None
+) -> dict[str, list[str]]:
+    """Rewrite the closed days of each log to few files; returns the days per table."""
+    return {
+        n: jobs.compact_log(spark, f"{bronze}/{n}", TABLES[n].row, TABLES[n].key, before)
+        for n in bronze_tables(spark, bronze)
+    }
+
+
 def quarantined(spark: SparkSession, bronze: str) -> DataFrame:
     """How many messages each table has set aside, by reason."""
     parts = [
@@ -147,9 +162,8 @@ def quarantined(spark: SparkSession, bronze: str) -> DataFrame:
 def read_silver(spark: SparkSession, silver: str, name: str) -> DataFrame:
     """Current rows of a table, whether rebuilt or maintained."""
     path = f"{silver}/{name}"
-    if tables.pending_changes(spark, path):
-        return state.without_deletes(tables.read_state(spark, path, TABLES[name].key))
-    return state.without_deletes(tables.read_current(spark, path))
+    kept = None if tables.has_versions(spark, path) else buckets.read_state(spark, path)
+    return state.without_deletes(tables.read_current(spark, path) if kept is None else kept)
 
 
 def audit_bronze(
@@ -210,28 +224,24 @@ def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, int]:
 
 
 def build_history(
-    spark: SparkSession, bronze: str, gold: str, slice_ms: int | None = None
+    spark: SparkSession, bronze: str, gold: str, slices: int | None = SLICES
 ) -> int:
     """Materialize the customer dimension with all its versions, from the event log."""
     path = f"{bronze}/{CUSTOMERS.name}"
     with sized_shuffles(spark, tables.size(spark, path)):
         events = jobs.read_bronze(spark, path, CUSTOMERS.row)
-        history = marts.customer_history(events, slice_ms=slice_ms)
+        history = marts.customer_history(events, slices=slices)
         return tables.replace(history, f"{gold}/dim_customers_history")
 
 
 def check_silver(spark: SparkSession, silver: str, bronze: str | None = None) -> DataFrame:
     """The gate report over silver: every declared constraint of the tables that are there.
 
-    With ``bronze`` the status chain of the order events is checked too. Changes that lie on
-    top of a maintained table are merged in once, before the checks read it. Pass the
+    With ``bronze`` the status chain of the order events is checked too. Pass the
     report through ``quality.collected`` to work it out once, and to ``quality.enforce`` to
     stop the run if a check failed.
     """
     there = silver_tables(spark, silver)
-    for n in there:
-        if tables.pending_changes(spark, f"{silver}/{n}"):
-            tables.compact(spark, f"{silver}/{n}", TABLES[n].key)
     data = {n: read_silver(spark, silver, n) for n in there}
     report = []
     for n in there:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import capture, envelope, history, quality, sampling, state
+from tidemark.operators import capture, continuity, envelope, history, quality, sampling, state
 from tidemark.plans import marts, pipeline
 from tidemark.schemas import (
     CATEGORIES,
@@ -25,8 +25,9 @@ from tidemark.schemas import (
     TS,
 )
 from tidemark.session import scratch_dir
-from tidemark.sources import star, tables
-from tidemark.streaming import jobs
+from tidemark.sources import buckets, images, keysets, star, tables
+from tidemark.streaming import jobs, statestore
+from tidemark.streaming.messages import file_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -217,6 +218,23 @@ def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read(spark, path)
 
 
+def schema_type_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows appended before and after columns of the table changed their types."""
+    path = scratch_dir(spark, "drifted")
+    log = star.user_changes(spark, folder).withColumn("at", F.timestamp_millis(TS))
+    old = log.where(F.col(TS) <= AS_OF_MS).select(
+        F.col("user_id").cast("int").alias("user_id"), "event_id", "value",
+        F.col("at").cast("date").alias("at"), F.col("event_id").alias("code"),
+    )
+    new = log.where(F.col(TS) > AS_OF_MS).select(
+        "event_id", "user_id", F.floor("value").cast("int").alias("value"), "at",
+        F.col("event_type").alias("code"),
+    )
+    for rows in (old, new):
+        tables.append(rows, path)
+    return tables.read(spark, path).withColumn("at", F.unix_millis("at"))
+
+
 def bronze_ingest_time(spark: SparkSession, folder: str) -> DataFrame:
     """How many rows have an ISO time of day as their ingest time."""
     rows, _ = _bronze(spark, folder)
@@ -235,6 +253,32 @@ def silver_replaced(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(tables.read_current(spark, path))
 
 
+def silver_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as published: a version with gaps in it has been held back by its gate."""
+    path = scratch_dir(spark, "published")
+    columns = ["customer_id", "full_name", "email", "country"]
+    whole, gaps = star.customers(spark, folder).select(*columns), _gaps(spark, folder).select(*columns)
+    for rows in (whole, gaps):
+        tables.publish(rows, path, quality.row_rules(CUSTOMERS, columns))
+    return tables.read_current(spark, path)
+
+
+def silver_skipped(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver customers after a run over a log that holds malformed messages only."""
+    bronze, silver, marks = (scratch_dir(spark, n) for n in ("bronze", "silver", "marks"))
+    before = star.customers(spark, folder).select("customer_id", "full_name", "email", "country")
+    tables.replace(before.withColumn(OP, F.lit("c")), f"{silver}/customers")
+    messages = star.user_messages(_event_stream(spark, folder))
+    cut = messages.select(
+        F.lit("ecom.public.customers").alias("topic"), "partition", "offset",
+        F.left(F.col("value").cast("string"), F.lit(9)).cast("binary").alias("value"),
+    )
+    for query in pipeline.start_ingest(cut, bronze, marks, ["customers"], jobs.ALL_THERE_IS):
+        query.awaitTermination()
+    pipeline.build_silver(spark, bronze, silver, ["customers"])
+    return pipeline.read_silver(spark, silver, "customers").drop(OP)
+
+
 def gold_materialized(spark: SparkSession, folder: str) -> DataFrame:
     """The customer dimension by way of a silver and a gold folder."""
     silver, gold = scratch_dir(spark, "silver"), scratch_dir(spark, "gold")
@@ -268,6 +312,78 @@ def snapshot_diff(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_IMAGE = ["customer_id", "full_name", "email", "country"]
+
+
+def snapshot_diff_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Few changes between two stored images: most buckets are not read again."""
+    old, new = scratch_dir(spark, "old"), scratch_dir(spark, "new")
+    base = star.customers(spark, folder).select(*_IMAGE)
+    key = F.col("customer_id")
+    moved = F.when(key % 997 == 1, "MOVED").otherwise(F.col("country"))
+    images.save_image(base.where(key % 997 != 2), old, "customer_id")
+    images.save_image(base.where(key % 997 != 3).withColumn("country", moved), new, "customer_id")
+    events = images.image_diff(spark, old, new, "customer_id", AS_OF_MS)
+    return events.select(
+        "op",
+        capture.row_image().getField("customer_id").alias("customer_id"),
+        F.col("before.country").alias("old_country"),
+        F.col("after.country").alias("new_country"),
+    )
+
+
+# States are kept at these times and asked for at the others; events of the log arrive late.
+KEPT_MS = (1_704_672_000_000, 1_705_449_600_000)
+ASKED_MS = (1_704_400_000_000, AS_OF_MS, 1_706_000_000_000)
+
+
+def state_as_of_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Past states from kept ones. Every seventh event comes two days late, some after a state
+    for its time has been kept."""
+    path, kept = scratch_dir(spark, "log"), scratch_dir(spark, "kept")
+    late = F.when(F.col("event_id") % 7 == 0, 2).otherwise(0)
+    day = F.date_add(F.timestamp_millis(TS).cast("date"), late)
+    log = star.user_changes(spark, folder).withColumn(jobs.DAY, day)
+    first = F.col(jobs.DAY) <= F.lit("2024-01-09").cast("date")
+    for part, at in zip((first, ~first), KEPT_MS):
+        log.where(part).write.mode("append").partitionBy(jobs.DAY).parquet(path)
+        images.save_state(spark.read.parquet(path), kept, at, jobs.DAY, **USER)
+    parts = [
+        images.state_as_of(spark.read.parquet(path), kept, at, jobs.DAY, **USER).select(
+            F.lit(at).cast("bigint").alias("as_of"), *USER_COLUMNS
+        )
+        for at in ASKED_MS
+    ]
+    return _plain(reduce(DataFrame.unionByName, parts))
+
+
+# -- continuity ---------------------------------------------------------------
+
+
+def _topic_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages of three topic partitions; some have been lost, others read twice."""
+    number = (F.col("offset") / 2).cast("bigint")
+    sent = star.user_messages(star.read(spark, folder, "events")).where("offset % 2 = 0")
+    log = sent.select(
+        "topic", (number % 3).cast("int").alias("partition"),
+        F.floor(number / 3).alias("offset"), number.alias("_no"),
+    )
+    read = log.where(~((F.col("_no") % 97 == 0) | F.col("_no").between(100, 160)))
+    return read.unionAll(read.where(F.col("_no") % 53 == 0)).drop("_no")
+
+
+def log_missing(spark: SparkSession, folder: str) -> DataFrame:
+    return continuity.missing(_topic_log(spark, folder), first=0)
+
+
+def log_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    return continuity.ranges(_topic_log(spark, folder))
+
+
+def log_read_again(spark: SparkSession, folder: str) -> DataFrame:
+    return continuity.read_again(_topic_log(spark, folder))
+
+
 # -- history ------------------------------------------------------------------
 
 
@@ -359,6 +475,35 @@ def q_foreign_key(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _batches(df: DataFrame, n: int = 3) -> list[DataFrame]:
+    """A table as it comes in batches."""
+    return [df.where(F.pmod(F.xxhash64(*df.columns), F.lit(n)) == i) for i in range(n)]
+
+
+def q_unique_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated item numbers, each batch checked against a bitmap of the ones before it."""
+    path = scratch_dir(spark, "item-keys")
+    items = star.order_items(spark, folder).select("order_item_id", "product_id", "quantity")
+    for batch in _batches(items):
+        known = keysets.read_set(spark, path)
+        repeated = keysets.repeated_keys(batch, "order_item_id", known)
+        tables.append(repeated, f"{path}-repeated")
+        keysets.add_keys(batch, "order_item_id", path)
+    return tables.read(spark, f"{path}-repeated").distinct()
+
+
+def q_foreign_key_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Items whose product is unknown, each batch checked against a bitmap of the products."""
+    path = scratch_dir(spark, "product-keys")
+    products = star.products(spark, folder).where("stock_quantity > 5").select("product_id", "price")
+    for batch in _batches(products):
+        keysets.add_keys(batch, "product_id", path)
+    items = star.order_items(spark, folder).select("order_item_id", "product_id")
+    known = keysets.read_set(spark, path)
+    bad = [keysets.orphans(batch, "product_id", known) for batch in _batches(items)]
+    return reduce(DataFrame.unionByName, bad)
+
+
 def q_length(spark: SparkSession, folder: str) -> DataFrame:
     return quality.check_length(_coded(spark, folder), "product_id", PRODUCTS.max_length)
 
@@ -455,8 +600,42 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(rows.select(*star.USER_ROW.fieldNames(), OP, TS, SOURCE, OFFSET))
 
 
-def _maintained(spark: SparkSession, folder: str, job) -> DataFrame:
-    """State kept by a streaming job that is stopped and started again.
+def bronze_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The log after its days have been rewritten to few files; a batch came after that."""
+    landed, path, checkpoint = (scratch_dir(spark, n) for n in ("landed", "log", "checkpoint"))
+    messages = star.user_messages(star.read(spark, folder, "events"))
+    for part in range(3):
+        messages.where(F.col("offset") % 3 == part).write.mode("append").parquet(landed)
+        jobs.ingest(
+            file_messages(spark, landed), star.USER_ROW, "users", path, checkpoint, jobs.ALL_THERE_IS
+        ).awaitTermination()
+        if part < 2:
+            jobs.compact_log(spark, path, star.USER_ROW, "user_id", before="9999-01-01")
+    rows = jobs.read_bronze(spark, path, star.USER_ROW)
+    return _plain(rows.select(*star.USER_ROW.fieldNames(), OP, TS, SOURCE, OFFSET))
+
+
+def ingest_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Micro-batches of two files at most: whether there are as many as that takes, and all
+    messages came."""
+    landed, path, checkpoint = (scratch_dir(spark, n) for n in ("landed", "log", "checkpoint"))
+    messages = star.user_messages(star.read(spark, folder, "events"))
+    messages.repartition(5, "offset").write.parquet(landed)
+    files = len(spark.read.parquet(landed).inputFiles())
+    jobs.ingest(
+        file_messages(spark, landed, max_files=2),
+        star.USER_ROW, "users", path, checkpoint, jobs.ALL_THERE_IS,
+    ).awaitTermination()
+    batches = jobs.ingested_batches(spark, path, star.USER_ROW)
+    return batches.agg(
+        (F.count(F.lit(1)) == -(-files // 2)).alias("batches_as_due"),
+        F.sum("messages").alias("messages"),
+        F.sum("failed").alias("failed"),
+    )
+
+
+def _kept_by(spark: SparkSession, folder: str, job) -> tuple[str, str]:
+    """State table and checkpoint of a streaming job that is stopped and started again.
 
     The newer half of the user log lands first, so the older half arrives late.
     """
@@ -465,10 +644,13 @@ def _maintained(spark: SparkSession, folder: str, job) -> DataFrame:
     for part in (F.col(TS) > AS_OF_MS, F.col(TS) <= AS_OF_MS):
         log.where(part).write.mode("append").parquet(landed)
         arriving = spark.readStream.schema(log.schema).parquet(landed)
-        job(
-            arriving, path, checkpoint, **USER, trigger=jobs.ALL_THERE_IS, compact_every=2
-        ).awaitTermination()
-    latest = tables.read_state(spark, path, **USER)
+        job(arriving, path, checkpoint, **USER, trigger=jobs.ALL_THERE_IS).awaitTermination()
+    return path, checkpoint
+
+
+def _maintained(spark: SparkSession, folder: str, job) -> DataFrame:
+    path, _ = _kept_by(spark, folder, job)
+    latest = buckets.read_state(spark, path)
     return _plain(state.without_deletes(latest).select(*USER_COLUMNS))
 
 
@@ -480,6 +662,13 @@ def stream_current(spark: SparkSession, folder: str) -> DataFrame:
     return _maintained(spark, folder, jobs.stream_current)
 
 
+def state_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of the state store after a restart, of the log, and those on which they differ."""
+    _, checkpoint = _kept_by(spark, folder, jobs.stream_current)
+    kept = statestore.kept_rows(spark, checkpoint)
+    return statestore.compare(kept, star.user_changes(spark, folder), **USER)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -503,8 +692,14 @@ QUERIES: dict[str, Query] = {
         bronze_reparsed,
         observed_columns,
         schema_evolution,
+        schema_type_drift,
         snapshot_events,
         snapshot_diff,
+        snapshot_diff_stored,
+        state_as_of_kept,
+        log_missing,
+        log_ranges,
+        log_read_again,
         scd2_from_current,
         scd2_history,
         scd2_history_compact,
@@ -512,13 +707,20 @@ QUERIES: dict[str, Query] = {
         event_order,
         bronze_ingest_time,
         silver_replaced,
+        silver_published,
+        silver_skipped,
         gold_materialized,
         stream_bronze,
+        bronze_compacted,
+        ingest_batches,
         stream_merge,
         stream_current,
+        state_store,
         q_not_null,
         q_unique,
+        q_unique_batches,
         q_foreign_key,
+        q_foreign_key_batches,
         q_length,
         q_decimal,
         q_accepted,

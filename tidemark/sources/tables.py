@@ -1,219 +1,305 @@
-"""Tables on shared storage: append, replace by version, and base plus changes.
+"""Tables on shared storage: append, replace by version, publish behind a gate.
 
 A table that is replaced lives under ``path`` as one folder per version. A version counts
-once it holds ``_SUCCESS``, which Spark writes last, so a reader never sees a half-written
-one and a job may read the version before while it writes the next. One writer per table.
+once it holds ``_SUCCESS``, which is written last, so a reader never sees a half-written one
+and a job may read the version before while it writes the next. One writer per table.
 
-``full-<n>`` holds a whole table. ``part-<n>`` holds changes on top of the newest full
-version; they are merged in on reading. ``fold-<n>`` holds all changes up to there, newest
-per key, in place of the parts before it. ``settle`` makes folds, and a new full version
-only once the changes are a fair share of the table.
+A table that grows by appends has one folder per column layout, named by a digest of it. Files
+of one layout are read together, whatever their number, and each layout is cast once to
+the types that all of them have in common.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
-
 from functools import reduce
-from operator import and_
 
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-
-from tidemark.functions.columns import names
-from tidemark.operators.state import latest_per_key, merge_changes
-from tidemark.schemas import SEQ, TS
+from pyspark.sql import types as T
 
 FORMAT = "parquet"
+LAYOUT = "layout-"
+
 
-# Changes are merged into a new full version when they reach this share of its bytes.
-COMPACT_SHARE = 0.25
+# -- appended tables -----------------------------------------------------------------
+
+
+def _layout(schema: T.StructType) -> str:
+    """A digest of column names and types; the order of columns and their nullability are free."""
+    fields = sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
+    return LAYOUT + hashlib.sha256(repr(fields).encode()).hexdigest()[:16]
 
 
 def append(df: DataFrame, path: str, fmt: str = FORMAT, partition_by: Sequence[str] = ()) -> None:
-    """Add rows to a plain table; their columns may differ from those already there."""
-    df.write.mode("append").format(fmt).partitionBy(*partition_by).save(path)
+    """Add rows to a table; their columns and types may differ from those already there."""
+    folder = f"{path}/{_layout(df.schema)}"
+    df.write.mode("append").format(fmt).partitionBy(*partition_by).save(folder)
 
 
-def read(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
-    """A plain table with the columns of all its files; missing ones read as null."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+_INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    folder, files = _folder(spark, path)
-    return files.exists(folder)
+def _digits(kind: T.DataType) -> tuple[int, int] | None:
+    """Digits before and after the point of an exact number."""
+    if kind in _INTEGERS:
+        return (3, 5, 10, 19)[_INTEGERS.index(kind)], 0
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    return None
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The least type that holds the values of both; None if only text would.
 
+    Integers widen to the larger one, an integer and a decimal to a decimal if 38 digits do,
+    and any of them beside a float to double; a date beside a timestamp is its midnight.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if a in _INTEGERS and b in _INTEGERS:
+        return max(a, b, key=_INTEGERS.index)
+    floats = (T.FloatType, T.DoubleType)
+    x, y = _digits(a), _digits(b)
+    if x and y:
+        before, after = max(x[0], y[0]), max(x[1], y[1])
+        return T.DecimalType(before + after, after) if before + after <= 38 else None
+    if (x or isinstance(a, floats)) and (y or isinstance(b, floats)):
+        return T.DoubleType()
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    if isinstance(a, times) and isinstance(b, times):
+        kinds = {type(a), type(b)} - {T.DateType}
+        return kinds.pop()() if len(kinds) == 1 else T.TimestampType()
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return _common_struct(a, b)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        element = common_type(a.elementType, b.elementType)
+        return element and T.ArrayType(element)
+    return None
+
+
+def _common_struct(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    if a.fieldNames() != b.fieldNames():
+        return None
+    kinds = [common_type(x.dataType, y.dataType) for x, y in zip(a, b)]
+    if None in kinds:
+        return None
+    return T.StructType([T.StructField(f.name, kind) for f, kind in zip(a, kinds)])
+
+
+def _text(col: Column, kind: T.DataType) -> Column:
+    return F.to_json(col) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else col.cast("string")
+
+
+def union_drifted(parts: Sequence[DataFrame]) -> DataFrame:
+    """The rows of tables whose columns differ in presence or type.
+
+    A column that a table lacks is null there. One whose types have a common type (see
+    ``common_type``) has that. Any other column is text, and beside it ``<name>_as_<type>`` holds
+    the values as they were, null in rows of other types. Columns come in the order of their
+    first appearance; each table is cast once.
+    """
+    kinds: dict[str, list[T.DataType]] = {}
+    for part in parts:
+        for f in part.schema.fields:
+            seen = kinds.setdefault(f.name, [])
+            if f.dataType not in seen:
+                seen.append(f.dataType)
+    plain = {c: reduce(lambda a, b: a and common_type(a, b), seen) for c, seen in kinds.items()}
+
+    def beside(c: str, kind: T.DataType) -> str:
+        return f"{c}_as_{kind.simpleString().partition('<')[0].partition('(')[0]}"
+
+    out = []
+    for part in parts:
+        have = {f.name: f.dataType for f in part.schema.fields}
+        columns = []
+        for c, target in plain.items():
+            own = F.col(f"`{c}`") if c in have else F.lit(None)
+            if target:
+                columns.append(own.cast(target).alias(c))
+                continue
+            columns.append((_text(own, have[c]) if c in have else own.cast("string")).alias(c))
+            for kind in kinds[c]:
+                same = c in have and have[c] == kind
+                columns.append((own if same else F.lit(None).cast(kind)).alias(beside(c, kind)))
+        out.append(part.select(*columns))
+    return reduce(DataFrame.unionByName, out)
+
+
+def read(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
+    """All rows of an appended table, in the types its layouts have in common.
+
+    Reads one footer per layout. Files right under ``path``, which something else has put
+    there, are one more layout. Raises FileNotFoundError where there is no table.
+    """
+    found = [n for n in sorted(folders(spark, path)) if n.startswith(LAYOUT)]
+    roots = [f"{path}/{n}" for n in found]
+    if not roots or has_files(spark, path):
+        roots.append(path)
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no table under {path}")
+    load = spark.read.format(fmt)
+    return union_drifted([load.load(r) for r in roots])
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """Finished versions, oldest first, as (number, kind)."""
-    folder, files = _folder(spark, path)
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder, "*/_SUCCESS")
-    found = []
-    for status in files.globStatus(pattern) or []:
-        kind, _, number = status.getPath().getParent().getName().partition("-")
-        found.append((int(number), kind))
-    return sorted(found)
+
+# -- replaced tables -----------------------------------------------------------------
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished versions, oldest first."""
+    found = _status(spark, f"{path}/v-*/_SUCCESS")
+    return sorted(int(s.getPath().getParent().getName().removeprefix("v-")) for s in found)
 
 
 def has_versions(spark: SparkSession, path: str) -> bool:
-    """Whether a replaced or maintained table has a finished version."""
+    """Whether a replaced table has a finished version."""
     return bool(_versions(spark, path))
 
 
-def _name(path: str, number: int, kind: str) -> str:
-    return f"{path}/{kind}-{number:012d}"
+def _name(path: str, number: int) -> str:
+    return f"{path}/v-{number:012d}"
 
 
-def _write_version(df: DataFrame, path: str, kind: str, fmt: str) -> int:
-    done = _versions(df.sparkSession, path)
-    number = done[-1][0] + 1 if done else 0
-    df.write.mode("overwrite").format(fmt).save(_name(path, number, kind))
-    return number
+def _next(spark: SparkSession, path: str) -> int:
+    return max(_versions(spark, path), default=-1) + 1
 
 
 def replace(df: DataFrame, path: str, fmt: str = FORMAT) -> int:
     """Put ``df``, data and columns, in place of the table; returns the version number."""
-    return _write_version(df, path, "full", fmt)
+    number = _next(df.sparkSession, path)
+    df.write.mode("overwrite").format(fmt).save(_name(path, number))
+    return number
 
 
 def read_current(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
-    """The newest full version of a replaced table."""
-    full = [n for n, kind in _versions(spark, path) if kind == "full"]
-    if not full:
+    """The newest finished version of a replaced table."""
+    done = _versions(spark, path)
+    if not done:
         raise FileNotFoundError(f"no finished version under {path}")
-    return spark.read.format(fmt).load(_name(path, full[-1], "full"))
+    return spark.read.format(fmt).load(_name(path, done[-1]))
 
 
-def add_changes(df: DataFrame, path: str, fmt: str = FORMAT) -> int:
-    """Put changes on top of the newest full version, without rewriting it.
+def publish(
+    df: DataFrame, path: str, rules: dict[str, Column], fmt: str = FORMAT
+) -> tuple[int | None, DataFrame]:
+    """Write, audit and publish in one pass: (version or None, report).
 
-    Adding the same changes twice leaves the state as it is.
-    """
-    return _write_version(df, path, "part", fmt)
-
-
-def read_state(
-    spark: SparkSession,
-    path: str,
-    keys: str | Sequence[str],
-    ts: str = TS,
-    seq: str | Sequence[str] = SEQ,
-    fmt: str = FORMAT,
-) -> DataFrame | None:
-    """Latest event per key over the newest full version and the changes on top of it.
-
-    A full version has one row per key. Deletes are included as markers. None if nothing
-    has been written yet. Only the rows of changed keys are ranked again; how the keys are
-    matched is Spark's choice by their size.
+    A rule is true of a row that breaks it. Rows and breaches are counted while the new version
+    is written; it gets its ``_SUCCESS``, and so becomes the table, only if no row broke a
+    rule. Else the version before stays current, and the rejected one lies beside it, unread,
+    until the next write takes its number. The report has check, rows_checked, rows_failed and
+    passed, like ``quality.gate``.
     """
-    keys = names(keys)
-    base, changes = _base_and_changes(spark, path, keys, ts, seq, fmt)
-    if base is None or changes is None:
-        return changes if base is None else base
-    changed = changes.select(*[F.col(k).alias(f"_changed_{k}") for k in keys])
-    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_changed_{k}")) for k in keys])
-    rest = base.join(changed, on, "left_anti")
-    merged = merge_changes(base.join(changed, on, "left_semi"), changes, keys, ts, seq)
-    return rest.unionByName(merged, allowMissingColumns=True)
-
-
-def _base_and_changes(
-    spark: SparkSession, path: str, keys: list[str], ts: str, seq: str | Sequence[str], fmt: str
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """The newest full version, and the newest change per key on top of it.
-
-    Each version has one schema; columns that only some have read as null.
+    spark = df.sparkSession
+    number = _next(spark, path)
+    counts = [F.count_if(rule).alias(f"f{i}") for i, rule in enumerate(rules.values())]
+    seen = Observation()
+    (
+        df.observe(seen, F.count(F.lit(1)).alias("n"), *counts)
+        .write.mode("overwrite")
+        .format(fmt)
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        .save(_name(path, number))
+    )
+    found = seen.get
+    rows = [(name, found["n"], found[f"f{i}"], found[f"f{i}"] == 0) for i, name in enumerate(rules)]
+    report = spark.createDataFrame(
+        rows, "check string, rows_checked long, rows_failed long, passed boolean"
+    )
+    if not all(r[3] for r in rows):
+        return None, report
+    marker, files = _folder(spark, f"{_name(path, number)}/_SUCCESS")
+    files.create(marker).close()
+    return number, report
+
+
+# -- tables of partitions -------------------------------------------------------------
+
+
+def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """Write rows in place of the partitions that they fall in; all others stay as they are."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}-staged"
+
+
+def stage(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """Write what is to be swapped into the partitions of a table beside it.
+
+    The rows may come from the table itself. ``swap`` makes them part of it.
     """
-    frames = [(kind, spark.read.format(fmt).load(_name(path, n, kind)))
-              for n, kind in _live(_versions(spark, path))]
-    base = next((df for kind, df in frames if kind == "full"), None)
-    parts = [df for kind, df in frames if kind != "full"]
-    if not parts:
-        return base, None
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return base, latest_per_key(together, keys, ts, seq)
-
-
-def _live(versions: list[tuple[int, str]]) -> list[tuple[int, str]]:
-    """The newest full version, the newest fold since, and the parts after both."""
-    base = max((n for n, kind in versions if kind == "full"), default=-1)
-    fold = max((n for n, kind in versions if kind == "fold" and n > base), default=base)
-    return [(n, kind) for n, kind in versions if n in (base, fold) or n > fold]
-
-
-def pending_changes(spark: SparkSession, path: str) -> int:
-    """How many sets of changes lie on top of the newest full version."""
-    return sum(kind != "full" for _, kind in _live(_versions(spark, path)))
-
-
-def compact(
-    spark: SparkSession,
-    path: str,
-    keys: str | Sequence[str],
-    ts: str = TS,
-    seq: str | Sequence[str] = SEQ,
-    fmt: str = FORMAT,
-) -> None:
-    """Write base and changes as one new full version, delete markers kept."""
-    state = read_state(spark, path, keys, ts, seq, fmt)
-    if state is not None:
-        replace(state, path, fmt)
-
-
-def settle(
-    spark: SparkSession,
-    path: str,
-    keys: str | Sequence[str],
-    ts: str = TS,
-    seq: str | Sequence[str] = SEQ,
-    most_parts: int = 50,
-    share: float = COMPACT_SHARE,
-    fmt: str = FORMAT,
-) -> None:
-    """Keep the number of change sets bounded; call it after each one.
-
-    At ``most_parts`` sets the changes become one, newest per key, at a cost that grows
-    with them alone. The whole table is rewritten only when they have reached ``share`` of
-    its bytes, so its cost per changed byte stays the same however large it is. Versions
-    that neither the newest state nor the one before needs are deleted.
-    """
-    live = _live(_versions(spark, path))
-    changes = [(n, kind) for n, kind in live if kind != "full"]
-    if len(changes) < most_parts:
-        return
-    stored = {kind: 0 for kind in ("full", "fold", "part")}
-    for n, kind in live:
-        stored[kind] += size(spark, _name(path, n, kind))
-    if stored["fold"] + stored["part"] >= share * stored["full"]:
-        compact(spark, path, keys, ts, seq, fmt)
-    else:
-        _, newest = _base_and_changes(spark, path, names(keys), ts, seq, fmt)
-        _write_version(newest, path, "fold", fmt)
-    expire(spark, path, keep=2)
-
-
-def expire(spark: SparkSession, path: str, keep: int = 1) -> None:
-    """Delete what only states before the newest ``keep`` full versions or folds need.
-
-    Call it when no job still reads an older one.
+    df.write.mode("overwrite").partitionBy(*columns).parquet(_staged(path))
+
+
+def swap(spark: SparkSession, path: str, columns: Sequence[str]) -> list[tuple[str, ...]]:
+    """Put partitions that are staged completely in place; returns their values.
+
+    Swapping folders is not one step, but it can be repeated: the staged rows go last. So a
+    writer calls this before it reads a table, too, which finishes what one that died began.
     """
-    versions = _versions(spark, path)
-    roots = [n for n, kind in versions if kind != "part"]
-    if keep < 1 or len(roots) <= keep:
-        return
-    oldest = roots[-keep]
-    needed = {n for n, _ in _live([v for v in versions if v[0] <= oldest])}
-    _, files = _folder(spark, path)
-    for n, kind in versions:
-        if n < oldest and n not in needed:
-            files.delete(spark._jvm.org.apache.hadoop.fs.Path(_name(path, n, kind)), True)
+    staged = _staged(path)
+    if not exists(spark, f"{staged}/_SUCCESS"):
+        return []
+    found = [()]
+    for _ in columns:
+        found = [
+            (*f, name) for f in found for name in folders(spark, "/".join((staged, *f))) if "=" in name
+        ]
+    if found:
+        overwrite_partitions(read_partitions(spark, staged), path, columns)
+    remove(spark, staged)
+    return [tuple(n.partition("=")[2] for n in f) for f in found]
+
+
+def read_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """A partitioned table with the columns of all its files."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+# -- files -----------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _status(spark: SparkSession, pattern: str) -> list:
+    path, files = _folder(spark, pattern)
+    return list(files.globStatus(path) or [])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under ``path``."""
+    return [s.getPath().getName() for s in _status(spark, f"{path}/*") if s.isDirectory()]
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether data lies under ``path`` outside the folders of layouts."""
+    names = [s.getPath().getName() for s in _status(spark, f"{path}/*")]
+    return any(not n.startswith((LAYOUT, "_", ".")) for n in names)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with what is in it."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
 
 
 def size(spark: SparkSession, path: str) -> int:

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import names, position
 from tidemark.operators import envelope
-from tidemark.operators.state import latest_per_key
 from tidemark.schemas import (
     INGESTED,
     OFFSET,
@@ -24,11 +23,14 @@ from tidemark.schemas import (
     TS,
 )
 from tidemark.session import settings_for
-from tidemark.sources import tables
+from tidemark.sources import buckets, tables
 
-# Partition columns of the log: whether a message failed to decode, and the day it came.
+# Partition columns of the log: whether a message failed to decode, the day it came, and the
+# micro-batch that brought it. A negative batch -n - 1 stands for all of the day's batches up to n.
 FAILED = "failed"
 DAY = "ingested_on"
+BATCH = "batch"
+LOG_PARTITIONS = [FAILED, DAY, BATCH]
 
 # A micro-batch every five seconds, or all there is and then stop.
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -46,20 +48,22 @@ def ingest(
 ) -> StreamingQuery:
     """Append the bronze rows of one table to ``path``; malformed messages go there too.
 
-    The sink is partitioned by whether a message failed to decode and by day, so one pass
-    writes both and a reader opens only what it wants. Sink and checkpoint together give
-    each message exactly once. The progress of each batch reports rows and failures.
+    The log is partitioned by whether a message failed to decode, by day and by micro-batch,
+    so one pass writes all and a reader opens only what it wants. The day is the batch's own,
+    kept in the checkpoint: a batch that is repeated overwrites exactly its own folders, so
+    each message is there once. The progress of each batch reports rows and failures.
     """
     rows = envelope.decode(messages, row_schema, table, prefix)
+
+    def write(batch: DataFrame, number: int) -> None:
+        tables.overwrite_partitions(batch.withColumn(BATCH, F.lit(number)), path, LOG_PARTITIONS)
+
     return (
         rows.withColumn(FAILED, F.col(envelope.ERROR).isNotNull().cast("int"))
         .withColumn(DAY, F.current_date())
         .observe(table, F.count(F.lit(1)).alias("messages"), F.sum(FAILED).alias("failed"))
-        .writeStream.format("parquet")
-        .partitionBy(FAILED, DAY)
-        .option("path", path)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(**(trigger or EVERY_5_SECONDS))
         .start()
     )
@@ -77,6 +81,7 @@ def bronze_schema(row_schema: T.StructType) -> T.StructType:
             T.StructField(envelope.ERROR, T.StringType()),
             T.StructField(FAILED, T.IntegerType()),
             T.StructField(DAY, T.DateType()),
+            T.StructField(BATCH, T.LongType()),
         ]
     )
 
@@ -99,7 +104,7 @@ def follow_bronze(spark: SparkSession, path: str, row_schema: T.StructType) -> D
 
 
 def _rows(log: DataFrame) -> DataFrame:
-    return log.where(F.col(FAILED) == 0).drop(FAILED, DAY, envelope.ERROR)
+    return log.where(F.col(FAILED) == 0).drop(*LOG_PARTITIONS, envelope.ERROR)
 
 
 def read_quarantine(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
@@ -110,6 +115,77 @@ def read_quarantine(spark: SparkSession, path: str, row_schema: T.StructType) ->
     )
 
 
+def ingested_batches(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+    """Per micro-batch of the log: batch, messages and how many of them are malformed."""
+    log = spark.read.schema(bronze_schema(row_schema)).parquet(path)
+    return log.groupBy(BATCH).agg(F.count(F.lit(1)).alias("messages"), F.sum(FAILED).alias("failed"))
+
+
+def compact_log(
+    spark: SparkSession,
+    path: str,
+    row_schema: T.StructType,
+    keys: str | Sequence[str],
+    before: str | None = None,
+    file_bytes: int = 512 * 1024 * 1024,
+) -> list[str]:
+    """Rewrite the closed days of a log to few files; returns those days.
+
+    Days before ``before`` (by default today) that have new batches, malformed messages
+    included, become one batch folder each, dealt by ranges of (key, time), so a reader of some
+    keys skips row groups. Rows stay as they are. The rewritten days are staged, then swapped
+    in by partition overwrite, then the batch folders they stand for go; each step can be
+    repeated, and a run that died half-way is finished by the next one. In between a reader may
+    see rows of a day twice, as it does after a repeated delivery. Batches that come later for
+    such a day stay beside it until the next run.
+    """
+    keys = names(keys)
+    _finish_compaction(spark, path)
+    limit = before or spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
+    found = [f for f in _batch_folders(spark, path) if f[1] < limit]
+    days = sorted({day for _, day, batch in found if batch >= 0})
+    if not days:
+        return days
+    found = [f for f in found if f[1] in days]
+    newest = max(batch for _, _, batch in found)
+    sizes = [tables.size(spark, _batch_folder(path, *f)) for f in found]
+    place = [FAILED, DAY, *keys, TS]
+    log = spark.read.schema(bronze_schema(row_schema)).parquet(path)
+    rows = log.where(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
+    dealt = rows.withColumn(BATCH, F.lit(-newest - 1)).repartitionByRange(
+        int(sum(sizes) // file_bytes + 1), *place
+    )
+    tables.stage(dealt.sortWithinPartitions(*place), path, LOG_PARTITIONS)
+    _finish_compaction(spark, path)
+    return days
+
+
+def _batch_folder(path: str, failed: str, day: str, batch: int) -> str:
+    return f"{path}/{FAILED}={failed}/{DAY}={day}/{BATCH}={batch}"
+
+
+def _batch_folders(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """(failed, day, batch) of the folders of a log."""
+    return [
+        (failed.partition("=")[2], day.partition("=")[2], int(batch.partition("=")[2]))
+        for failed in tables.folders(spark, path)
+        for day in tables.folders(spark, f"{path}/{failed}")
+        for batch in tables.folders(spark, f"{path}/{failed}/{day}")
+    ]
+
+
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    """Swap in what is staged completely, and drop the batch folders that it stands for."""
+    tables.swap(spark, path, LOG_PARTITIONS)
+    found = _batch_folders(spark, path)
+    for failed, day in {f[:2] for f in found}:
+        batches = [b for f, d, b in found if (f, d) == (failed, day)]
+        whole = min(batches)
+        for batch in batches:
+            if whole < batch < -whole:
+                tables.remove(spark, _batch_folder(path, failed, day, batch))
+
+
 def stream_merge(
     events: DataFrame,
     path: str,
@@ -118,20 +194,17 @@ def stream_merge(
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
     trigger: dict | None = None,
-    compact_every: int = 50,
+    key_buckets: int = buckets.BUCKETS,
 ) -> StreamingQuery:
     """Merge each micro-batch of ``events`` into the state table at ``path``.
 
-    A batch writes only its own newest events per key; every ``compact_every`` batches
-    ``tables.settle`` folds them, and rewrites the whole table once they are a fair share of
-    it. Read with ``tables.read_state``. A batch that is repeated after a failure changes
-    nothing.
+    A batch rewrites the key buckets that it touches, see ``buckets.upsert``; read with
+    ``buckets.read_state``. A batch that is repeated after a failure changes nothing.
     """
     keys = names(keys)
 
     def merge(batch: DataFrame, _: int) -> None:
-        tables.add_changes(latest_per_key(batch, keys, ts, seq), path)
-        tables.settle(batch.sparkSession, path, keys, ts, seq, compact_every)
+        buckets.upsert(batch, path, keys, ts, seq, key_buckets)
 
     return (
         events.writeStream.foreachBatch(merge)
@@ -162,13 +235,13 @@ def stream_current(
     ts: str = TS,
     seq: str | Sequence[str] = SEQ,
     trigger: dict | None = None,
-    compact_every: int = 50,
+    key_buckets: int = buckets.BUCKETS,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep the newest event per key in the state store and publish each key that changes.
 
     The state store is RocksDB, so it need not fit in executor memory. Only keys seen in a
-    batch are written; read the table with ``tables.read_state``. ``state_partitions``, by
+    batch are written; read the table with ``buckets.read_state``. ``state_partitions``, by
     default the session's shuffle partitions, stays as the first run sets it.
     """
     keys = names(keys)
@@ -181,8 +254,7 @@ def stream_current(
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
 
     def publish(changed: DataFrame, _: int) -> None:
-        tables.add_changes(changed, path)
-        tables.settle(changed.sparkSession, path, keys, ts, seq, compact_every)
+        buckets.upsert(changed, path, keys, ts, seq, key_buckets)
 
     # A query keeps the settings it was started with.
     with settings_for(events.sparkSession, settings):
