@@ -69,3 +69,15 @@ def test_gate(spark):
         quality.enforce(report)
     empty = quality.count_violations(df.limit(0), df.limit(0), "none")
     assert tuple(empty.first()) == ("none", 0, 0)
+
+
+def test_set_checks_counted_in_one_pass(spark):
+    """The same numbers as the rows that the checks return."""
+    rows = [(1, "a"), (1, "a"), (2, None), (3, "z"), (None, "b"), (None, "b"), (4, "z")]
+    child = spark.createDataFrame(rows, "k int, ref string")
+    parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "id string")
+    for df in (child, child.limit(0)):
+        found = quality.summarize_unique(df, "k", "u").first()
+        assert tuple(found) == ("u", df.count(), quality.check_unique(df, "k").count())
+        found = quality.summarize_foreign_key(df, "ref", parent, "id", "f").first()
+        assert tuple(found) == ("f", df.count(), quality.check_foreign_key(df, "ref", parent, "id").count())

@@ -154,6 +154,42 @@ def count_violations(checked: DataFrame, failed: DataFrame, check: str) -> DataF
     ).select(F.lit(check).alias("check"), "rows_checked", "rows_failed")
 
 
+def _one_row(counted: DataFrame, check: str) -> DataFrame:
+    return counted.select(
+        F.lit(check).alias("check"),
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("rows_checked", "rows_failed")],
+    )
+
+
+def summarize_unique(df: DataFrame, cols: str | Sequence[str], check: str) -> DataFrame:
+    """``check_unique`` as one row, in the pass that groups the values: values that repeat."""
+    cols = names(cols)
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return _one_row(
+        groups.agg(
+            F.sum("_n").alias("rows_checked"), F.count_if(present & (F.col("_n") > 1)).alias("rows_failed")
+        ),
+        check,
+    )
+
+
+def summarize_foreign_key(
+    child: DataFrame, col: str, parent: DataFrame, parent_key: str, check: str
+) -> DataFrame:
+    """``check_foreign_key`` as one row: child rows are counted per reference before they meet
+    their parents."""
+    references = child.groupBy(F.col(col).alias("_ref")).agg(F.count(F.lit(1)).alias("_n"))
+    known = parent.select(F.col(parent_key).alias("_ref")).distinct().withColumn("_known", F.lit(True))
+    lost = F.col("_known").isNull() & F.col("_ref").isNotNull()
+    return _one_row(
+        references.join(known, "_ref", "left").agg(
+            F.sum("_n").alias("rows_checked"), F.sum(F.when(lost, F.col("_n"))).alias("rows_failed")
+        ),
+        check,
+    )
+
+
 def gate(summaries: Sequence[DataFrame]) -> DataFrame:
     """The summaries as one report with ``passed``."""
     report = reduce(DataFrame.unionByName, summaries)

@@ -248,13 +248,13 @@ def check_silver(spark: SparkSession, silver: str, bronze: str | None = None) ->
         table = TABLES[n]
         report.append(quality.summarize(data[n], quality.row_rules(table, data[n].columns), n))
         for col in table.unique:
-            bad = quality.check_unique(data[n], col)
-            report.append(quality.count_violations(data[n], bad, f"{n}.unique:{col}"))
+            report.append(quality.summarize_unique(data[n], col, f"{n}.unique:{col}"))
         for col, (parent, parent_key) in table.foreign_keys.items():
             if parent in data:
-                child = data[n].select(table.key, col)
-                bad = quality.check_foreign_key(child, col, data[parent], parent_key)
-                report.append(quality.count_violations(child, bad, f"{n}.foreign_key:{col}"))
+                check = f"{n}.foreign_key:{col}"
+                report.append(
+                    quality.summarize_foreign_key(data[n], col, data[parent], parent_key, check)
+                )
     if {"payments", "order_items"} <= data.keys():
         totals = marts.order_totals(data["order_items"])
         bad = quality.check_amounts(data["payments"], totals)

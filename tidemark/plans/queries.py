@@ -556,15 +556,9 @@ def q_gate(spark: SparkSession, folder: str) -> DataFrame:
             quality.summarize(coded, quality.row_rules(PRODUCTS, coded.columns), "products"),
             quality.summarize(orders, quality.row_rules(ORDERS, orders.columns), "orders"),
             quality.summarize(scaled, quality.row_rules(PAYMENTS, scaled.columns), "payments"),
-            quality.count_violations(
-                items,
-                quality.check_unique(items, "order_item_id"),
-                "order_items.unique:order_item_id",
-            ),
-            quality.count_violations(
-                items,
-                quality.check_foreign_key(narrow, "product_id", known, "product_id"),
-                "order_items.foreign_key:product_id",
+            quality.summarize_unique(items, "order_item_id", "order_items.unique:order_item_id"),
+            quality.summarize_foreign_key(
+                narrow, "product_id", known, "product_id", "order_items.foreign_key:product_id"
             ),
             quality.count_violations(
                 star.status_changes(spark, folder),
