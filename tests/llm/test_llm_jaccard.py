@@ -101,3 +101,46 @@ def test_drop_keeps_one_row_of_groups_with_strange_ids(spark):
     assert sorted(of.get(r.no, r.no) for r in kept) == [0, 1, 2, 3, 14, 15, 16, 17]
     ids = {of[r.no]: r.doc_id for r in kept if r.no in of}
     assert ids == {0: 7, 1: None, 2: 3, 3: -(2**63)}
+
+
+def test_a_shared_passage_costs_no_pairs(spark):
+    """Documents that share a passage but are not similar: nothing is paired, however many."""
+    from tidemark.llm import jaccard_join as jj
+
+    passage = " ".join(f"common{i}" for i in range(200))
+
+    def candidates(n):
+        own = "concat_ws(' ', transform(sequence(1, 20), x -> concat('d', id, 'w', x)))"
+        docs = spark.range(n).selectExpr("id AS doc_id", f"concat({own}, ' {passage}') AS text")
+        rows = jj._rows(docs, "doc_id", "text")
+        measured = jj.stored(jj._measure(rows, 4), "measured")
+        entries = jj._with_company(jj._prefixes(rows, 4, 85, jj._levels(measured)))
+        useful = jj.stored(jj._useful(entries, 85), "useful")
+        nothing = spark.createDataFrame([], "node long, component long")
+        sides = jj._sides(useful, nothing, 85)
+        return sides.where("NOT looks").count(), jj._cross_pairs(useful, nothing, 85).count()
+
+    assert candidates(300) == (0, 0)
+    assert candidates(6000) == (0, 0)
+
+
+def test_blocks_and_bands_lose_no_pair(spark, monkeypatch):
+    """Many sizes, many groups under one token, and blocks of a few entries."""
+    import random
+
+    from tidemark.llm import jaccard_join as jj
+
+    monkeypatch.setattr(jj, "BLOCK", 3)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(160):
+        at = rng.randrange(4) * 10
+        text = words[at : at + rng.randrange(8, 24)]
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(30)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, percent in ((2, 60), (4, 85), (1, 70)):
+        got = jj.similar_groups(docs, words=k, percent=percent)
+        assert sorted(map(tuple, got.collect()), key=str) == similar_groups(rows, k, percent)

@@ -62,6 +62,29 @@ def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 _MADE: dict[str, object] = {}
 
 
+def forget() -> None:
+    """Give back what the worker holds from earlier operators: models, and Arrow's spare memory."""
+    _MADE.clear()
+    pa.default_memory_pool().release_unused()
+
+
+class Recent:
+    """Which of a stream of numbers came before, as far as a fixed number of places remembers.
+
+    A number takes the place of another one now and then, and is new again then.
+    """
+
+    def __init__(self, places: int = 1 << 15) -> None:
+        self._places: list[int | None] = [None] * places
+
+    def is_new(self, x: int) -> bool:
+        at = x % len(self._places)
+        if self._places[at] == x:
+            return False
+        self._places[at] = x
+        return True
+
+
 def once(key: str, make: Callable[[], object]) -> object:
     """What ``make`` returns, made once per Python worker and kept for the latest key of a kind.
 

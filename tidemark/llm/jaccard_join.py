@@ -16,7 +16,10 @@ whoever remains is verified on the whole sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import pieces, text_of
+from tidemark.llm.batches import Recent, forget, pieces, text_of
 from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_sets
 from tidemark.llm.store import maybe_in, stored
@@ -37,6 +40,8 @@ _BLOCK_BITS = 16
 MOST_MATCHES = 24
 #: Estimated cost of verifying a candidate, in prefix tokens: fixed, and per token of the set.
 VERIFY_FIXED, VERIFY_TOKEN = 2.0, 1 / 16
+#: Ratio of the sizes at the ends of a band, and entries of a side that meet at once.
+BAND, BLOCK = 1.04, 2048
 #: Chance that a token of an ordinary bucket has another document.
 ORDINARY = 0.1
 
@@ -60,20 +65,18 @@ def _measure(docs: DataFrame, words: int) -> DataFrame:
     """Per document its set's size and class, and per task the blocks of the count sketch."""
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        seen: set[int] = set()
+        forget()
+        counts = np.zeros(1 << SKETCH_BITS, np.uint16)
+        recent = Recent()
         shift = np.uint64(64 - SKETCH_BITS)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 sets = shingle_sets(*text_of(piece.column("text")), words)
                 classes = [_class_of(s) if len(s) else None for s in sets]
-                fresh = []
-                for s, c in zip(sets, classes):
-                    if c is not None and c not in seen:
-                        seen.add(c)
-                        fresh.append(s)
+                fresh = [s for s, c in zip(sets, classes) if c is not None and recent.is_new(c)]
                 if fresh:
-                    np.add.at(counts, np.concatenate(fresh) >> shift, 1)
+                    at, n = np.unique(np.concatenate(fresh) >> shift, return_counts=True)
+                    counts[at] = np.minimum(counts[at] + n, 65535)
                 n = len(sets)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -88,7 +91,7 @@ def _measure(docs: DataFrame, words: int) -> DataFrame:
                 )
         blocks = counts.reshape(-1, 1 << _BLOCK_BITS)
         for i in np.flatnonzero(blocks.any(axis=1)):
-            packed = np.minimum(blocks[i], 65535).astype(np.uint16).tobytes()
+            packed = blocks[i].tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     *[pa.nulls(1, pa.int64()) for _ in range(4)],
@@ -164,15 +167,14 @@ def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) ->
     def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of = np.frombuffer(shared.value, np.uint8)
         shift = np.uint64(64 - SKETCH_BITS)
-        seen: set[int] = set()
+        recent = Recent()
         for batch in batches:
             for piece in pieces(batch, "text"):
                 tokens, classes, metas = [], [], []
                 for s in shingle_sets(*text_of(piece.column("text")), words):
                     n = len(s)
-                    if not n or (c := _class_of(s)) in seen:
+                    if not n or not recent.is_new(c := _class_of(s)):
                         continue
-                    seen.add(c)
                     level = level_of[s >> shift]
                     order = np.argsort(level, kind="stable")
                     base = n - _up(percent * n, 100) + 1
@@ -314,47 +316,90 @@ def _hub_pairs(useful: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(useful: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different groups with a token early in both: ``(a, b)``.
+def _band(size: Column) -> Column:
+    """The number of a size's band; bands ascend with the sizes in them."""
+    return F.floor(F.log(size) / math.log(BAND)).cast("int")
+
 
-    Sets that need an overlap of ``least`` share a token among the first ``n - least + 1`` of
-    each.
+def _sides(useful: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Entries by the sizes of the partners that they allow, once per band and side.
+
+    A set that needs an overlap of ``least`` with its partner shares a token among its first
+    ``n - least + 1``, and no more tokens than ``cap``. Both bound the partner's size from above
+    (``high``). The larger set of a pair looks for partners in all bands of sizes that it
+    allows; the smaller one waits in its own, if a partner of its size or more is allowed.
     """
-    # No set of these sizes has a token later than this in reach of any partner.
-    early = useful.where(F.col("pos") <= F.col("n") - F.ceil(percent * F.col("n") / F.lit(100)))
-    labelled = early.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    n = F.col("n")
+    overlap = F.least("cap", n - F.col("pos"))
+    high = F.least(F.floor(100 * n / percent), F.floor(overlap * (100 + percent) / percent) - n)
+    sized = useful.select(
+        "token", "cls", "n", F.ceil(percent * n / 100).alias("low"), high.alias("high")
+    ).where("high >= low")
+    labelled = sized.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("component", "cls")
     )
-    mixed = (
-        labelled.groupBy("token")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high")
-        .select("token")
+    bands = F.sequence(_band(F.col("low")), _band(F.least("high", "n")))
+    kept = ["token", "cls", "label", "n", "low", "high"]
+    looking = labelled.select(*kept, F.lit(True).alias("looks"), F.explode(bands).alias("band"))
+    waiting = labelled.where("high >= n").select(*kept, F.lit(False).alias("looks"), _band(n).alias("band"))
+    return looking.unionAll(waiting)
+
+
+def _cross_pairs(useful: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different groups with a token early in both: ``(a, b)``.
+
+    Pairs are made per token and band of sizes. The group that has most of its entries is
+    paired with the others only, not with itself, and entries meet in blocks of a bounded size.
+    """
+    sides = stored(_sides(useful, groups, percent), "sides")
+    looks = F.col("looks").cast("long")
+    per_label = sides.groupBy("token", "band", "label").agg(
+        F.sum(looks).alias("p"), F.sum(1 - looks).alias("t")
     )
+    met = (
+        per_label.groupBy("token", "band")
+        .agg(
+            F.max_by("label", F.col("p") + F.col("t")).alias("major"),
+            F.sum("p").alias("p"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("labels"),
+        )
+        .where("labels > 1 AND p > 0 AND t > 0")
+        .select(
+            "token", "band", "major",
+            F.ceil(F.col("p") / BLOCK).cast("int").alias("p"), F.ceil(F.col("t") / BLOCK).cast("int").alias("t"),
+        )
+    )
     entries = stored(
-        labelled.join(mixed, "token", "left_semi").select(
-            "token", "cls", "label", "n", "pos", "cap"
-        ),
+        sides.join(met, ["token", "band"]).withColumn("is_major", F.col("label") == F.col("major")),
         "mixed-tokens",
     )
-    xn, yn = F.col("x.n"), F.col("y.n")
-    least = _least_overlap(xn, yn, percent)
-    return (
-        entries.alias("x")
-        .join(
-            entries.alias("y"),
-            (F.col("x.token") == F.col("y.token"))
-            & (F.col("x.label") != F.col("y.label"))
-            & (F.col("x.cls") > F.col("y.cls"))
-            & _alike_sizes(xn, yn, percent)
-            & (F.col("x.cap") >= least)
-            & (F.col("y.cap") >= least)
-            & (F.col("x.pos") <= xn - least)
-            & (F.col("y.pos") <= yn - least),
+
+    def dealt(looks: bool, own: str, other: str) -> DataFrame:
+        """One side, each entry in its block and once for every block of the other side."""
+        block = F.pmod(F.xxhash64("cls"), F.col(own)).cast("int")
+        all_others = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        side = entries.where(F.col("looks") == looks)
+        return side.select(
+            "token", "band", "cls", "label", "n", "low", "high", "is_major",
+            block.alias(f"_{own}"), all_others.alias(f"_{other}"),
+        )
+
+    x, y = dealt(True, "p", "t"), dealt(False, "t", "p")
+    at = ["token", "band", "_p", "_t"]
+
+    def met_in(x: DataFrame, y: DataFrame) -> DataFrame:
+        fits = (
+            (F.col("x.label") != F.col("y.label"))
+            & ((F.col("x.n") > F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.cls") > F.col("y.cls")))
+            & F.col("y.n").between(F.col("x.low"), F.col("x.high"))
+            & (F.col("x.n") <= F.col("y.high"))
         )
-        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-        .distinct()
-    )
+        same = reduce(and_, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in at])
+        return x.alias("x").join(y.alias("y"), same & fits).select(
+            F.greatest("x.cls", "y.cls").alias("a"), F.least("x.cls", "y.cls").alias("b")
+        )
+
+    pairs = met_in(x.where("NOT is_major"), y).unionAll(met_in(x.where("is_major"), y.where("NOT is_major")))
+    return pairs.distinct()
 
 
 # -- verification -----------------------------------------------------------------------------

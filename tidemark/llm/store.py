@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, settings_for
+
+#: Rows that Python workers get at once: by bytes, so long texts come a few at a time.
+ARROW = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+}
 
 #: Buckets of a key filter: at most this many 8-byte rows are ever broadcast.
 FILTER_BUCKETS = 1 << 20
@@ -18,7 +24,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     executor.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with settings_for(df.sparkSession, ARROW):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
