@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, jaccard_join, mixing, toxicity, unigram
-from tidemark.llm.queries import MIX, TOKENIZERS
+from tidemark.llm.queries import TOKENIZERS
 from tidemark.llm.store import stored
 
 
@@ -27,10 +27,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return jaccard_join.drop_similar(docs, words=5, percent=80)
 
 
+#: Shares of the expected tokens once toxic documents have gone, as a multiple of the tokens
+#: before. Rates of one reading or more reach them; what is left of a toxic share has no target.
+MIX = {"high": 0.9, "low": 0.1}
+RATES = {"budget": 1.3, "lowest": 1.0, "highest": 4.0}
+
+
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeat so that domains come closer to their target weights; none goes."""
+    """Documents repeat until the domains have their target weights; none goes."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.mix(docs, labels, MIX, budget=1.2, lowest=1.0, highest=4.0)
+    return mixing.mix(docs, labels, MIX, **RATES)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
