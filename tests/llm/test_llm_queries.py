@@ -3,7 +3,7 @@ from compare import duckdb_result, spark_result
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tidemark.llm import exact_dedup, jaccard_join
+from tidemark.llm import exact_dedup, jaccard_join, mixing
 from tidemark.llm.oracle import ORACLE
 from tidemark.llm.queries import QUERIES
 
@@ -51,5 +51,16 @@ def test_stages(spark, stages):
     assert "ids" in last.columns and "text" not in last.columns
 
 
+def test_mixing_reaches_the_pipelines_targets(spark, stages):
+    apart, mixed = stages[3:5]
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    rates = mixing.document_rates(apart, labels, corpus_pipeline.MIX, **corpus_pipeline.RATES).toPandas()
+    asked = {d: s * corpus_pipeline.RATES["budget"] for d, s in corpus_pipeline.MIX.items()}
+    for domain, share in asked.items():
+        reached = (rates.rate * rates.n_tokens * rates[f"p_{domain}"]).sum() / rates.n_tokens.sum()
+        assert abs(reached - share) < 0.01
+    assert rates.rate.between(1, 4).all() and rates.copies.sum() == mixed.count()
+
+
 def test_run_gives_the_last_stage(spark, stages):
     assert corpus_pipeline.run(spark, FOLDER).columns == stages[-1].columns
