@@ -12,33 +12,37 @@ def _brute(rows):
     """(doc_id, n_lines, n_dropped, text) for each row."""
 
     def tokens(line):
-        return [t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
+        return ["<*>" if re.search("[0-9]", t) else t for t in re.split(r"[\x20\x09-\x0D]+", line) if t]
 
-    def leaf(toks):
-        return len(toks), tuple(lt.VARIABLE if re.search("[0-9]", t) else t for t in toks[: lt.DEPTH])
-
-    seen = Counter()
-    for _, text in rows:
-        for line in dict.fromkeys((text or "").split("\n")):
-            if len(tokens(line)) >= lt.MIN_TOKENS:
-                seen[line] += 1
-    support = Counter()
-    for line, n in seen.items():
-        for i, t in enumerate(tokens(line)):
-            if not re.search("[0-9]", t):
-                support[leaf(tokens(line)), i, t] += n
-    template = {}
-    for line in seen:
-        toks = tokens(line)
-        found = [(i, t) for i, t in enumerate(toks) if support[leaf(toks), i, t] >= lt.MIN_DOCS]
-        if found and len(found) >= lt.MIN_CONSTANT * len(toks):
-            template[line] = (leaf(toks), tuple(found))
     texts = defaultdict(set)
     for _, text in rows:
         for line in (text or "").split("\n"):
-            if line in template:
-                texts[template[line]].add(text)
-    gone = {line for line, t in template.items() if len(texts[t]) >= lt.MIN_DOCS}
+            if len(tokens(line)) >= 4:
+                texts[line].add(text)
+    groups = defaultdict(list)
+    for line in texts:
+        groups[len(tokens(line)), *tokens(line)[:3]].append(line)
+    template = {}
+    for level in range(3):
+        after = defaultdict(list)
+        for name, lines in groups.items():
+            at = [Counter(x) for x in zip(*map(tokens, lines))]
+            most = [max(c, key=lambda t: (c[t], t)) for c in at]
+            constant = [2 * c[t] > len(lines) and t != "<*>" for c, t in zip(at, most)]
+            differ = [(len(c), i) for i, c in enumerate(at) if len(c) > 1]
+            for line in lines:
+                own = tokens(line)
+                hits = sum(k and a == b for k, a, b in zip(constant, own, most))
+                if hits >= 0.6 * len(own):
+                    template[line] = (level, name)
+                else:
+                    after[name, own[min(differ)[1]] if differ else None].append(line)
+        groups = after
+    recurs = defaultdict(set)
+    for line, t in template.items():
+        recurs[t] |= texts[line]
+    gone = {line for line, t in template.items() if len(recurs[t]) >= 5}
+    gone |= {line for line, found in texts.items() if len(found) >= 2}
     out = []
     for i, text in rows:
         lines = (text or "").split("\n")
@@ -70,6 +74,35 @@ def test_equals_brute_force(spark):
     assert dropped[100] == 2 and dropped[300] == 0 and dropped[400] == 0
 
 
+def test_a_variable_field_is_found_among_few_and_many(spark):
+    """The same line with two fields, one a text: all go, whether there are 10**2 or 10**5."""
+    names = "concat('n', translate(cast(id % {} as string), '0123456789', 'abcdefghij'))"
+    for n, kinds in ((100, 50), (100_000, 2000)):
+        line = f"concat('This page was written by ', {names.format(kinds)}, ' from ', {names.format(kinds + 7)}, ' for our readers')"
+        own = f"concat('own words of ', {names.format(n)}, ' and ', {names.format(n)}, ' ', {names.format(n)})"
+        docs = spark.range(n).selectExpr("id AS doc_id", f"concat({line}, '\n', {own}) AS text")
+        got = lt.drop_recurring_lines(docs).groupBy("n_dropped").count().collect()
+        assert [r["count"] for r in got if r["n_dropped"] > 0] == [n]
+
+
+def test_lines_that_vary_at_different_places_share_a_template(spark):
+    words = "Read all the news of {} with {} and {} on our pages".split()
+    rows = []
+    for i in range(12):
+        fields = ["sport", "film", "art"]
+        fields[i % 3] = f"thing{'abcdefghijkl'[i]}"
+        rows.append((i, " ".join(words).format(*fields) + "\nalone " + "xyz"[i % 3] * (i + 1) + " x y z"))
+    got = _found(lt.drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)))
+    assert got == _brute(rows) and all(r[2] >= 1 for r in got)
+
+
+def test_a_long_line_in_two_texts_goes(spark):
+    line = " ".join(f"word{'abcdefghij'[i % 10] * (i // 10 + 1)}" for i in range(60))
+    rows = [(1, line + "\nfirst one of all"), (2, "other one of these\n" + line), (3, "a third one here")]
+    got = _found(lt.drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)))
+    assert got == _brute(rows) and [r[2] for r in got] == [1, 1, 0]
+
+
 def test_columns_and_empty_table(spark):
     rows = [("_line", t, i) for i, t in TEXTS]
     docs = spark.createDataFrame(rows, "_k1 string, text string, doc_id long")

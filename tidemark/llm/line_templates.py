@@ -1,35 +1,44 @@
 """Lines that recur across documents up to variable fields, by a log-template tree.
 
 The tree has a fixed depth: a line goes by its number of tokens and then by its leading
-tokens to a leaf. In a leaf, a token that many lines have at the same place is constant,
-any other is a variable field; a line's constants with their places are its template.
+tokens to a leaf. A token that more than half of a leaf's different lines have at a place is
+constant there, any other place is a variable field; these make the leaf's template, which
+all lines belong to that have enough of its constants. The others go on to children of the leaf,
+by their token at the place where they differ least, and so on for a fixed number of
+levels. Shares decide, not numbers, so a template is found alike among few lines and many.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import maybe_in, stored
+from tidemark.llm.store import bucket, maybe_in, stored
 
-#: Leading tokens on the way to a leaf.
-DEPTH = 3
-#: Different texts a template must recur in, and lines that must share a constant.
+#: Leading tokens on the way to a leaf, and levels of templates from there on.
+DEPTH, LEVELS = 3, 3
+#: Different texts that a template with variable fields must recur in; the same line, two.
 MIN_DOCS = 5
-#: Least number of tokens of a template, and the share of them that must be constant.
+#: Least number of tokens of a line, and the share of them that must be the template's constants.
 MIN_TOKENS = 4
 MIN_CONSTANT = 0.6
 
 VARIABLE = "<*>"
 _KEY = ["_k1", "_k2"]
 
+# Parts that the texts of one line are dealt in.
+_SALTS = 16
+
 
 def _lines(text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
 
 def _tokens(line: Column) -> Column:
-    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda t: t != "")
+    plain = F.translate(line, "\t\n\x0b\x0c\r", "     ")
+    return F.filter(F.split(plain, " "), lambda t: t != "")
 
 
 def _masked(token: Column) -> Column:
@@ -52,6 +61,48 @@ def _line_key(line: Column) -> Column:
     return F.xxhash64(line, F.octet_length(line))
 
 
+def _marked(df: DataFrame, keys: DataFrame, col: str, name: str) -> DataFrame:
+    """``df`` with ``name``: true if the row's key may be among ``keys``, else null or false."""
+    buckets = keys.select(bucket(col).alias("_bucket"), F.lit(True).alias(name)).distinct()
+    return df.withColumn("_bucket", bucket(col)).join(F.broadcast(buckets), "_bucket", "left").drop("_bucket")
+
+
+def _level(lines: DataFrame, level: int, min_constant: float) -> tuple[DataFrame, DataFrame]:
+    """One level of templates over ``lines`` (_line, _group, _tokens): who fits, and the rest.
+
+    Counts are summed per group, place and token before they are shuffled; the join has one
+    template per group on its other side.
+    """
+    counts = (
+        lines.select("_group", F.posexplode("_tokens").alias("_pos", "_token"))
+        .groupBy("_group", "_pos", "_token")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    places = counts.groupBy("_group", "_pos").agg(
+        F.max(F.struct("_n", "_token")).alias("_most"),
+        F.sum("_n").alias("_all"),
+        F.count(F.lit(1)).alias("_kinds"),
+    )
+    most = F.col("_most._token")
+    constant = (2 * F.col("_most._n") > F.col("_all")) & (most != VARIABLE)
+    templates = places.groupBy("_group").agg(
+        F.sort_array(F.collect_list(F.struct("_pos", F.when(constant, most).alias("t")))).alias("_template"),
+        F.min(F.when(F.col("_kinds") > 1, F.struct("_kinds", "_pos"))).alias("_least"),
+    )
+    same = F.zip_with("_tokens", F.col("_template.t"), lambda a, b: F.coalesce(a == b, F.lit(False)))
+    enough = F.size(F.filter(same, lambda x: x)) >= min_constant * F.size("_tokens")
+    met = stored(
+        lines.join(templates, "_group").select(
+            "_line", "_group", "_tokens", enough.alias("_fits"),
+            F.get("_tokens", F.col("_least._pos")).alias("_next"),
+        ),
+        "levels",
+    )
+    fits = met.where("_fits").select("_line", F.xxhash64("_group", F.lit(level)).alias("_template"))
+    rest = met.where("NOT _fits").select("_line", "_tokens", F.xxhash64("_group", "_next").alias("_group"))
+    return fits, rest
+
+
 def recurring_lines(
     docs: DataFrame,
     text: str = "text",
@@ -62,79 +113,71 @@ def recurring_lines(
 ) -> DataFrame:
     """``(_k1, _k2, _line)``: for each text key, the keys of its lines to drop.
 
-    A frequent line shrinks to one row before its tokens are looked at, and counts of hot
-    leaves and constants are summed where they are read. Whole documents that repeat count
-    as one text, so copies alone make no line recur.
+    A line recurs if it stands in two different texts, or if lines of its template stand in
+    ``min_docs`` different ones. Whole documents that repeat count as one text, so copies alone
+    make no line recur. Lines are counted as rows of a few numbers; only those whose leaf has
+    enough others are looked at token by token, each once however often it stands.
     """
     keyed = _keyed(docs.select(F.col(text).alias("_text")), "_text")
-    lines = F.array_distinct(_lines("_text"))
-    leaves = F.filter(
-        F.transform(
-            F.transform(lines, _tokens),
-            lambda t: F.when(F.size(t) >= min_tokens, _leaf(t, depth)),
+    rows = (
+        keyed.select(*_KEY, F.explode(F.array_distinct(_lines("_text"))).alias("_text"))
+        .withColumn("_tokens", _tokens(F.col("_text")))
+        .where(F.size("_tokens") >= min_tokens)
+        .withColumns({"_leaf": _leaf(F.col("_tokens"), depth), "_line": _line_key(F.col("_text"))})
+    )
+    seen = stored(
+        rows.groupBy("_leaf", "_line").agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_k1").alias("_low"), F.max("_k1").alias("_high")
         ),
-        lambda leaf: leaf.isNotNull(),
+        "lines-seen",
     )
-    frequent = stored(
-        keyed.select(F.explode(F.array_distinct(leaves)).alias("_leaf"))
-        .groupBy("_leaf")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= min_docs)
+    same = stored(seen.where("_low != _high").select("_line"), "same-lines")
+    leaves = stored(
+        seen.groupBy("_leaf")
+        .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_lines"))
+        .where((F.col("_n") >= min_docs) & (F.col("_lines") > 1))
         .select("_leaf"),
         "leaves",
     )
-    found = (
-        keyed.select(*_KEY, F.explode(lines).alias("_text"))
-        .withColumn("_tokens", _tokens(F.col("_text")))
-        .where(F.size("_tokens") >= min_tokens)
-        .withColumn("_leaf", _leaf(F.col("_tokens"), depth))
-    )
+    found = _marked(_marked(rows, leaves, "_leaf", "_alike"), same, "_line", "_same")
     found = stored(
-        maybe_in(found, frequent, ["_leaf"]).select(
-            *_KEY, "_leaf", _line_key(F.col("_text")).alias("_line"), "_text"
+        found.where("_alike OR _same").select(
+            *_KEY, "_leaf", "_line", F.when(F.col("_alike"), F.transform("_tokens", _masked)).alias("_tokens")
         ),
         "lines",
     )
-    distinct = found.groupBy("_leaf", "_line", "_text").agg(F.count(F.lit(1)).alias("_n"))
-    tokens = stored(
-        distinct.withColumn("_tokens", _tokens(F.col("_text")))
-        .withColumn("_size", F.size("_tokens"))
-        .select("_leaf", "_line", "_n", "_size", F.posexplode("_tokens").alias("_pos", "_token"))
-        .where(~F.col("_token").rlike("[0-9]")),
-        "tokens",
+    lines = stored(
+        found.where("_tokens IS NOT NULL")
+        .groupBy("_line", F.col("_leaf").alias("_group"))
+        .agg(F.first("_tokens").alias("_tokens")),
+        "different-lines",
     )
-    place = ["_leaf", "_pos", "_token"]
-    constants = (
-        tokens.groupBy(*place)
-        .agg(F.sum("_n").alias("_support"))
-        .where(F.col("_support") >= min_docs)
-        .select(*place)
-    )
-    # One row per line again, its constants in order: bounded by the length of the line.
-    templates = (
-        tokens.join(constants, place)
-        .groupBy("_leaf", "_line", "_size")
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_token"))).alias("_constants"))
-        .where(F.size("_constants") >= min_constant * F.col("_size"))
-        .select("_line", F.xxhash64("_leaf", "_constants").alias("_template"))
-    )
-    placed = stored(found.select(*_KEY, "_line").join(templates, "_line"), "templates")
+    placed = []
+    for level in range(LEVELS):
+        fits, lines = _level(lines, level, min_constant)
+        placed.append(fits)
+    templates = stored(reduce(DataFrame.unionAll, placed), "templates")
     recurring = (
-        placed.select("_template", *_KEY)
-        .distinct()
-        .groupBy("_template")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        found.select(*_KEY, "_line").join(templates, "_line").select("_template", *_KEY).distinct()
+        .groupBy("_template").agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") >= min_docs)
-        .select("_template")
+    )
+    general = templates.join(recurring, "_template", "left_semi").select("_line")
+    # One row per line to drop; the texts of a line that is everywhere meet it in several parts.
+    gone = general.unionAll(same).distinct().withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     )
-    return placed.join(recurring, "_template", "left_semi").select(*_KEY, "_line").distinct()
+    dealt = found.select(*_KEY, "_line", F.pmod("_k1", F.lit(_SALTS)).cast("int").alias("_salt"))
+    return dealt.join(gone, ["_line", "_salt"], "left_semi").select(*_KEY, "_line").distinct()
 
 
 def drop_recurring_lines(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with ``text`` without its recurring lines, and ``n_lines``, ``n_dropped``.
 
     Other lines stay as they are and in their order; blank lines and lines of fewer than
-    MIN_TOKENS tokens always stay. A null text counts as empty: one line, none dropped.
+    MIN_TOKENS tokens always stay. A line that two different texts have goes, and so does one
+    whose template recurs (see ``recurring_lines``). A null text counts as empty: one line,
+    none dropped.
     Rows that repeat a text, and documents with equal ids, are treated alike. An empty
     table gives an empty result; other columns are carried along under any name.
     """

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from tidemark.llm import line_templates as lt
-
 _SPACE = r"[\x20\x09-\x0D]+"
 
 OP5 = rf"""
@@ -15,45 +13,68 @@ SELECT t.doc_id, g.keep_id, g.n AS group_size, t.doc_id = g.keep_id AS kept, t.h
 FROM t JOIN g USING (h)
 """
 
+
+
+def _op7_level(level: int) -> str:
+    """A level of templates: constants of most lines of a group, who fits, and where the rest go."""
+    return f"""
+c{level} AS (
+  SELECT grp, pos, token, count(*) AS n, sum(count(*)) OVER (PARTITION BY grp, pos) AS every,
+         count(*) OVER (PARTITION BY grp, pos) AS kinds
+  FROM (SELECT grp, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM g{level})
+  GROUP BY grp, pos, token
+),
+split{level} AS (
+  SELECT grp, arg_min(pos, (kinds, pos)) AS pos FROM c{level} WHERE kinds > 1 GROUP BY grp
+),
+m{level} AS (
+  SELECT g.line, g.grp, g.tokens, coalesce(h.hits, 0) >= 0.6 * len(g.tokens) AS fits,
+         g.tokens[s.pos] AS next
+  FROM g{level} g LEFT JOIN split{level} s USING (grp) LEFT JOIN (
+    SELECT line, count(*) AS hits
+    FROM (SELECT line, grp, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM g{level}) t
+    JOIN c{level} c USING (grp, pos, token) WHERE 2 * c.n > c.every AND token <> '<*>' GROUP BY line
+  ) h USING (line)
+),
+g{level + 1} AS (
+  SELECT line, concat(grp, '/{level}:', coalesce(next, '')) AS grp, tokens FROM m{level} WHERE NOT fits
+),"""
+
+
 OP7 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 found AS (
-  SELECT doc_id, text, line,
-         list_filter(string_split_regex(line, '{_SPACE}'), lambda x: x <> '') AS tokens
-  FROM (SELECT doc_id, text, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM d)
+  SELECT text, line, list_filter(string_split_regex(line, '{_SPACE}'), lambda x: x <> '') AS words
+  FROM (SELECT DISTINCT text, unnest(string_split(text, chr(10))) AS line FROM d)
 ),
 lines AS (
-  SELECT *, len(tokens) AS size,
-         list_transform(tokens[1:{lt.DEPTH}],
-           lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{lt.VARIABLE}' ELSE x END) AS lead
-  FROM found WHERE len(tokens) >= {lt.MIN_TOKENS}
-),
-uniq AS (SELECT line, size, lead, any_value(tokens) AS tokens, count(*) AS n
-         FROM lines GROUP BY line, size, lead),
-tok AS (
-  SELECT * FROM (SELECT line, size, lead, n, unnest(tokens) AS token,
-                        generate_subscripts(tokens, 1) AS pos FROM uniq)
-  WHERE NOT regexp_matches(token, '[0-9]')
-),
-con AS (SELECT size, lead, pos, token FROM tok GROUP BY ALL HAVING sum(n) >= {lt.MIN_DOCS}),
+  SELECT text, line, list_transform(words,
+    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
+  FROM found WHERE len(words) >= 4
+),
+g0 AS (SELECT DISTINCT line, concat(len(tokens)::VARCHAR, ' ', tokens[1:3]::VARCHAR) AS grp, tokens FROM lines),
+{_op7_level(0)}{_op7_level(1)}{_op7_level(2)}
 tpl AS (
-  SELECT line, size, lead, list((pos, token) ORDER BY pos) AS constants
-  FROM tok JOIN con USING (size, lead, pos, token) GROUP BY line, size, lead
-  HAVING count(*) >= {lt.MIN_CONSTANT} * size
+  SELECT line, concat('0 ', grp) AS t FROM m0 WHERE fits UNION ALL
+  SELECT line, concat('1 ', grp) FROM m1 WHERE fits UNION ALL
+  SELECT line, concat('2 ', grp) FROM m2 WHERE fits
 ),
-rec AS (
-  SELECT size, lead, constants FROM lines JOIN tpl USING (line, size, lead)
-  GROUP BY ALL HAVING count(DISTINCT text) >= {lt.MIN_DOCS}
+rec AS (SELECT t FROM lines JOIN tpl USING (line) GROUP BY t HAVING count(DISTINCT text) >= 5),
+gone AS (
+  SELECT line FROM tpl JOIN rec USING (t)
+  UNION SELECT line FROM lines GROUP BY line HAVING count(*) >= 2
 ),
-gone AS (SELECT DISTINCT line FROM tpl JOIN rec USING (size, lead, constants)),
 every AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS no FROM d
+  SELECT row_number() OVER () AS r, doc_id, text FROM d
+),
+cut AS (
+  SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS no FROM every
 )
 SELECT e.doc_id, count(*) AS n_lines,
        count(*) FILTER (WHERE g.line IS NOT NULL) AS n_dropped,
        coalesce(string_agg(e.line, chr(10) ORDER BY no) FILTER (WHERE g.line IS NULL), '') AS text
-FROM every e LEFT JOIN gone g USING (line) GROUP BY e.doc_id
+FROM cut e LEFT JOIN gone g USING (line) GROUP BY e.r, e.doc_id
 """
 
 # Written from the operator's description, not from its constants.
