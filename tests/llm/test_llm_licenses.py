@@ -92,3 +92,56 @@ def test_optional_and_replaceable_regions():
 
 def test_empty_table(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def _wordings(markup):
+    """The shortest and the longest text of a template, and its mandatory words' places in the first."""
+    tokens, depth = re.findall(r"\[\[|\]\]|\{\d+-\d+\}|[^\s\[\]{}]+", markup), 0
+    short, long, fixed = [], [], []
+    for token in tokens:
+        if token in ("[[", "]]"):
+            depth += 1 if token == "[[" else -1
+        elif token[0] == "{":
+            low, high = map(int, token[1:-1].split("-"))
+            long += ["zork"] * high
+            if not depth:
+                short += ["zork"] * low
+        else:
+            long.append(token)
+            if not depth:
+                fixed.append(len(short))
+                short.append(token)
+    return short, long, fixed
+
+
+def test_every_template_by_its_own_wording():
+    """Both wordings are accepted whole; with any one mandatory word changed none is."""
+    assert len({label for label, _ in licenses.TEMPLATES}) >= 25
+    for label, markup in licenses.TEMPLATES:
+        number = {}
+        automaton = licenses.compile_template(label, markup, number)
+        short, long, fixed = _wordings(markup)
+        for words in (short, long):
+            found = licenses.match(automaton, [number.get(w, 0) for w in words], 0)
+            assert found == len(words), (label, words)
+        for i in fixed:
+            changed = [number.get(w, 0) for w in short[:i] + ["zork"] + short[i + 1 :]]
+            assert licenses.match(automaton, changed, 0) < 0, (label, short[i])
+
+
+def test_whole_notices(spark):
+    notice = """/* This program is free software: you can redistribute it and/or modify it under the
+    terms of the GNU Lesser General Public License as published by the Free Software Foundation,
+    either version 2.1 of the License, or (at your option) any later version. */"""
+    rows = [
+        (1, notice, "gpl,lgpl-2.1"), (2, "// SPDX-License-Identifier: AGPL-3.0-or-later", "agpl-3.0"),
+        (3, "Licensed under the Apache License, Version 2.0 (the \"License\");\n you may not use this"
+            " file except in compliance with the License.\n", "apache-2.0"),
+        (4, "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
+            " without fee is hereby granted", "isc"),
+        (5, notice.replace("Lesser", "").replace("2.1", "3"), "gpl,gpl-3.0"),
+        (6, notice.replace("either version 2.1", "neither version 2.1"), "gpl"),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(docs).collect()}
+    assert got == {i: labels for i, _, labels in rows}

@@ -21,8 +21,19 @@ from tidemark.llm.shingles import word_hashes
 #: Phrases whose every place is counted, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Label and template of licence lines.
+_GNU = (
+    "[[this {1-2} is free software you can redistribute it and or modify it]] under the terms of"
+    " [[version {0-1} [[only]] of]] the gnu {name} public license as published by the free software"
+    " foundation either version {version} [[0]] of the license or at your option any later version"
+)
+_GNU_BRIEF = (
+    "[[this {1-2} is]] licensed under the gnu {name} public license version {version} [[0]]"
+    " [[or [[at your option]] any later version]]"
+)
+# Label and standard wording of licences. ``[[ ]]`` may be left out, ``{a-b}`` is any
+# a to b words, and what punctuation parts is several words.
 TEMPLATES = [
+    # Lines that name a licence.
     ("apache-2.0", "licensed under the apache license [[version]] 2 [[0]]"),
     ("bsd", "redistribution and use in source and binary forms [[with or without modification]]"
             " [[are permitted]]"),
@@ -31,13 +42,92 @@ TEMPLATES = [
     ("cc-by-attribution", "licensed under [[a]] [[the]] creative commons attribution {0-3}"
                           " [[license]]"),
     ("copyright-notice", "copyright [[c]] {1-6} all rights reserved"),
-    ("gpl-2.0", "[[this {1-2} is]] licensed under the gnu general public license version 2 [[0]]"
-                " [[or [[at your option]] any later version]]"),
-    ("gpl-3.0", "[[this {1-2} is]] licensed under the gnu general public license version 3 [[0]]"
-                " [[or [[at your option]] any later version]]"),
     ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", "licensed under the mit license"),
+    ("isc", "licensed under the isc license"),
     ("public-domain", "[[this {1-2} is]] [[dedicated to]] [[in]] the public domain"),
+    # Standard notices.
+    *[
+        (label, markup.replace("{name}", name).replace("{version}", version))
+        for label, name, version in (
+            ("gpl-2.0", "general", "2"), ("gpl-3.0", "general", "3"),
+            ("lgpl-2.0", "library general", "2"), ("lgpl-2.1", "lesser general", "2 1"),
+            ("lgpl-3.0", "lesser general", "3"), ("agpl-3.0", "affero general", "3"),
+        )
+        for markup in (_GNU, _GNU_BRIEF)
+    ],
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this"
+                   " file except in compliance with the license you may obtain a copy of the license"
+                   " at {1-1} www apache org licenses license 2 0"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"
+                " if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1"
+                " the license you may not use this file except in compliance with the license"),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of"
+                " the eclipse public license [[v]] 2 0"),
+    ("epl-1.0", "this program and the accompanying materials are made available under the terms of"
+                " the eclipse public license [[v]] 1 0"),
+    ("bsl-1.0", "distributed under the boost software license version 1 0 see accompanying file"),
+    ("cc0-1.0", "to the extent possible under law {1-12} has waived all copyright and related or"
+                " neighboring rights to {1-12}"),
+    ("artistic-2.0", "[[this {1-2} is]] licensed under the artistic license [[version]] 2 0"),
+    # Whole texts, or the part of them that no other licence has.
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this"
+            " software and associated documentation files the software to deal in the software"
+            " without restriction including without limitation the rights to use copy modify merge"
+            " publish distribute sublicense and or sell copies of the software and to permit persons"
+            " to whom the software is furnished to do so subject to the following conditions [[the"
+            " above copyright notice and this permission notice [[including the next paragraph]] shall"
+            " be included in all copies or substantial portions of the software]] [[the software is"
+            " provided as is without warranty of any kind express or implied including but not limited"
+            " to the warranties of merchantability fitness for a particular purpose and noninfringement]]"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("bsd-2-clause", "redistribution and use in source and binary forms with or without modification"
+                     " are permitted provided that the following conditions are met [[1]] redistributions"
+                     " of source code must retain the above copyright notice this list of conditions and"
+                     " the following disclaimer [[2]] redistributions in binary form must reproduce the"
+                     " above copyright notice this list of conditions and the following disclaimer in the"
+                     " documentation and or other materials provided with the distribution"),
+    ("bsd-3-clause", "[[3]] neither the name of {1-10} nor the names of [[its]] {0-3} contributors may be"
+                     " used to endorse or promote products derived from this software without specific"
+                     " prior written permission"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or"
+            " without fee is hereby granted [[provided that the above copyright notice and this"
+            " permission notice appear in all copies]]"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is"
+                  " free to copy modify publish use compile sell or distribute this software either in"
+                  " source code form or as a compiled binary for any purpose commercial or non"
+                  " commercial and by any means"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will"
+             " the authors be held liable for any damages arising from the use of this software"
+             " permission is granted to anyone to use this software for any purpose including"
+             " commercial applications and to alter it and redistribute it freely"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a"
+                " copy of the software and accompanying documentation covered by this license the"
+                " software to use reproduce display distribute execute and transmit the software"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("artistic-2.0", "this license establishes the terms under which a given free software package may"
+                     " be copied modified distributed and or redistributed"),
+    ("gpl-2.0", "gnu general public license version 2 june 1991"),
+    ("gpl-3.0", "gnu general public license version 3 29 june 2007"),
+    ("lgpl-2.1", "gnu lesser general public license version 2 1 february 1999"),
+    ("lgpl-3.0", "gnu lesser general public license version 3 29 june 2007"),
+    ("agpl-3.0", "gnu affero general public license version 3 19 november 2007"),
+    ("apache-2.0", "apache license version 2 0 january 2004"),
+    ("mpl-2.0", "mozilla public license version 2 0 1 definitions"),
+    ("cc-by-4.0", "creative commons attribution 4 0 international [[public]] [[license]]"),
+    ("cc-by-sa-4.0", "creative commons attribution sharealike 4 0 international [[public]] [[license]]"),
+    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0 international [[public]] [[license]]"),
+    ("cc0-1.0", "cc0 1 0 universal"),
+    # Machine-readable lines.
+    *[
+        (label, f"spdx license identifier {' '.join(re.findall('[a-z0-9]+', label))} [[only]] [[or later]]")
+        for label in (
+            "mit", "isc", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "gpl-2.0", "gpl-3.0",
+            "lgpl-2.1", "lgpl-3.0", "agpl-3.0", "mpl-2.0", "epl-2.0", "unlicense", "cc0-1.0", "zlib",
+            "bsl-1.0", "cc-by-4.0",
+        )
+    ],
 ]
 
 #: Bytes between words; A-Z count as a-z.
