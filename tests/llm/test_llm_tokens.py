@@ -78,3 +78,15 @@ def test_table(spark, library):
         expected.append((i, len((t or "").encode()), n, n > 512))
     assert found == sorted(expected)
     assert token_counts.count_tokens(docs.limit(0), PATH).count() == 0
+
+
+def test_one_long_word_keeps_the_table_small(counter, library, monkeypatch):
+    """States are begun anew inside a word; the count is the library's."""
+    rng = random.Random(3)
+    word = "".join(rng.choices("etaoinshrdlu", k=60_000))
+    monkeypatch.setattr(type(counter.words), "MOST_STATES", 500)
+    counter.words.clear()
+    _same(counter, library, [word, "some " + word[:20_000] + " more", word[::-1]])
+    assert len(counter.words.states) <= 502 and len(counter.words.moves) <= 502 * 256
+    long = np.frombuffer("".join(rng.choices("abcdefgh", k=2_000_000)).encode(), np.uint8)
+    assert counter.words.count(long.tobytes()) > 100_000 and len(counter.words.states) <= 502

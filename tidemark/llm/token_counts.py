@@ -175,13 +175,14 @@ class MergeTransducer:
                 node = self.child[key]
             self.token_at[node] = token
         self.fits: dict[tuple[int, int], bool] = {}
+        self.moves: dict[int, tuple[int, int]] = {}
         self.clear()
 
     def clear(self) -> None:
         begin = ((0, -1, 0),)
         self.states = [begin]
         self.number = {begin: 0}
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves.clear()
 
     def merged(self, data: bytes) -> list[int]:
         """Tokens of a few bytes by repeated merging; used to compile transitions only."""
@@ -230,15 +231,21 @@ class MergeTransducer:
         after = tuple((node, before, rel - change) for node, before, rel in grown)
         after += ((0, token, 0),)
         number = self.number.get(after)
+        if number is None and len(self.states) > self.MOST_STATES:
+            # Begun anew inside a word too, so that no word makes the table grow without bound.
+            self.clear()
+            return self._numbered(after), change
+        number = self.moves[state << 8 | byte] = (self._numbered(after), change)
+        return number
+
+    def _numbered(self, state: tuple) -> int:
+        number = self.number.get(state)
         if number is None:
-            number = self.number[after] = len(self.states)
-            self.states.append(after)
-        self.moves[state << 8 | byte] = (number, change)
-        return number, change
+            number = self.number[state] = len(self.states)
+            self.states.append(state)
+        return number
 
     def count(self, word: bytes) -> int:
-        if len(self.states) > self.MOST_STATES:
-            self.clear()
         state = total = 0
         known = self.moves.get
         for byte in word:
