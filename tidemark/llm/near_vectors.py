@@ -65,7 +65,8 @@ def fit(sample: np.ndarray, lists: int) -> dict:
     coarse = _cluster(sample, lists, rng)
     residual = _split(sample - coarse[_nearest(sample, coarse)], width)
     books = [_cluster(np.ascontiguousarray(residual[:, s]), CODES, rng) for s in range(SUBSPACES)]
-    return {"coarse": coarse, "books": books, "width": width}
+    apart = np.stack([np.sqrt(np.maximum(((coarse - c) ** 2).sum(1), 1e-300)) for c in coarse])
+    return {"coarse": coarse, "books": books, "width": width, "apart": apart}
 
 
 def _split(x: np.ndarray, width: int) -> np.ndarray:
@@ -122,8 +123,7 @@ def _index(classes: DataFrame, model, radius: float) -> DataFrame:
 
     def entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = pickle.loads(model.value)
-        coarse, books, width = m["coarse"], m["books"], m["width"]
-        apart = np.sqrt(np.maximum(((coarse[:, None] - coarse[None]) ** 2).sum(2), 1e-300))
+        coarse, books, width, apart = m["coarse"], m["books"], m["width"], m["apart"]
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
