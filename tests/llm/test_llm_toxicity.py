@@ -1,3 +1,5 @@
+from collections import Counter
+import re
 import random
 
 import numpy as np
@@ -93,3 +95,41 @@ def test_query_on_held_out_rows(spark):
     assert (bad > found.score[found.toxic == 0].to_numpy()).mean() > 0.75
     assert found.predicted[found.toxic == 0].mean() <= 0.05
     assert rows.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def _ngrams(text):
+    padded = " " + re.sub("[A-Z]", lambda m: m[0].lower(), text) + " "
+    return {padded[i : i + n] for n in (3, 4, 5, 6) for i in range(len(padded) - n + 1)}
+
+
+def test_scores_equal_a_plain_fit(spark, monkeypatch):
+    """Counts, log-count ratios and regression worked out in plain numpy from the same labels."""
+    monkeypatch.setattr(toxicity, "ROUNDS", 3000)  # to the end, as the plain fit
+    rng = random.Random(11)
+    common = [f"{a}{b}" for a in ("ka", "lo", "mi", "tu", "re") for b in ("nd", "st", "rk", "ll")]
+    bad, good = ["grumf", "blarg", "snark"], ["peach", "cloud", "river"]
+    rows = []
+    for i in range(150):
+        toxic = i % 3 == 0
+        words = rng.choices(common, k=12) + rng.choices(bad if toxic != (rng.random() < 0.1) else good, k=2)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words).capitalize(), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "id long, label int")
+    model = toxicity.fit(docs, labels)
+    got = {r.id: r.score for r in toxicity.score(docs, model).collect()}
+    sets, y = [_ngrams(r[1]) for r in rows], np.array([r[2] for r in rows], float)
+    seen = Counter(g for s in sets for g in s)
+    grams = sorted(g for g, n in seen.items() if n >= toxicity.MIN_TEXTS)
+    held = np.array([[g in s for g in grams] for s in sets], float)
+    p = (held[y == 1].sum(0) + 1) / (y.sum() + 2)
+    q = (held[y == 0].sum(0) + 1) / (len(y) - y.sum() + 2)
+    x = held * np.log(p / q)
+    w, b = np.zeros(len(grams)), 0.0
+    step = 1 / (np.linalg.norm(x, 2) ** 2 / 4 + 1)
+    for _ in range(20_000):
+        error = 1 / (1 + np.exp(-(x @ w + b))) - y
+        w, b = w - step * (x.T @ error + w), b - 4 / len(y) * 0.5 * error.sum()
+    want = 1 / (1 + np.exp(-(x @ w + b)))
+    assert len(grams) < toxicity.MOST_FEATURES
+    assert np.abs(np.array([got[r[0]] for r in rows]) - want).max() < 0.02
