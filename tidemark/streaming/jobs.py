@@ -137,7 +137,8 @@ def compact_log(
     in by partition overwrite, then the batch folders they stand for go; each step can be
     repeated, and a run that died half-way is finished by the next one. In between a reader may
     see rows of a day twice, as it does after a repeated delivery. Batches that come later for
-    such a day stay beside it until the next run.
+    such a day stay beside it until the next run. A stream that follows the log reads rewritten days
+    again, which changes no state.
     """
     keys = names(keys)
     _finish_compaction(spark, path)
