@@ -15,27 +15,32 @@ to totals of phrases, never of buckets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import pieces, strings, text_of
 from tidemark.llm.shingles import mixed, word_spans
 from tidemark.llm.store import stored
+from tidemark.session import scratch_dir, settings_for
 
 #: Parts of the corpus that are scanned in turn, and words of the longest phrase.
 SHARDS, LONGEST = 3, 5
-#: Buckets of a length's table: a power of two near a sixteenth of the words, within these bits.
-LEAST_BITS, MOST_BITS = 16, 24
+#: Buckets of a length's table: a power of two near a 64th of the words, within these bits.
+LEAST_BITS, MOST_BITS = 14, 24
 #: Occurrences that a task adds up at once.
 OCCURRENCES = 1 << 20
 #: Text bytes laid out at once.
-LAYOUT_BYTES = 4 << 20
+LAYOUT_BYTES = 8 << 20
 
+#: Totals of buckets travel in blocks of this many bits and stop at this value.
+_BLOCK_BITS, _FULL = 12, 65535
 _NEVER = 255
+_WORDS_PART = -1
 _BREAK, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _BLANK[[0x20, 0x09]] = True
@@ -43,74 +48,96 @@ _APART = _BREAK | _BLANK
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
+_COUNTS = ", ".join(["k byte", *[f"{w} long" for w in _WORDS], "n long", "block int, packed binary"])
+_NAMES = ["k", *_WORDS, "n", "block", "packed"]
 
 
 # -- layout ---------------------------------------------------------------------------------
 
 
+def _code(lang: Column, word: Column, seed: int) -> Column:
+    """The code of a word of a language; ``_coded`` works out the same from bytes."""
+    code = F.xxhash64(F.concat(F.lit(_salt(seed)), lang), word)
+    return F.when(code == 0, F.lit(1)).otherwise(code)
+
+
+def _salt(seed: int) -> str:
+    return f"{seed}/" if seed else ""
+
+
 def _coded(data: np.ndarray, offsets: np.ndarray, langs: list[str], seed: int):
     """Codes of the words with a 0 wherever a piece or text ends, and the distinct words.
 
-    Distinct words are (lang, word, code, count). A code is a hash of language and word.
+    Distinct words are (lang, word, count).
     """
     data = _LOWER[data]
     starts, ends, first = word_spans(data, offsets, _APART)
-    lengths = ends - starts
-    cuts = np.concatenate([[0], np.cumsum(lengths)])
+    cuts = np.concatenate([[0], np.cumsum(ends - starts)])
     words = strings(data[~_APART[data]], cuts).dictionary_encode()
+    if not len(words):
+        return np.empty(0, np.uint64), pa.array([], pa.string()), pa.array([], pa.string()), cuts[:0]
     names = words.dictionary.to_pylist()
     tongues, lang_of = np.unique(np.array(langs, object), return_inverse=True)
-    of_word = np.repeat(lang_of, np.diff(first))
-    pair = of_word.astype(np.int64) * max(len(names), 1) + words.indices.to_numpy()
+    pair = np.repeat(lang_of, np.diff(first)) * len(names) + words.indices.to_numpy()
     distinct, which, n = np.unique(pair, return_inverse=True, return_counts=True)
-    seeds = [xxhash.xxh3_64_intdigest(t.encode(), seed) for t in tongues]
-    own = [(tongues[p // len(names)], names[p % len(names)]) for p in distinct.tolist()]
+    lang_no, name_no = np.divmod(distinct, len(names))
+    seeds = [xxhash.xxh64_intdigest((_salt(seed) + t).encode(), 42) for t in tongues]
+    digest = xxhash.xxh64_intdigest
     hashes = np.array(
-        [xxhash.xxh3_64_intdigest(names[p % len(names)].encode(), seeds[p // len(names)]) or 1
-         for p in distinct.tolist()],
-        np.uint64,
-    )
+        [digest(names[w], seeds[t]) or 1 for t, w in zip(lang_no.tolist(), name_no.tolist())], np.uint64
+    )
     # A break stands before a word if a breaking byte or a text's end lies between it and the last.
     breaks = np.concatenate([[0], np.cumsum(_BREAK[data])])
     text_no = np.repeat(np.arange(len(first) - 1), np.diff(first))
     apart = np.zeros(len(starts), np.int64)
-    if len(starts) > 1:
-        apart[1:] = (breaks[starts[1:]] != breaks[ends[:-1]]) | (text_no[1:] != text_no[:-1])
+    apart[1:] = (breaks[starts[1:]] != breaks[ends[:-1]]) | (text_no[1:] != text_no[:-1])
     codes = np.zeros(len(starts) + int(apart.sum()), np.uint64)
     codes[np.arange(len(starts)) + np.cumsum(apart)] = hashes[which]
-    return codes, own, hashes, n
+    tongue = pa.array(tongues.tolist(), pa.string()).take(pa.array(lang_no))
+    return codes, tongue, words.dictionary.take(pa.array(name_no)), n
 
 
-def _laid_out(docs: DataFrame, shards: int, seed: int) -> DataFrame:
-    """Rows of word codes (``codes``) and of distinct words (the others), each of one shard."""
+def _laid_out(docs: DataFrame, shards: int, seed: int) -> str:
+    """Store word codes by shard, and the distinct words of each stretch; returns the folder."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = None
         for batch in batches:
             for piece in pieces(batch, "text", LAYOUT_BYTES):
                 data, offsets = text_of(piece.column("text"))
-                langs = piece.column("lang").to_pylist()
-                if turn is None:
-                    turn = xxhash.xxh3_64_intdigest(data[:4096].tobytes()) % shards
-                turn = (turn + 1) % shards
-                codes, own, hashes, n = _coded(data, offsets, langs, seed)
+                codes, lang, word, n = _coded(data, offsets, piece.column("lang").to_pylist(), seed)
                 if not len(codes):
                     continue
-                m = len(own)
+                if turn is None:  # tasks begin with different shards
+                    turn = int(codes[0] % np.uint64(shards))
+                turn = (turn + 1) % shards
+                m = len(n)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(m + 1, turn, np.int32)),
-                        pa.array([codes.tobytes(), *[None] * m], pa.binary()),
-                        pa.array([None, *[o[0] for o in own]], pa.string()),
-                        pa.array([None, *[o[1] for o in own]], pa.string()),
-                        pa.array([None, *hashes.view(np.int64).tolist()], pa.int64()),
-                        pa.array([int((codes != 0).sum()), *n.tolist()], pa.int64()),
+                        pa.array(np.full(m, _WORDS_PART, np.int32)), pa.nulls(m, pa.binary()),
+                        lang, word.cast(pa.string()), pa.array(n.astype(np.int64)),
                     ],
-                    ["shard", "codes", "lang", "word", "code", "n"],
-                )
+                    ["part", "codes", "lang", "word", "n"],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([turn], pa.int32()), pa.array([codes.tobytes()], pa.binary()),
+                        pa.nulls(1, pa.string()), pa.nulls(1, pa.string()),
+                        pa.array([int(n.sum())], pa.int64()),
+                    ],
+                    ["part", "codes", "lang", "word", "n"],
+                )
+
+    spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "layout")
+    laid = docs.mapInArrow(made, "part int, codes binary, lang string, word string, n long")
+    with settings_for(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(shards + 2)}):
+        laid.write.partitionBy("part").option("compression", "zstd").parquet(path)
+    return path
+
 
-    schema = "shard int, codes binary, lang string, word string, code long, n long"
-    return docs.mapInArrow(made, schema)
+def _read_layout(spark: SparkSession, path: str) -> DataFrame:
+    schema = "codes binary, lang string, word string, n long, part int"
+    return spark.read.schema(schema).parquet(path)
 
 
 # -- scans ----------------------------------------------------------------------------------
@@ -139,33 +166,57 @@ def _added(found: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.
     return words[at], distinct, n
 
 
+def _blocks(k: int, totals: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of the blocks of a table that have a count."""
+    size = min(1 << _BLOCK_BITS, len(totals))
+    blocks = totals.reshape(-1, size)
+    there = np.flatnonzero(blocks.any(axis=1))
+    for some in np.array_split(there, len(there) // 256 + 1):
+        none = pa.nulls(len(some), pa.int64())
+        packed = [np.minimum(blocks[i], _FULL).astype(np.uint16).tobytes() for i in some]
+        arrays = [pa.array(np.full(len(some), k, np.int8)), *[none] * (LONGEST + 1),
+                  pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, _NAMES)
+
+
 def _scan(shard: DataFrame, reached: np.ndarray, step: int, shards: int, bits: int) -> DataFrame:
-    """Counts of one shard: (k, bucket, w1..w5, n), a row per phrase and some occurrences."""
+    """Counts of one shard: a row per phrase and some of its occurrences, and totals of buckets.
+
+    Counted are the single words in the first cycle, and all phrases whose turn it is.
+    """
     shared = shard.sparkSession.sparkContext.broadcast(reached.tobytes())
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint8).reshape(LONGEST, 1 << bits)
         held = {k: [] for k in range(2, LONGEST + 1)}
         size = dict.fromkeys(held, 0)
+        totals: dict[int, np.ndarray] = {}
+
+        def add(k: int, hashes: np.ndarray, n: np.ndarray | int) -> None:
+            if k not in totals:
+                totals[k] = np.zeros(1 << bits, np.uint32)
+            np.add.at(totals[k], _buckets(hashes, bits), n)
 
         def out(k: int) -> pa.RecordBatch:
             columns = [np.concatenate(x) for x in zip(*held[k])]
             held[k], size[k] = [], 0
             words, hashes, n = _added(columns[1:], columns[0])
+            add(k, hashes, n.astype(np.uint32))
             none = pa.nulls(len(n), pa.int64())
             arrays = [
                 pa.array(np.full(len(n), k, np.int8)),
-                pa.array(_buckets(hashes, bits).astype(np.int32)),
                 *[pa.array(words[:, i].view(np.int64)) if i < k else none for i in range(LONGEST)],
-                pa.array(n.astype(np.int64)),
-            ]
-            return pa.RecordBatch.from_arrays(arrays, ["k", "bucket", *_WORDS, "n"])
+                pa.array(n.astype(np.int64)), none.cast(pa.int32()), pa.nulls(len(n), pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
         for batch in batches:
             for packed in batch.column(0):
                 codes = np.frombuffer(packed.as_buffer(), np.uint64)
                 at = np.flatnonzero(codes)
                 hashes = codes[at]
+                if step < shards:
+                    add(1, hashes, 1)
                 for k in range(2, LONGEST + 1):
                     # Places whose first and last k - 1 words are subphrases seen often enough.
                     own = _buckets(hashes, bits)
@@ -185,89 +236,121 @@ def _scan(shard: DataFrame, reached: np.ndarray, step: int, shards: int, bits: i
         for k in held:
             if size[k]:
                 yield out(k)
+        for k, total in totals.items():
+            yield from _blocks(k, total)
 
-    words = ", ".join(f"{w} long" for w in _WORDS)
-    return shard.select("codes").mapInArrow(counted, f"k byte, bucket int, {words}, n long")
+    return shard.select("codes").mapInArrow(counted, _COUNTS)
 
 
-def _counted_words(shard: DataFrame, bits: int) -> DataFrame:
-    """The words of a shard in the form of a scan's counts."""
-    none = F.lit(None).cast("long")
-    return shard.select(
-        F.lit(1).cast("byte").alias("k"),
-        F.shiftrightunsigned("code", 64 - bits).cast("int").alias("bucket"),
-        F.col("code").alias("w1"),
-        *[none.alias(w) for w in _WORDS[1:]],
-        "n",
-    )
+def _summed(blocks: DataFrame) -> DataFrame:
+    """One row per block of buckets: the sum of its totals, streamed past."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            packed = np.minimum(total, _FULL).astype(np.uint16).tobytes()
+            data = [pa.array([now[0]], pa.int8()), pa.array([now[1]], pa.int32()), pa.array([packed], pa.binary())]
+            return pa.RecordBatch.from_arrays(data, ["k", "block", "packed"])
+
+        now, total = None, None
+        for batch in batches:
+            for k, block, packed in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2)):
+                values = np.frombuffer(packed.as_buffer(), np.uint16)
+                if (k, block) != now:
+                    if now is not None:
+                        yield out()
+                    now, total = (k, block), np.zeros(len(values), np.int64)
+                total += values
+        if now is not None:
+            yield out()
+
+    dealt = blocks.repartition("k", "block").sortWithinPartitions("k", "block")
+    return dealt.mapInArrow(summed, "k byte, block int, packed binary")
+
+
+def _full(totals: DataFrame, least: int) -> DataFrame:
+    """Blocks of buckets as bits: whether the total has reached ``least``."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [
+                np.packbits(np.frombuffer(p.as_buffer(), np.uint16) >= min(least, _FULL)).tobytes()
+                for p in batch.column(2)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(packed, pa.binary())], ["k", "block", "full"]
+            )
+
+    return totals.mapInArrow(bits, "k byte, block int, full binary")
 
 
 def _in_full_buckets(counts: DataFrame, reached: np.ndarray, bits: int) -> DataFrame:
-    """Counts of phrases whose bucket has reached the threshold; no others can have."""
+    """Counts (w1.. and others) of phrases whose bucket has reached the threshold; no others can."""
     shared = counts.sparkSession.sparkContext.broadcast(reached.tobytes())
+    words = [c for c in counts.columns if c in _WORDS]
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint8).reshape(LONGEST, 1 << bits)
         for batch in batches:
-            k, bucket = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            yield batch.filter(pa.array(table[k - 1, bucket] != _NEVER))
+            codes = [batch.column(batch.schema.get_field_index(w)) for w in words]
+            length = sum(np.asarray(c.is_valid()).astype(np.int64) for c in codes)
+            own = [c.fill_null(0).to_numpy().view(np.uint64) for c in codes]
+            hashes = own[0].copy()
+            for k in range(2, len(words) + 1):
+                longer = length >= k
+                hashes[longer] = _hash(hashes[longer], own[k - 1][longer])
+            yield batch.filter(pa.array(table[length - 1, _buckets(hashes, bits)] != _NEVER))
 
     return counts.mapInArrow(kept, counts.schema)
 
 
 def _bits(words: int) -> int:
-    return min(max((words // 16).bit_length(), LEAST_BITS), MOST_BITS)
+    return min(max((words // 64).bit_length(), LEAST_BITS), MOST_BITS)
 
 
-def _frequent(layout: DataFrame, least: int, shards: int) -> tuple[DataFrame, DataFrame]:
-    """Words and phrases of at least that many occurrences: (lang, word, code, n), (w, n)."""
-    spark = layout.sparkSession
-    text, words = layout.where("codes IS NOT NULL"), layout.where("code IS NOT NULL")
-    bits = _bits(text.agg(F.sum("n")).first()[0] or 0)
+def _frequent(
+    spark: SparkSession, path: str, least: int, shards: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Words and phrases of enough occurrences: (lang, word, code, n) and (w, n).
+
+    Words come with all that share a code with one of them, and their true counts.
+    """
+    layout = _read_layout(spark, path)
+    bits = _bits(layout.where(f"part != {_WORDS_PART}").agg(F.sum("n")).first()[0] or 0)
     reached = np.full((LONGEST, 1 << bits), _NEVER, np.uint8)
-    scans, sums, step = [], [], 0
+    scans, totals, step, steps = [], None, 0, []
     # A phrase of the next length can start one scan after the last bucket filled.
-    while step < shards or (reached[:-1] != _NEVER).any() and step <= int(
-        reached[:-1][reached[:-1] != _NEVER].max()
-    ) + shards:
-        turn = step % shards
-        counts = []
-        if (reached[0] != _NEVER).any():
-            counts.append(stored(_scan(text.where(f"shard = {turn}"), reached, step, shards, bits), "scan"))
-            scans.append(counts[0])
-        if step < shards:
-            counts.append(_counted_words(words.where(f"shard = {turn}"), bits))
-        for c in counts:
-            sums.append(stored(c.groupBy("k", "bucket").agg(F.sum("n").alias("n")), "buckets"))
-        total = sums[0]
-        for more in sums[1:]:
-            total = total.unionAll(more)
-        # At most one row per bucket, whose number is fixed.
-        full = total.groupBy("k", "bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        full = full.select("k", "bucket").toArrow()
-        k, bucket = (full.column(c).to_numpy() for c in ("k", "bucket"))
-        known = reached[k - 1, bucket]
-        reached[k - 1, bucket] = np.where(known == _NEVER, step, known)
+    while step < shards or step <= max(steps, default=-1) + shards:
+        shard = layout.where(f"part = {step % shards}")
+        scans.append(stored(_scan(shard, reached, step, shards, bits), "scan"))
+        blocks = scans[-1].where("block IS NOT NULL").select("k", "block", "packed")
+        totals = stored(_summed(blocks if totals is None else blocks.unionAll(totals)), "totals")
+        # A bit for each bucket, whose number is fixed.
+        for k, block, packed in _full(totals, least).collect():
+            now = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+            own = reached[k - 1].reshape(-1, len(now))[block]
+            fresh = now & (own == _NEVER)
+            own[fresh] = step
+            if k < LONGEST and fresh.any():
+                steps.append(step)
         step += 1
-    coded = words.withColumn("_full", F.shiftrightunsigned("code", 64 - bits).cast("int"))
-    likely = _in_full_buckets(
-        coded.select(F.lit(1).cast("byte").alias("k"), F.col("_full").alias("bucket"), "lang", "word", "code", "n"),
-        reached, bits,
-    )
-    vocabulary = stored(likely.groupBy("lang", "word", "code").agg(F.sum("n").alias("n")), "vocabulary")
-    found = spark.createDataFrame([], "w array<long>, n long")
-    if scans:
-        every = scans[0]
-        for more in scans[1:]:
-            every = every.unionAll(more)
-        found = (
-            _in_full_buckets(every, reached, bits)
-            .groupBy("k", *_WORDS)
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= least)
-            .select(F.slice(F.array(*_WORDS), F.lit(1), F.col("k").cast("int")).alias("w"), "n")
-        )
-    return vocabulary, stored(found, "phrases")
+    found = layout.where(f"part = {_WORDS_PART}").select(
+        "lang", "word", _code(F.col("lang"), F.col("word"), seed).alias("w1"), "n"
+    )
+    words = stored(
+        _in_full_buckets(found, reached, bits)
+        .groupBy("lang", "word", F.col("w1").alias("code"))
+        .agg(F.sum("n").alias("n")),
+        "vocabulary",
+    )
+    counts = [s.where("block IS NULL").select(*_WORDS, "n") for s in scans]
+    phrases = (
+        _in_full_buckets(reduce(DataFrame.unionAll, counts), reached, bits)
+        .groupBy(*_WORDS)
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= least)
+        .select(F.array_compact(F.array(*_WORDS)).alias("w"), "n")
+    )
+    return words, stored(phrases, "phrases")
 
 
 # -- scores ---------------------------------------------------------------------------------
@@ -320,6 +403,7 @@ def collocations(
     are read whole, however long; an empty table, and one without frequent phrases, gives no
     rows; other columns, whatever their names, play no part.
     """
+    spark = docs.sparkSession
     plain = docs.select(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
@@ -328,14 +412,15 @@ def collocations(
         raise ValueError(f"shards must be 1 to {(_NEVER - 1) // LONGEST}")
     seed = 0
     while True:
-        layout = stored(_laid_out(plain, shards, seed), "layout")
-        words, phrases = _frequent(layout, least, shards)
+        layout = _laid_out(plain, shards, seed)
+        words, phrases = _frequent(spark, layout, least, shards, seed)
         shared = words.groupBy("code").agg(F.count(F.lit(1)).alias("words")).where("words > 1")
         if shared.isEmpty():
             break
         seed += 1  # two words of one code, one of them frequent: other codes
     words = words.where(F.col("n") >= least)
-    totals = layout.where("code IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    every = _read_layout(spark, layout).where(f"part = {_WORDS_PART}")
+    totals = every.groupBy("lang").agg(F.sum("n").alias("n"))
     counts = phrases.unionByName(words.select(F.array("code").alias("w"), "n"))
     inner = phrases.where(F.size("w") > 2).select(
         F.explode(F.array(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1))).alias("w"),
