@@ -37,8 +37,8 @@ OCCURRENCES = 1 << 20
 #: Text bytes laid out at once.
 LAYOUT_BYTES = 8 << 20
 
-#: Totals of buckets travel in blocks of this many bits and stop at this value.
-_BLOCK_BITS, _FULL = 12, 65535
+#: Totals of buckets travel in blocks of so many bits, as places and values, and stop at this value.
+_BLOCK_BITS, _FULL = 16, 65535
 _NEVER = 255
 _WORDS_PART = -1
 _BREAK, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -166,16 +166,23 @@ def _added(found: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.
     return words[at], distinct, n
 
 
+def _packed(block: np.ndarray) -> bytes:
+    """The places and values of a block that are not 0."""
+    at = np.flatnonzero(block)
+    return np.concatenate([at, np.minimum(block[at], _FULL)]).astype(np.uint16).tobytes()
+
+
+def _unpacked(packed: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(packed.as_buffer(), np.uint16).reshape(2, -1)
+
+
 def _blocks(k: int, totals: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of the blocks of a table that have a count."""
-    size = min(1 << _BLOCK_BITS, len(totals))
-    blocks = totals.reshape(-1, size)
-    there = np.flatnonzero(blocks.any(axis=1))
-    for some in np.array_split(there, len(there) // 256 + 1):
-        none = pa.nulls(len(some), pa.int64())
-        packed = [np.minimum(blocks[i], _FULL).astype(np.uint16).tobytes() for i in some]
-        arrays = [pa.array(np.full(len(some), k, np.int8)), *[none] * (LONGEST + 1),
-                  pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())]
+    """A row for each block of a table that has a count."""
+    blocks = totals.reshape(-1, min(1 << _BLOCK_BITS, len(totals)))
+    for i in np.flatnonzero(blocks.any(axis=1)):
+        none = pa.nulls(1, pa.int64())
+        arrays = [pa.array([k], pa.int8()), *[none] * (LONGEST + 1), pa.array([i], pa.int32()),
+                  pa.array([_packed(blocks[i])], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
@@ -242,45 +249,30 @@ def _scan(shard: DataFrame, reached: np.ndarray, step: int, shards: int, bits: i
     return shard.select("codes").mapInArrow(counted, _COUNTS)
 
 
-def _summed(blocks: DataFrame) -> DataFrame:
-    """One row per block of buckets: the sum of its totals, streamed past."""
+def _summed(blocks: DataFrame, bits: int, least: int) -> DataFrame:
+    """One row per block of buckets: the sum of its totals, and places that have reached ``least``."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            packed = np.minimum(total, _FULL).astype(np.uint16).tobytes()
-            data = [pa.array([now[0]], pa.int8()), pa.array([now[1]], pa.int32()), pa.array([packed], pa.binary())]
-            return pa.RecordBatch.from_arrays(data, ["k", "block", "packed"])
+            full = np.flatnonzero(total >= min(least, _FULL)).astype(np.uint16).tobytes()
+            data = [pa.array([now[0]], pa.int8()), pa.array([now[1]], pa.int32()),
+                    pa.array([_packed(total)]), pa.array([full])]
+            return pa.RecordBatch.from_arrays(data, ["k", "block", "packed", "full"])
 
         now, total = None, None
         for batch in batches:
             for k, block, packed in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2)):
-                values = np.frombuffer(packed.as_buffer(), np.uint16)
                 if (k, block) != now:
                     if now is not None:
                         yield out()
-                    now, total = (k, block), np.zeros(len(values), np.int64)
-                total += values
+                    now, total = (k, block), np.zeros(1 << min(_BLOCK_BITS, bits), np.int64)
+                at, n = _unpacked(packed)
+                total[at] += n
         if now is not None:
             yield out()
 
     dealt = blocks.repartition("k", "block").sortWithinPartitions("k", "block")
-    return dealt.mapInArrow(summed, "k byte, block int, packed binary")
-
-
-def _full(totals: DataFrame, least: int) -> DataFrame:
-    """Blocks of buckets as bits: whether the total has reached ``least``."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [
-                np.packbits(np.frombuffer(p.as_buffer(), np.uint16) >= min(least, _FULL)).tobytes()
-                for p in batch.column(2)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(packed, pa.binary())], ["k", "block", "full"]
-            )
-
-    return totals.mapInArrow(bits, "k byte, block int, full binary")
+    return dealt.mapInArrow(summed, "k byte, block int, packed binary, full binary")
 
 
 def _in_full_buckets(counts: DataFrame, reached: np.ndarray, bits: int) -> DataFrame:
@@ -323,14 +315,16 @@ def _frequent(
         shard = layout.where(f"part = {step % shards}")
         scans.append(stored(_scan(shard, reached, step, shards, bits), "scan"))
         blocks = scans[-1].where("block IS NOT NULL").select("k", "block", "packed")
-        totals = stored(_summed(blocks if totals is None else blocks.unionAll(totals)), "totals")
-        # A bit for each bucket, whose number is fixed.
-        for k, block, packed in _full(totals, least).collect():
-            now = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
-            own = reached[k - 1].reshape(-1, len(now))[block]
-            fresh = now & (own == _NEVER)
+        if totals is not None:
+            blocks = blocks.unionAll(totals.select("k", "block", "packed"))
+        totals = stored(_summed(blocks, bits, least), "totals")
+        # Two bytes for a full bucket, of which there is a fixed number.
+        for k, block, full in totals.select("k", "block", "full").collect():
+            own = reached[k - 1].reshape(-1, 1 << min(_BLOCK_BITS, bits))[block]
+            at = np.frombuffer(full, np.uint16)
+            fresh = at[own[at] == _NEVER]
             own[fresh] = step
-            if k < LONGEST and fresh.any():
+            if k < LONGEST and len(fresh):
                 steps.append(step)
         step += 1
     found = layout.where(f"part = {_WORDS_PART}").select(
