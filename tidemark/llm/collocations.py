@@ -37,8 +37,8 @@ OCCURRENCES = 1 << 20
 #: Text bytes laid out at once.
 LAYOUT_BYTES = 8 << 20
 
-#: Totals of buckets travel in blocks of so many bits, as places and values, and stop at this value.
-_BLOCK_BITS, _FULL = 16, 65535
+#: Totals of buckets travel in blocks of so many bits.
+_BLOCK_BITS = 16
 _NEVER = 255
 _WORDS_PART = -1
 _BREAK, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -166,27 +166,38 @@ def _added(found: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.
     return words[at], distinct, n
 
 
-def _packed(block: np.ndarray) -> bytes:
-    """The places and values of a block that are not 0."""
-    at = np.flatnonzero(block)
-    return np.concatenate([at, np.minimum(block[at], _FULL)]).astype(np.uint16).tobytes()
+def _packed(block: np.ndarray, least: int) -> bytes:
+    """Totals up to ``least``, beyond which none is told apart: all, or places and values if fewer."""
+    kind = np.uint8 if least < 256 else np.uint16 if least < 65536 else np.uint32
+    values = np.minimum(block, least).astype(kind)
+    at = np.flatnonzero(values)
+    if len(at) * (2 + values.itemsize) >= values.nbytes:
+        return values.tobytes()
+    return at.astype(np.uint16).tobytes() + values[at].tobytes()
 
 
-def _unpacked(packed: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(packed.as_buffer(), np.uint16).reshape(2, -1)
+def _add_packed(total: np.ndarray, packed: bytes, least: int) -> None:
+    kind = np.dtype(np.uint8 if least < 256 else np.uint16 if least < 65536 else np.uint32)
+    if len(packed) == len(total) * kind.itemsize:
+        total += np.frombuffer(packed, kind)
+        return
+    n = len(packed) // (2 + kind.itemsize)
+    total[np.frombuffer(packed, np.uint16, n)] += np.frombuffer(packed, kind, n, 2 * n)
 
 
-def _blocks(k: int, totals: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _blocks(k: int, totals: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
     """A row for each block of a table that has a count."""
     blocks = totals.reshape(-1, min(1 << _BLOCK_BITS, len(totals)))
     for i in np.flatnonzero(blocks.any(axis=1)):
         none = pa.nulls(1, pa.int64())
         arrays = [pa.array([k], pa.int8()), *[none] * (LONGEST + 1), pa.array([i], pa.int32()),
-                  pa.array([_packed(blocks[i])], pa.binary())]
+                  pa.array([_packed(blocks[i], least)], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
-def _scan(shard: DataFrame, reached: np.ndarray, step: int, shards: int, bits: int) -> DataFrame:
+def _scan(
+    shard: DataFrame, reached: np.ndarray, step: int, shards: int, bits: int, least: int
+) -> DataFrame:
     """Counts of one shard: a row per phrase and some of its occurrences, and totals of buckets.
 
     Counted are the single words in the first cycle, and all phrases whose turn it is.
@@ -244,7 +255,7 @@ def _scan(shard: DataFrame, reached: np.ndarray, step: int, shards: int, bits: i
             if size[k]:
                 yield out(k)
         for k, total in totals.items():
-            yield from _blocks(k, total)
+            yield from _blocks(k, total, least)
 
     return shard.select("codes").mapInArrow(counted, _COUNTS)
 
@@ -254,9 +265,9 @@ def _summed(blocks: DataFrame, bits: int, least: int) -> DataFrame:
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            full = np.flatnonzero(total >= min(least, _FULL)).astype(np.uint16).tobytes()
+            full = np.flatnonzero(total >= least).astype(np.uint16).tobytes()
             data = [pa.array([now[0]], pa.int8()), pa.array([now[1]], pa.int32()),
-                    pa.array([_packed(total)]), pa.array([full])]
+                    pa.array([_packed(total, least)]), pa.array([full])]
             return pa.RecordBatch.from_arrays(data, ["k", "block", "packed", "full"])
 
         now, total = None, None
@@ -266,8 +277,7 @@ def _summed(blocks: DataFrame, bits: int, least: int) -> DataFrame:
                     if now is not None:
                         yield out()
                     now, total = (k, block), np.zeros(1 << min(_BLOCK_BITS, bits), np.int64)
-                at, n = _unpacked(packed)
-                total[at] += n
+                _add_packed(total, packed.as_py(), least)
         if now is not None:
             yield out()
 
@@ -313,7 +323,7 @@ def _frequent(
     # A phrase of the next length can start one scan after the last bucket filled.
     while step < shards or step <= max(steps, default=-1) + shards:
         shard = layout.where(f"part = {step % shards}")
-        scans.append(stored(_scan(shard, reached, step, shards, bits), "scan"))
+        scans.append(stored(_scan(shard, reached, step, shards, bits, least), "scan", "zstd"))
         blocks = scans[-1].where("block IS NOT NULL").select("k", "block", "packed")
         if totals is not None:
             blocks = blocks.unionAll(totals.select("k", "block", "packed"))

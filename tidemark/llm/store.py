@@ -17,7 +17,17 @@ ARROW = {
 FILTER_BUCKETS = 1 << 20
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose session gives Python workers a bounded number of bytes at once from now on.
+
+    For results that the caller writes: Spark looks at the setting when a job is planned.
+    """
+    for name, value in ARROW.items():
+        df.sparkSession.conf.set(name, value)
+    return df
+
+
+def stored(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage.
 
     The folder is the one that ``spark.checkpoint.dir`` names, so the table outlives any
@@ -25,7 +35,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     with settings_for(df.sparkSession, ARROW):
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
