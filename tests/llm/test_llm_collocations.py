@@ -67,6 +67,7 @@ def found(df):
 
 @pytest.mark.parametrize("seed, least, top, shards", [(1, 5, 2000, 3), (2, 12, 7, 1), (3, 20, 2000, 7)])
 def test_equals_brute_force(spark, monkeypatch, seed, least, top, shards):
+    monkeypatch.setattr(co, "BLOCK", 64)
     monkeypatch.setattr(co, "LAYOUT_BYTES", 700)  # many pieces, so that all shards have some
     rows = rows_of(seed)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
@@ -75,8 +76,8 @@ def test_equals_brute_force(spark, monkeypatch, seed, least, top, shards):
 
 
 def test_crowded_buckets_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(co, "LEAST_BITS", 3)
-    monkeypatch.setattr(co, "MOST_BITS", 3)
+    monkeypatch.setattr(co, "BLOCK", 8)
+    monkeypatch.setattr(co, "MOST_BUCKETS", 8)
     rows = rows_of(4)
     assert found(co.collocations(spark.createDataFrame(rows, SCHEMA), least=6)) == brute(rows, 6, 2000)
 

@@ -30,15 +30,15 @@ from tidemark.session import scratch_dir, settings_for
 
 #: Parts of the corpus that are scanned in turn, and words of the longest phrase.
 SHARDS, LONGEST = 3, 5
-#: Buckets of a length's table: a power of two near a 64th of the words, within these bits.
-LEAST_BITS, MOST_BITS = 14, 24
+#: Buckets of a length's table: a 64th of the words, in whole blocks, and at most so many.
+WORDS_PER_BUCKET, MOST_BUCKETS = 64, 1 << 24
 #: Occurrences that a task adds up at once.
 OCCURRENCES = 1 << 20
 #: Text bytes laid out at once.
 LAYOUT_BYTES = 8 << 20
 
-#: Totals of buckets travel in blocks of so many bits.
-_BLOCK_BITS = 16
+#: Totals of buckets travel in blocks of so many.
+BLOCK = 1 << 16
 _NEVER = 255
 _WORDS_PART = -1
 _BREAK, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -147,8 +147,8 @@ def _hash(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mixed(prefix * np.uint64(0x9E3779B97F4A7C15) + last)
 
 
-def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+def _buckets(hashes: np.ndarray, size: int) -> np.ndarray:
+    return (((hashes >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
 
 
 def _starts(reached: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
@@ -185,9 +185,9 @@ def _add_packed(total: np.ndarray, packed: bytes, least: int) -> None:
     total[np.frombuffer(packed, np.uint16, n)] += np.frombuffer(packed, kind, n, 2 * n)
 
 
-def _blocks(k: int, totals: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+def _blocks(k: int, totals: np.ndarray, least: int, size: int) -> Iterator[pa.RecordBatch]:
     """A row for each block of a table that has a count."""
-    blocks = totals.reshape(-1, min(1 << _BLOCK_BITS, len(totals)))
+    blocks = totals.reshape(-1, size)
     for i in np.flatnonzero(blocks.any(axis=1)):
         none = pa.nulls(1, pa.int64())
         arrays = [pa.array([k], pa.int8()), *[none] * (LONGEST + 1), pa.array([i], pa.int32()),
@@ -196,24 +196,24 @@ def _blocks(k: int, totals: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
 
 
 def _scan(
-    shard: DataFrame, reached: np.ndarray, step: int, shards: int, bits: int, least: int
+    shard: DataFrame, reached: np.ndarray, step: int, shards: int, buckets: int, least: int
 ) -> DataFrame:
     """Counts of one shard: a row per phrase and some of its occurrences, and totals of buckets.
 
     Counted are the single words in the first cycle, and all phrases whose turn it is.
     """
-    shared = shard.sparkSession.sparkContext.broadcast(reached.tobytes())
+    shared, block = shard.sparkSession.sparkContext.broadcast(reached.tobytes()), BLOCK
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(shared.value, np.uint8).reshape(LONGEST, 1 << bits)
+        table = np.frombuffer(shared.value, np.uint8).reshape(LONGEST, buckets)
         held = {k: [] for k in range(2, LONGEST + 1)}
         size = dict.fromkeys(held, 0)
         totals: dict[int, np.ndarray] = {}
 
         def add(k: int, hashes: np.ndarray, n: np.ndarray | int) -> None:
             if k not in totals:
-                totals[k] = np.zeros(1 << bits, np.uint32)
-            np.add.at(totals[k], _buckets(hashes, bits), n)
+                totals[k] = np.zeros(buckets, np.uint32)
+            np.add.at(totals[k], _buckets(hashes, buckets), n)
 
         def out(k: int) -> pa.RecordBatch:
             columns = [np.concatenate(x) for x in zip(*held[k])]
@@ -237,7 +237,7 @@ def _scan(
                     add(1, hashes, 1)
                 for k in range(2, LONGEST + 1):
                     # Places whose first and last k - 1 words are subphrases seen often enough.
-                    own = _buckets(hashes, bits)
+                    own = _buckets(hashes, buckets)
                     next_to = np.flatnonzero(at[1:] == at[:-1] + 1)
                     begin = _starts(table[k - 2], own[next_to], own[next_to + 1])
                     live = begin <= _NEVER
@@ -255,13 +255,14 @@ def _scan(
             if size[k]:
                 yield out(k)
         for k, total in totals.items():
-            yield from _blocks(k, total, least)
+            yield from _blocks(k, total, least, block)
 
     return shard.select("codes").mapInArrow(counted, _COUNTS)
 
 
-def _summed(blocks: DataFrame, bits: int, least: int) -> DataFrame:
+def _summed(blocks: DataFrame, least: int) -> DataFrame:
     """One row per block of buckets: the sum of its totals, and places that have reached ``least``."""
+    size = BLOCK
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
@@ -276,7 +277,7 @@ def _summed(blocks: DataFrame, bits: int, least: int) -> DataFrame:
                 if (k, block) != now:
                     if now is not None:
                         yield out()
-                    now, total = (k, block), np.zeros(1 << min(_BLOCK_BITS, bits), np.int64)
+                    now, total = (k, block), np.zeros(size, np.int64)
                 _add_packed(total, packed.as_py(), least)
         if now is not None:
             yield out()
@@ -285,13 +286,13 @@ def _summed(blocks: DataFrame, bits: int, least: int) -> DataFrame:
     return dealt.mapInArrow(summed, "k byte, block int, packed binary, full binary")
 
 
-def _in_full_buckets(counts: DataFrame, reached: np.ndarray, bits: int) -> DataFrame:
+def _in_full_buckets(counts: DataFrame, reached: np.ndarray) -> DataFrame:
     """Counts (w1.. and others) of phrases whose bucket has reached the threshold; no others can."""
-    shared = counts.sparkSession.sparkContext.broadcast(reached.tobytes())
+    shared, buckets = counts.sparkSession.sparkContext.broadcast(reached.tobytes()), reached.shape[1]
     words = [c for c in counts.columns if c in _WORDS]
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(shared.value, np.uint8).reshape(LONGEST, 1 << bits)
+        table = np.frombuffer(shared.value, np.uint8).reshape(LONGEST, buckets)
         for batch in batches:
             codes = [batch.column(batch.schema.get_field_index(w)) for w in words]
             length = sum(np.asarray(c.is_valid()).astype(np.int64) for c in codes)
@@ -300,13 +301,13 @@ def _in_full_buckets(counts: DataFrame, reached: np.ndarray, bits: int) -> DataF
             for k in range(2, len(words) + 1):
                 longer = length >= k
                 hashes[longer] = _hash(hashes[longer], own[k - 1][longer])
-            yield batch.filter(pa.array(table[length - 1, _buckets(hashes, bits)] != _NEVER))
+            yield batch.filter(pa.array(table[length - 1, _buckets(hashes, buckets)] != _NEVER))
 
     return counts.mapInArrow(kept, counts.schema)
 
 
-def _bits(words: int) -> int:
-    return min(max((words // 64).bit_length(), LEAST_BITS), MOST_BITS)
+def _size(words: int) -> int:
+    return min(-(-max(words, 1) // (WORDS_PER_BUCKET * BLOCK)) * BLOCK, MOST_BUCKETS)
 
 
 def _frequent(
@@ -317,20 +318,20 @@ def _frequent(
     Words come with all that share a code with one of them, and their true counts.
     """
     layout = _read_layout(spark, path)
-    bits = _bits(layout.where(f"part != {_WORDS_PART}").agg(F.sum("n")).first()[0] or 0)
-    reached = np.full((LONGEST, 1 << bits), _NEVER, np.uint8)
+    size = _size(layout.where(f"part != {_WORDS_PART}").agg(F.sum("n")).first()[0] or 0)
+    reached = np.full((LONGEST, size), _NEVER, np.uint8)
     scans, totals, step, steps = [], None, 0, []
     # A phrase of the next length can start one scan after the last bucket filled.
     while step < shards or step <= max(steps, default=-1) + shards:
         shard = layout.where(f"part = {step % shards}")
-        scans.append(stored(_scan(shard, reached, step, shards, bits, least), "scan", "zstd"))
+        scans.append(stored(_scan(shard, reached, step, shards, size, least), "scan", "zstd"))
         blocks = scans[-1].where("block IS NOT NULL").select("k", "block", "packed")
         if totals is not None:
             blocks = blocks.unionAll(totals.select("k", "block", "packed"))
-        totals = stored(_summed(blocks, bits, least), "totals")
+        totals = stored(_summed(blocks, least), "totals")
         # Two bytes for a full bucket, of which there is a fixed number.
         for k, block, full in totals.select("k", "block", "full").collect():
-            own = reached[k - 1].reshape(-1, 1 << min(_BLOCK_BITS, bits))[block]
+            own = reached[k - 1].reshape(-1, BLOCK)[block]
             at = np.frombuffer(full, np.uint16)
             fresh = at[own[at] == _NEVER]
             own[fresh] = step
@@ -341,14 +342,14 @@ def _frequent(
         "lang", "word", _code(F.col("lang"), F.col("word"), seed).alias("w1"), "n"
     )
     words = stored(
-        _in_full_buckets(found, reached, bits)
+        _in_full_buckets(found, reached)
         .groupBy("lang", "word", F.col("w1").alias("code"))
         .agg(F.sum("n").alias("n")),
         "vocabulary",
     )
     counts = [s.where("block IS NULL").select(*_WORDS, "n") for s in scans]
     phrases = (
-        _in_full_buckets(reduce(DataFrame.unionAll, counts), reached, bits)
+        _in_full_buckets(reduce(DataFrame.unionAll, counts), reached)
         .groupBy(*_WORDS)
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= least)
