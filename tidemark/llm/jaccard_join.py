@@ -40,8 +40,8 @@ _BLOCK_BITS = 16
 MOST_MATCHES = 24
 #: Estimated cost of verifying a candidate, in prefix tokens: fixed, and per token of the set.
 VERIFY_FIXED, VERIFY_TOKEN = 2.0, 1 / 16
-#: Ratio of the sizes at the ends of a band, and entries of a side that meet at once.
-BAND, BLOCK = 1.04, 2048
+#: Entries of a side that meet at once.
+BLOCK = 2048
 #: Chance that a token of an ordinary bucket has another document.
 ORDINARY = 0.1
 
@@ -316,9 +316,12 @@ def _hub_pairs(useful: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _band(size: Column) -> Column:
-    """The number of a size's band; bands ascend with the sizes in them."""
-    return F.floor(F.log(size) / math.log(BAND)).cast("int")
+def _band(size: Column, percent: int) -> Column:
+    """The number of a size's band; bands ascend with the sizes in them.
+
+    The sizes of all partners that are no larger lie in two bands at most.
+    """
+    return F.floor(F.log(size) / math.log(100 / min(percent, 90))).cast("int")
 
 
 def _sides(useful: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -335,13 +338,23 @@ def _sides(useful: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     sized = useful.select(
         "token", "cls", "n", F.ceil(percent * n / 100).alias("low"), high.alias("high")
     ).where("high >= low")
-    labelled = sized.join(groups.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "label", F.coalesce("component", "cls")
+    labelled = stored(
+        sized.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select(
+            "token", "cls", F.coalesce("component", "cls").alias("label"), "n", "low", "high"
+        ),
+        "labelled",
     )
-    bands = F.sequence(_band(F.col("low")), _band(F.least("high", "n")))
+    # Most tokens stay within one group: only the others get a row per band.
+    mixed = (
+        labelled.groupBy("token")
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        .where("least != most")
+    )
+    labelled = labelled.join(mixed, "token", "left_semi")
+    bands = F.sequence(_band(F.col("low"), percent), _band(F.least("high", "n"), percent))
     kept = ["token", "cls", "label", "n", "low", "high"]
     looking = labelled.select(*kept, F.lit(True).alias("looks"), F.explode(bands).alias("band"))
-    waiting = labelled.where("high >= n").select(*kept, F.lit(False).alias("looks"), _band(n).alias("band"))
+    waiting = labelled.where("high >= n").select(*kept, F.lit(False).alias("looks"), _band(n, percent).alias("band"))
     return looking.unionAll(waiting)
 
 
@@ -353,25 +366,28 @@ def _cross_pairs(useful: DataFrame, groups: DataFrame, percent: int) -> DataFram
     """
     sides = stored(_sides(useful, groups, percent), "sides")
     looks = F.col("looks").cast("long")
-    per_label = sides.groupBy("token", "band", "label").agg(
-        F.sum(looks).alias("p"), F.sum(1 - looks).alias("t")
-    )
     met = (
-        per_label.groupBy("token", "band")
+        sides.groupBy("token", "band")
         .agg(
-            F.max_by("label", F.col("p") + F.col("t")).alias("major"),
-            F.sum("p").alias("p"), F.sum("t").alias("t"), F.count(F.lit(1)).alias("labels"),
-        )
-        .where("labels > 1 AND p > 0 AND t > 0")
-        .select(
-            "token", "band", "major",
-            F.ceil(F.col("p") / BLOCK).cast("int").alias("p"), F.ceil(F.col("t") / BLOCK).cast("int").alias("t"),
+            F.sum(looks).alias("p"), F.sum(1 - looks).alias("t"),
+            F.min("label").alias("least"), F.max("label").alias("most"),
         )
+        .where("least != most AND p > 0 AND t > 0")
+        .select("token", "band", "p", "t")
     )
-    entries = stored(
-        sides.join(met, ["token", "band"]).withColumn("is_major", F.col("label") == F.col("major")),
-        "mixed-tokens",
-    )
+    # Only where entries fill blocks does it matter which group has most of them.
+    crowded = F.col("p") * F.col("t") > BLOCK * BLOCK
+    major = (
+        sides.join(met.where(crowded), ["token", "band"])
+        .groupBy("token", "band", "label").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("token", "band").agg(F.max_by("label", "n").alias("major"))
+    )
+    met = stored(met.join(major, ["token", "band"], "left"), "met").select(
+        "token", "band", "major",
+        F.ceil(F.col("p") / BLOCK).cast("int").alias("p"), F.ceil(F.col("t") / BLOCK).cast("int").alias("t"),
+    )
+    is_major = F.coalesce(F.col("label") == F.col("major"), F.lit(False))
+    entries = stored(sides.join(met, ["token", "band"]).withColumn("is_major", is_major), "mixed-tokens")
 
     def dealt(looks: bool, own: str, other: str) -> DataFrame:
         """One side, each entry in its block and once for every block of the other side."""
