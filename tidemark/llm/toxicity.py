@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import once, pieces, text_of
 from tidemark.llm.shingles import mixed
-from tidemark.llm.store import maybe_in, stored
+from tidemark.llm.store import bounded, maybe_in, stored
 
 #: Character n-grams by length, hashed to this many features.
 NGRAMS = (3, 4, 5, 6)
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 columns += [pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *new])
 
-    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(scored, ", ".join(fields))
+    return bounded(docs.select(*[f"`{c}`" for c in kept]).mapInArrow(scored, ", ".join(fields)))
 
 
 def held_out(doc_id: str):
