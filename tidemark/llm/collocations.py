@@ -15,6 +15,7 @@ to totals of phrases, never of buckets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -30,8 +31,8 @@ from tidemark.session import scratch_dir, settings_for
 
 #: Parts of the corpus that are scanned in turn, and words of the longest phrase.
 SHARDS, LONGEST = 3, 5
-#: Buckets of a length's table: a 64th of the words, in whole blocks, and at most so many.
-WORDS_PER_BUCKET, MOST_BUCKETS = 64, 1 << 24
+#: Buckets of a length's table: a 32nd of the words, in whole blocks, and at most so many.
+WORDS_PER_BUCKET, MOST_BUCKETS = 32, 1 << 24
 #: Occurrences that a task adds up at once.
 OCCURRENCES = 1 << 20
 #: Text bytes laid out at once.
@@ -130,7 +131,11 @@ def _laid_out(docs: DataFrame, shards: int, seed: int) -> str:
 
     spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "layout")
     laid = docs.mapInArrow(made, "part int, codes binary, lang string, word string, n long")
-    with settings_for(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(shards + 2)}):
+    settings = {
+        "spark.sql.maxConcurrentOutputFileWriters": str(shards + 2),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(LAYOUT_BYTES),
+    }
+    with settings_for(spark, settings):
         laid.write.partitionBy("part").option("compression", "zstd").parquet(path)
     return path
 
@@ -166,32 +171,18 @@ def _added(found: list[np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.
     return words[at], distinct, n
 
 
-def _packed(block: np.ndarray, least: int) -> bytes:
-    """Totals up to ``least``, beyond which none is told apart: all, or places and values if fewer."""
-    kind = np.uint8 if least < 256 else np.uint16 if least < 65536 else np.uint32
-    values = np.minimum(block, least).astype(kind)
-    at = np.flatnonzero(values)
-    if len(at) * (2 + values.itemsize) >= values.nbytes:
-        return values.tobytes()
-    return at.astype(np.uint16).tobytes() + values[at].tobytes()
+def _kind(least: int) -> type:
+    """The numbers that totals up to ``least`` need; beyond it none is told apart."""
+    return np.uint8 if least < 256 else np.uint16 if least < 65536 else np.uint32 if least < 2**32 else np.uint64
 
 
-def _add_packed(total: np.ndarray, packed: bytes, least: int) -> None:
-    kind = np.dtype(np.uint8 if least < 256 else np.uint16 if least < 65536 else np.uint32)
-    if len(packed) == len(total) * kind.itemsize:
-        total += np.frombuffer(packed, kind)
-        return
-    n = len(packed) // (2 + kind.itemsize)
-    total[np.frombuffer(packed, np.uint16, n)] += np.frombuffer(packed, kind, n, 2 * n)
-
-
-def _blocks(k: int, totals: np.ndarray, least: int, size: int) -> Iterator[pa.RecordBatch]:
+def _blocks(k: int, totals: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
     """A row for each block of a table that has a count."""
     blocks = totals.reshape(-1, size)
     for i in np.flatnonzero(blocks.any(axis=1)):
-        none = pa.nulls(1, pa.int64())
+        none, packed = pa.nulls(1, pa.int64()), zlib.compress(blocks[i].tobytes(), 1)
         arrays = [pa.array([k], pa.int8()), *[none] * (LONGEST + 1), pa.array([i], pa.int32()),
-                  pa.array([_packed(blocks[i], least)], pa.binary())]
+                  pa.array([packed], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
@@ -210,16 +201,20 @@ def _scan(
         size = dict.fromkeys(held, 0)
         totals: dict[int, np.ndarray] = {}
 
-        def add(k: int, hashes: np.ndarray, n: np.ndarray | int) -> None:
+        def add(k: int, hashes: np.ndarray, n: np.ndarray | None = None) -> None:
             if k not in totals:
-                totals[k] = np.zeros(buckets, np.uint32)
-            np.add.at(totals[k], _buckets(hashes, buckets), n)
+                totals[k] = np.zeros(buckets, _kind(least))
+            at, which, here = np.unique(
+                _buckets(hashes, buckets), return_inverse=True, return_counts=True
+            )
+            here = here if n is None else np.bincount(which, n).astype(np.int64)
+            totals[k][at] = np.minimum(totals[k][at] + here, least)
 
         def out(k: int) -> pa.RecordBatch:
             columns = [np.concatenate(x) for x in zip(*held[k])]
             held[k], size[k] = [], 0
             words, hashes, n = _added(columns[1:], columns[0])
-            add(k, hashes, n.astype(np.uint32))
+            add(k, hashes, n)
             none = pa.nulls(len(n), pa.int64())
             arrays = [
                 pa.array(np.full(len(n), k, np.int8)),
@@ -234,7 +229,7 @@ def _scan(
                 at = np.flatnonzero(codes)
                 hashes = codes[at]
                 if step < shards:
-                    add(1, hashes, 1)
+                    add(1, hashes)
                 for k in range(2, LONGEST + 1):
                     # Places whose first and last k - 1 words are subphrases seen often enough.
                     own = _buckets(hashes, buckets)
@@ -255,35 +250,34 @@ def _scan(
             if size[k]:
                 yield out(k)
         for k, total in totals.items():
-            yield from _blocks(k, total, least, block)
+            yield from _blocks(k, total, block)
 
     return shard.select("codes").mapInArrow(counted, _COUNTS)
 
 
 def _summed(blocks: DataFrame, least: int) -> DataFrame:
-    """One row per block of buckets: the sum of its totals, and places that have reached ``least``."""
+    """One row per block of buckets: the sum of its totals in all tasks, streamed past."""
     size = BLOCK
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            full = np.flatnonzero(total >= least).astype(np.uint16).tobytes()
-            data = [pa.array([now[0]], pa.int8()), pa.array([now[1]], pa.int32()),
-                    pa.array([_packed(total, least)]), pa.array([full])]
-            return pa.RecordBatch.from_arrays(data, ["k", "block", "packed", "full"])
+            packed = zlib.compress(np.minimum(total, least).astype(_kind(least)).tobytes(), 1)
+            data = [pa.array([now[0]], pa.int8()), pa.array([now[1]], pa.int32()), pa.array([packed])]
+            return pa.RecordBatch.from_arrays(data, ["k", "block", "packed"])
 
         now, total = None, None
         for batch in batches:
-            for k, block, packed in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2)):
+            for k, block, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 if (k, block) != now:
                     if now is not None:
                         yield out()
                     now, total = (k, block), np.zeros(size, np.int64)
-                _add_packed(total, packed.as_py(), least)
+                total += np.frombuffer(zlib.decompress(packed), _kind(least))
         if now is not None:
             yield out()
 
     dealt = blocks.repartition("k", "block").sortWithinPartitions("k", "block")
-    return dealt.mapInArrow(summed, "k byte, block int, packed binary, full binary")
+    return dealt.mapInArrow(summed, "k byte, block int, packed binary")
 
 
 def _in_full_buckets(counts: DataFrame, reached: np.ndarray) -> DataFrame:
@@ -320,23 +314,22 @@ def _frequent(
     layout = _read_layout(spark, path)
     size = _size(layout.where(f"part != {_WORDS_PART}").agg(F.sum("n")).first()[0] or 0)
     reached = np.full((LONGEST, size), _NEVER, np.uint8)
-    scans, totals, step, steps = [], None, 0, []
+    totals = np.zeros((LONGEST, size), _kind(least))
+    scans, step, steps = [], 0, []
     # A phrase of the next length can start one scan after the last bucket filled.
     while step < shards or step <= max(steps, default=-1) + shards:
         shard = layout.where(f"part = {step % shards}")
         scans.append(stored(_scan(shard, reached, step, shards, size, least), "scan", "zstd"))
         blocks = scans[-1].where("block IS NOT NULL").select("k", "block", "packed")
-        if totals is not None:
-            blocks = blocks.unionAll(totals.select("k", "block", "packed"))
-        totals = stored(_summed(blocks, least), "totals")
-        # Two bytes for a full bucket, of which there is a fixed number.
-        for k, block, full in totals.select("k", "block", "full").collect():
-            own = reached[k - 1].reshape(-1, BLOCK)[block]
-            at = np.frombuffer(full, np.uint16)
-            fresh = at[own[at] == _NEVER]
-            own[fresh] = step
-            if k < LONGEST and len(fresh):
-                steps.append(step)
+        # A number of at most ``least`` for each bucket, of which there is a fixed number.
+        for k, block, packed in stored(_summed(blocks, least), "totals").collect():
+            at = slice(block * BLOCK, (block + 1) * BLOCK)
+            here = np.frombuffer(zlib.decompress(packed), _kind(least)).astype(np.int64)
+            totals[k - 1, at] = np.minimum(totals[k - 1, at] + here, least)
+        fresh = (totals == least) & (reached == _NEVER)
+        reached[fresh] = step
+        if fresh[:-1].any():
+            steps.append(step)
         step += 1
     found = layout.where(f"part = {_WORDS_PART}").select(
         "lang", "word", _code(F.col("lang"), F.col("word"), seed).alias("w1"), "n"
