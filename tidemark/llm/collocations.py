@@ -281,12 +281,23 @@ def _summed(blocks: DataFrame, least: int) -> DataFrame:
 
 
 def _in_full_buckets(counts: DataFrame, reached: np.ndarray) -> DataFrame:
-    """Counts (w1.. and others) of phrases whose bucket has reached the threshold; no others can."""
-    shared, buckets = counts.sparkSession.sparkContext.broadcast(reached.tobytes()), reached.shape[1]
+    """Counts (n by all other columns) of phrases whose bucket has reached the threshold.
+
+    No others can have reached it. Counts are summed here as far as a task sees them, and there
+    are no more tasks than cores, so a common phrase is a few rows of the shuffle that follows.
+    """
+    context = counts.sparkSession.sparkContext
+    shared, buckets = context.broadcast(reached.tobytes()), reached.shape[1]
     words = [c for c in counts.columns if c in _WORDS]
+    keys, names = [c for c in counts.columns if c != "n"], counts.columns
+
+    def summed(held: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return table.rename_columns(["n" if c == "n_sum" else c for c in table.column_names]).select(names)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint8).reshape(LONGEST, buckets)
+        held, size = [], 0
         for batch in batches:
             codes = [batch.column(batch.schema.get_field_index(w)) for w in words]
             length = sum(np.asarray(c.is_valid()).astype(np.int64) for c in codes)
@@ -295,9 +306,19 @@ def _in_full_buckets(counts: DataFrame, reached: np.ndarray) -> DataFrame:
             for k in range(2, len(words) + 1):
                 longer = length >= k
                 hashes[longer] = _hash(hashes[longer], own[k - 1][longer])
-            yield batch.filter(pa.array(table[length - 1, _buckets(hashes, buckets)] != _NEVER))
-
-    return counts.mapInArrow(kept, counts.schema)
+            some = batch.filter(pa.array(table[length - 1, _buckets(hashes, buckets)] != _NEVER))
+            held.append(some)
+            size += some.num_rows
+            if size >= OCCURRENCES:
+                held = summed(held).to_batches()
+                size = sum(b.num_rows for b in held)
+                if size >= OCCURRENCES // 2:
+                    yield from held
+                    held, size = [], 0
+        if size:
+            yield from summed(held).to_batches()
+
+    return counts.coalesce(context.defaultParallelism).mapInArrow(kept, counts.schema)
 
 
 def _size(words: int) -> int:
