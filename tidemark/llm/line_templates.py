@@ -11,6 +11,7 @@ levels. Shares decide, not numbers, so a template is found alike among few lines
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,8 @@ def _lines(text: str) -> Column:
 
 
 def _tokens(line: Column) -> Column:
-    plain = F.translate(line, "\t\n\x0b\x0c\r", "     ")
+    odd = reduce(or_, [F.contains(line, F.lit(c)) for c in "\t\n\x0b\x0c\r"])
+    plain = F.when(odd, F.translate(line, "\t\n\x0b\x0c\r", "     ")).otherwise(line)
     return F.filter(F.split(plain, " "), lambda t: t != "")
 
 
@@ -119,29 +121,31 @@ def recurring_lines(
     enough others are looked at token by token, each once however often it stands.
     """
     keyed = _keyed(docs.select(F.col(text).alias("_text")), "_text")
-    rows = (
-        keyed.select(*_KEY, F.explode(F.array_distinct(_lines("_text"))).alias("_text"))
-        .withColumn("_tokens", _tokens(F.col("_text")))
-        .where(F.size("_tokens") >= min_tokens)
-        .withColumns({"_leaf": _leaf(F.col("_tokens"), depth), "_line": _line_key(F.col("_text"))})
+    rows = keyed.select(*_KEY, F.explode(F.array_distinct(_lines("_text"))).alias("_text")).withColumn(
+        "_line", _line_key(F.col("_text"))
     )
+
+    def parted(rows: DataFrame) -> DataFrame:
+        found = rows.withColumn("_tokens", _tokens(F.col("_text"))).where(F.size("_tokens") >= min_tokens)
+        return found.withColumn("_leaf", _leaf(F.col("_tokens"), depth))
+
     seen = stored(
-        rows.groupBy("_leaf", "_line").agg(
+        parted(rows).groupBy("_leaf", "_line").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_k1").alias("_low"), F.max("_k1").alias("_high")
         ),
         "lines-seen",
     )
     same = stored(seen.where("_low != _high").select("_line"), "same-lines")
-    leaves = stored(
+    leaves = (
         seen.groupBy("_leaf")
         .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_lines"))
         .where((F.col("_n") >= min_docs) & (F.col("_lines") > 1))
-        .select("_leaf"),
-        "leaves",
+        .select("_leaf")
     )
-    found = _marked(_marked(rows, leaves, "_leaf", "_alike"), same, "_line", "_same")
+    alike = stored(seen.join(leaves, "_leaf", "left_semi").select("_line"), "alike-lines")
+    found = _marked(_marked(rows, alike, "_line", "_alike"), same, "_line", "_same")
     found = stored(
-        found.where("_alike OR _same").select(
+        parted(found.where("_alike OR _same")).select(
             *_KEY, "_leaf", "_line", F.when(F.col("_alike"), F.transform("_tokens", _masked)).alias("_tokens")
         ),
         "lines",
