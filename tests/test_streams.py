@@ -160,6 +160,25 @@ def test_a_compaction_that_dies_is_finished_and_late_batches_stay(spark, tmp_pat
     assert jobs.read_bronze(spark, log, CUSTOMERS.row).count() == n
 
 
+def test_compaction_sorts_a_bounded_share_of_a_day_in_a_task(spark, tmp_path, monkeypatch):
+    """Neither malformed messages nor events of one key and time end up in one task."""
+    landed, log, mark = (str(tmp_path / p) for p in ("landed", "log", "mark"))
+    values = {i: messages.event("c", 5, messages.row(1)) for i in range(400)}
+    values |= {1000 + i: "{bad" for i in range(400)}
+    messages.frame(spark, values).write.parquet(landed)
+    stream = file_messages(spark, landed)
+    jobs.ingest(stream, CUSTOMERS.row, "customers", log, mark, jobs.ALL_THERE_IS).awaitTermination()
+    monkeypatch.setattr(jobs, "SORT_BYTES", tables.size(spark, log) // 7, raising=False)
+    assert jobs.compact_log(spark, log, CUSTOMERS.row, "customer_id", before="9999-01-01")
+    for failed, read in ((0, jobs.read_bronze), (1, jobs.read_quarantine)):
+        sizes = [
+            spark.read.parquet(f).count()
+            for f in read(spark, log, CUSTOMERS.row).inputFiles()
+            if f"failed={failed}" in f
+        ]
+        assert sum(sizes) == 400 and max(sizes) <= 200
+
+
 def test_scratch_is_the_shared_folder_of_the_session(spark, shared):
     first = scratch_dir(spark, "x")
     assert first.startswith(f"{shared}/x-") and first != scratch_dir(spark, "x")

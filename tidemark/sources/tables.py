@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import settings_for
+
 FORMAT = "parquet"
 LAYOUT = "layout-"
 
@@ -219,15 +221,19 @@ def publish(
 
 # -- tables of partitions -------------------------------------------------------------
 
+# Partitions that a task writes side by side as its rows come; rows of any more are sorted first.
+WRITERS = 2
+
 
 def overwrite_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Write rows in place of the partitions that they fall in; all others stay as they are."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    with settings_for(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(WRITERS)}):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*columns)
+            .parquet(path)
+        )
 
 
 def _staged(path: str) -> str:

@@ -32,6 +32,9 @@ DAY = "ingested_on"
 BATCH = "batch"
 LOG_PARTITIONS = [FAILED, DAY, BATCH]
 
+# Stored bytes of a log that one task sorts: its rows take about ten times as many in memory.
+SORT_BYTES = 32 * 1024 * 1024
+
 # A micro-batch every five seconds, or all there is and then stop.
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 ALL_THERE_IS = {"availableNow": True}
@@ -132,8 +135,9 @@ def compact_log(
     """Rewrite the closed days of a log to few files; returns those days.
 
     Days before ``before`` (by default today) that have new batches, malformed messages
-    included, become one batch folder each, dealt by ranges of (key, time), so a reader of some
-    keys skips row groups. Rows stay as they are. The rewritten days are staged, then swapped
+    included, become one batch folder each, dealt by ranges of (key, time, place in the topic),
+    so a reader of some keys skips row groups. A range is a file of about ``file_bytes``, or of
+    what one task sorts (SORT_BYTES) if that is less. Rows stay as they are. The rewritten days are staged, then swapped
     in by partition overwrite, then the batch folders they stand for go; each step can be
     repeated, and a run that died half-way is finished by the next one. In between a reader may
     see rows of a day twice, as it does after a repeated delivery. Batches that come later for
@@ -150,11 +154,12 @@ def compact_log(
     found = [f for f in found if f[1] in days]
     newest = max(batch for _, _, batch in found)
     sizes = [tables.size(spark, _batch_folder(path, *f)) for f in found]
-    place = [FAILED, DAY, *keys, TS]
+    # Malformed messages have neither key nor time: their place in the topic tells them apart.
+    place = [FAILED, DAY, *keys, TS, PARTITION, OFFSET]
     log = spark.read.schema(bronze_schema(row_schema)).parquet(path)
     rows = log.where(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
     dealt = rows.withColumn(BATCH, F.lit(-newest - 1)).repartitionByRange(
-        int(sum(sizes) // file_bytes + 1), *place
+        int(sum(sizes) // min(file_bytes, SORT_BYTES) + 1), *place
     )
     tables.stage(dealt.sortWithinPartitions(*place), path, LOG_PARTITIONS)
     _finish_compaction(spark, path)
@@ -177,7 +182,9 @@ def _batch_folders(spark: SparkSession, path: str) -> list[tuple[str, str, int]]
 
 def _finish_compaction(spark: SparkSession, path: str) -> None:
     """Swap in what is staged completely, and drop the batch folders that it stands for."""
-    tables.swap(spark, path, LOG_PARTITIONS)
+    # Each staged file is read by a task of its own, so it stays one range of keys.
+    with settings_for(spark, {"spark.sql.files.openCostInBytes": str(1 << 30)}):
+        tables.swap(spark, path, LOG_PARTITIONS)
     found = _batch_folders(spark, path)
     for failed, day in {f[:2] for f in found}:
         batches = [b for f, d, b in found if (f, d) == (failed, day)]
