@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from brute import TEXTS
 
 from tidemark.llm import line_templates as lt
+from tidemark.llm import store
 
 SCHEMA = "doc_id long, text string"
 
@@ -110,3 +111,20 @@ def test_columns_and_empty_table(spark):
     assert got.columns == ["_k1", "text", "doc_id", "n_lines", "n_dropped"]
     assert _found(got) == _brute(TEXTS)
     assert lt.drop_recurring_lines(docs.limit(0)).count() == 0
+
+
+def test_only_lines_of_wanted_leaves_are_looked_at(spark, monkeypatch):
+    """However crowded the buckets of the filters are, and copies of a text count as one."""
+    rows = _rows() + [(500 + i, f"Copied words of one\nCopied words of one text {i // 9}") for i in range(9)]
+    sizes = {}
+
+    def stored(df, label, *args):
+        out = store.stored(df, label, *args)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(store, "FILTER_BUCKETS", 1)
+    monkeypatch.setattr(lt, "stored", stored)
+    got = _found(lt.drop_recurring_lines(spark.createDataFrame(rows, SCHEMA)))
+    assert got == _brute(rows)
+    assert sizes["different-lines"] == sizes["alike-lines"] < sizes["lines-seen"]

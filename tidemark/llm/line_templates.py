@@ -136,24 +136,32 @@ def recurring_lines(
         "lines-seen",
     )
     same = stored(seen.where("_low != _high").select("_line"), "same-lines")
-    leaves = (
+    # A line of one text counts once, however often the text is there.
+    texts = F.when(F.col("_low") == F.col("_high"), 1).otherwise(F.col("_n"))
+    leaves = stored(
         seen.groupBy("_leaf")
-        .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_lines"))
+        .agg(F.sum(texts).alias("_n"), F.count(F.lit(1)).alias("_lines"))
         .where((F.col("_n") >= min_docs) & (F.col("_lines") > 1))
-        .select("_leaf")
+        .select("_leaf"),
+        "alike-leaves",
     )
     alike = stored(seen.join(leaves, "_leaf", "left_semi").select("_line"), "alike-lines")
     found = _marked(_marked(rows, alike, "_line", "_alike"), same, "_line", "_same")
+    # Buckets of lines fill up as lines grow; there are fewer leaves, and the rest is told exactly.
+    found = _marked(parted(found.where("_alike OR _same")), leaves, "_leaf", "_wanted")
+    wanted = F.col("_alike") & F.col("_wanted")
     found = stored(
-        parted(found.where("_alike OR _same")).select(
-            *_KEY, "_leaf", "_line", F.when(F.col("_alike"), F.transform("_tokens", _masked)).alias("_tokens")
+        found.where(wanted | F.col("_same")).select(
+            *_KEY, "_leaf", "_line", F.when(wanted, F.transform("_tokens", _masked)).alias("_tokens")
         ),
         "lines",
     )
     lines = stored(
         found.where("_tokens IS NOT NULL")
         .groupBy("_line", F.col("_leaf").alias("_group"))
-        .agg(F.first("_tokens").alias("_tokens")),
+        .agg(F.first("_tokens").alias("_tokens"))
+        .join(leaves.withColumnRenamed("_leaf", "_group"), "_group", "left_semi")
+        .select("_line", "_group", "_tokens"),
         "different-lines",
     )
     placed = []
