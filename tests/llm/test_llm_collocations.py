@@ -2,6 +2,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from brute import TEXTS, lower
 
@@ -100,3 +103,29 @@ def test_scores_past_64_bits(spark):
     totals = spark.createDataFrame([("en", 3 * 10**14 + 1)], "lang string, n long")
     row = co._scored(own, counts, totals).first()
     assert row.score == 1000 * 10**13 * (3 * 10**14 + 1) // 10**26
+
+
+def test_stored_codes_take_little_room(spark):
+    """Words of a stretch are stored once each, with their places."""
+    rng = np.random.default_rng(1)
+    ids = np.minimum(rng.zipf(1.2, 150_000), 30_000)
+    texts = [" ".join(f"w{i}" for i in part) for part in np.split(ids, 30)]
+    docs = spark.createDataFrame([("en", t) for t in texts], SCHEMA).coalesce(1).select("text", "lang")
+    path = co._laid_out(docs, 1, 0).removeprefix("file:")
+    raw = co._coded(*co.text_of(pa.array(texts)), ["en"] * len(texts), 0)[0]
+    found = pq.ParquetDataset(f"{path}/part=0").read()
+    stored = [co._unpacked(*(x.as_buffer() for x in row)) for row in zip(found["codes"], found["places"])]
+    assert sorted(np.concatenate(stored)) == sorted(raw)
+    parts = [f.metadata.row_group(g) for f in map(pq.ParquetFile, pq.ParquetDataset(f"{path}/part=0").files) for g in range(f.metadata.num_row_groups)]
+    size = sum(g.column(i).total_compressed_size for g in parts for i in range(g.num_columns))
+    assert size < 0.8 * len(pa.Codec("zstd").compress(raw.tobytes()))
+
+
+def test_full_buckets_send_no_totals(spark):
+    """Totals of buckets that had reached the threshold in an earlier scan are not sent again."""
+    docs = spark.createDataFrame([("en", "one two three four five " * 50)], SCHEMA).select("text", "lang")
+    layout = co._read_layout(spark, co._laid_out(docs, 1, 0)).where("part = 0")
+    none = np.full((co.LONGEST, co.BLOCK), co._NEVER, np.uint8)
+    full = np.zeros_like(none)
+    sent = [co._scan(layout, x, 0, 1, co.BLOCK, 9).where("block IS NOT NULL").count() for x in (none, full)]
+    assert sent[0] > 0 and sent[1] == 0
