@@ -144,3 +144,24 @@ def test_blocks_and_bands_lose_no_pair(spark, monkeypatch):
     for k, percent in ((2, 60), (4, 85), (1, 70)):
         got = jj.similar_groups(docs, words=k, percent=percent)
         assert sorted(map(tuple, got.collect()), key=str) == similar_groups(rows, k, percent)
+
+
+def test_blocks_of_the_sketch_come_a_few_at_a_time(spark, monkeypatch):
+    """Workers get the blocks of all tasks in batches of a bounded size, and sum them up."""
+    kind = type(spark.range(1))
+    plain = kind.mapInArrow
+
+    def watched(df, function, schema):
+        def few(batches):
+            for batch in batches:
+                assert batch.nbytes <= 8 << 20
+                yield batch
+
+        return plain(df, lambda batches: function(few(batches)), schema)
+
+    monkeypatch.setattr(kind, "mapInArrow", watched)
+    measured = spark.range(200).selectExpr(
+        "0L AS n", "0 AS block", "CAST(repeat('ab', 65536) AS binary) AS counts"
+    )
+    levels = jaccard_join._levels(measured)
+    assert (levels[:65536] == 22).all() and not levels[65536:].any()

@@ -130,12 +130,13 @@ def _levels(measured: DataFrame) -> np.ndarray:
         if now is not None:
             yield out(now, counts)
 
-    blocks = (
+    blocks = stored(
         measured.where(F.col("block").isNotNull())
         .select("block", "counts")
         .repartition("block")
         .sortWithinPartitions("block")
-        .mapInArrow(summed, "block int, levels binary")
+        .mapInArrow(summed, "block int, levels binary"),
+        "sketch",
     )
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for row in blocks.collect():  # one job, not one per partition
