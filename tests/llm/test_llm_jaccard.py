@@ -1,8 +1,10 @@
 import random
+import tracemalloc
 
+import numpy as np
 from brute import BASE, TEXTS, similar_groups
 
-from tidemark.llm import jaccard_join
+from tidemark.llm import jaccard_join, shingles
 
 SCHEMA = "doc_id long, text string"
 
@@ -165,3 +167,17 @@ def test_blocks_of_the_sketch_come_a_few_at_a_time(spark, monkeypatch):
     )
     levels = jaccard_join._levels(measured)
     assert (levels[:65536] == 22).all() and not levels[65536:].any()
+
+
+def test_words_are_hashed_in_little_memory():
+    """A text of a megabyte takes less than twenty times its bytes; blocks change no hash."""
+    data = np.frombuffer(("lorem ipsum dolor sit " * 50_000).encode(), np.uint8)
+    offsets = np.array([0, len(data)])
+    tracemalloc.start()
+    try:
+        hashes, _ = shingles.word_hashes(data, offsets)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 32e6
+    assert (hashes[:-4:4] == hashes[0]).all() and len(set(hashes.tolist())) == 4

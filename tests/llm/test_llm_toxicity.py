@@ -1,14 +1,16 @@
 from collections import Counter
 import re
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 from brute import LONG, TEXTS
 
 from tidemark.llm import toxicity
-from tidemark.llm.batches import text_of
+from tidemark.llm.batches import pieces, text_of
 from tidemark.llm.queries import QUERIES
+from tidemark.llm.store import stored
 
 BAD = ["scoundrel", "knavish", "blackguard"]
 
@@ -133,3 +135,54 @@ def test_scores_equal_a_plain_fit(spark, monkeypatch):
     want = 1 / (1 + np.exp(-(x @ w + b)))
     assert len(grams) < toxicity.MOST_FEATURES
     assert np.abs(np.array([got[r[0]] for r in rows]) - want).max() < 0.02
+
+
+def _peak(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_features_is_bounded():
+    """All n-grams of a piece, as the sample keeps them, and those of the windows of a long text."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("theinors ", k=4_000)) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    model = toxicity.Model(np.ones(1 << toxicity.FEATURE_BITS, np.float32), 0.0)
+
+    def kept():
+        piece = next(pieces(batch, "text", toxicity.PIECE_BYTES))
+        found = [toxicity._pairs(*x) for x in toxicity._features(*text_of(piece.column("text")))]
+        np.unique(np.concatenate(found))
+
+    def windows():
+        for _ in toxicity._features(*text_of(pa.array(["".join(texts[:100])]))):
+            pass
+
+    model.score(*text_of(batch.column("text")))
+    assert _peak(kept) < 32e6
+    assert _peak(windows) < 12e6
+
+
+def test_windows_change_no_score(monkeypatch):
+    rng = np.random.default_rng(7)
+    model = toxicity.Model(rng.normal(size=1 << toxicity.FEATURE_BITS).astype(np.float32), 0.1)
+    texts = text_of(pa.array([t for _, t in TEXTS]))
+    whole = model.score(*texts)
+    for size in (1, 7, 1 << 18):
+        monkeypatch.setattr(toxicity, "_WINDOW", size)
+        assert (model.score(*texts) == whole).all()
+
+
+def test_workers_get_a_megabyte_at_once(spark):
+    docs = spark.createDataFrame([(i, f"{i} " * 3000) for i in range(300)], "doc_id long, text string")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "b"])
+
+    found = stored(docs.coalesce(1).mapInArrow(sizes, "n long, b long"), "sizes").collect()
+    assert sum(r.n for r in found) == 300 and max(r.b for r in found) < 1.2 * 2**20

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -108,3 +109,20 @@ def test_tables_round_trip(spark):
     assert unigram.encode(docs.limit(0), PATH).count() == 0
     nothing = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert [tuple(r) for r in unigram.decode(nothing, PATH).collect()] == [(1, "")]
+
+
+def test_memory_does_not_grow_with_new_units(vocabulary):
+    """Words never met before are solved in runs of a fixed number, and remembered closely."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("theinors", k=15)) for _ in range(20_000)]
+    model = unigram.Unigram(vocabulary)
+    data, offsets = text_of(pa.array([" ".join(words)]))
+    tracemalloc.start()
+    try:
+        ids, _ = model.encode(data, offsets)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < 26e6 and held < 6e6
+    again = unigram.Unigram(vocabulary)
+    assert ids.tolist() == [i for w in words for i in again.best_path(f" {w}".encode()).tolist()]

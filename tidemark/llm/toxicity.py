@@ -34,8 +34,10 @@ SMOOTHING = 1.0
 #: Weight decay and rounds of the regression.
 DECAY, ROUNDS = 1.0, 120
 
-#: Characters whose n-grams are hashed at once.
-_WINDOW = 1 << 18
+#: Characters whose n-grams are hashed at once, and text bytes worked on at once: a sample's
+#: texts keep all their n-grams meanwhile, some 100 bytes a byte of text.
+_WINDOW = 1 << 16
+PIECE_BYTES = 1 << 18
 
 _ODD = np.random.Generator(np.random.PCG64(7)).integers(0, 2**63, 16, np.uint64) * np.uint64(
     2
@@ -127,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE_BYTES):
                 data, offsets = text_of(piece.column("text"))
                 found = [_pairs(*x) for x in _features(data, offsets)]
                 pairs = np.unique(np.concatenate([np.empty(0, np.int64), *found]))
@@ -244,7 +246,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = once(key, lambda: Model(*pickle.loads(shared.value)))
         for batch in batches:
-            for piece in pieces(batch, text, 1 << 19):
+            for piece in pieces(batch, text, PIECE_BYTES):
                 found = own.score(*text_of(piece.column(text)))
                 columns = [piece.column(c) for c in kept]
                 columns += [pa.array(found), pa.array((found >= 0.5).astype(np.int32))]

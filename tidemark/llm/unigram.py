@@ -20,12 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.batches import once, parts, pieces, spread, strings, text_of
+from tidemark.llm.store import bounded
 
 MARKER = "▁"
 #: How far below the worst piece an unknown character scores.
 UNKNOWN_PENALTY = 10.0
 #: Units longer than this are solved one at a time.
 LANE_BYTES = 48
+#: Units solved side by side at once; their tables take about 2 KB each.
+LANES = 4096
+#: Text bytes encoded at once; a longer text is a piece of its own.
+ENCODED_BYTES = 1 << 18
 
 
 # -- vocabulary -------------------------------------------------------------------
@@ -123,8 +128,8 @@ def double_array(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 class Unigram:
     """Encoder and decoder for a vocabulary."""
 
-    #: Distinct units whose pieces are remembered.
-    MOST_UNITS = 400_000
+    #: Distinct units whose pieces are remembered, about 130 bytes each.
+    MOST_UNITS = 1 << 17
 
     def __init__(self, vocabulary: dict):
         texts, normal = vocabulary["texts"], vocabulary["normal"]
@@ -141,7 +146,8 @@ class Unigram:
         self.splits = all(
             MARKER not in texts[i].lstrip(MARKER) for i in normal
         )
-        self.known: dict[bytes, np.ndarray] = {}
+        #: Pieces of units met before, as bytes: an array each would take three times the memory.
+        self.known: dict[bytes, bytes] = {}
         # Bytes of each piece when decoded.
         shown = [b""] * len(texts)
         for i in normal:
@@ -191,21 +197,25 @@ class Unigram:
         starts = self.unit_starts(data, offsets)
         units = parts(data, np.append(starts, len(data))).dictionary_encode()
         solved = self._solved(units.dictionary.to_pylist())
-        lengths = np.array([len(s) for s in solved])
+        lengths = np.array([len(s) for s in solved]) // 4
         begins = np.cumsum(lengths) - lengths
         index = units.indices.to_numpy()
-        ids = np.concatenate(solved)[spread(begins[index], lengths[index])]
+        flat = np.frombuffer(b"".join(solved), np.int32)
+        ids = flat[spread(begins[index], lengths[index])]
         sums = np.concatenate([[0], np.cumsum(lengths[index])])
         return ids, sums[np.searchsorted(starts, offsets)]
 
-    def _solved(self, units: list[bytes]) -> list[np.ndarray]:
+    def _solved(self, units: list[bytes]) -> list[bytes]:
+        """The pieces of each unit, as the bytes of 32-bit ids."""
         if len(self.known) > self.MOST_UNITS:
             self.known.clear()
         new = [u for u in units if u not in self.known]
         short = [u for u in new if len(u) * 3 <= LANE_BYTES]
-        long = {u: self.best_path(u) for u in new if len(u) * 3 > LANE_BYTES}
-        if short:
-            self.known.update(zip(short, self._side_by_side(short)))
+        long = {u: self.best_path(u).tobytes() for u in new if len(u) * 3 > LANE_BYTES}
+        short.sort(key=len)  # units of a length together, so tables are as wide as need be
+        for i in range(0, len(short), LANES):
+            some = short[i : i + LANES]
+            self.known.update(zip(some, (x.tobytes() for x in self._side_by_side(some))))
         return [self.known[u] if u in self.known else long[u] for u in units]
 
     def best_path(self, unit: bytes) -> np.ndarray:
@@ -377,7 +387,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder()
         for batch in batches:
-            for piece in pieces(batch, text):
+            pa.default_memory_pool().release_unused()
+            for piece in pieces(batch, text, ENCODED_BYTES):
                 data, offsets = text_of(piece.column(text))
                 ids, at = model.encode(data, offsets)
                 back, back_at = model.decode(ids, at)
@@ -399,7 +410,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *new])
 
-    return docs.select(*[f"`{c}`" for c in [*kept, text]]).mapInArrow(encoded, schema)
+    return bounded(docs.select(*[f"`{c}`" for c in [*kept, text]]).mapInArrow(encoded, schema))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
