@@ -2,6 +2,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from brute import BASE, TEXTS, similar_groups
 
 from tidemark.llm import jaccard_join, shingles
@@ -181,3 +182,23 @@ def test_words_are_hashed_in_little_memory():
         tracemalloc.stop()
     assert peak < 32e6
     assert (hashes[:-4:4] == hashes[0]).all() and len(set(hashes.tolist())) == 4
+
+
+def test_blocks_of_the_sketch_are_stored_small(spark):
+    """A task's blocks take little room while most buckets are empty; levels are those of the counts."""
+    text = " ".join(f"w{i}" for i in range(2_000))
+    rows = [(i, f"{text} x{i}") for i in range(100)]
+    docs = jaccard_join._rows(spark.createDataFrame(rows, SCHEMA).coalesce(1), "doc_id", "text")
+    measured = jaccard_join._measure(docs, 5).cache()
+    sizes = [r[0] for r in measured.selectExpr("octet_length(counts)").where("counts IS NOT NULL").collect()]
+    assert sizes and max(sizes) < 1 << 14
+    assert (jaccard_join._levels(measured) == 6).sum() > 1_900
+    measured.unpersist()
+
+
+def test_a_full_block_is_kept_as_it_is():
+    rng = np.random.default_rng(5)
+    for counts in (rng.integers(0, 65536, 1 << 16, np.uint16), np.zeros(1 << 16, np.uint16)):
+        packed = jaccard_join._packed(counts)
+        assert len(packed) <= counts.nbytes
+        assert (jaccard_join._unpacked(pa.py_buffer(packed)) == counts).all()

@@ -186,3 +186,19 @@ def test_workers_get_a_megabyte_at_once(spark):
 
     found = stored(docs.coalesce(1).mapInArrow(sizes, "n long, b long"), "sizes").collect()
     assert sum(r.n for r in found) == 300 and max(r.b for r in found) < 1.2 * 2**20
+
+
+def test_fit_needs_no_workers_for_its_features(spark, monkeypatch):
+    """The telling features reach the cluster without a Python job over a list."""
+    docs, labels = _corpus()
+    texts = spark.createDataFrame(docs, "id long, text string")
+    named = spark.createDataFrame(labels, "id long, label int")
+    plain = type(spark).createDataFrame
+
+    def watched(session, data, *args, **kwargs):
+        assert not isinstance(data, list)
+        return plain(session, data, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", watched)
+    model = toxicity.fit(texts, named)
+    assert (model.weights != 0).sum() > 0

@@ -17,6 +17,7 @@ whoever remains is verified on the whole sets.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 from operator import and_
@@ -54,6 +55,18 @@ def _class_of(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).astype(np.int64))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """A block of the sketch, compressed unless that makes it no smaller: most buckets are empty."""
+    plain = counts.tobytes()
+    small = zlib.compress(plain, 1)
+    return small if len(small) < len(plain) else plain
+
+
+def _unpacked(packed: pa.Buffer) -> np.ndarray:
+    plain = packed if packed.size == 2 << _BLOCK_BITS else zlib.decompress(packed)
+    return np.frombuffer(plain, np.uint16)
+
+
 def _up(numerator, denominator: int):
     return -(-numerator // denominator)
 
@@ -91,7 +104,7 @@ def _measure(docs: DataFrame, words: int) -> DataFrame:
                 )
         blocks = counts.reshape(-1, 1 << _BLOCK_BITS)
         for i in np.flatnonzero(blocks.any(axis=1)):
-            packed = blocks[i].tobytes()
+            packed = _packed(blocks[i])
             yield pa.RecordBatch.from_arrays(
                 [
                     *[pa.nulls(1, pa.int64()) for _ in range(4)],
@@ -126,7 +139,7 @@ def _levels(measured: DataFrame) -> np.ndarray:
                     if now is not None:
                         yield out(now, counts)
                     now, counts = block, np.zeros(1 << _BLOCK_BITS, np.int64)
-                counts += np.frombuffer(packed.as_buffer(), np.uint16)
+                counts += _unpacked(packed.as_buffer())
         if now is not None:
             yield out(now, counts)
 

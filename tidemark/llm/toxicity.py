@@ -170,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(weights, prior)
     ids = np.array([r[0] for r in ratios])
     ratio = np.array([r[1] for r in ratios])
-    chosen = made.sparkSession.createDataFrame([(int(i),) for i in ids], "feature int")
+    # From Arrow: a list would go through Python workers of its own.
+    chosen = made.sparkSession.createDataFrame(pa.table({"feature": pa.array(ids, pa.int32())}))
     cells = (
         made.select("id", "label", F.explode("features").alias("feature"))
         .join(F.broadcast(chosen), "feature")
